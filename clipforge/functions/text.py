@@ -167,11 +167,21 @@ def _title_key_py(s: str | None) -> str | None:
     return unicodedata.normalize("NFKC", t).casefold()
 
 
-@F.pandas_udf("string")
-def _title_key_udf(s: pd.Series) -> pd.Series:
+def _title_key_batch(s: pd.Series) -> pd.Series:
     return s.map(_title_key_py)
 
 
+_UDFS: dict = {}
+
+
+def _title_key_udf(c: Column) -> Column:
+    # Created on first use on the driver; importing this module on an executor
+    # must not build UDF objects.
+    if "title_key" not in _UDFS:
+        _UDFS["title_key"] = F.pandas_udf(_title_key_batch, "string")
+    return _UDFS["title_key"](c)
+
+
 def title_key(c) -> Column:
     """Comparison key of a title: HTML-unescape, strip, NFKC, casefold.
 

@@ -18,8 +18,11 @@ class Tables:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
         self.data_dir = data_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return table(self.spark, self.data_dir, name)
+        if name not in self._cache:
+            self._cache[name] = table(self.spark, self.data_dir, name)
+        return self._cache[name]
