@@ -139,7 +139,7 @@ def faculty_label_from_path(path) -> Column:
 
 
 def first_name(c) -> Column:
-    return F.element_at(split_ws(c), 1)
+    return F.try_element_at(split_ws(c), F.lit(1))
 
 
 def last_name(c) -> Column:
