@@ -28,6 +28,7 @@ def load_all() -> None:
     from clipforge.plans import (  # noqa: F401
         entities,
         filters,
+        parsing,
         published,
         units,
     )

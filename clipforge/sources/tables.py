@@ -8,8 +8,24 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# Tables whose rows carry long texts: CPU-heavy per row, so a scan that yields
+# fewer splits than task slots is spread out before the text work.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer partitions than the
+    cluster's parallelism (small inputs held in one row group); a no-op on
+    large inputs, which already arrive in many splits."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 class Tables:
