@@ -164,3 +164,24 @@ CLASSIFICATION_GROUP_LOGICAL_NAME = "/dk/atira/pure/clippings/keywords/imported"
 CLASSIFICATION_GROUP_NAME = "Imported by media import tool"
 CLASSIFICATION_URI = "/dk/atira/pure/clippings/keywords/imported/true"
 ORG_TYPE_003 = "/dk/atira/pure/organisation/organisationtypes/organisation/003"
+
+# Classification prompt, with {title} {source} {names} {organizations} {excerpt}.
+PROMPT_TEMPLATE = """I have an article with the following details:
+- Title: {title}
+- Source: {source}
+- Researcher: {names}
+- Organisation: {organizations}
+- Content (excerpt): {excerpt}
+
+Return a JSON object with exactly these fields:
+
+1. "keywords": list of 4 relevant keywords (max 2 words each)
+2. "degree": one of "local", "national", "international" (English article → international)
+3. "researcher_role": one of "research cited", "interviewee", "participant", "author"
+   - interviewee: quoted as only person
+   - author: ONLY if clearly stated
+   - participant: default when in doubt
+4. "typerole": one of "expert comment", "research", "public engagement activity"
+5. "Medium_type": one of "Radio", "TV", "Web" (use Web if unclear)
+"""
+PROMPT_SYSTEM = "You are a metadata classifier. Return only valid JSON."

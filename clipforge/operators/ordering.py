@@ -6,6 +6,12 @@ are range-partitioned on (group, order) instead, so a hot group is spread over
 many tasks; each task numbers its rows locally, and a small table of
 per-(task, group) counts -- at most one row per task boundary plus one per group
 -- gives each task its starting offset.
+
+The numbered rows are read twice (for the counts and for the final join), and
+both reads must see the same partitions: a second range exchange would sample
+its own bounds. So the locally numbered rows are checkpointed (reliably, to
+the session's checkpoint folder), which also cuts the lineage against executor
+loss.
 """
 
 from __future__ import annotations
@@ -13,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipforge.session import ensure_checkpoint_dir
+
 
 def positions(df: DataFrame, order_cols: list, group_cols: list | None = None,
               out_col: str = "pos", num_partitions: int | None = None) -> DataFrame:
@@ -29,6 +37,8 @@ def positions(df: DataFrame, order_cols: list, group_cols: list | None = None,
              .withColumn("_pid", F.spark_partition_id())
              .withColumn("_li", F.monotonically_increasing_id()
                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ensure_checkpoint_dir(df.sparkSession)
+    local = local.checkpoint(eager=True)
     stats = local.groupBy("_pid", *group_cols).agg(F.min("_li").alias("_first"),
                                                    F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \

@@ -26,8 +26,10 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # Importing the plan modules fills the registry.
     from clipforge.plans import (  # noqa: F401
+        classify,
         entities,
         filters,
+        outputs,
         parsing,
         published,
         units,

@@ -11,7 +11,7 @@ from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
-HIDDEN = {"script", "style", "template", "head", "title"}
+HIDDEN = {"script", "style", "template"}
 
 
 class Node:
@@ -108,7 +108,7 @@ def parse(html: str) -> Node:
 
 
 def visible_text(html: str) -> str:
-    """Newline-separated stripped text nodes outside script/style/template/head."""
+    """Newline-separated stripped text nodes outside script/style/template and comments."""
     out = []
 
     def walk(n):
