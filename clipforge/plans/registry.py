@@ -32,5 +32,6 @@ def load_all() -> None:
         outputs,
         parsing,
         published,
+        reports,
         units,
     )
