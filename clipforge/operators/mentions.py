@@ -42,8 +42,10 @@ def highlight_names(tokens) -> Column:
     full = F.array_join(t, " ")
     nw = F.size(split_ws(full))
     full_arr = F.when((n > 0) & (nw >= 1) & (nw <= 6), F.array(full)).otherwise(F.array().cast("array<string>"))
-    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1),
-                                       lambda i: F.concat(F.element_at(t, i), F.lit(" "), F.element_at(t, i + 1)))) \
+    # zip_with over two slices: the token array is evaluated once per row, not
+    # once per element (an indexed lambda would re-evaluate it for every pair).
+    pairs = F.when(n >= 2, F.zip_with(F.slice(t, 1, n - 1), F.slice(t, 2, n - 1),
+                                      lambda a, b: F.concat(a, F.lit(" "), b))) \
         .otherwise(F.array().cast("array<string>"))
     pairs = F.filter(pairs, lambda c: (F.size(split_ws(c)) >= 1) & (F.size(split_ws(c)) <= 4))
     last = F.when(n % 2 == 1, F.array(F.element_at(t, -1))).otherwise(F.array().cast("array<string>"))
@@ -77,19 +79,50 @@ def clean_names(names, patterns=C.UNWANTED_TERM_PATTERNS) -> Column:
     return F.array_distinct(F.filter(F.transform(col_(names), fold), lambda x: x != ""))
 
 
-def extract_mentions(labelled_texts=None, block_text=None, highlighted=None,
-                     blacklist=C.BLACKLIST_NAMES, patterns=C.UNWANTED_TERM_PATTERNS) -> Column:
-    """The mention set of a block, sorted: union of the three rules, black list and
-    first subsumption (against every multi-word name, black-listed ones too),
-    cleaning, second subsumption (against the survivors)."""
+def raw_mentions(labelled_texts=None, block_text=None, highlighted=None) -> Column:
+    """Union (set) of the three extraction rules of a block."""
     empty = F.array().cast("array<string>")
     parts = [labelled_names(labelled_texts) if labelled_texts is not None else empty,
              faculty_names(block_text) if block_text is not None else empty,
              highlight_names(highlighted) if highlighted is not None else empty]
-    allnames = F.array_distinct(F.concat(*parts))
-    first = subsume_words(drop_blacklisted(allnames, blacklist), against=allnames)
-    cleaned = clean_names(first, patterns)
-    return F.array_sort(subsume_words(cleaned))
+    return F.array_distinct(F.concat(*parts))
+
+
+def clean_name(c, patterns=C.UNWANTED_TERM_PATTERNS) -> Column:
+    """One name: remove each pattern in order (stripping after each), collapse whitespace."""
+    x = col_(c)
+    for p in patterns:
+        x = strip_ws(F.regexp_replace(x, "(?U)" + p, ""))
+    return F.array_join(split_ws(x), " ")
+
+
+def _subsume_rows(df: DataFrame, id_col: str, name_col: str, against: DataFrame | None = None) -> DataFrame:
+    """Exploded subsumption within each article (see :func:`subsume_partials`)."""
+    src = df if against is None else against
+    words = (src.select(id_col, split_ws(name_col).alias("_p")).where(F.size("_p") > 1)
+             .select(id_col, F.explode(F.transform("_p", lambda w: F.lower(w))).alias("_w")).distinct())
+    parts = df.withColumn("_p", split_ws(name_col))
+    single = parts.where(F.size("_p") == 1).withColumn("_w", F.lower(F.col("_p")[0]))
+    kept_single = single.join(words, [id_col, "_w"], "left_anti").drop("_w")
+    return parts.where(F.size("_p") > 1).unionByName(kept_single).drop("_p")
+
+
+def clean_mentions(df: DataFrame, id_col: str, names_col: str, blacklist=C.BLACKLIST_NAMES,
+                   patterns=C.UNWANTED_TERM_PATTERNS) -> DataFrame:
+    """(id, mention) rows: the final mentions of each article.
+
+    Black list and first subsumption (against every multi-word name of the
+    article, black-listed ones too), cleaning, second subsumption (against the
+    survivors). Runs on exploded rows with anti joins on (article, word), so the
+    cost is linear in the mentions and no article is gathered into one row.
+    """
+    names = df.select(F.col(id_col), F.explode(F.array_distinct(names_col)).alias("mention"))
+    bl = [b.lower() for b in blacklist]
+    kept = names.where(~F.lower("mention").isin(bl)) if bl else names
+    first = _subsume_rows(kept, id_col, "mention", against=names)
+    cleaned = first.select(id_col, clean_name("mention", patterns).alias("mention")).where(F.col("mention") != "") \
+        .distinct()
+    return _subsume_rows(cleaned, id_col, "mention")
 
 
 def subsume_partials(df: DataFrame, group_col: str, name_col: str) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from clipforge.functions.text import WS, clean_title, html_unescape_basic, parse_dutch_datetime, split_ws
 from clipforge.operators.language import filter_languages, identify_language, language_profile
-from clipforge.operators.mentions import extract_mentions, highlight_names, labelled_names, subsume_partials
+from clipforge.operators.mentions import clean_mentions, highlight_names, labelled_names, raw_mentions, \
+    subsume_partials
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.registry import register
 from clipforge.sources.mail import page_blocks
@@ -194,9 +195,8 @@ cleaned2 AS (SELECT * FROM cleaned WHERE mention <> '')
 @register("mention_cleanup", sql=_CLEANUP_SQL + " SELECT page_id, mention FROM pass2")
 def q_mention_cleanup(spark, data_dir):
     p = _page_parts(Tables(spark, data_dir).pages)
-    names = extract_mentions(labelled_texts=F.col("labelled"), highlighted=F.col("toks"),
-                             blacklist=BLACKLIST_STANDIN, patterns=PATTERNS_STANDIN)
-    return p.select("page_id", F.explode(names).alias("mention"))
+    raw = p.select("page_id", raw_mentions(labelled_texts=F.col("labelled"), highlighted=F.col("toks")).alias("names"))
+    return clean_mentions(raw, "page_id", "names", blacklist=BLACKLIST_STANDIN, patterns=PATTERNS_STANDIN)
 
 
 @register("subsume_partials", sql=f"""

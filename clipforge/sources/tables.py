@@ -14,12 +14,21 @@ TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the scan has fewer partitions than the
-    cluster's parallelism (small inputs held in one row group); a no-op on
-    large inputs, which already arrive in many splits."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    """Spread a scan that has fewer partitions than the cluster has task slots
+    (a small input held in one row group); a no-op on large inputs, which
+    already arrive in many splits.
+
+    The spread copy is checkpointed (it is small by the test above): otherwise
+    filters that Catalyst infers later -- e.g. ``size(arr) > 0`` under every
+    ``explode`` -- are pushed below the repartition and the costly text work
+    runs once in the single scan task before it runs again spread out.
+    """
+    from clipforge.session import ensure_checkpoint_dir
+    sc = df.sparkSession.sparkContext
+    slots = sc.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.repartition(slots).checkpoint(eager=True)
     return df
 
 
