@@ -29,6 +29,7 @@ def load_all() -> None:
         classify,
         entities,
         filters,
+        keywords,
         outputs,
         parsing,
         published,
