@@ -108,15 +108,21 @@ def _subsume_rows(df: DataFrame, id_col: str, name_col: str, against: DataFrame
 
 
 def clean_mentions(df: DataFrame, id_col: str, names_col: str, blacklist=C.BLACKLIST_NAMES,
-                   patterns=C.UNWANTED_TERM_PATTERNS) -> DataFrame:
+                   patterns=C.UNWANTED_TERM_PATTERNS, materialise: bool = True) -> DataFrame:
     """(id, mention) rows: the final mentions of each article.
 
     Black list and first subsumption (against every multi-word name of the
     article, black-listed ones too), cleaning, second subsumption (against the
     survivors). Runs on exploded rows with anti joins on (article, word), so the
     cost is linear in the mentions and no article is gathered into one row.
+    The exploded names are read by two branches; with ``materialise`` they are
+    checkpointed once so the upstream extraction is not run twice.
     """
     names = df.select(F.col(id_col), F.explode(F.array_distinct(names_col)).alias("mention"))
+    if materialise:
+        from clipforge.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        names = names.checkpoint(eager=True)
     bl = [b.lower() for b in blacklist]
     kept = names.where(~F.lower("mention").isin(bl)) if bl else names
     first = _subsume_rows(kept, id_col, "mention", against=names)

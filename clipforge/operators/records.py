@@ -70,16 +70,19 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
                       F.struct(capitalize(role).alias("en_GB")).alias("term"))
 
     def person(x):
-        parts = split_ws(x["name"])
         orgs = F.array_distinct(F.transform(x["affiliations"], lambda a: F.struct(
             a["organization_uuid"].alias("uuid"), F.lit("Organization").alias("systemName"))))
-        return F.struct(F.lit("InternalPressMediaPersonAssociation").alias("typeDiscriminator"),
-                        F.struct(F.try_element_at(parts, F.lit(1)).alias("firstName"),
-                                 F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
-                                 .alias("lastName")).alias("name"),
-                        role_s.alias("role"),
-                        F.struct(F.lit("Person").alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
-                        orgs.alias("organizations"))
+
+        def named(parts):
+            return F.struct(F.lit("InternalPressMediaPersonAssociation").alias("typeDiscriminator"),
+                            F.struct(F.try_element_at(parts, F.lit(1)).alias("firstName"),
+                                     F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
+                                     .alias("lastName")).alias("name"),
+                            role_s.alias("role"),
+                            F.struct(F.lit("Person").alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
+                            orgs.alias("organizations"))
+        # one-element transform binds the split name once per person
+        return F.transform(F.array(split_ws(x["name"])), named)[0]
 
     all_orgs = F.array_sort(F.array_distinct(F.flatten(F.transform(p, lambda x: F.transform(
         x["affiliations"], lambda a: F.struct(a["organization_uuid"].alias("uuid"),

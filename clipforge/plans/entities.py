@@ -38,7 +38,20 @@ def _day(n):
     return F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), n.cast("int")), "yyyy-MM-dd")
 
 
+def _materialise(df):
+    """The directory and mentions are tables in a real run; here they are derived
+    from the given tables, so they are written once (reliable checkpoint to the
+    shared folder) instead of being re-derived by every join that reads them."""
+    from clipforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def directory(t):
+    return _materialise(_directory(t))
+
+
+def _directory(t):
     dw = _doc_words(t)
     per_src = dw.groupBy("w", "source").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     assoc = F.struct(F.struct(F.col("source").alias("uuid")).alias("organization"),
@@ -70,6 +83,10 @@ def organisations(t):
 
 
 def mentions(t):
+    return _materialise(_mentions(t))
+
+
+def _mentions(t):
     c = t.conversations.select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), 0))
                                .alias("idx", "mention"))
     c = c.where(F.length("mention") >= 10)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clipforge.operators.entities import org_lookup
 from clipforge.operators.labels import fixed_labels
-from clipforge.operators.records import dedup_clippings, managing_unit_first, managing_unit_last, payload_json, \
+from clipforge.operators.records import dedup_clippings, managing_unit_first, managing_unit_last, payload, \
     read_xml, record_ids, write_xml, xml_clipping
 from clipforge.plans.entities import _NATION_ORGS_SQL, nation_orgs
 from clipforge.plans.registry import register
@@ -120,22 +120,19 @@ JOIN nation ON c.c_nationkey = n_nationkey JOIN region r ON n_regionkey = r.r_re
 """)
 def q_payload_json(spark, data_dir):
     a = order_articles(Tables(spark, data_dir))
-    j = a.select("o_orderkey", payload_json("title", "url", "ts", "persons", "media_name", "faculty", "language",
-                                            "labels").alias("j"))
-    g = lambda p: F.get_json_object("j", p)
-    return j.select(
-        "o_orderkey", g("$.title.en_GB").alias("title"), g("$.managingOrganization.uuid").alias("managing"),
-        g("$.mediaCoverages[0].coverageType").alias("coverage_type"),
-        g("$.mediaCoverages[0].persons[0].name.firstName").alias("first_name"),
-        g("$.mediaCoverages[0].persons[0].name.lastName").alias("last_name"),
-        F.json_array_length(g("$.mediaCoverages[0].persons")).cast("long").alias("n_persons"),
-        F.json_array_length(g("$.mediaCoverages[0].organizations")).cast("long").alias("n_orgs"),
-        g("$.workflow.step").alias("workflow"),
-        F.json_array_length(g("$.keywordGroups")).alias("n_groups"),
-        g("$.mediaCoverages[0].country.uri").alias("country"),
-        g("$.mediaCoverages[0].url").alias("url"),
-        g("$.mediaCoverages[0].persons[0].role.uri").alias("role_uri"),
-        g("$.type.uri").alias("type_uri"))
+    pl = payload("title", "url", "ts", "persons", "media_name", "faculty", "language", "labels")
+    j = a.select("o_orderkey", F.to_json(pl).alias("j"))
+    schema = a.select(pl.alias("p")).schema["p"].dataType
+    p = j.select("o_orderkey", F.from_json("j", schema).alias("p"))   # the written text, parsed once
+    cov = F.col("p.mediaCoverages")[0]
+    first = cov["persons"][0]
+    return p.select(
+        "o_orderkey", F.col("p.title.en_GB").alias("title"), F.col("p.managingOrganization.uuid").alias("managing"),
+        cov["coverageType"].alias("coverage_type"), first["name"]["firstName"].alias("first_name"),
+        first["name"]["lastName"].alias("last_name"), F.size(cov["persons"]).cast("long").alias("n_persons"),
+        F.size(cov["organizations"]).cast("long").alias("n_orgs"), F.col("p.workflow.step").alias("workflow"),
+        F.size("p.keywordGroups").alias("n_groups"), cov["country"]["uri"].alias("country"), cov["url"].alias("url"),
+        first["role"]["uri"].alias("role_uri"), F.col("p.type.uri").alias("type_uri"))
 
 
 @register("xml_records", sql=f"""WITH {_PERSONS_SQL},
