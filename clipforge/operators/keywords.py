@@ -55,7 +55,8 @@ def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: D
     words = t.where(~F.col("_end")).select("_id", "pos", "sent", "raw", F.lower("raw").alias("w"),
                                            "_prev_end")
     sw = stopwords.select(F.col("word").alias("w")).distinct().withColumn("stop", F.lit(True))
-    words = words.join(F.broadcast(sw), "w", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
+    # a plain join: AQE broadcasts the stop list when its measured size is small
+    words = words.join(sw, "w", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
     # word order within a text (punctuation removed) and neighbours in the same sentence
     ww = Window.partitionBy("_id").orderBy("pos")
     words = (words.withColumn("idx", F.row_number().over(ww))

@@ -65,7 +65,7 @@ def _weights(profile: DataFrame) -> DataFrame:
 
 def identify_language(df: DataFrame, id_col: str, text_col: str, profile: DataFrame) -> DataFrame:
     """(id, lang, score) for each row with at least one letter; others get no row
-    (detection failure)."""
+    (detection failure). ``profile`` is read three times: pass a stored table."""
     rows = df.where(has_letters(text_col)).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     grams = _gram_counts(rows, ["_id"], "_t")
     totals = grams.groupBy("_id").agg(F.sum("cnt").alias("cnt")).withColumn("gram", F.lit(SENTINEL))

@@ -110,8 +110,10 @@ best AS (SELECT page_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY pa
 
 
 def _identified(spark, data_dir):
+    from clipforge.plans.entities import _materialise
     t = Tables(spark, data_dir)
-    prof = language_profile(t.documents, "text", "lang")
+    # the learned profile is a model table: written once, read by the three weight terms
+    prof = _materialise(language_profile(t.documents, "text", "lang"))
     titles = page_titles(t.pages)
     ids = identify_language(titles, "page_id", "title", prof)
     declared = t.pages.select("page_id", F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("declared"))

@@ -11,6 +11,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Tables whose rows carry long texts: CPU-heavy per row, so a scan that yields
 # fewer splits than task slots is spread out before the text work.
 TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+# Only inputs up to this many rows are ever copied by ``spread``.
+SPREAD_MAX_ROWS = 2_000_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -26,7 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
     from clipforge.session import ensure_checkpoint_dir
     sc = df.sparkSession.sparkContext
     slots = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    # Both tests are cheap: the split count comes from planning, the row count
+    # from parquet footers. Large inputs are never copied.
+    if df.rdd.getNumPartitions() < slots and df.count() <= SPREAD_MAX_ROWS:
         ensure_checkpoint_dir(df.sparkSession)
         return df.repartition(slots).checkpoint(eager=True)
     return df

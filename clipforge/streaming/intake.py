@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
 from clipforge.functions.text import clean_text, clean_title, parse_dutch_datetime
-from clipforge.operators.blocklists import drop_blocked_sources
+from clipforge.operators.blocklists import TITLE_WORDS_BROADCAST_MAX, drop_blocked_sources
 from clipforge.operators.lookups import faculty_code
 from clipforge.sources.mail import extract_blocks
 
@@ -43,6 +43,15 @@ def articles_from_blocks(blocks: DataFrame) -> DataFrame:
             .where(F.col("title").isNotNull() & F.col("ts").isNotNull()))
 
 
+def _drop_titles_stream(arts: DataFrame, words: DataFrame) -> DataFrame:
+    """Stream-static anti join on title substrings; the static word list is
+    measured first and only broadcast below the batch path's limit."""
+    w = words.select(F.col("word").alias("_w")).where(F.length("_w") > 0).distinct()
+    if w.count() > TITLE_WORDS_BROADCAST_MAX:
+        raise ValueError("title block list too large to broadcast into a stream; filter in the batch step")
+    return arts.join(F.broadcast(w), F.instr(arts["title"], F.col("_w")) > 0, "left_anti")
+
+
 def start_intake(spark: SparkSession, folder: str, out_path: str, checkpoint_path: str,
                  blocked_sources: DataFrame | None = None, blocked_words: DataFrame | None = None,
                  watermark: str = "30 days", available_now: bool = True):
@@ -51,8 +60,7 @@ def start_intake(spark: SparkSession, folder: str, out_path: str, checkpoint_pat
     if blocked_sources is not None:
         arts = drop_blocked_sources(arts, blocked_sources)
     if blocked_words is not None:
-        w = blocked_words.select(F.col("word").alias("_w")).where(F.length("_w") > 0).distinct()
-        arts = arts.join(F.broadcast(w), F.instr(arts["title"], F.col("_w")) > 0, "left_anti")
+        arts = _drop_titles_stream(arts, blocked_words)
     arts = (arts.withColumn("event_ts", F.col("ts").cast("timestamp"))
             .withWatermark("event_ts", watermark)
             .dropDuplicatesWithinWatermark(["title", "url"]))
