@@ -182,7 +182,8 @@ def q_name_variants(spark, data_dir):
     return deletion_variants(words, "word", "word")
 
 
-@register("fuzzy_match", sql=f"WITH {_MATCH_SQL} SELECT mention_key, uuid, d, L FROM best")
+@register("fuzzy_match", sql=f"WITH {_MATCH_SQL} SELECT mention_key, uuid, CAST(d AS INTEGER) AS d, "
+          "CAST(L AS INTEGER) AS L FROM best")
 def q_fuzzy_match(spark, data_dir):
     t = Tables(spark, data_dir)
     return match_mentions(mentions(t), directory(t), "mention").select("mention_key", "uuid", "d", "L")

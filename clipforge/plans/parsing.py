@@ -85,7 +85,7 @@ _PROFILE_SQL = r"""
 dw AS (SELECT lang, w, count(*) AS c FROM
        (SELECT lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents WHERE lang IS NOT NULL)
        GROUP BY 1, 2),
-prof AS (SELECT lang, gram, sum(c) AS n FROM
+prof AS (SELECT lang, gram, CAST(sum(c) AS BIGINT) AS n FROM
          (SELECT lang, c, unnest(list_transform(range(1, length(w) + 2), lambda i: substr(' ' || w || ' ', i, 2))) AS gram
           FROM dw) GROUP BY 1, 2)
 """
