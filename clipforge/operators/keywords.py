@@ -44,33 +44,35 @@ def top_document_words(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: DataFrame,
                        max_words: int = C.KEYWORD_MAX_WORDS) -> DataFrame:
-    """(id, phrase, score) for every candidate phrase of every text."""
+    """(id, phrase, score) for every candidate phrase of every text.
+
+    Two per-text windows (bounded by the text) and one join of word scores back
+    onto the tokens; phrases come from ``lead`` over the scored tokens.
+    """
     t = docs.select(F.col(id_col).alias("_id"),
                     F.posexplode(F.regexp_extract_all(text_col, F.lit(TOKEN), 0)).alias("pos", "raw"))
     wd = Window.partitionBy("_id").orderBy("pos")
-    t = t.withColumn("_end", F.col("raw").rlike(r"^[.!?]$"))
-    t = t.withColumn("sent", F.coalesce(F.sum(F.col("_end").cast("int")).over(wd.rowsBetween(Window.unboundedPreceding, -1)),
-                                        F.lit(0)))
-    t = t.withColumn("_prev_end", F.coalesce(F.lag("_end", 1).over(wd), F.lit(True)))
-    words = t.where(~F.col("_end")).select("_id", "pos", "sent", "raw", F.lower("raw").alias("w"),
-                                           "_prev_end")
+    t = (t.withColumn("_end", F.col("raw").rlike(r"^[.!?]$"))
+         .withColumn("sent", F.coalesce(F.sum(F.col("_end").cast("int"))
+                                        .over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+         .withColumn("_prev", F.lag("raw", 1).over(wd)).withColumn("_next", F.lead("raw", 1).over(wd)))
+    # a neighbour in the same sentence is an adjacent token that is not a sentence end
+    is_word = lambda c: c.isNotNull() & ~c.rlike(r"^[.!?]$")
+    words = t.where(~F.col("_end")).select(
+        "_id", "pos", "sent", "raw", F.lower("raw").alias("w"),
+        F.when(is_word(F.col("_prev")), F.lower("_prev")).alias("left"),
+        F.when(is_word(F.col("_next")), F.lower("_next")).alias("right"),
+        (~is_word(F.col("_prev"))).alias("_sent_start"))
     sw = stopwords.select(F.col("word").alias("w")).distinct().withColumn("stop", F.lit(True))
     # a plain join: AQE broadcasts the stop list when its measured size is small
     words = words.join(sw, "w", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
-    # word order within a text (punctuation removed) and neighbours in the same sentence
-    ww = Window.partitionBy("_id").orderBy("pos")
-    words = (words.withColumn("idx", F.row_number().over(ww))
-             .withColumn("_lw", F.lag("w", 1).over(ww)).withColumn("_ls", F.lag("sent", 1).over(ww))
-             .withColumn("_rw", F.lead("w", 1).over(ww)).withColumn("_rs", F.lead("sent", 1).over(ww)))
-    left = F.when(F.col("_ls") == F.col("sent"), F.col("_lw"))
-    right = F.when(F.col("_rs") == F.col("sent"), F.col("_rw"))
-    cap = (~F.col("_prev_end")) & F.col("raw").rlike(r"^\p{Lu}") & ~F.col("raw").rlike(r"^\p{Lu}+$")
+    cap = (~F.col("_sent_start")) & F.col("raw").rlike(r"^\p{Lu}") & ~F.col("raw").rlike(r"^\p{Lu}+$")
     acr = F.col("raw").rlike(r"^\p{Lu}{2,}$")
     per = words.groupBy("_id", "w").agg(
         F.count(F.lit(1)).alias("tf"), F.sum(cap.cast("int")).alias("tf_cap"), F.sum(acr.cast("int")).alias("tf_acr"),
         F.median("sent").alias("med_sent"), F.countDistinct("sent").alias("n_sent_w"),
-        F.count(left).alias("n_left"), F.countDistinct(left).alias("d_left"),
-        F.count(right).alias("n_right"), F.countDistinct(right).alias("d_right"),
+        F.count("left").alias("n_left"), F.countDistinct("left").alias("d_left"),
+        F.count("right").alias("n_right"), F.countDistinct("right").alias("d_right"),
         F.max("stop").alias("stop"))
     doc = words.groupBy("_id").agg((F.max("sent") + 1).alias("n_sent"))
     ns = per.where(~F.col("stop")).groupBy("_id").agg(
@@ -85,25 +87,32 @@ def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: D
     spread = F.col("n_sent_w") / F.col("n_sent")
     s = rel * position / (casing + freq / rel + spread / rel)
     scores = f.select("_id", "w", s.alias("S"))
-    # phrases: 1..max_words consecutive words of one sentence
-    seq = words.select("_id", "idx", "sent", "w", "stop").join(scores, ["_id", "w"])
-    cands = None
+    # phrases: 1..max_words consecutive words of one sentence, from leads over the scored tokens
+    tok = words.select("_id", "pos", "sent", "w", "stop").join(scores, ["_id", "w"])
+    ww = Window.partitionBy("_id").orderBy("pos")
+    for j in range(1, max_words):
+        # (column names are case-insensitive: keep sentence and score leads apart)
+        tok = (tok.withColumn(f"w{j}", F.lead("w", j).over(ww)).withColumn(f"sent{j}", F.lead("sent", j).over(ww))
+               .withColumn(f"stop{j}", F.lead("stop", j).over(ww)).withColumn(f"score{j}", F.lead("S", j).over(ww)))
+    cands = []
     for n in range(1, max_words + 1):
-        cur = seq.select("_id", F.col("idx").alias("start"), F.col("sent").alias("s0"),
-                         F.array(F.struct("w", "stop", "S")).alias("ws"))
+        same = F.lit(True)
         for j in range(1, n):
-            nxt = seq.select("_id", (F.col("idx") - j).alias("start"), F.col("sent").alias(f"s{j}"),
-                             F.struct("w", "stop", "S").alias(f"x{j}"))
-            cur = cur.join(nxt, ["_id", "start"]).where(F.col(f"s{j}") == F.col("s0")) \
-                .withColumn("ws", F.concat("ws", F.array(f"x{j}"))).drop(f"s{j}", f"x{j}")
-        cur = cur.select("_id", "ws")
-        cands = cur if cands is None else cands.unionByName(cur)
-    ok = cands.where(~F.element_at("ws", 1)["stop"] & ~F.element_at("ws", -1)["stop"])
-    ok = ok.select("_id", F.array_join(F.transform("ws", lambda x: x["w"]), " ").alias("phrase"),
-                   F.aggregate(F.transform("ws", lambda x: x["S"]), F.lit(1.0), lambda a, b: a * b).alias("_prod"),
-                   F.aggregate(F.transform("ws", lambda x: x["S"]), F.lit(0.0), lambda a, b: a + b).alias("_sum"))
-    tfp = ok.groupBy("_id", "phrase").agg(F.count(F.lit(1)).alias("tf_p"), F.first("_prod").alias("_prod"),
-                                          F.first("_sum").alias("_sum"))
+            same = same & (F.col(f"sent{j}") == F.col("sent"))
+        ws = [F.col("w")] + [F.col(f"w{j}") for j in range(1, n)]
+        Ss = [F.col("S")] + [F.col(f"score{j}") for j in range(1, n)]
+        last_stop = F.col("stop") if n == 1 else F.col(f"stop{n - 1}")
+        prod = Ss[0]
+        total = Ss[0]
+        for x in Ss[1:]:
+            prod = prod * x
+            total = total + x
+        ok = F.coalesce(same, F.lit(False)) & ~F.col("stop") & ~F.coalesce(last_stop, F.lit(True))
+        cands.append(F.when(ok, F.struct(F.concat_ws(" ", *ws).alias("phrase"), prod.alias("_prod"),
+                                         total.alias("_sum"))))
+    c = tok.select("_id", F.explode(F.array(*cands)).alias("c")).where(F.col("c").isNotNull()).select("_id", "c.*")
+    tfp = c.groupBy("_id", "phrase").agg(F.count(F.lit(1)).alias("tf_p"), F.first("_prod").alias("_prod"),
+                                         F.first("_sum").alias("_sum"))
     return tfp.select(F.col("_id").alias(id_col), "phrase",
                       (F.col("_prod") / (F.col("tf_p") * (1 + F.col("_sum")))).alias("score"))
 
