@@ -44,7 +44,7 @@ SELECT a.page_id, substr(CASE WHEN a.url IS NULL OR a.url = '' THEN a.title ELSE
 FROM a LEFT JOIN f ON a.url = f.url
 """)
 def q_page_text(spark, data_dir):
-    pages = Tables(spark, data_dir).pages
+    pages = Tables(spark, data_dir).spread("pages", "page_id", "url", "html")
     arts = page_titles(pages).join(pages.select("page_id", "url"), "page_id")
     fetched = keep_first(pages.where(F.col("url").startswith("https")).select("page_id", "url", "html"),
                          ["url"], "page_id").select("url", visible_text("html").alias("text"))
@@ -198,5 +198,5 @@ SELECT doc_id, array_to_string(CASE WHEN len(h) > 0 THEN h ELSE ['not found'] EN
   (SELECT doc_id, list_sort(list_filter([""" + ", ".join(S.q(n) for n in TAG_NAMES_STANDIN) + """],
                                         lambda n: contains(text, n))) AS h FROM documents)""")
 def q_dictionary_tags(spark, data_dir):
-    d = Tables(spark, data_dir).documents
+    d = Tables(spark, data_dir).spread("documents", "doc_id", "text")
     return d.select("doc_id", F.array_join(dictionary_tags("text", TAG_NAMES_STANDIN), "|").alias("tags"))

@@ -31,7 +31,7 @@ ORG_TYPE_BASE = "/dk/atira/pure/organisation/organisationtypes/organisation/"
 def _doc_words(t):
     w = F.explode(F.array_distinct(F.filter(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0),
                                             lambda x: F.length(x) >= 10)))
-    return t.documents.select("doc_id", "source", "lang", w.alias("w"))
+    return t.spread("documents", "doc_id", "source", "lang", "text").select("doc_id", "source", "lang", w.alias("w"))
 
 
 def _day(n):
@@ -87,7 +87,7 @@ def mentions(t):
 
 
 def _mentions(t):
-    c = t.conversations.select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), 0))
+    c = t.spread("conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), 0))
                                .alias("idx", "mention"))
     c = c.where(F.length("mention") >= 10)
     m = c.groupBy("conv_id", "mention").agg(F.min(F.col("turn") * 1000000 + F.col("idx")).alias("mention_pos"))

@@ -18,7 +18,7 @@ N_STOPWORDS = 50
 
 @register("keywords_topk")
 def q_keywords_topk(spark, data_dir):
-    d = Tables(spark, data_dir).documents
+    d = Tables(spark, data_dir).spread("documents", "doc_id", "text")
     titles = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
     stop = top_document_words(d, "text", N_STOPWORDS)
     kw = top_keywords(keyword_candidates(titles, "doc_id", "title", stop), "doc_id")

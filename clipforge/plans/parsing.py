@@ -38,12 +38,12 @@ def page_titles(pages):
 
 @register("page_blocks")
 def q_page_blocks(spark, data_dir):
-    return page_blocks(Tables(spark, data_dir).pages)
+    return page_blocks(Tables(spark, data_dir).spread("pages", "page_id", "html"))
 
 
 @register("article_titles", sql=f"SELECT page_id, {S.h1_title()} AS title FROM pages WHERE regexp_matches(html, '<h1>')")
 def q_article_titles(spark, data_dir):
-    return page_titles(Tables(spark, data_dir).pages)
+    return page_titles(Tables(spark, data_dir).spread("pages", "page_id", "html"))
 
 
 def _date_text(t):
@@ -113,8 +113,8 @@ def _identified(spark, data_dir):
     from clipforge.plans.entities import _materialise
     t = Tables(spark, data_dir)
     # the learned profile is a model table: written once, read by the three weight terms
-    prof = _materialise(language_profile(t.documents, "text", "lang"))
-    titles = page_titles(t.pages)
+    prof = _materialise(language_profile(t.spread("documents", "text", "lang"), "text", "lang"))
+    titles = page_titles(t.spread("pages", "page_id", "html"))
     ids = identify_language(titles, "page_id", "title", prof)
     declared = t.pages.select("page_id", F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("declared"))
     return ids.join(declared, "page_id").select("page_id", "declared", "lang")
@@ -122,7 +122,7 @@ def _identified(spark, data_dir):
 
 @register("language_profile", sql="WITH " + _PROFILE_SQL + " SELECT lang, gram, n FROM prof")
 def q_language_profile(spark, data_dir):
-    return language_profile(Tables(spark, data_dir).documents, "text", "lang")
+    return language_profile(Tables(spark, data_dir).spread("documents", "text", "lang"), "text", "lang")
 
 
 @register("language_id", sql=_ID_SQL + " SELECT page_id, declared, lang FROM best JOIN tg USING (page_id)")
@@ -163,7 +163,7 @@ m AS (SELECT DISTINCT page_id, mention FROM (SELECT * FROM lab2 UNION ALL SELECT
 
 @register("mention_extract", sql=f"WITH {_MENTION_SQL} SELECT page_id, mention FROM m")
 def q_mention_extract(spark, data_dir):
-    p = _page_parts(Tables(spark, data_dir).pages)
+    p = _page_parts(Tables(spark, data_dir).spread("pages", "page_id", "html"))
     names = F.array_distinct(F.concat(labelled_names("labelled"), highlight_names("toks")))
     return p.select("page_id", F.explode(names).alias("mention"))
 
@@ -196,7 +196,7 @@ cleaned2 AS (SELECT * FROM cleaned WHERE mention <> '')
 
 @register("mention_cleanup", sql=_CLEANUP_SQL + " SELECT page_id, mention FROM pass2")
 def q_mention_cleanup(spark, data_dir):
-    p = _page_parts(Tables(spark, data_dir).pages)
+    p = _page_parts(Tables(spark, data_dir).spread("pages", "page_id", "html"))
     raw = p.select("page_id", raw_mentions(labelled_texts=F.col("labelled"), highlighted=F.col("toks")).alias("names"))
     return clean_mentions(raw, "page_id", "names", blacklist=BLACKLIST_STANDIN, patterns=PATTERNS_STANDIN)
 

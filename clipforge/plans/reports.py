@@ -129,4 +129,4 @@ n AS (SELECT *, sum(CAST(is_b AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY po
 SELECT doc_id, count(*) AS hits FROM n WHERE is_a AND bn - (CASE WHEN is_b THEN 1 ELSE 0 END) > 0 GROUP BY 1
 """)
 def q_proximity_search(spark, data_dir):
-    return proximity_hits(Tables(spark, data_dir).documents, "doc_id", "text", NEAR_A, NEAR_B, 50)
+    return proximity_hits(Tables(spark, data_dir).spread("documents", "doc_id", "text"), "doc_id", "text", NEAR_A, NEAR_B, 50)

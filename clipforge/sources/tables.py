@@ -8,8 +8,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-# Tables whose rows carry long texts: CPU-heavy per row, so a scan that yields
-# fewer splits than task slots is spread out before the text work.
+# Tables whose rows carry long texts: CPU-heavy per row; plans call
+# ``Tables.spread(name, *cols)`` before text work on them.
 TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 # Only inputs up to this many rows are ever copied by ``spread``.
 SPREAD_MAX_ROWS = 2_000_000
@@ -37,8 +37,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
@@ -55,3 +54,12 @@ class Tables:
         if name not in self._cache:
             self._cache[name] = table(self.spark, self.data_dir, name)
         return self._cache[name]
+
+    def spread(self, name: str, *cols: str) -> DataFrame:
+        """The named columns of a table, spread out before CPU-heavy text work
+        (see :func:`spread`); column pruning happens before any copy."""
+        key = f"{name}:{','.join(cols)}"
+        if key not in self._cache:
+            df = getattr(self, name)
+            self._cache[key] = spread(df.select(*cols) if cols else df)
+        return self._cache[key]
