@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many distinct words the title list is not broadcast; the exact
-# substring equi-join below is used instead.
+# Up to this many distinct words a broadcast nested-loop ``instr`` probe is
+# cheapest (measured: 1,200 words over 10,000 titles, 7 s nested loop vs 20 s
+# substring join); beyond it every title is cut into substrings of the listed
+# word lengths and equi-joined (hash probes instead of one probe per word).
+TITLE_WORDS_LOOP_MAX = 2048
+# The streaming intake broadcasts the static list; it must stay below this.
 TITLE_WORDS_BROADCAST_MAX = 50_000
 
 
@@ -20,26 +24,38 @@ def drop_blocked_sources(df: DataFrame, blocked: DataFrame, source_col: str = "s
 
 def drop_blocked_titles(df: DataFrame, words: DataFrame, title_col: str, key_col: str,
                         word_col: str = "word",
-                        broadcast_max: int = TITLE_WORDS_BROADCAST_MAX) -> DataFrame:
+                        loop_max: int = TITLE_WORDS_LOOP_MAX) -> DataFrame:
     """Drop rows whose title contains any listed word (case-sensitive substring).
 
-    The word list is measured first. Up to ``broadcast_max`` distinct words it is
-    broadcast and probed with ``instr``. Beyond that every title is cut into its
-    substrings of each listed word length and equi-joined with the words, which
-    shuffles by hash and needs no broadcast.
+    The word list is measured first. Up to ``loop_max`` distinct words it is
+    broadcast and probed with ``instr`` (cost: words x title length per title).
+    Beyond that every title is cut into its substrings of each listed word
+    length and equi-joined with the words (cost: title length x distinct
+    lengths); the join strategy is left to AQE, which broadcasts the word set
+    only when its measured size is small and shuffles by hash otherwise.
     """
     w = words.select(F.col(word_col).alias("_w")).where(F.length("_w") > 0).distinct()
     n = w.count()
     if n == 0:
         return df
-    if n <= broadcast_max:
+    if n <= loop_max:
         return df.join(F.broadcast(w), F.instr(df[title_col], F.col("_w")) > 0, "left_anti")
-    lengths = [r[0] for r in w.select(F.length("_w")).distinct().collect()]  # <= longest word
-    t = F.col(title_col)
-    subs = F.flatten(F.array(*[
-        F.when(F.length(t) >= L, F.transform(F.sequence(F.lit(1), F.length(t) - L + 1),
-                                             lambda i, L=L: F.substring(t, i, L)))
-        .otherwise(F.array().cast("array<string>")) for L in lengths]))
+    lengths = sorted(r[0] for r in w.select(F.length("_w")).distinct().collect())  # <= longest word
+    empty = F.array().cast("array<string>")
+
+    def window_of(ch, L):
+        # slice + join: O(L) per window (substring on UTF-8 text is O(position))
+        return lambda i: F.array_join(F.slice(ch, i, F.lit(L)), "")
+
+    def all_windows(ch):
+        n = F.size(ch)
+        parts = [F.when(n >= L, F.transform(F.sequence(F.lit(1), n - L + 1), window_of(ch, L))).otherwise(empty)
+                 for L in lengths]
+        return F.array_distinct(F.flatten(F.array(*parts)))
+
+    chars = F.filter(F.split(F.col(title_col), ""), lambda c: c != "")
+    # one-element transform: the character array is built once per row
+    subs = F.transform(F.array(chars), all_windows)[0]
     pieces = df.select(F.col(key_col).alias("_k"), F.explode(F.array_distinct(subs)).alias("_w"))
     hit = pieces.join(w, "_w", "left_semi").select("_k").distinct()
     return df.join(hit, df[key_col] == hit["_k"], "left_anti")

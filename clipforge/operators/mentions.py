@@ -1,8 +1,9 @@
 """Person mentions of an article block.
 
-Per-article arrays are bounded by the block's own content, so the per-row form
-uses native array functions; the exploded form (:func:`subsume_partials`) is an
-anti join that never gathers a group.
+Extraction rules are native array expressions per block (bounded by the block's
+own content). Black list, subsumption and cleaning run on exploded
+(article, name) rows with anti joins on (article, word), so no article or group
+is gathered and the cost stays linear in the number of mentions.
 """
 
 from __future__ import annotations
@@ -52,33 +53,6 @@ def highlight_names(tokens) -> Column:
     return F.concat(full_arr, pairs, last)
 
 
-def subsume_words(names, against=None) -> Column:
-    """Drop one-word names equal (case-insensitively) to a word of a multi-word
-    name of ``against`` (default: the same array); names with no words are dropped."""
-    n = col_(names)
-    ag = n if against is None else col_(against)
-    words = F.flatten(F.transform(F.filter(ag, lambda x: F.size(split_ws(x)) > 1),
-                                  lambda x: F.transform(split_ws(x), lambda w: F.lower(w))))
-    return F.filter(n, lambda x: (F.size(split_ws(x)) > 1)
-                    | ((F.size(split_ws(x)) == 1)
-                       & ~F.array_contains(words, F.lower(F.try_element_at(split_ws(x), F.lit(1))))))
-
-
-def drop_blacklisted(names, blacklist=C.BLACKLIST_NAMES) -> Column:
-    bl = F.array(*[F.lit(b.lower()) for b in blacklist]) if blacklist else F.array().cast("array<string>")
-    return F.filter(col_(names), lambda x: ~F.array_contains(bl, F.lower(x)))
-
-
-def clean_names(names, patterns=C.UNWANTED_TERM_PATTERNS) -> Column:
-    """Remove each pattern in order (stripping after each), collapse whitespace,
-    drop empties, keep each name once."""
-    def fold(x):
-        for p in patterns:
-            x = strip_ws(F.regexp_replace(x, "(?U)" + p, ""))
-        return F.array_join(split_ws(x), " ")
-    return F.array_distinct(F.filter(F.transform(col_(names), fold), lambda x: x != ""))
-
-
 def raw_mentions(labelled_texts=None, block_text=None, highlighted=None) -> Column:
     """Union (set) of the three extraction rules of a block."""
     empty = F.array().cast("array<string>")

@@ -22,7 +22,7 @@ def first_line(c):
 
 
 def _docs(spark, data_dir):
-    d = Tables(spark, data_dir).documents
+    d = Tables(spark, data_dir).spread("documents", "doc_id", "source", "text")
     return d.select("doc_id", "source", first_line("text").alias("title"))
 
 
