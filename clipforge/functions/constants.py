@@ -130,7 +130,12 @@ TYPEROLE_RENAMES = {
 }
 MEDIATYPE_RENAMES = {"Media Coverage": "Coverage", "Media Contribution": "Contribution"}
 ROLE_RESEARCH_CITED = ["research cited", "researchcited"]
+ROLE_RESEARCH_CITED_LABEL = "researchcited"
 ROLES_KEPT = ["author", "interviewee"]
+ROLE_OTHERWISE = "participant"
+MEDIA_TYPE_CITED = "Coverage"
+MEDIA_TYPE_OTHERWISE = "Contribution"
+GOODFIT = "yes"
 # Constants used when classification is switched off.
 NO_CLASSIFIER_LABELS = {
     "article_degree": "national",
@@ -164,6 +169,23 @@ CLASSIFICATION_GROUP_LOGICAL_NAME = "/dk/atira/pure/clippings/keywords/imported"
 CLASSIFICATION_GROUP_NAME = "Imported by media import tool"
 CLASSIFICATION_URI = "/dk/atira/pure/clippings/keywords/imported/true"
 ORG_TYPE_003 = "/dk/atira/pure/organisation/organisationtypes/organisation/003"
+PAYLOAD_VERSION = "v1"
+LOCALE = "en_GB"
+PERSON_ASSOCIATION_TYPE = "InternalPressMediaPersonAssociation"
+SYSTEM_ORGANIZATION = "Organization"
+SYSTEM_PERSON = "Person"
+VISIBILITY_KEY = "FREE"
+VISIBILITY_DESCRIPTION = "Public - No restriction"
+DESCRIPTION_TERM = "Description"
+CLASSIFICATION_GROUP_TYPE = "ClassificationsKeywordGroup"
+FREE_KEYWORDS_GROUP_TYPE = "FreeKeywordsKeywordGroup"
+FREE_KEYWORDS_LOGICAL_NAME = "keywordContainers"
+FREE_KEYWORDS_NAME = "Keywords"
+XML_ORG_LOOKUP_HINT = "orgSync"
+XML_PERSON_LOOKUP_HINT = "personSync"
+XML_ORIGIN = "internal"
+XML_ROW_TAG = "clipping"
+XML_ROOT_TAG = "clippings"
 
 # Classification prompt, with {title} {source} {names} {organizations} {excerpt}.
 PROMPT_TEMPLATE = """I have an article with the following details:

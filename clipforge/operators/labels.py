@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
-from clipforge.functions.text import WS, col_, html_unescape_basic, strip_ws
+from clipforge.functions.text import col_, html_unescape_basic, strip_ws
 
 RESPONSE_SCHEMA = ("keywords array<string>, degree string, researcher_role string, typerole string, "
                    "Medium_type string")
@@ -32,8 +32,9 @@ def page_text(articles: DataFrame, pages: DataFrame, url_col: str = "url", title
               page_url_col: str = "url", text_col: str = "text",
               max_chars: int = C.EXCERPT_MAX_CHARS) -> DataFrame:
     """Adds ``excerpt``: the first ``max_chars`` characters of the fetched page
-    text, or of the title when the URL is empty or no page was fetched."""
-    p = pages.select(F.col(page_url_col).alias("_u"), F.col(text_col).alias("_text")).dropDuplicates(["_u"])
+    text, or of the title when the URL is empty or no page was fetched.
+    ``pages`` holds one row per URL (see ``duplicates.keep_first``)."""
+    p = pages.select(F.col(page_url_col).alias("_u"), F.col(text_col).alias("_text"))
     j = articles.join(p, articles[url_col] == p["_u"], "left")
     txt = F.when((F.col(url_col).isNull()) | (F.col(url_col) == ""), F.col(title_col)) \
         .otherwise(F.coalesce("_text", F.col(title_col)))
@@ -99,11 +100,12 @@ def normalise_labels(parsed) -> Column:
     p = col_(parsed)
     role = p["researcher_role"]
     cited = role.isin(*C.ROLE_RESEARCH_CITED)
-    new_role = F.when(cited, F.lit("researchcited")).when(role.isin(*C.ROLES_KEPT), role).otherwise(F.lit("participant"))
-    media = F.when(cited, F.lit("Coverage")).otherwise(F.lit("Contribution"))
+    new_role = F.when(cited, F.lit(C.ROLE_RESEARCH_CITED_LABEL)).when(role.isin(*C.ROLES_KEPT), role) \
+        .otherwise(F.lit(C.ROLE_OTHERWISE))
+    media = F.when(cited, F.lit(C.MEDIA_TYPE_CITED)).otherwise(F.lit(C.MEDIA_TYPE_OTHERWISE))
     return F.struct(p["keywords"].alias("keywords"), p["article_degree"].alias("article_degree"),
                     new_role.alias("researcher_role"), media.alias("media_type"),
-                    rename_typerole(p["typerole"]).alias("typerole"), F.lit("yes").alias("goodfit"),
+                    rename_typerole(p["typerole"]).alias("typerole"), F.lit(C.GOODFIT).alias("goodfit"),
                     p["Medium_type"].alias("Medium_type"))
 
 
@@ -117,4 +119,4 @@ def fixed_labels(keywords) -> Column:
 
 
 __all__ = ["visible_text", "page_text", "prompt_text", "names_and_orgs", "parse_response", "normalise_labels",
-           "fixed_labels", "rename_typerole", "rename_mediatype", "WS"]
+           "fixed_labels", "rename_typerole", "rename_mediatype"]

@@ -38,17 +38,17 @@ def managing_unit_last(persons, fallback: str = C.FALLBACK_ORG_UUID) -> Column:
 
 
 def _keyword_groups(keywords: Column) -> Column:
-    cls = F.struct(F.lit("ClassificationsKeywordGroup").alias("typeDiscriminator"),
+    cls = F.struct(F.lit(C.CLASSIFICATION_GROUP_TYPE).alias("typeDiscriminator"),
                    F.lit(C.CLASSIFICATION_GROUP_LOGICAL_NAME).alias("logicalName"),
                    F.struct(F.lit(C.CLASSIFICATION_GROUP_NAME).alias("en_GB")).alias("name"),
                    F.array(F.struct(F.lit(C.CLASSIFICATION_URI).alias("uri"),
                                     F.struct(F.lit("true").alias("en_GB")).alias("term"))).alias("classifications"),
                    F.lit(None).cast("array<struct<locale:string,freeKeywords:array<string>>>").alias("keywords"))
-    free = F.struct(F.lit("FreeKeywordsKeywordGroup").alias("typeDiscriminator"),
-                    F.lit("keywordContainers").alias("logicalName"),
-                    F.struct(F.lit("Keywords").alias("en_GB")).alias("name"),
+    free = F.struct(F.lit(C.FREE_KEYWORDS_GROUP_TYPE).alias("typeDiscriminator"),
+                    F.lit(C.FREE_KEYWORDS_LOGICAL_NAME).alias("logicalName"),
+                    F.struct(F.lit(C.FREE_KEYWORDS_NAME).alias("en_GB")).alias("name"),
                     F.lit(None).cast("array<struct<uri:string,term:struct<en_GB:string>>>").alias("classifications"),
-                    F.array(F.struct(F.lit("en_GB").alias("locale"), keywords.alias("freeKeywords"))).alias("keywords"))
+                    F.array(F.struct(F.lit(C.LOCALE).alias("locale"), keywords.alias("freeKeywords"))).alias("keywords"))
     return F.when(F.size(keywords) > 0, F.array(cls, free)).otherwise(F.array(cls))
 
 
@@ -71,22 +71,22 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
 
     def person(x):
         orgs = F.array_distinct(F.transform(x["affiliations"], lambda a: F.struct(
-            a["organization_uuid"].alias("uuid"), F.lit("Organization").alias("systemName"))))
+            a["organization_uuid"].alias("uuid"), F.lit(C.SYSTEM_ORGANIZATION).alias("systemName"))))
 
         def named(parts):
-            return F.struct(F.lit("InternalPressMediaPersonAssociation").alias("typeDiscriminator"),
+            return F.struct(F.lit(C.PERSON_ASSOCIATION_TYPE).alias("typeDiscriminator"),
                             F.struct(F.try_element_at(parts, F.lit(1)).alias("firstName"),
                                      F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
                                      .alias("lastName")).alias("name"),
                             role_s.alias("role"),
-                            F.struct(F.lit("Person").alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
+                            F.struct(F.lit(C.SYSTEM_PERSON).alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
                             orgs.alias("organizations"))
         # one-element transform binds the split name once per person
         return F.transform(F.array(split_ws(x["name"])), named)[0]
 
     all_orgs = F.array_sort(F.array_distinct(F.flatten(F.transform(p, lambda x: F.transform(
         x["affiliations"], lambda a: F.struct(a["organization_uuid"].alias("uuid"),
-                                              F.lit("Organization").alias("systemName")))))))
+                                              F.lit(C.SYSTEM_ORGANIZATION).alias("systemName")))))))
     country = lookup(col_(language), C.LANGUAGE_TO_COUNTRY)
     coverage = F.struct(
         F.upper(lb["media_type"]).alias("coverageType"),
@@ -105,16 +105,16 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
         all_orgs.alias("organizations"),
         F.when(country.isNotNull(), F.struct(F.concat(F.lit(C.URI_COUNTRY), country).alias("uri"))).alias("country"))
     return F.struct(
-        F.lit("v1").alias("version"),
+        F.lit(C.PAYLOAD_VERSION).alias("version"),
         F.struct(t.alias("en_GB")).alias("title"),
         F.struct(F.concat(F.lit(C.URI_CLIPPING_TYPE), F.lower(typerole)).alias("uri")).alias("type"),
-        F.struct(F.lit("FREE").alias("key"),
-                 F.struct(F.lit("Public - No restriction").alias("en_GB")).alias("description")).alias("visibility"),
+        F.struct(F.lit(C.VISIBILITY_KEY).alias("key"),
+                 F.struct(F.lit(C.VISIBILITY_DESCRIPTION).alias("en_GB")).alias("description")).alias("visibility"),
         F.array(F.struct(F.struct(F.lit(" ").alias("en_GB")).alias("value"),
                          F.struct(F.lit(C.URI_DESCRIPTION).alias("uri"),
-                                  F.struct(F.lit("Description").alias("en_GB")).alias("term")).alias("type")))
+                                  F.struct(F.lit(C.DESCRIPTION_TERM).alias("en_GB")).alias("term")).alias("type")))
         .alias("descriptions"),
-        F.struct(managing_unit_first(p).alias("uuid"), F.lit("Organization").alias("systemName"))
+        F.struct(managing_unit_first(p).alias("uuid"), F.lit(C.SYSTEM_ORGANIZATION).alias("systemName"))
         .alias("managingOrganization"),
         F.array(coverage).alias("mediaCoverages"),
         workflow_struct(col_(faculty)).alias("workflow"),
@@ -141,12 +141,12 @@ def xml_clipping(record_id, title, date, persons, media_name, url, labels,
     """Struct laid out for Spark's XML writer (``_`` fields are attributes)."""
     lb = col_(labels)
     p = col_(persons)
-    attr_org = lambda a: F.struct(a["organization_uuid"].alias("_lookupId"), F.lit("orgSync").alias("_lookupHint"),
-                                  F.lit("internal").alias("_origin"))
+    attr_org = lambda a: F.struct(a["organization_uuid"].alias("_lookupId"), F.lit(C.XML_ORG_LOOKUP_HINT).alias("_lookupHint"),
+                                  F.lit(C.XML_ORIGIN).alias("_origin"))
     person = lambda x: F.struct(
         x["employee_id"].alias("_id"),
-        F.struct(x["employee_id"].alias("_lookupId"), F.lit("personSync").alias("_lookupHint"),
-                 F.lit("internal").alias("_origin")).alias("person"),
+        F.struct(x["employee_id"].alias("_lookupId"), F.lit(C.XML_PERSON_LOOKUP_HINT).alias("_lookupHint"),
+                 F.lit(C.XML_ORIGIN).alias("_origin")).alias("person"),
         lb["researcher_role"].alias("role"),
         F.struct(F.transform(x["affiliations"], attr_org).alias("organisation")).alias("organisations"))
     kw = F.coalesce(lb["keywords"], F.array().cast("array<string>"))
@@ -161,7 +161,7 @@ def xml_clipping(record_id, title, date, persons, media_name, url, labels,
     return F.struct(
         col_(record_id).alias("_id"), lb["typerole"].alias("_type"), F.lit("true").alias("_managedInPure"),
         col_(title).alias("title"), F.lit(" ").alias("description"), day.alias("startDate"),
-        F.struct(F.lit("orgSync").alias("_lookupHint"), managing_unit_last(p, fallback).alias("_lookupId"))
+        F.struct(F.lit(C.XML_ORG_LOOKUP_HINT).alias("_lookupHint"), managing_unit_last(p, fallback).alias("_lookupId"))
         .alias("managedBy"),
         F.when(F.size(kw) > 0, F.struct(kw.alias("keyword"))).alias("keywords"),
         F.lit(C.XML_VISIBILITY).alias("visibility"), F.lit(C.XML_WORKFLOW).alias("workflow"),
@@ -178,10 +178,10 @@ def dedup_clippings(df: DataFrame, title_col: str, persons_col: str, order_col:
 def write_xml(clippings: DataFrame, path: str, clipping_col: str = "clipping") -> None:
     """Sink: ``<clippings xmlns=...><clipping ...>...</clipping>...</clippings>``."""
     (clippings.select(f"{clipping_col}.*").write.mode("overwrite").format("xml")
-     .option("rowTag", "clipping").option("rootTag", f'clippings xmlns="{C.XML_NAMESPACE}"')
+     .option("rowTag", C.XML_ROW_TAG).option("rootTag", f'{C.XML_ROOT_TAG} xmlns="{C.XML_NAMESPACE}"')
      .save(path))
 
 
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.format("xml").option("rowTag", "clipping").option("inferSchema", False)
+    return (spark.read.format("xml").option("rowTag", C.XML_ROW_TAG).option("inferSchema", False)
             .option("ignoreNamespace", True).load(path))
