@@ -76,8 +76,10 @@ def _deletions_expr(s: Column, n: Column, k: int) -> Column:
 
 
 def deletion_variants(df: DataFrame, id_col: str, str_col: str,
-                      threshold: int = C.MATCH_THRESHOLD, max_deletions: int = MAX_DELETIONS) -> DataFrame:
-    """(id, variant, k): each string with its variants of up to min(bound, cap) deletions."""
+                      threshold: int = C.MATCH_THRESHOLD, max_deletions: int = MAX_DELETIONS,
+                      with_length: bool = False) -> DataFrame:
+    """(id, variant, k[, n]): each string with its variants of up to min(bound, cap)
+    deletions (``n`` = length of the string, when asked for)."""
     s = F.col(str_col)
     n = F.length(s)
     r = _rate(threshold)
@@ -88,8 +90,11 @@ def deletion_variants(df: DataFrame, id_col: str, str_col: str,
     arr2 = _deletions_expr(s, n, 2)
     arr = F.when(k <= 0, arr0).when(k == 1, arr1).otherwise(arr2) if max_deletions >= 2 else \
         F.when(k <= 0, arr0).otherwise(arr1)
-    return (df.select(F.col(id_col).alias("_id"), F.explode(arr).alias("_x"))
-            .select(F.col("_id").alias(id_col), F.col("_x.v").alias("variant"), F.col("_x.k").alias("k")))
+    out = df.select(F.col(id_col).alias("_id"), n.alias("_n"), F.explode(arr).alias("_x"))
+    cols = [F.col("_id").alias(id_col), F.col("_x.v").alias("variant"), F.col("_x.k").alias("k")]
+    if with_length:
+        cols.append(F.col("_n").alias("n"))
+    return out.select(*cols)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
@@ -126,10 +131,14 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
     ls = left.select(F.col(left_id).alias("_lid"), F.col(left_str).alias("_ls")).where(F.length("_ls") > 0)
     rs = right.select(F.col(right_id).alias("_rid"), F.col(right_str).alias("_rs")).where(F.length("_rs") > 0)
 
-    lv = deletion_variants(ls, "_lid", "_ls", threshold, max_deletions).withColumnRenamed("k", "_i")
-    rv = deletion_variants(rs, "_rid", "_rs", threshold, max_deletions).withColumnRenamed("k", "_j")
+    # lengths ride along with the variants, so no join back to the strings is needed
+    lv = deletion_variants(ls, "_lid", "_ls", threshold, max_deletions, with_length=True) \
+        .withColumnRenamed("k", "_i").withColumnRenamed("n", "_nl")
+    rv = deletion_variants(rs, "_rid", "_rs", threshold, max_deletions, with_length=True) \
+        .withColumnRenamed("k", "_j").withColumnRenamed("n", "_nr")
     by_deletion = (lv.join(rv, "variant")
-                   .groupBy("_lid", "_rid").agg(F.min(F.col("_i") + F.col("_j")).alias("d")))
+                   .groupBy("_lid", "_rid").agg(F.min(F.col("_i") + F.col("_j")).alias("d"),
+                                                F.first("_nl").alias("_nl"), F.first("_nr").alias("_nr")))
 
     # Strings whose distance bound exceeds the deletion cap: q-gram candidates.
     n_long = next((n for n in range(1, 4096) if max_distance_for_length(n, threshold) > max_deletions), None)
@@ -151,11 +160,13 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
         dmax = F.floor(L * F.lit(100 - threshold) / F.lit(100))
         cand = cand.where((F.abs(F.length("_ls") - F.length("_rs")) <= dmax)
                           & (F.levenshtein("_ls", "_rs") <= dmax))
-        by_lcs = cand.select("_lid", "_rid", (L - 2 * lcs_length(F.col("_ls"), F.col("_rs"))).alias("d"))
-        pairs = by_deletion.unionByName(by_lcs).groupBy("_lid", "_rid").agg(F.min("d").alias("d"))
+        by_lcs = cand.select("_lid", "_rid", (L - 2 * lcs_length(F.col("_ls"), F.col("_rs"))).alias("d"),
+                             F.length("_ls").alias("_nl"), F.length("_rs").alias("_nr"))
+        pairs = by_deletion.unionByName(by_lcs).groupBy("_lid", "_rid").agg(
+            F.min("d").alias("d"), F.first("_nl").alias("_nl"), F.first("_nr").alias("_nr"))
 
-    out = pairs.join(ls, "_lid").join(rs, "_rid")
-    L = F.length("_ls") + F.length("_rs")
+    out = pairs
+    L = F.col("_nl") + F.col("_nr")
     return (out.where(_passes(F.col("d"), L, threshold))
             .select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id),
                     F.col("d").cast("int").alias("d"), L.cast("int").alias("L")))
