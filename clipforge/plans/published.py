@@ -30,6 +30,8 @@ pub AS (SELECT 'ITEM ' || k AS title, ts, user_id FROM ev WHERE event_type = 'pu
 """
 _MATCH = """EXISTS (SELECT 1 FROM pub p WHERE lower(trim(p.title)) = lower(trim(a.title))
                   AND CAST(p.ts AS DATE) = CAST(a.ts AS DATE) AND p.user_id = a.user_id)"""
+_MATCH_R = """EXISTS (SELECT 1 FROM pub p WHERE lower(trim(p.title)) = lower(trim(r.title))
+                    AND CAST(p.ts AS DATE) = CAST(r.ts AS DATE) AND p.user_id = r.user_id)"""
 
 
 def _events(spark, data_dir):
@@ -70,7 +72,7 @@ dir AS (SELECT user_id, min(ts) AS start_ts FROM ev WHERE event_type = 'signup'
 r AS (SELECT a.*, d.user_id IS NOT NULL AS resolved FROM art a
       LEFT JOIN dir d ON a.user_id = d.user_id AND d.start_ts <= a.ts),
 st AS (SELECT event_id, CASE WHEN k IS NULL THEN 'error' WHEN NOT resolved THEN 'no_persons'
-                             WHEN {_MATCH.replace('FROM pub p', 'FROM pub p').replace('a.', 'r.')} THEN 'duplicate'
+                             WHEN {_MATCH_R} THEN 'duplicate'
                              ELSE 'ok' END AS status FROM r)
 """
 
@@ -86,9 +88,9 @@ def _status(spark, data_dir):
                             .otherwise(F.array().cast("array<bigint>")))
     dup_ids = published_article_ids(resolved, _published(ev), **{**_KW, "persons_col": "resolved"})
     marked = resolved.join(dup_ids.withColumn("dup", F.lit(True)), "event_id", "left") \
-        .withColumn("dup", F.coalesce("dup", F.lit(False)))
-    return article_status(marked, "resolved", "dup", malformed_col=None) \
-        .withColumn("status", F.when(F.col("k").isNull(), F.lit("error")).otherwise(F.col("status")))
+        .withColumn("dup", F.coalesce("dup", F.lit(False))) \
+        .withColumn("malformed", F.col("k").isNull())
+    return article_status(marked, "resolved", "dup", malformed_col="malformed")
 
 
 @register("article_status", sql=_STATUS_SQL + "SELECT event_id, status FROM st")
