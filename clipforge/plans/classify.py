@@ -148,17 +148,17 @@ def q_label_normalise(spark, data_dir):
 def _mail_paths(t):
     seg = F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1)
     label = F.when(seg == "en", "Beta 1").when(seg == "fr", "GEO").when(seg == "de", "Rechten")
-    name = F.when(label.isNotNull(), F.concat(F.lit("Knipselkrant faculteit "), label, F.lit(" - "),
+    name = F.when(label.isNotNull(), F.concat(F.lit("Alert faculteit "), label, F.lit(" - "),
                                               F.col("page_id").cast("string"), F.lit(".eml"))) \
-        .otherwise(F.concat(F.lit("Knipselkrant "), F.col("page_id").cast("string"), F.lit(".eml")))
+        .otherwise(F.concat(F.lit("Alert "), F.col("page_id").cast("string"), F.lit(".eml")))
     return t.pages.select("page_id", F.concat(F.lit("/mail/2025/"), name).alias("path"))
 
 
 _PATHS_SQL = r"""
 segs AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS seg FROM pages),
 paths AS (SELECT page_id, '/mail/2025/' || CASE WHEN seg IN ('en', 'fr', 'de') THEN
-            'Knipselkrant faculteit ' || CASE seg WHEN 'en' THEN 'Beta 1' WHEN 'fr' THEN 'GEO' ELSE 'Rechten' END
-            || ' - ' || page_id || '.eml' ELSE 'Knipselkrant ' || page_id || '.eml' END AS path FROM segs),
+            'Alert faculteit ' || CASE seg WHEN 'en' THEN 'Beta 1' WHEN 'fr' THEN 'GEO' ELSE 'Rechten' END
+            || ' - ' || page_id || '.eml' ELSE 'Alert ' || page_id || '.eml' END AS path FROM segs),
 labels AS (SELECT page_id, CASE WHEN regexp_matches(path, 'faculteit (.*?) -')
                   THEN trim(regexp_extract(path, 'faculteit (.*?) -', 1)) END AS label FROM paths),
 codes AS (SELECT page_id, CASE WHEN label IS NULL THEN NULL ELSE CASE label WHEN 'Beta 1' THEN 'BETA'

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clipforge.functions import constants as C
 from clipforge.operators.entities import org_lookup
 from clipforge.operators.labels import fixed_labels
 from clipforge.operators.records import dedup_clippings, managing_unit_first, managing_unit_last, payload, \
@@ -141,7 +142,7 @@ arts AS (SELECT o_orderkey, o_orderpriority || ' & <' || o_orderstatus || '>' AS
                 row_number() OVER (ORDER BY o_orderkey) - 1 AS i
          FROM orders JOIN per_order p ON p.l_orderkey = o_orderkey),
 d AS (SELECT *, row_number() OVER (PARTITION BY lower(title), person_ids ORDER BY i) AS rn FROM arts)
-SELECT 'Knipselkrant-' || i || '-{RUN_STAMP}' AS record_id, title, start_date, managed_by, person_ids FROM d WHERE rn = 1
+SELECT '{C.RECORD_ID_PREFIX}-' || i || '-{RUN_STAMP}' AS record_id, title, start_date, managed_by, person_ids FROM d WHERE rn = 1
 """)
 def q_xml_records(spark, data_dir):
     import uuid

@@ -19,9 +19,9 @@ def profile(spark):
 def test_whole_run(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    write_mail(src / "Knipsel faculteit GEO - 1.eml", HTML)
+    write_mail(src / "Alert faculteit GEO - 1.eml", HTML)
     other = HTML.replace("- Title &amp; text", "Other news of the week").replace("news.example/1", "news.example/9")
-    write_mail(src / "Knipsel faculteit Beta 1 - 2.eml", other)
+    write_mail(src / "Alert faculteit Beta 1 - 2.eml", other)
     # published: the second article (same title key, same day, shared person E2)
     pub = spark.createDataFrame([("p1", {"text": [{"value": "OTHER NEWS OF THE WEEK"}]}, {"startDate": "2025-03-12T00:00"},
                                   [{"person": {"externalId": "E2", "internalId": None}}, {"person": None}])], PUB)

@@ -36,7 +36,7 @@ def write_mail(path, html=None):
 def test_blocks_from_mails(spark, tmp_path):
     d = tmp_path / "in" / "sub"
     d.mkdir(parents=True)
-    write_mail(d / "Knipsel faculteit Beta 1 - a.eml", HTML)
+    write_mail(d / "Alert faculteit Beta 1 - a.eml", HTML)
     write_mail(d / "no html.eml", None)
     (d / "ignore.txt").write_text("x")
     blocks = extract_blocks(read_mails(spark, str(tmp_path / "in")))

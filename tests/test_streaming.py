@@ -5,8 +5,8 @@ from tests.test_mail import HTML, write_mail
 def test_intake_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    write_mail(src / "Knipsel faculteit GEO - 1.eml", HTML)
-    write_mail(src / "Knipsel faculteit GEO - 2.eml", HTML)   # same articles again: dropped as repeats
+    write_mail(src / "Alert faculteit GEO - 1.eml", HTML)
+    write_mail(src / "Alert faculteit GEO - 2.eml", HTML)   # same articles again: dropped as repeats
     blocked = spark.createDataFrame([("Nobody",)], "source string")
     q = start_intake(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"), blocked_sources=blocked)
     q.awaitTermination(120)

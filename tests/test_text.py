@@ -46,7 +46,7 @@ def test_unit_faculties(spark):
 
 
 def test_faculty_label(spark):
-    assert one(spark, T.faculty_label_from_path, "/in/x/Knipsel faculteit Beta 1 - week 3.eml") == "Beta 1"
+    assert one(spark, T.faculty_label_from_path, "/in/x/Alert faculteit Beta 1 - week 3.eml") == "Beta 1"
     assert one(spark, T.faculty_label_from_path, "/in/x/other.eml") is None
 
 
