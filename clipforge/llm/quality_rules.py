@@ -73,10 +73,10 @@ def _covered(windows: Column) -> Column:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the
+    """doc_id, doc_key (hash of id and text), lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the
     character classes of each document (long). Null text has no words, lines or characters."""
     t = F.coalesce(F.col(text), F.lit(""))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"), t.alias("t"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(lang).alias("lang"), t.alias("t"))
     d = d.select("*", _words(F.col("t")).alias("w"))
     d = d.select("*", F.size("w").cast("long").alias("n_words"), F.transform("w", lambda x: F.xxhash64(x)).alias("hw"))
     h = F.col("hw")
@@ -85,13 +85,13 @@ def features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
         lambda x, i: F.xxhash64(x, *[h[i + k] for k in range(1, WINDOW)]))))
     n = F.length("t")
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.select("doc_id", "lang", "n_words", n.alias("n"),
+    d = d.select("doc_id", "doc_key", "lang", "n_words", n.alias("n"),
                  *[(n - F.length(F.regexp_replace("t", p, ""))).cast("long").alias(c) for c, p in CLASSES.items()],
                  _let(lines, lambda a: (F.size(a) - F.size(F.array_distinct(a))).cast("long")).alias("n_dup_lines"),
                  F.when(F.size("g") == F.size(F.array_distinct("g")), F.lit(0).cast("long"))
                  .when(F.col("g").isNull(), F.lit(0).cast("long"))
                  .otherwise(_covered(F.col("g"))).alias("n_repeat_words"))
-    return d.select("doc_id", "lang", "n_words", (F.col("n") - F.col("c_space")).cast("long").alias("word_chars"),
+    return d.select("doc_id", "doc_key", "lang", "n_words", (F.col("n") - F.col("c_space")).cast("long").alias("word_chars"),
                     F.col("c_symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words", *CLASSES,
                     (F.col("n") - sum(F.col(c) for c in CLASSES)).cast("long").alias("c_lower"))
 
@@ -112,7 +112,8 @@ def references(docs: DataFrame, feats: DataFrame, text: str = "text", lang: str
     counts = stored(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "word_counts")
     per_lang = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     per_lang = per_lang.where(F.col("lang").isNotNull() & (F.col("total") >= min_words))
-    common = (counts.join(per_lang, "lang").where(F.col("n") >= F.lit(share) * F.col("total"))
+    per_lang = stored(per_lang, "language_totals")
+    common = (counts.join(broadcast_if_small(per_lang, 64), "lang").where(F.col("n") >= F.lit(share) * F.col("total"))
               .select(F.col("lang").alias("ref"), "word", (F.col("n") / F.col("total")).alias("q")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     pooled = (counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= F.lit(share * total))
@@ -137,31 +138,41 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     ``base_failed``: under ten words, or more than a fifth of the words repeated. The
     distances are null for documents under ``MIN_WORDS_JUDGED`` words, which pass on the
     base rules alone. A null language, or one with few words, is compared with all
-    documents. Null or empty text has no words and fails. Rows with the same id are
-    judged together on their summed word histogram; ids should be unique."""
+    documents. Null or empty text has no words and fails. Ids may be null or repeat:
+    documents are told apart by ``doc_key``, which only exact repeats of a row share."""
     feats = stored(features(docs, id_col, text, lang), "quality_features")
     classes, common = references(docs, feats, text, lang)
     classes_b = broadcast_if_small(classes, 256)
-    known = classes_b.select("ref")
-    at = lambda d: (d.join(F.broadcast(known.withColumnRenamed("ref", "_known")), F.col("lang") == F.col("_known"), "left")
+    known = broadcast_if_small(classes.select(F.col("ref").alias("_known")), 64)
+    at = lambda d: (d.join(known, F.col("lang") == F.col("_known"), "left")
                     .withColumn("ref", F.coalesce("_known", F.lit("*"))).drop("_known"))
 
-    words = at(docs.select(F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("t")))
-    words = words.select("doc_id", "ref", F.explode(_words(F.col("t"))).alias("word"))
+    words = at(docs.select(F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(lang).alias("lang"), F.col(text).alias("t")))
+    words = words.select("doc_key", "ref", F.explode(_words(F.col("t"))).alias("word"))
     hits = (words.join(broadcast_if_small(common, 96), ["ref", "word"])
-            .groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("c"), F.max("q").alias("q")))
-    f = at(feats.where(F.col("n_words") >= MIN_WORDS_JUDGED)).join(classes_b, "ref")
-    sums = (hits.join(f.select(F.col("doc_id").alias("_id"), "n_words"), F.col("doc_id") == F.col("_id"))
-            .withColumn("p", F.col("c") / F.col("n_words"))
-            .groupBy("doc_id").agg(F.sum(_term(F.col("p"), F.col("q")) - F.col("q") / 2).alias("d"), F.sum("p").alias("p_common")))
+            .groupBy("doc_key", "word").agg(F.count(F.lit(1)).alias("c"), F.max("q").alias("q")))
+    # Repeats of a row count as often in ``hits`` as in ``copies``.
+    f = (feats.where(F.col("n_words") >= MIN_WORDS_JUDGED).groupBy("doc_key")
+         .agg(F.count(F.lit(1)).alias("copies"), *[F.max(c).alias(c) for c in ("lang", "n_words", *BINS)]))
+    f = at(f).join(classes_b, "ref")
+    sums = (hits.join(f.select("doc_key", "n_words", "copies"), "doc_key")
+            .withColumn("p", F.col("c") / (F.col("n_words") * F.col("copies")))
+            .groupBy("doc_key").agg(F.sum(_term(F.col("p"), F.col("q")) - F.col("q") / 2).alias("d"), F.sum("p").alias("p_common")))
     chars = sum(F.col(c) for c in BINS)
-    far = (f.join(sums, "doc_id", "left").na.fill(0.0, ["d", "p_common"])
-           .select("doc_id",
+    far = (f.join(sums, "doc_key", "left").na.fill(0.0, ["d", "p_common"])
+           .select("doc_key",
                    F.sqrt(F.greatest(F.lit(0.0), sum(_term(F.col(c) / chars, F.col(f"r_{c}")) for c in BINS))).alias("class_distance"),
                    F.sqrt(F.greatest(F.lit(0.0), F.col("d") + F.col("common") / 2 + _term(
                        F.greatest(F.lit(0.0), 1 - F.col("p_common")), F.greatest(F.lit(0.0), 1 - F.col("common"))))).alias("word_distance")))
-    out = feats.join(far.groupBy("doc_id").agg(F.max("class_distance").alias("class_distance"), F.max("word_distance").alias("word_distance")), "doc_id", "left")
+    out = feats.join(far, "doc_key", "left")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     good = (F.coalesce("class_distance", F.lit(0.0)) <= max_class) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      base.alias("base_failed"), (~base & good).alias("kept"), "class_distance", "word_distance")
+                      base.alias("base_failed"), (~base & good).alias("kept"), "class_distance", "word_distance", "doc_key")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` without the documents that ``judge`` rejects; all columns stay."""
+    keys = stored(judge(docs, id_col, text, lang).where("kept").select("doc_key").distinct(), "good")
+    side = broadcast_if_small(keys.withColumnRenamed("doc_key", "_good"), 16)
+    return docs.join(side, F.xxhash64(docs[id_col], docs[text]) == F.col("_good"), "left_semi")

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from clipforge.llm import line_dedup, packing, quality_rules
+from clipforge.llm import (
+    decontaminate,
+    importance,
+    jaccard_join,
+    language_cnn,
+    licenses,
+    line_dedup,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    warc,
+)
+from clipforge.session import scratch_path
 from clipforge.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,14 +35,55 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @register("op2_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_cnn.fit(docs.where(~language_cnn.held_out()))
+    found = language_cnn.predict(docs, model)
+    return found.select("doc_id", language_cnn.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @register("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"))
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("doc_key")
+
+
+@register("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op7_importance_resampling")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return importance.resample(table(spark, sf_dir, "documents"), labels)
+
+
+@register("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, f"llm/archives-{uuid.uuid4().hex}")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path)
+
+
+@register("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @register("op10_line_dedup", sql=rf"""
