@@ -57,12 +57,15 @@ def slots(text: Column) -> Column:
 
 
 def _windows(df: DataFrame, size: Column) -> DataFrame:
-    """(…, pos, h): one row per run of ``size`` tokens of ``tokens``."""
+    """(…, pos, h): one row per run of ``size`` tokens of ``tokens``.
+
+    The outer form of explode: for the plain one the optimiser adds a filter on the array's
+    size, for which it computes the array a second time."""
     df = df.withColumn("hashed", F.transform("tokens", lambda x: F.xxhash64(x))).drop("tokens")
     h = F.col("hashed")
     run = F.transform(F.slice(h, 1, F.greatest(F.size(h) - size + 1, F.lit(0))),
                       lambda x, i: F.xxhash64(size, *[F.when(size > k, h[F.least(i + k, F.size(h) - 1)]) for k in range(WINDOW)]))
-    return df.withColumn("run", run).select(*[c for c in df.columns if c != "hashed"], F.posexplode("run").alias("pos", "h"))
+    return df.withColumn("run", run).select(*[c for c in df.columns if c != "hashed"], F.posexplode_outer("run").alias("pos", "h")).where("h is not null")
 
 
 def _doc_windows(df: DataFrame) -> DataFrame:
@@ -70,7 +73,7 @@ def _doc_windows(df: DataFrame) -> DataFrame:
     h = F.col("hashed")
     run = F.transform(F.slice(h, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))),
                       lambda x, i: F.xxhash64(F.lit(WINDOW), *[h[i + k] for k in range(WINDOW)]))
-    return df.withColumn("run", run).select(*[c for c in df.columns if c != "hashed"], F.posexplode("run").alias("pos", "h"))
+    return df.withColumn("run", run).select(*[c for c in df.columns if c != "hashed"], F.posexplode_outer("run").alias("pos", "h")).where("h is not null")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",

@@ -35,8 +35,9 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     without lines, which still counts in its host's total."""
     p = pages.select(F.col(host).alias("_host"), F.col(text).alias("_text")).where("_host is not null")
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(HAS_WORD))
-    counts = (p.select("_host", F.explode(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))).alias("line_hash"))
-              .groupBy("_host", "line_hash").agg(F.count(F.lit(1)).alias("n_pages"))
+    # explode_outer: for the plain form the optimiser splits every text twice, to test for lines
+    counts = (p.select("_host", F.explode_outer(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))).alias("line_hash"))
+              .where("line_hash is not null").groupBy("_host", "line_hash").agg(F.count(F.lit(1)).alias("n_pages"))
               .where(F.col("n_pages") >= min_pages))
     totals = p.groupBy("_host").agg(F.count(F.lit(1)).alias("total"))
     return counts.join(totals, "_host").where(F.col("n_pages") > F.lit(ratio) * F.col("total"))

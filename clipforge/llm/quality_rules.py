@@ -108,7 +108,8 @@ def references(docs: DataFrame, feats: DataFrame, text: str = "text", lang: str
     """Class histogram per reference (ref, r_<class>, common) and common words (ref, word, q).
 
     A reference is a language with enough words, or ``*`` for all documents."""
-    words = docs.select(F.col(lang).alias("lang"), F.explode(_words(F.col(text))).alias("word"))
+    # explode_outer: for the plain form the optimiser splits every text twice, to test for words
+    words = docs.select(F.col(lang).alias("lang"), F.explode_outer(_words(F.col(text))).alias("word")).where("word is not null")
     counts = stored(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "word_counts")
     per_lang = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     per_lang = per_lang.where(F.col("lang").isNotNull() & (F.col("total") >= min_words))
@@ -148,7 +149,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
                     .withColumn("ref", F.coalesce("_known", F.lit("*"))).drop("_known"))
 
     words = at(docs.select(F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(lang).alias("lang"), F.col(text).alias("t")))
-    words = words.select("doc_key", "ref", F.explode(_words(F.col("t"))).alias("word"))
+    words = words.select("doc_key", "ref", F.explode_outer(_words(F.col("t"))).alias("word"))
     hits = (words.join(broadcast_if_small(common, 96), ["ref", "word"])
             .groupBy("doc_key", "word").agg(F.count(F.lit(1)).alias("c"), F.max("q").alias("q")))
     # Repeats of a row count as often in ``hits`` as in ``copies``.
