@@ -168,7 +168,6 @@ URI_COUNTRY = "/dk/atira/pure/core/countries/"
 CLASSIFICATION_GROUP_LOGICAL_NAME = "/dk/atira/pure/clippings/keywords/imported"
 CLASSIFICATION_GROUP_NAME = "Imported by media import tool"
 CLASSIFICATION_URI = "/dk/atira/pure/clippings/keywords/imported/true"
-ORG_TYPE_003 = "/dk/atira/pure/organisation/organisationtypes/organisation/003"
 PAYLOAD_VERSION = "v1"
 LOCALE = "en_GB"
 PERSON_ASSOCIATION_TYPE = "InternalPressMediaPersonAssociation"
@@ -207,3 +206,11 @@ Return a JSON object with exactly these fields:
 5. "Medium_type": one of "Radio", "TV", "Web" (use Web if unclear)
 """
 PROMPT_SYSTEM = "You are a metadata classifier. Return only valid JSON."
+
+# English function words that no keyword phrase starts or ends with (own list).
+ENGLISH_STOPWORDS = (
+    "a about after all also an and any are as at be because been before being between both but by can could did do "
+    "does down during each few for from further had has have he her here hers him his how i if in into is it its just "
+    "me more most my no nor not now of off on once only or other our out over own s same she should so some such t than "
+    "that the their them then there these they this those through to too under until up very was we were what when "
+    "where which while who whom why will with would you your").split()

@@ -48,7 +48,7 @@ def clean_title(c) -> Column:
 
 
 def html_unescape_basic(c) -> Column:
-    """Decode the XML entities plus ``&nbsp;`` and ``&#39;`` natively.
+    """Decode the XML entities and a few common ones natively.
 
     The mail and page parsers (``sources.mail``) decode every entity through the
     standard library; this native form serves regex-based extraction.
@@ -74,11 +74,7 @@ def capitalize(c) -> Column:
     return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 30)))
 
 
-def truncate(c, n: int) -> Column:
-    return F.substring(col_(c), 1, n)
-
-
-def words(c) -> Column:
+def words_of(c) -> Column:
     """Tokens of letters, in order."""
     return F.regexp_extract_all(col_(c), F.lit(WORD), 0)
 
@@ -113,14 +109,6 @@ def parse_dutch_datetime(c) -> Column:
     return F.when(ok & month.isNotNull() & (g(4).cast("int") < 24) & (g(5).cast("int") < 60), ts)
 
 
-def format_dutch_datetime(ts) -> Column:
-    """Inverse of :func:`parse_dutch_datetime`, e.g. ``3 okt 1998 08:30``."""
-    t = col_(ts)
-    months = F.array(*[F.lit(m) for m in C.DUTCH_MONTHS])
-    return F.concat_ws(" ", F.dayofmonth(t).cast("string"), F.element_at(months, F.month(t)),
-                       F.year(t).cast("string"), F.date_format(t, "HH:mm"))
-
-
 # --- organisations ---------------------------------------------------------------
 
 def org_class(type_uri) -> Column:
@@ -138,15 +126,6 @@ def faculty_label_from_path(path) -> Column:
     return F.when(name.rlike(C.FACULTY_FILE_PATTERN), label)
 
 
-def first_name(c) -> Column:
-    return F.try_element_at(split_ws(c), F.lit(1))
-
-
-def last_name(c) -> Column:
-    parts = split_ws(c)
-    return F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
-
-
 def unit_faculties(c, prefix: str = C.FACULTY_PREFIX, sep: str = C.UNIT_PATH_SEPARATOR) -> Column:
     """Parts of a ``//`` path that start with the faculty prefix; the whole value
     when no part does but the value itself does."""

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Up to this many distinct words a broadcast nested-loop ``instr`` probe is
-# cheapest (measured: 1,200 words over 10,000 titles, 7 s nested loop vs 20 s
-# substring join); beyond it every title is cut into substrings of the listed
-# word lengths and equi-joined (hash probes instead of one probe per word).
-TITLE_WORDS_LOOP_MAX = 2048
-# The streaming intake broadcasts the static list; it must stay below this.
-TITLE_WORDS_BROADCAST_MAX = 50_000
+from clipforge.functions.text import strip_ws
+
+#: Words are found in titles by their first characters, up to this many.
+ANCHOR = 8
+
+
+def read_list(spark: SparkSession, path: str, column: str, out_col: str = "word") -> DataFrame:
+    """A one-column block list from a CSV (with header) or Parquet file: trimmed, nulls and
+    blanks dropped, distinct. A missing file is an empty list."""
+    try:
+        raw = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{out_col} string")
+    return raw.select(strip_ws(F.col(column).cast("string")).alias(out_col)).where(F.length(out_col) > 0).distinct()
+
+
+def comma_list(value: str | None) -> list[str]:
+    """The trimmed, non-empty parts of a comma list."""
+    return [part.strip() for part in (value or "").split(",") if part.strip()]
 
 
 def drop_blocked_sources(df: DataFrame, blocked: DataFrame, source_col: str = "source",
@@ -23,39 +38,26 @@ def drop_blocked_sources(df: DataFrame, blocked: DataFrame, source_col: str = "s
 
 
 def drop_blocked_titles(df: DataFrame, words: DataFrame, title_col: str, key_col: str,
-                        word_col: str = "word",
-                        loop_max: int = TITLE_WORDS_LOOP_MAX) -> DataFrame:
+                        word_col: str = "word") -> DataFrame:
     """Drop rows whose title contains any listed word (case-sensitive substring).
 
-    The word list is measured first. Up to ``loop_max`` distinct words it is
-    broadcast and probed with ``instr`` (cost: words x title length per title).
-    Beyond that every title is cut into its substrings of each listed word
-    length and equi-joined with the words (cost: title length x distinct
-    lengths); the join strategy is left to AQE, which broadcasts the word set
-    only when its measured size is small and shuffles by hash otherwise.
+    A word's anchor is its first ``ANCHOR`` characters (all of a shorter word). A
+    title's substrings of up to that length are equi-joined with the anchors and the
+    few candidates verified with ``instr``, so the cost is linear in the titles
+    whatever the size of the list, and no side is broadcast by hand.
     """
-    w = words.select(F.col(word_col).alias("_w")).where(F.length("_w") > 0).distinct()
-    n = w.count()
-    if n == 0:
-        return df
-    if n <= loop_max:
-        return df.join(F.broadcast(w), F.instr(df[title_col], F.col("_w")) > 0, "left_anti")
-    lengths = sorted(r[0] for r in w.select(F.length("_w")).distinct().collect())  # <= longest word
-    empty = F.array().cast("array<string>")
-
-    def window_of(ch, L):
-        # slice + join: O(L) per window (substring on UTF-8 text is O(position))
-        return lambda i: F.array_join(F.slice(ch, i, F.lit(L)), "")
-
-    def all_windows(ch):
-        n = F.size(ch)
-        parts = [F.when(n >= L, F.transform(F.sequence(F.lit(1), n - L + 1), window_of(ch, L))).otherwise(empty)
-                 for L in lengths]
-        return F.array_distinct(F.flatten(F.array(*parts)))
+    w = words.select(F.col(word_col).alias("_w")).where(F.length("_w") > 0).distinct() \
+        .withColumn("_a", F.substring("_w", 1, ANCHOR))
+
+    def grams(ch):
+        return F.array_distinct(F.flatten(F.transform(
+            F.sequence(F.lit(1), F.size(ch)), lambda i: F.transform(
+                F.sequence(F.lit(1), F.least(F.lit(ANCHOR), F.size(ch) - i + 1)),
+                lambda n: F.array_join(F.slice(ch, i, n), "")))))
 
+    # one-element transforms: the character array is built once per row
     chars = F.filter(F.split(F.col(title_col), ""), lambda c: c != "")
-    # one-element transform: the character array is built once per row
-    subs = F.transform(F.array(chars), all_windows)[0]
-    pieces = df.select(F.col(key_col).alias("_k"), F.explode(F.array_distinct(subs)).alias("_w"))
-    hit = pieces.join(w, "_w", "left_semi").select("_k").distinct()
+    subs = F.transform(F.array(chars), grams)[0]
+    pieces = df.where(F.length(title_col) > 0).select(F.col(key_col).alias("_k"), F.col(title_col).alias("_t"), F.explode(subs).alias("_a"))
+    hit = pieces.join(w, "_a").where(F.instr(F.col("_t"), F.col("_w")) > 0).select("_k").distinct()
     return df.join(hit, df[key_col] == hit["_k"], "left_anti")

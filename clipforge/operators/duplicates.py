@@ -5,22 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.functions.text import title_key
+from clipforge.functions.text import strip_ws, title_key
 
 
-def published_keys(published: DataFrame, title_col: str, start_col: str, persons_col: str) -> DataFrame:
-    """(title key, day, person id) of published items.
-
-    Items without a title or start date are ignored; person entries without an
-    id are ignored. ``persons_col`` is an array of person ids (external and
-    internal ids both listed).
-    """
-    p = published.where(F.col(title_col).isNotNull() & (F.col(title_col) != "")
-                        & F.col(start_col).isNotNull())
-    return (p.select(title_key(title_col).alias("_key"), F.to_date(start_col).alias("_day"),
-                     F.explode(persons_col).alias("_pid"))
-            .where(F.col("_pid").isNotNull())
-            .distinct())
+def _keyed(df: DataFrame, title_col: str, key_col: str) -> DataFrame:
+    """Adds the title comparison key. Plain ASCII titles without ``&`` stay on the JVM;
+    only the others pass through Python (Unicode NFKC and case folding)."""
+    title = F.col(title_col)
+    simple = title.rlike(r"^[\x00-\x7F]*$") & ~title.contains("&")
+    native = df.where(simple).withColumn(key_col, F.lower(strip_ws(title)))
+    return native.unionByName(df.where(~simple).withColumn(key_col, title_key(title_col)))
 
 
 def published_article_ids(articles: DataFrame, published: DataFrame, id_col: str, title_col: str,
@@ -29,14 +23,31 @@ def published_article_ids(articles: DataFrame, published: DataFrame, id_col: str
     """Ids of articles with a published item of equal title key, equal calendar
     day and at least one shared person id.
 
-    Both sides are exploded to (key, day, person) and equi-joined, so the shared
-    person test is part of the hash key rather than a residual over arrays.
+    Items without a title or start date, and person entries without an id, are
+    ignored (``pub_persons_col`` is an array that lists external and internal ids).
+    Both sides are exploded to (day, person) and reduced to rows whose day and
+    person the other side has; title keys are computed for those only.
     """
-    a = (articles.select(F.col(id_col).alias("_id"), title_key(title_col).alias("_key"),
-                         F.to_date(ts_col).alias("_day"), F.explode(persons_col).alias("_pid"))
-         .where(F.col("_pid").isNotNull()))
-    pk = published_keys(published, pub_title_col, pub_start_col, pub_persons_col)
-    return a.join(pk, ["_key", "_day", "_pid"], "left_semi").select(F.col("_id").alias(id_col)).distinct()
+    a = (articles.select(F.col(id_col).alias("_id"), F.col(title_col).alias("_title"), F.to_date(ts_col).alias("_day"),
+                         F.explode(persons_col).alias("_pid")).where(F.col("_pid").isNotNull() & F.col("_title").isNotNull()))
+    p = (published.select(F.col(pub_title_col).alias("_title"), F.to_date(pub_start_col).alias("_day"),
+                          F.explode(pub_persons_col).alias("_pid"))
+         .where(F.col("_pid").isNotNull() & F.col("_day").isNotNull() & (F.col("_title") != "")))
+    there = ["_day", "_pid"]
+    a_near = a.join(p.select(*there).distinct(), there, "left_semi")
+    p_near = p.join(a.select(*there).distinct(), there, "left_semi")
+    pk = _keyed(p_near, "_title", "_key").select("_key", *there).distinct()
+    return _keyed(a_near, "_title", "_key").join(pk, ["_key", *there], "left_semi").select(F.col("_id").alias(id_col)).distinct()
+
+
+def published_table(items: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., pub_title, pub_start, pub_persons) from published items in their nested schema; a
+    missing title, date or person is null or left out."""
+    ids = F.flatten(F.transform(F.filter(F.coalesce("personAssociations", F.array()), lambda a: a["person"].isNotNull()),
+                                lambda a: F.array(a["person"]["externalId"], a["person"]["internalId"])))
+    return items.select(*keep, F.try_element_at(F.col("title.text"), F.lit(1))["value"].alias("pub_title"),
+                        F.to_date(F.substring("period.startDate", 1, 10)).alias("pub_start"),
+                        F.filter(ids, lambda x: x.isNotNull()).alias("pub_persons"))
 
 
 def already_published(articles: DataFrame, published: DataFrame, **kw) -> DataFrame:
@@ -56,12 +67,17 @@ def item_by_id(items: DataFrame, ids: DataFrame, id_col: str, ids_col: str | Non
 
 
 def keep_first(df: DataFrame, key_cols: list, order_col: str) -> DataFrame:
-    """One row per key: the row with the smallest ``order_col``.
+    """One row per key: the row with the smallest ``order_col``, a number (or time) that is
+    not null and differs within a key.
 
-    A hash aggregate of ``min(struct(order, row))``: partial aggregation runs
-    map-side, so a key holding a third of the rows is reduced before the shuffle.
+    The smallest number per key is a hash aggregate with partial sums, so a key that
+    holds a third of the rows is reduced before the shuffle, and no row is sorted or
+    carried through the aggregate; the rows are then picked by a semi join. A null in a
+    key is a value like any other.
     """
-    others = [c for c in df.columns if c not in key_cols and c != order_col]
-    best = F.min(F.struct(F.col(order_col), *[F.col(c) for c in others])).alias("_best")
-    out = df.groupBy(*key_cols).agg(best)
-    return out.select(*key_cols, "_best.*").select(*df.columns)
+    first = df.groupBy(*key_cols).agg(F.min(order_col).alias("_first"))
+    first = first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key_cols)], "_first")
+    same = F.col(order_col) == F.col("_first")
+    for i, c in enumerate(key_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(first, same, "left_semi")

@@ -22,6 +22,7 @@ from clipforge.functions import constants as C
 from clipforge.functions.text import org_class, strip_ws
 from clipforge.operators.duplicates import keep_first
 from clipforge.operators.fuzzy import best_match, fuzzy_pairs
+from clipforge.session import written
 
 
 def _full_name(name: Column) -> Column:
@@ -62,14 +63,15 @@ def match_mentions(mentions: DataFrame, directory: DataFrame, mention_col: str =
 
 def associations(directory: DataFrame) -> DataFrame:
     """(uuid, assoc_no, org_uuid, start_ts, end_ts, malformed) -- dates at midnight,
-    a missing end is open (9999-12-31); a missing start is malformed."""
+    a missing end is open (9999-12-31); a start that is missing or no date, and an end that
+    is no date, are malformed."""
     a = directory.select("uuid", F.posexplode(F.coalesce("staffOrganizationAssociations", F.array()))
                          .alias("assoc_no", "a"))
     start = F.try_to_timestamp(F.col("a.period.startDate"), F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
     end = F.try_to_timestamp(F.coalesce(F.col("a.period.endDate"), F.lit(C.OPEN_END_DATE)),
                              F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
     return a.select("uuid", "assoc_no", F.col("a.organization.uuid").alias("org_uuid"),
-                    start.alias("start_ts"), end.alias("end_ts"), start.isNull().alias("malformed"))
+                    start.alias("start_ts"), end.alias("end_ts"), (start.isNull() | end.isNull()).alias("malformed"))
 
 
 def org_lookup(df: DataFrame, orgs: DataFrame, org_col: str = "org_uuid") -> DataFrame:
@@ -110,12 +112,13 @@ def resolve_mentions(article_mentions: DataFrame, directory: DataFrame, orgs: Da
     * unresolved -- article, mention_pos, mention for mentions without a match,
       without an employee id, or without an active affiliation;
     * errors -- articles where a matched person has an association without a
-      start date (the whole article is an ``error``).
+      valid start or with an end that is no date (the whole article is an ``error``).
     """
     m = article_mentions.select(F.col(article_col).alias("article_id"), F.col(pos_col).alias("mention_pos"),
                                 F.col(mention_col).alias("mention"), F.col(ts_col).alias("ts"),
                                 F.lower(strip_ws(mention_col)).alias("mention_key"))
-    best = match_mentions(m.select("mention"), directory, "mention", threshold)
+    # read by the resolved, unresolved and error outputs: matched once, stored
+    best = written(match_mentions(m.select("mention"), directory, "mention", threshold), "match")
     people = best.join(directory.select("uuid", employee_id("identifiers").alias("employee_id")), "uuid")
     matched = m.join(people.select("mention_key", "uuid", "employee_id"), "mention_key")
     with_id = matched.where(F.col("employee_id").isNotNull())

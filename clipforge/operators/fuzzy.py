@@ -12,11 +12,15 @@ Two routes find every passing pair:
   Candidates come from an equi-join on the variant (hash shuffle, no UDF).
   ``k`` per string is the largest distance any partner could have at the
   threshold, capped at ``MAX_DELETIONS``;
-* shared q-grams -- for strings whose bound exceeds the cap, cutting the shorter
-  string into ``d + 1`` pieces leaves one piece intact in the longer one, so a
-  passing pair always shares a q-gram of the computed length. Candidates from an
-  equi-join on q-grams are screened with ``levenshtein`` (a lower bound of ``d``)
-  and then measured exactly with a native LCS.
+* intact pieces -- for strings whose bound D exceeds the cap: of D + 1 pieces of
+  the left string one is left whole by D edits, so it stands in the right string, at
+  most D places away. Left strings give one q-gram per piece, right strings all
+  their q-grams; candidates from an equi-join on the q-gram, within D places and
+  lengths, are screened with ``levenshtein`` (a lower bound of ``d``) and measured
+  exactly by dynamic programming in a band of width 2 D + 1.
+
+Only strings short enough to need them are expanded to variants, so the number of
+variants of any string is bounded; longer ones cost their length.
 """
 
 from __future__ import annotations
@@ -41,16 +45,27 @@ def max_distance_for_length(n: int, threshold: int = C.MATCH_THRESHOLD) -> int:
     return int((2 * r * n) / (1 - r) + 1e-9)
 
 
-def gram_length(threshold: int = C.MATCH_THRESHOLD, k: int = MAX_DELETIONS, horizon: int = 4096) -> int:
-    """q such that every passing pair of strings beyond the deletion cap shares a q-gram."""
-    q = None
-    for n in range(1, horizon):
+def first_long(threshold: int = C.MATCH_THRESHOLD, k: int = MAX_DELETIONS) -> int | None:
+    """Smallest length whose distance bound exceeds ``k``; None if none does."""
+    if _rate(threshold) <= 0:
+        return None
+    n = 1
+    while max_distance_for_length(n, threshold) <= k:
+        n += 1
+    return n
+
+
+def piece_length(threshold: int = C.MATCH_THRESHOLD, k: int = MAX_DELETIONS) -> int:
+    """Length that each of the D + 1 pieces of a long string has at least. Pieces grow
+    with the string while D does not, so the steps of D decide."""
+    n = first_long(threshold, k) or 1
+    lengths = []
+    for _ in range(64):
         D = max_distance_for_length(n, threshold)
-        if D <= k:
-            continue
-        g = n // (D + 1)
-        q = g if q is None else min(q, g)
-    return max(q or 1, 1)
+        lengths.append(n // (D + 1))
+        while max_distance_for_length(n, threshold) == D:
+            n += 1
+    return max(min(lengths), 1)
 
 
 def _deletions_expr(s: Column, n: Column, k: int) -> Column:
@@ -97,22 +112,35 @@ def deletion_variants(df: DataFrame, id_col: str, str_col: str,
     return out.select(*cols)
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence length, dynamic programming in native
-    higher-order functions (one row of the table per outer step)."""
-    la, lb = F.length(a), F.length(b)
-    init = F.array_repeat(F.lit(0), lb + 1)
+def indel_distance(a: Column, b: Column, limit: Column) -> Column:
+    """Indel distance of two strings if it is at most ``limit``, else some larger number:
+    dynamic programming over the diagonals within ``limit`` of the main one, native."""
+    far = F.lit(1 << 28)
+
+    def chars(x):
+        return F.filter(F.split(x, ""), lambda c: c != "")
+
+    def solve(s):
+        A, B, D = s["a"], s["b"], s["d"]
+        la, lb = F.size(A), F.size(B)
+        places = F.sequence(F.lit(0), 2 * D)
+        start = F.transform(places, lambda k: F.when((k < D) | (k - D > lb), far).otherwise(k - D))
 
-    def row(prev, i):
-        def cell(cur, j):
-            same = F.substring(a, i, F.lit(1)) == F.substring(b, j, F.lit(1))
-            val = F.when(same, F.element_at(prev, j) + 1).otherwise(
-                F.greatest(F.element_at(prev, j + 1), F.element_at(cur, j)))
-            return F.concat(cur, F.array(val))
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(lb, F.lit(1))), F.array(F.lit(0)), cell)
+        def row(prev, i):
+            def cell(cur, k):
+                j = i - D + k
+                up = F.coalesce(F.get(prev, k + 1), far) + 1
+                left = F.coalesce(F.get(cur, k - 1), far) + 1
+                same = F.when((j >= 1) & (F.get(A, i - 1) == F.get(B, j - 1)), F.get(prev, k)).otherwise(far)
+                value = F.when((j < 0) | (j > lb), far).when(j == 0, i).otherwise(F.least(up, left, same))
+                return F.concat(cur, F.array(value))
+            return F.aggregate(places, F.array().cast("array<int>"), cell)
 
-    last = F.aggregate(F.sequence(F.lit(1), F.greatest(la, F.lit(1))), init, row)
-    return F.when((la == 0) | (lb == 0), F.lit(0)).otherwise(F.element_at(last, lb + 1))
+        last = F.when(la == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(la, F.lit(1))), start, row))
+        return F.coalesce(F.get(last, lb - la + D), far)
+
+    packed = F.struct(chars(a).alias("a"), chars(b).alias("b"), limit.cast("int").alias("d"))
+    return F.transform(F.array(packed), solve)[0]
 
 
 def _passes(d: Column, L: Column, threshold: int) -> Column:
@@ -131,39 +159,41 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
     ls = left.select(F.col(left_id).alias("_lid"), F.col(left_str).alias("_ls")).where(F.length("_ls") > 0)
     rs = right.select(F.col(right_id).alias("_rid"), F.col(right_str).alias("_rs")).where(F.length("_rs") > 0)
 
+    # A pair with a short side (bound within the cap) has lengths within the cap of each
+    # other, so only strings up to this length need variants.
+    n_long = first_long(threshold, max_deletions)
+    short = (lambda df, c: df) if n_long is None else (lambda df, c: df.where(F.length(c) < n_long + max_deletions))
     # lengths ride along with the variants, so no join back to the strings is needed
-    lv = deletion_variants(ls, "_lid", "_ls", threshold, max_deletions, with_length=True) \
+    lv = deletion_variants(short(ls, "_ls"), "_lid", "_ls", threshold, max_deletions, with_length=True) \
         .withColumnRenamed("k", "_i").withColumnRenamed("n", "_nl")
-    rv = deletion_variants(rs, "_rid", "_rs", threshold, max_deletions, with_length=True) \
+    rv = deletion_variants(short(rs, "_rs"), "_rid", "_rs", threshold, max_deletions, with_length=True) \
         .withColumnRenamed("k", "_j").withColumnRenamed("n", "_nr")
-    by_deletion = (lv.join(rv, "variant")
-                   .groupBy("_lid", "_rid").agg(F.min(F.col("_i") + F.col("_j")).alias("d"),
-                                                F.first("_nl").alias("_nl"), F.first("_nr").alias("_nr")))
+    pairs = (lv.join(rv, "variant")
+             .groupBy("_lid", "_rid").agg(F.min(F.col("_i") + F.col("_j")).alias("d"),
+                                          F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr")))
 
-    # Strings whose distance bound exceeds the deletion cap: q-gram candidates.
-    n_long = next((n for n in range(1, 4096) if max_distance_for_length(n, threshold) > max_deletions), None)
-    pairs = by_deletion
     if n_long is not None:
-        q = gram_length(threshold, max_deletions)
-
-        def grams(df, idc, sc):
-            s = F.col(sc)
-            g = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - q + 1),
-                                             lambda i: F.substring(s, i, F.lit(q))))
-            return df.where(F.length(s) >= n_long).select(idc, F.explode(g).alias("_g"))
-
-        lg = grams(ls, "_lid", "_ls")
-        rg = grams(rs, "_rid", "_rs")
-        cand = lg.join(rg, "_g").select("_lid", "_rid").distinct()
+        q = piece_length(threshold, max_deletions)
+        r = _rate(threshold)
+        bound = lambda n: F.floor(F.lit(2 * r / (1 - r)) * n + F.lit(1e-9)).cast("int")
+        long_l = ls.where(F.length("_ls") >= n_long).withColumn("_n", F.length("_ls")).withColumn("_D", bound(F.col("_n")))
+        long_r = rs.where(F.length("_rs") >= n_long).withColumn("_m", F.length("_rs"))
+        # piece i of D + 1 starts at floor(i n / (D + 1)) and has at least q characters
+        starts = F.transform(F.sequence(F.lit(0), F.col("_D")), lambda i: F.floor(i * F.col("_n") / (F.col("_D") + 1)).cast("int") + 1)
+        lg = long_l.select("_lid", "_n", "_D", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring("_ls", i, F.lit(q)).alias("g")))).alias("x")) \
+            .select("_lid", "_n", "_D", F.col("x.i").alias("_i"), F.col("x.g").alias("_g"))
+        rg = long_r.select("_rid", "_m", F.explode(F.transform(F.sequence(F.lit(1), F.col("_m") - q + 1), lambda i: F.struct(i.alias("i"), F.substring("_rs", i, F.lit(q)).alias("g")))).alias("x")) \
+            .select("_rid", "_m", F.col("x.i").alias("_j"), F.col("x.g").alias("_g"))
+        cand = (lg.join(rg, "_g").where((F.abs(F.col("_i") - F.col("_j")) <= F.col("_D")) & (F.abs(F.col("_n") - F.col("_m")) <= F.col("_D")))
+                .select("_lid", "_rid").distinct())
         cand = cand.join(ls, "_lid").join(rs, "_rid")
         L = F.length("_ls") + F.length("_rs")
-        dmax = F.floor(L * F.lit(100 - threshold) / F.lit(100))
-        cand = cand.where((F.abs(F.length("_ls") - F.length("_rs")) <= dmax)
-                          & (F.levenshtein("_ls", "_rs") <= dmax))
-        by_lcs = cand.select("_lid", "_rid", (L - 2 * lcs_length(F.col("_ls"), F.col("_rs"))).alias("d"),
-                             F.length("_ls").alias("_nl"), F.length("_rs").alias("_nr"))
-        pairs = by_deletion.unionByName(by_lcs).groupBy("_lid", "_rid").agg(
-            F.min("d").alias("d"), F.first("_nl").alias("_nl"), F.first("_nr").alias("_nr"))
+        dmax = F.floor(L * F.lit(100 - threshold) / F.lit(100)).cast("int")
+        cand = cand.where((F.abs(F.length("_ls") - F.length("_rs")) <= dmax) & (F.levenshtein("_ls", "_rs") <= dmax))
+        measured = cand.select("_lid", "_rid", indel_distance(F.col("_ls"), F.col("_rs"), dmax).alias("d"),
+                               F.length("_ls").alias("_nl"), F.length("_rs").alias("_nr"))
+        pairs = pairs.unionByName(measured).groupBy("_lid", "_rid").agg(
+            F.min("d").alias("d"), F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr"))
 
     out = pairs
     L = F.col("_nl") + F.col("_nr")
@@ -176,11 +206,14 @@ def best_match(pairs: DataFrame, left_id: str, right_id: str, rank_cols: list) -
     """Per left id, the right id with the highest ratio; ties go to the smallest
     ``rank_cols`` (e.g. the person's position in the directory).
 
-    A hash aggregate of ``min(struct(d / L, rank..., right))``, combined map-side.
+    The smallest loss per left id is a hash aggregate; only the pairs that reach it (ties)
+    are then compared on the rank columns.
     """
-    key = F.struct((F.col("d") / F.col("L")).alias("_loss"), *[F.col(c) for c in rank_cols],
-                   F.col(right_id), F.col("d"), F.col("L"))
-    best = pairs.groupBy(left_id).agg(F.min(key).alias("_b"))
+    loss = F.col("d") / F.col("L")
+    least = pairs.groupBy(left_id).agg(F.min(loss).alias("_loss")).withColumnRenamed(left_id, "_left")
+    tied = pairs.join(least, (F.col(left_id) == F.col("_left")) & (loss == F.col("_loss")), "left_semi")
+    key = F.struct(*[F.col(c) for c in rank_cols], F.col(right_id), F.col("d"), F.col("L"))
+    best = tied.groupBy(left_id).agg(F.array_min(F.collect_set(key)).alias("_b"))
     return best.select(left_id, *[F.col(f"_b.{c}").alias(c) for c in rank_cols],
                        F.col(f"_b.{right_id}").alias(right_id), F.col("_b.d").alias("d"),
                        F.col("_b.L").alias("L"))

@@ -1,7 +1,7 @@
 """Organisation hierarchy: ascendant closure and the persons-by-unit reports.
 
-Edges are (child, parent). The closure is a recursive CTE over the edges
-(one join per level, levels are few); everything else is equi-joins and small
+Edges are (child, parent). The closure doubles its reach each round (joins of
+DataFrames, log2(depth) rounds); everything else is equi-joins and small
 per-person aggregates bounded by the number of units.
 """
 
@@ -11,19 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
+from clipforge.session import written
 
 
-def unit_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 100) -> DataFrame:
-    """(unit, ancestor, depth) for every ancestor at depth >= 1."""
-    e = edges.select(F.col("child").cast("string").alias("child"), F.col("parent").cast("string").alias("parent")) \
-        .where(F.col("parent").isNotNull()).distinct()
-    return spark.sql(f"""
-        WITH RECURSIVE up(unit, ancestor, depth) AS (
-          SELECT child, parent, 1 FROM {{e}}
-          UNION ALL
-          SELECT up.unit, x.parent, up.depth + 1 FROM up JOIN {{e}} x ON up.ancestor = x.child
-          WHERE up.depth < {int(max_depth)})
-        SELECT unit, ancestor, depth FROM up""", e=e)
+def unit_closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(unit, ancestor, depth) for every ancestor at depth >= 1, with the smallest depth.
+
+    Any depth, any number of rows, and cycles (a unit in a cycle is its own
+    ancestor). After round k all pairs up to depth 2^k are known; a shortest path of
+    up to twice that length is one of exactly 2^k followed by a known one, so
+    joining those alone with the known pairs doubles the reach. No pair of depth
+    2^k: done.
+    """
+    known = written(edges.select(F.col("child").cast("string").alias("unit"), F.col("parent").cast("string").alias("ancestor"))
+                    .where(F.col("unit").isNotNull() & F.col("ancestor").isNotNull()).distinct()
+                    .withColumn("depth", F.lit(1)), "closure")
+    reach = 1
+    while True:
+        far = known.where(F.col("depth") == reach).select("unit", F.col("ancestor").alias("via"))
+        if far.isEmpty():
+            return known
+        up = known.select(F.col("unit").alias("via"), "ancestor", F.col("depth").alias("more"))
+        longer = far.join(up, "via").select("unit", "ancestor", (F.lit(reach) + F.col("more")).alias("depth"))
+        known = written(known.unionByName(longer).groupBy("unit", "ancestor").agg(F.min("depth").alias("depth")), "closure")
+        reach *= 2
 
 
 def units_below(closure: DataFrame, roots: list, include_roots: bool = True) -> DataFrame:

@@ -12,22 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
-from clipforge.functions.text import col_, html_unescape_basic, strip_ws
+from clipforge.functions.text import col_
 
 RESPONSE_SCHEMA = ("keywords array<string>, degree string, researcher_role string, typerole string, "
                    "Medium_type string")
 
 
-def visible_text(html) -> Column:
-    """Visible text of a page, natively: comments, script, style and template
-    elements removed, tags split out, each text piece stripped, empties dropped,
-    joined by newlines. (``sources.mail.page_visible_text`` is the full parser.)"""
-    body = F.regexp_replace(col_(html), r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-                                        r"|<template\b.*?</template>", "")
-    pieces = F.transform(F.split(body, "<[^>]*>", -1), lambda p: strip_ws(html_unescape_basic(p)))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), "\n")
-
-
 def page_text(articles: DataFrame, pages: DataFrame, url_col: str = "url", title_col: str = "title",
               page_url_col: str = "url", text_col: str = "text",
               max_chars: int = C.EXCERPT_MAX_CHARS) -> DataFrame:
@@ -118,5 +108,5 @@ def fixed_labels(keywords) -> Column:
                     F.lit(d["Medium_type"]).alias("Medium_type"))
 
 
-__all__ = ["visible_text", "page_text", "prompt_text", "names_and_orgs", "parse_response", "normalise_labels",
+__all__ = ["page_text", "prompt_text", "names_and_orgs", "parse_response", "normalise_labels",
            "fixed_labels", "rename_typerole", "rename_mediatype"]

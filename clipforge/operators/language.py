@@ -11,9 +11,9 @@ Profile: bigram counts per language. Score of a text for a language:
 smoothing, ``V`` distinct bigrams overall); the highest score wins, ties to the
 smaller language code. Deterministic, unlike sampling detectors.
 
-The smoothing term is carried as one extra "bigram" per language (weight
-``-ln(N + V)``, count = number of bigrams of the text), so scoring is one
-equi-join on the bigram and one aggregate.
+The score splits into ``sum(count * ln(n + 1))`` over the bigrams that the
+language has (an equi-join on the bigram) and ``-(bigrams of the text) * ln(N + V)``,
+which is added per language after the sum: no key is shared by all texts.
 """
 
 from __future__ import annotations
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from clipforge.functions import constants as C
 from clipforge.functions.text import col_
 
-SENTINEL = "##"  # not a bigram: bigrams hold letters and spaces only
-
 
 def words_lower(c) -> Column:
     return F.regexp_extract_all(F.lower(col_(c)), F.lit(r"\p{L}+"), 0)
@@ -55,23 +53,23 @@ def language_profile(train: DataFrame, text_col: str = "text", lang_col: str = "
     return _gram_counts(t, ["lang"], "_t").withColumnRenamed("cnt", "n")
 
 
-def _weights(profile: DataFrame) -> DataFrame:
-    v = profile.select(F.count_distinct("gram")).scalar()
-    totals = profile.groupBy("lang").agg(F.sum("n").alias("N"))
-    base = totals.select("lang", F.lit(SENTINEL).alias("gram"), (-F.log(F.col("N") + v)).alias("w"))
-    seen = profile.select("lang", "gram", F.log(F.col("n") + 1).alias("w"))
-    return seen.unionByName(base)
-
-
 def identify_language(df: DataFrame, id_col: str, text_col: str, profile: DataFrame) -> DataFrame:
     """(id, lang, score) for each row with at least one letter; others get no row
     (detection failure). ``profile`` is read three times: pass a stored table."""
     rows = df.where(has_letters(text_col)).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     grams = _gram_counts(rows, ["_id"], "_t")
-    totals = grams.groupBy("_id").agg(F.sum("cnt").alias("cnt")).withColumn("gram", F.lit(SENTINEL))
-    scored = grams.unionByName(totals).join(_weights(profile), "gram") \
-        .groupBy("_id", "lang").agg(F.sum(F.col("cnt") * F.col("w")).alias("score"))
-    best = scored.groupBy("_id").agg(F.min(F.struct((-F.col("score")).alias("neg"), "lang")).alias("_b"))
+    seen = (grams.join(profile.select("lang", "gram", F.log(F.col("n") + 1).alias("w")), "gram")
+            .groupBy("_id", "lang").agg(F.sum(F.col("cnt") * F.col("w")).alias("part")))
+    v = profile.select(F.count_distinct("gram")).scalar()
+    base = profile.groupBy("lang").agg(F.sum("n").alias("N")).select("lang", (-F.log(F.col("N") + v)).alias("w"))
+    # one small row holding every language's base weight, as a scalar
+    langs = base.agg(F.collect_list(F.struct("lang", "w"))).scalar()
+    totals = (grams.groupBy("_id").agg(F.sum("cnt").alias("cnt"))
+              .select("_id", "cnt", F.explode(langs).alias("b"))
+              .select("_id", F.col("b.lang").alias("lang"), (F.col("cnt") * F.col("b.w")).alias("part")))
+    scored = seen.unionByName(totals).groupBy("_id", "lang").agg(F.sum("part").alias("score"))
+    # at most one entry per language and text
+    best = scored.groupBy("_id").agg(F.array_min(F.collect_list(F.struct((-F.col("score")).alias("neg"), "lang"))).alias("_b"))
     return best.select(F.col("_id").alias(id_col), F.col("_b.lang").alias("lang"), (-F.col("_b.neg")).alias("score"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
 from clipforge.functions.text import WS, col_, split_ws, strip_ws
+from clipforge.session import written
 
 _ELLIPSIS = rf"{WS}*\.\.\.$"
 
@@ -83,25 +84,24 @@ def _subsume_rows(df: DataFrame, id_col: str, name_col: str, against: DataFrame
 
 def clean_mentions(df: DataFrame, id_col: str, names_col: str, blacklist=C.BLACKLIST_NAMES,
                    patterns=C.UNWANTED_TERM_PATTERNS, materialise: bool = True) -> DataFrame:
-    """(id, mention) rows: the final mentions of each article.
+    """(id, mention, first_pos): the final mentions of each article with the place (from
+    0) of the first raw name that gave them.
 
     Black list and first subsumption (against every multi-word name of the
     article, black-listed ones too), cleaning, second subsumption (against the
     survivors). Runs on exploded rows with anti joins on (article, word), so the
     cost is linear in the mentions and no article is gathered into one row.
     The exploded names are read by two branches; with ``materialise`` they are
-    checkpointed once so the upstream extraction is not run twice.
+    written once so the upstream extraction is not run twice.
     """
-    names = df.select(F.col(id_col), F.explode(F.array_distinct(names_col)).alias("mention"))
+    names = df.select(F.col(id_col), F.posexplode(F.array_distinct(names_col)).alias("first_pos", "mention"))
     if materialise:
-        from clipforge.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        names = names.checkpoint(eager=True)
+        names = written(names, "mentions")
     bl = [b.lower() for b in blacklist]
     kept = names.where(~F.lower("mention").isin(bl)) if bl else names
     first = _subsume_rows(kept, id_col, "mention", against=names)
-    cleaned = first.select(id_col, clean_name("mention", patterns).alias("mention")).where(F.col("mention") != "") \
-        .distinct()
+    cleaned = first.select(id_col, clean_name("mention", patterns).alias("mention"), "first_pos").where(F.col("mention") != "") \
+        .groupBy(id_col, "mention").agg(F.min("first_pos").alias("first_pos"))
     return _subsume_rows(cleaned, id_col, "mention")
 
 

@@ -44,6 +44,10 @@ def positions(df: DataFrame, order_cols: list, group_cols: list | None = None,
     w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    joined = local.join(stats, on=["_pid", *group_cols], how="inner")
-    return (joined.withColumn(out_col, joined["_li"] - joined["_first"] + joined["_off"] + 1)
-            .drop("_pid", "_li", "_first", "_n", "_off"))
+    offs = stats.select(F.col("_pid").alias("_opid"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first", "_off")
+    same = F.col("_pid") == F.col("_opid")
+    for i, c in enumerate(group_cols):  # a null group is a group like any other
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = local.join(offs, same, "inner")
+    return (joined.withColumn(out_col, F.col("_li") - F.col("_first") + F.col("_off") + 1)
+            .drop("_pid", "_li", "_opid", "_first", "_off", *[f"_g{i}" for i in range(len(group_cols))]))

@@ -1,14 +1,16 @@
-"""``(A1 OR A2 ...) NEAR/k (B1 OR B2 ...)`` over a documents table.
+"""``(A1 OR A2 ...) NEAR/k (B1 OR B2 ...)`` over a documents table, many queries at once.
 
+Queries are rows of a phrase table: (query, side, phrase) with side ``a`` or ``b``.
 Phrases are lower-case word sequences; a document's words are its runs of
 letters, lower-cased, numbered from 0. A phrase occurs at ``p`` when words
 ``p .. p+len-1`` equal it. An A occurrence is a hit when some B occurrence
 starts at most ``k`` words before or after it.
 
-Only words of the phrases survive the first filter, so the per-document window
-that checks phrase continuity and the RANGE window that checks the distance
-see the hits alone; each document's rows stay in one partition of bounded size
-(the document's own words).
+Phrases meet documents by equi-join: every word of every phrase is a row (phrase,
+place, word), a document's word at position p that is a phrase's i-th word votes for
+the phrase at p - i, and a phrase occurs where it has all its votes. So the cost
+follows the occurrences of phrase words, not the number of queries, and no
+expression grows with the phrase list.
 """
 
 from __future__ import annotations
@@ -17,41 +19,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
-from clipforge.functions.text import WORD
+from clipforge.functions.text import WORD, words_of
+from clipforge.session import written
 
 
-def _phrases(ps) -> list[list[str]]:
-    return [p.lower().split() for p in ps if p.strip()]
-
-
-def proximity_hits(docs: DataFrame, id_col: str, text_col: str, a_phrases: list, b_phrases: list,
+def proximity_hits(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame,
                    distance: int = C.NEAR_DISTANCE) -> DataFrame:
-    """(id, hits): documents with at least one A occurrence near a B occurrence;
-    ``hits`` counts such A occurrences."""
-    A, B = _phrases(a_phrases), _phrases(b_phrases)
-    vocab = sorted({w for p in A + B for w in p})
-    maxlen = max(len(p) for p in A + B)
-    toks = (docs.select(F.col(id_col).alias("_id"), F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), 0))
-                        .alias("pos", "tok"))
-            .where(F.col("tok").isin(vocab)))
-    w = Window.partitionBy("_id").orderBy("pos")
-    for j in range(1, maxlen):
-        toks = toks.withColumn(f"_t{j}", F.lead("tok", j).over(w)).withColumn(f"_p{j}", F.lead("pos", j).over(w))
-
-    def occurs(phrase):
-        cond = F.col("tok") == phrase[0]
-        for j, word in enumerate(phrase[1:], start=1):
-            cond = cond & (F.col(f"_t{j}") == word) & (F.col(f"_p{j}") == F.col("pos") + j)
-        return cond
-
-    def any_of(ps):
-        c = F.lit(False)
-        for p in ps:
-            c = c | occurs(p)
-        return c
-
-    ev = toks.select("_id", "pos", any_of(A).alias("is_a"), any_of(B).alias("is_b")).where("is_a OR is_b")
-    near = Window.partitionBy("_id").orderBy("pos").rangeBetween(-distance, distance)
-    ev = ev.withColumn("_b_near", F.sum(F.col("is_b").cast("int")).over(near))
-    hit = ev.where(F.col("is_a") & (F.col("_b_near") - F.when(F.col("is_b"), 1).otherwise(0) > 0))
-    return hit.groupBy("_id").agg(F.count(F.lit(1)).alias("hits")).withColumnRenamed("_id", id_col)
+    """(query, id, hits): documents with at least one A occurrence near a B occurrence of
+    a query; ``hits`` counts such A occurrences (positions).
+
+    ``phrases``: (query, side, phrase). Phrases without a word are ignored."""
+    p = (phrases.select("query", "side", words_of(F.lower("phrase")).alias("ws")).where(F.size("ws") > 0))
+    distinct = p.select(F.xxhash64("ws").alias("ph"), "ws").distinct()
+    uses = p.select("query", "side", F.xxhash64("ws").alias("ph")).distinct()
+    # A phrase is looked up by its first word; the other words must then follow.
+    firsts = distinct.select("ph", F.size("ws").alias("len"), F.posexplode("ws").alias("i", "tok"))
+    toks = docs.select(F.col(id_col).alias("_id"),
+                       F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), 0)).alias("pos", "tok"))
+    votes = toks.join(firsts, "tok").select("_id", "ph", "len", (F.col("pos") - F.col("i")).alias("at"))
+    occurs = (votes.groupBy("_id", "ph", "len", "at").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") == F.col("len")).select("_id", "ph", "at"))
+    ev = (written(occurs, "phrase_places").join(uses, "ph").groupBy("query", "_id", "at")
+          .agg(F.max((F.col("side") == "a").cast("int")).alias("is_a"), F.max((F.col("side") == "b").cast("int")).alias("is_b")))
+    near = Window.partitionBy("query", "_id").orderBy("at").rangeBetween(-distance, distance)
+    ev = ev.withColumn("_b_near", F.sum("is_b").over(near))
+    hit = ev.where((F.col("is_a") == 1) & (F.col("_b_near") - F.col("is_b") > 0))
+    return hit.groupBy("query", "_id").agg(F.count(F.lit(1)).alias("hits")).withColumnRenamed("_id", id_col)
+
+
+def query_phrases(members: DataFrame, limit: int = C.NAMES_PER_QUERY, name_en: str = C.INSTITUTION_NAME_ENGLISH,
+                  name_nl: str = C.INSTITUTION_NAME_DUTCH) -> DataFrame:
+    """The phrase table of the queries that :func:`operators.units.unit_queries` writes:
+    side a the institution's names, side b the names of one chunk of a faculty."""
+    from clipforge.operators.units import numbered_names
+    n = numbered_names(members, limit).select(F.concat_ws("#", "faculty", F.col("chunk").cast("string")).alias("query"), "name_variant")
+    b = n.select("query", F.lit("b").alias("side"), F.col("name_variant").alias("phrase"))
+    a = n.select("query").distinct().select("query", F.lit("a").alias("side"),
+                                            F.explode(F.array(F.lit(name_en), F.lit(name_nl))).alias("phrase"))
+    return a.unionByName(b)

@@ -128,12 +128,13 @@ def payload_json(*args, **kw) -> Column:
 # --- XML -----------------------------------------------------------------------------
 
 def record_ids(df: DataFrame, order_cols: list, run_stamp: str, prefix: str = C.RECORD_ID_PREFIX) -> DataFrame:
-    """``<prefix>-<i>-<run stamp>`` with ``i`` the 0-based position in the given
-    total order (range-partitioned numbering, no single-task window)."""
-    n = positions(df, order_cols=order_cols, out_col="_pos")
-    return n.withColumn("record_id", F.concat(F.lit(f"{prefix}-"), (F.col("_pos") - 1).cast("string"),
-                                              F.lit(f"-{run_stamp}"))).withColumn("record_no", F.col("_pos") - 1) \
-        .drop("_pos")
+    """``<prefix>-<i>-<run stamp>`` with ``i`` the 0-based position in the given total order
+    (unique, not null): only the order columns are numbered (range-partitioned, no
+    single-task window) and the numbers joined back to the records."""
+    n = positions(df.select(*order_cols), order_cols=order_cols, out_col="_pos")
+    return df.join(n, order_cols).withColumn("record_id", F.concat(
+        F.lit(f"{prefix}-"), (F.col("_pos") - 1).cast("string"), F.lit(f"-{run_stamp}"))) \
+        .withColumn("record_no", F.col("_pos") - 1).drop("_pos")
 
 
 def xml_clipping(record_id, title, date, persons, media_name, url, labels,

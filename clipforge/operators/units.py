@@ -23,6 +23,18 @@ def org_phrase(name_en: str = C.INSTITUTION_NAME_ENGLISH, name_nl: str = C.INSTI
     return f'("{name_en.title()}" OR "{name_nl.title()}")'
 
 
+def numbered_names(members: DataFrame, limit: int = C.NAMES_PER_QUERY) -> DataFrame:
+    """Distinct (faculty, name_variant) with ``pos`` (from 1) in first-appearance order and the ``chunk``
+    of ``limit`` names it falls in.
+
+    Distinct names: a hash aggregate (map-side combined). Positions: range
+    partitioned, so a faculty holding most names is still spread over tasks.
+    """
+    firsts = members.groupBy("faculty", "name_variant").agg(F.min("row_pos").alias("first_pos"))
+    numbered = positions(firsts, order_cols=["first_pos", "name_variant"], group_cols=["faculty"])
+    return numbered.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(limit)).cast("long"))
+
+
 def unit_queries(members: DataFrame, limit: int = C.NAMES_PER_QUERY,
                  name_en: str = C.INSTITUTION_NAME_ENGLISH,
                  name_nl: str = C.INSTITUTION_NAME_DUTCH,
@@ -30,13 +42,9 @@ def unit_queries(members: DataFrame, limit: int = C.NAMES_PER_QUERY,
     """Distinct names per faculty in first-appearance order, cut into runs of
     ``limit``, each written as ``(<org>) NEAR/50 ("n1" OR "n2" ...)``.
 
-    Distinct names: a hash aggregate (map-side combined). Positions: range
-    partitioned, so a faculty holding most names is still spread over tasks.
     Each output group holds at most ``limit`` names.
     """
-    firsts = members.groupBy("faculty", "name_variant").agg(F.min("row_pos").alias("first_pos"))
-    numbered = positions(firsts, order_cols=["first_pos", "name_variant"], group_cols=["faculty"])
-    chunked = numbered.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(limit)).cast("long"))
+    chunked = numbered_names(members, limit)
     grouped = chunked.groupBy("faculty", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("pos", "name_variant"))).alias("names"))
     quoted = F.transform("names", lambda x: F.concat(F.lit('"'), x["name_variant"], F.lit('"')))

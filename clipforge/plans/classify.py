@@ -19,12 +19,13 @@ from clipforge.functions import constants as C
 from clipforge.operators.duplicates import keep_first
 from clipforge.operators.entities import nest_resolved, resolve_mentions
 from clipforge.operators.labels import names_and_orgs, normalise_labels, page_text, parse_response, prompt_text, \
-    visible_text, _template_parts
+    rename_mediatype, _template_parts
 from clipforge.operators.lookups import dictionary_tags, faculty_code, fill_source_urls, workflow
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.entities import _RESOLVE_SQL, directory, mentions, organisations
 from clipforge.plans.parsing import page_titles
 from clipforge.plans.registry import register
+from clipforge.sources.mail import page_visible_text
 from clipforge.sources.tables import Tables
 
 SOURCE_MAP_STANDIN = {f"src{i}": f"https://www.src{i}.example" for i in (0, 2, 4, 6, 8, 10)}
@@ -46,8 +47,9 @@ FROM a LEFT JOIN f ON a.url = f.url
 def q_page_text(spark, data_dir):
     pages = Tables(spark, data_dir).spread("pages", "page_id", "url", "html")
     arts = page_titles(pages).join(pages.select("page_id", "url"), "page_id")
-    fetched = keep_first(pages.where(F.col("url").startswith("https")).select("page_id", "url", "html"),
-                         ["url"], "page_id").select("url", visible_text("html").alias("text"))
+    firsts = keep_first(pages.where(F.col("url").startswith("https")).select("page_id", "url"), ["url"], "page_id")
+    texts = page_visible_text(pages.join(firsts.select("page_id"), "page_id", "left_semi"))
+    fetched = firsts.join(texts, "page_id").select("url", "text")
     return page_text(arts, fetched).select("page_id", "excerpt")
 
 
@@ -135,12 +137,13 @@ SELECT event_id,
   CASE WHEN researcher_role IN ('research cited', 'researchcited') THEN 'Coverage' ELSE 'Contribution' END AS media_type,
   CASE typerole WHEN 'public engagement activity' THEN 'publicengagement' WHEN 'expert comment' THEN 'exportcomment'
                 WHEN 'unknown' THEN 'other' ELSE typerole END AS typerole,
-  'yes' AS goodfit, Medium_type, article_degree
+  'yes' AS goodfit, Medium_type, article_degree,
+  CASE Medium_type """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.MEDIATYPE_RENAMES.items()) + """ ELSE Medium_type END AS medium_renamed
 FROM parsed""")
 def q_label_normalise(spark, data_dir):
     r = _responses(Tables(spark, data_dir)).select("event_id", normalise_labels(parse_response("response")).alias("l"))
     return r.select("event_id", "l.researcher_role", "l.media_type", "l.typerole", "l.goodfit", "l.Medium_type",
-                    "l.article_degree")
+                    "l.article_degree", rename_mediatype("l.Medium_type").alias("medium_renamed"))
 
 
 # --- lookups --------------------------------------------------------------------------

@@ -1,8 +1,7 @@
 """Entity resolution over documents (directory) and conversations (articles).
 
 Stand-in directory, built from ``documents`` in the directory's nested schema:
-a person is a distinct lower-cased word of ten or more letters; ``pos`` is the
-first document holding it; its Employee ID is ``E<first non-Spanish document>``
+a person is a distinct lower-cased word; ``pos`` is the first document holding it; its Employee ID is ``E<first non-Spanish document>``
 (persons found only in Spanish documents have no Employee ID); it has one
 association per source it occurs in, from day ``floor(min(doc_id) / 10)`` to day
 ``max(doc_id)`` after 2000-01-01, open-ended for ``src0``.
@@ -10,8 +9,7 @@ Organisations: one per source, type segment by the source's last digit
 (1 -> r01, 2 -> 003, 3 -> 004x, else 005); sources ending in 9 are unknown.
 
 Articles are conversations dated ``2000-01-01 08:30 + conv_id days``; their
-mentions are the words of ten or more letters of all turns (first position
-kept). Affiliations use supplier shipping periods, units use nations.
+mentions are the words of all turns (first position kept). Affiliations use supplier shipping periods, units use nations.
 """
 
 from __future__ import annotations
@@ -23,14 +21,14 @@ from clipforge.functions.text import WORD
 from clipforge.operators.entities import active_affiliations, match_mentions, org_lookup, resolve_mentions
 from clipforge.operators.fuzzy import deletion_variants
 from clipforge.plans.registry import register
+from clipforge.session import written
 from clipforge.sources.tables import Tables
 
 ORG_TYPE_BASE = "/dk/atira/pure/organisation/organisationtypes/organisation/"
 
 
 def _doc_words(t):
-    w = F.explode(F.array_distinct(F.filter(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0),
-                                            lambda x: F.length(x) >= 10)))
+    w = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)))
     return t.spread("documents", "doc_id", "source", "lang", "text").select("doc_id", "source", "lang", w.alias("w"))
 
 
@@ -40,11 +38,9 @@ def _day(n):
 
 def _materialise(df):
     """The directory and mentions are tables in a real run; here they are derived
-    from the given tables, so they are written once (reliable checkpoint to the
-    shared folder) instead of being re-derived by every join that reads them."""
-    from clipforge.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from the given tables, so they are written once to the shared folder
+    instead of being re-derived by every join that reads them."""
+    return written(df, "derived")
 
 
 def directory(t):
@@ -67,7 +63,7 @@ def _directory(t):
                                     F.struct(F.struct(F.lit("Other").alias("en_GB")).alias("term")).alias("type"))))
     name_t = "struct<name:struct<firstName:string,lastName:string>>"
     return (people.join(assocs, "w")
-            .select(F.col("pos").cast("int").alias("pos"), F.col("w").alias("uuid"),
+            .select("pos", F.col("w").alias("uuid"),
                     F.struct(F.col("w").alias("firstName"), F.lit(None).cast("string").alias("lastName")).alias("name"),
                     F.array().cast(f"array<{name_t}>").alias("names"),
                     ident.alias("identifiers"), "staffOrganizationAssociations"))
@@ -89,8 +85,8 @@ def mentions(t):
 def _mentions(t):
     c = t.spread("conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), 0))
                                .alias("idx", "mention"))
-    c = c.where(F.length("mention") >= 10)
-    m = c.groupBy("conv_id", "mention").agg(F.min(F.col("turn") * 1000000 + F.col("idx")).alias("mention_pos"))
+    place = F.shiftleft(F.col("turn").cast("long"), 32) + F.col("idx")  # an array holds fewer than 2^31 words
+    m = c.groupBy("conv_id", "mention").agg(F.min(place).alias("mention_pos"))
     ts = F.timestamp_add("DAY", F.col("conv_id"), F.lit("2000-01-01 08:30:00").cast("timestamp_ntz"))
     return m.select(F.col("conv_id").alias("article_id"), "mention_pos", "mention", ts.alias("ts"))
 
@@ -99,8 +95,7 @@ def _mentions(t):
 
 _WORDS_SQL = r"""
 doc_words AS (SELECT DISTINCT doc_id, source, lang, w FROM
-  (SELECT doc_id, source, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents)
-  WHERE length(w) >= 10),
+  (SELECT doc_id, source, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents)),
 dir AS (SELECT w AS uuid, min(doc_id) AS pos, min(doc_id) FILTER (WHERE lang <> 'es') AS emp_doc
         FROM doc_words GROUP BY w)
 """
@@ -122,8 +117,8 @@ def _variants_sql(src: str, name: str) -> str:
 _MENTIONS_SQL = r"""
 conv_toks AS (SELECT conv_id, turn, unnest(toks) AS mention, unnest(range(0, len(toks))) AS idx
               FROM (SELECT conv_id, turn, regexp_extract_all(text, '\p{L}+') AS toks FROM conversations)),
-ments AS (SELECT conv_id AS article_id, mention, min(turn * 1000000 + idx) AS mention_pos
-          FROM conv_toks WHERE length(mention) >= 10 GROUP BY 1, 2),
+ments AS (SELECT conv_id AS article_id, mention, min(CAST(turn AS BIGINT) * 4294967296 + idx) AS mention_pos
+          FROM conv_toks GROUP BY 1, 2),
 ments_ts AS (SELECT *, TIMESTAMP '2000-01-01 08:30:00' + to_days(CAST(article_id AS INTEGER)) AS ts FROM ments),
 mkeys AS (SELECT DISTINCT lower(mention) AS w FROM ments),
 dkeys AS (SELECT DISTINCT uuid AS w FROM dir)

@@ -1,32 +1,34 @@
 """Block extraction, titles, dates, language and mentions over pages, orders and documents.
 
-Stand-ins: an article block is a web page of ``pages``; its headline is the
+Stand-ins: a mail is a document written as mail HTML. Elsewhere an article block is a web page of ``pages``; its headline is the
 ``<h1>``; its labelled person list is the navigation labels (``<li><a>``) read
-as ``Personen: a, b, ...``; its highlighted tokens are the words of the first
-``<b>`` run. Harvest dates are ``orders.o_orderdate`` written as mail text:
+as ``Personen: a, b, ...`` and two more names (the first with an institution before it,
+and a black-listed one); its highlighted tokens are the words of all ``<b>`` runs; its
+block text names the first two labels after ``Faculteit ... /``. Harvest dates are ``orders.o_orderdate`` written as mail text:
 Dutch month names with a dot for status F, capitalised for status O, English
 for status P (so March, May and October fail to parse, as they would in the
 mails). Language profiles are learned from all ``documents`` (text, lang) and
 applied to page headlines; the stand-in allow list is en, fr. Mention cleanup
-uses the page junk markers as unwanted terms and ``the``/``and`` as black list.
+adds the page junk markers to the unwanted terms and ``the``/``and`` to the black list.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clipforge.functions.text import WS, clean_title, html_unescape_basic, parse_dutch_datetime, split_ws
+from clipforge.functions import constants as C
+from clipforge.functions.text import WS, clean_title, html_escape, html_unescape_basic, parse_dutch_datetime, split_ws
 from clipforge.operators.language import filter_languages, identify_language, language_profile
-from clipforge.operators.mentions import clean_mentions, highlight_names, labelled_names, raw_mentions, \
-    subsume_partials
+from clipforge.operators.mentions import clean_mentions, faculty_names, raw_mentions, subsume_partials
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.registry import register
-from clipforge.sources.mail import page_blocks
+from clipforge.sources.mail import extract_blocks_from_html
 from clipforge.sources.tables import Tables
+from clipforge.streaming.intake import articles_from_blocks
 
 ALLOWED_STANDIN = ["en", "fr"]
-BLACKLIST_STANDIN = ["the", "and"]
-PATTERNS_STANDIN = ["%%%", r"\*\*\*", "###", r"\$\$\$", "&&&"]
+BLACKLIST_STANDIN = [*C.BLACKLIST_NAMES, "the", "and"]
+PATTERNS_STANDIN = [*C.UNWANTED_TERM_PATTERNS, "%%%", r"\*\*\*", "###", r"\$\$\$", "&&&"]
 ENGLISH_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 DUTCH_MONTHS_SQL = "['jan','feb','mrt','apr','mei','jun','jul','aug','sep','okt','nov','dec']"
 
@@ -36,9 +38,47 @@ def page_titles(pages):
     return pages.where(F.col("html").rlike("<h1>")).select("page_id", clean_title(html_unescape_basic(raw)).alias("title"))
 
 
-@register("page_blocks")
-def q_page_blocks(spark, data_dir):
-    return page_blocks(Tables(spark, data_dir).spread("pages", "page_id", "html"))
+def _mails(docs):
+    """One mail's HTML per document: a block with a headline link, date, source and body, one
+    without a headline and one whose date is none. The month list has a thirteenth name."""
+    from clipforge.functions.constants import DUTCH_MONTHS
+    n = F.col("doc_id")
+    month = F.element_at(F.array(*[F.lit(m) for m in [*DUTCH_MONTHS, "foo"]]), (n % 13 + 1).cast("int"))
+    date = F.concat(F.lit("| "), (n % 31 + 1).cast("string"), F.lit(" "), month, F.lit(" 2024 "), F.lpad((n % 24).cast("string"), 2, "0"), F.lit(":30"))
+    url = F.concat(F.lit("https://news.example/"), n.cast("string"), F.lit("?q="), F.repeat(F.lit("x"), (n % 2000).cast("int")))
+    title = html_escape(F.concat(F.lit("-- "), F.substring("text", 1, 60), F.lit(" | R&D")))
+    head = lambda t: F.concat(F.lit(f'<a class="{C.HEADLINE_CLASS}" href="'), html_escape(url), F.lit('">'), t, F.lit("</a>"))
+    tag = lambda name, cls, t: F.concat(F.lit(f'<{name} class="{cls}">'), t, F.lit(f"</{name}>"))
+    row = f'<tr class="{C.ARTICLE_BLOCK_CLASS}"><td>'
+    html = F.concat(
+        F.lit("<html><body><style>p{}</style><table>" + row + '<a href="x">no headline</a></td></tr>' + row), head(title),
+        tag("span", C.HARVEST_DATE_CLASS, date), F.when(n % 5 > 0, tag("a", C.SOURCE_NAME_CLASS, html_escape(F.concat(F.lit(" "), "source", F.lit("\n| & Co"))))).otherwise(""),
+        F.lit("<div>Faculteit Geo / "), html_escape(F.translate(F.substring("text", 1, 80), "/", " ")), F.lit(" ... / end</div></td></tr>" + row), head(F.lit("undated")), F.lit("</td></tr></table></body></html>"))
+    code = F.when(n % 4 == 0, "GEO").when(n % 4 == 1, "Beta 2").when(n % 4 == 2, "Rechten")
+    path = F.concat(F.lit("/mail/Alert "), F.when(code.isNotNull(), F.concat(F.lit("faculteit "), code, F.lit(" - "))).otherwise(""), n.cast("string"), F.lit(".eml"))
+    return docs.select(path.alias("path"), html.alias("html"))
+
+
+_NAME_SQL = f"regexp_replace({S.strip("replace(substr(text, 1, 80), '/', ' ') || ' ... '")}, {S.q(WS + '*')} || '\\.\\.\\.$', '')"
+
+
+@register("mail_articles", sql=f"""
+WITH d AS (SELECT *, {DUTCH_MONTHS_SQL}[doc_id % 13 + 1] AS mon, doc_id % 13 + 1 AS mno, doc_id % 31 + 1 AS dno FROM documents)
+SELECT '/mail/Alert ' || CASE doc_id % 4 WHEN 0 THEN 'faculteit GEO - ' WHEN 1 THEN 'faculteit Beta 2 - '
+         WHEN 2 THEN 'faculteit Rechten - ' ELSE '' END || doc_id || '.eml' AS path, 1 AS block_no,
+       {S.clean_title("'-- ' || substr(text, 1, 60) || ' | R&D'")} AS title,
+       substr('https://news.example/' || doc_id || '?q=' || repeat('x', CAST(doc_id % 2000 AS INTEGER)), 1, 1024) AS url,
+       strftime(make_timestamp(2024, mno, dno, doc_id % 24, 30, 0), '%Y-%m-%d %H:%M') AS ts,
+       CASE WHEN doc_id % 5 > 0 THEN source || ' & Co' ELSE 'Unknown' END AS source,
+       CASE doc_id % 4 WHEN 0 THEN 'GEO' WHEN 1 THEN 'BETA' WHEN 2 THEN 'Rechten' END AS faculty,
+       {_NAME_SQL} AS names
+FROM d WHERE mon IS NOT NULL AND dno <= day(last_day(make_date(2024, mno, 1)))
+""")
+def q_mail_articles(spark, data_dir):
+    docs = Tables(spark, data_dir).spread("documents", "doc_id", "source", "text")
+    arts = articles_from_blocks(extract_blocks_from_html(_mails(docs), "path", "html"))
+    return arts.select("path", "block_no", "title", "url", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("ts"), "source", "faculty",
+                       F.array_join(faculty_names("block_text"), "|").alias("names"))
 
 
 @register("article_titles", sql=f"SELECT page_id, {S.h1_title()} AS title FROM pages WHERE regexp_matches(html, '<h1>')")
@@ -139,20 +179,29 @@ def q_language_filter(spark, data_dir):
 
 def _page_parts(pages):
     labels = F.transform(F.regexp_extract_all("html", F.lit(r"<li><a[^>]*>([^<]*)</a>"), 1), html_unescape_basic)
-    bold = html_unescape_basic(F.regexp_extract("html", r"<b>([^<]*)", 1))
-    return pages.select("page_id", F.array(F.concat(F.lit("Personen: "), F.array_join(labels, ", "))).alias("labelled"),
-                        split_ws(bold).alias("toks"))
+    bold = F.flatten(F.transform(F.regexp_extract_all("html", F.lit(r"<b>([^<]*)"), 1), lambda x: split_ws(html_unescape_basic(x))))
+    one = F.coalesce(F.get("labels", F.lit(0)), F.lit(""))
+    two = F.coalesce(F.get("labels", F.lit(1)), F.lit(""))
+    listed = F.concat(F.lit("Personen: "), F.array_join("labels", ", "), F.lit(", Universiteit Utrecht "), one, F.lit(", Anton Pijpers"))
+    block = F.concat(F.lit("Faculteit Geo / "), one, F.lit("\nFaculteit Beta / "), two, F.lit(" ..."))
+    return (pages.select("page_id", labels.alias("labels"), bold.alias("toks"))
+            .select("page_id", F.array(listed).alias("labelled"), block.alias("block"), "toks"))
 
 
 _WSQ = S.q(WS + "*")
 _MENTION_SQL = f"""
-p AS (SELECT page_id,
+p0 AS (SELECT page_id,
              list_transform(regexp_extract_all(html, '<li><a[^>]*>([^<]*)</a>', 1), lambda x: {S.unescape('x')}) AS labels,
-             {S.split_ws(S.unescape("regexp_extract(html, '<b>([^<]*)', 1)"))} AS toks
+             flatten(list_transform(regexp_extract_all(html, '<b>([^<]*)', 1), lambda y: {S.split_ws(S.unescape('y'))})) AS toks
       FROM pages),
-lab AS (SELECT page_id, unnest(string_split_regex(regexp_replace('Personen: ' || array_to_string(labels, ', '),
-                 'Personen:' || {_WSQ}, '', 'g'), ',' || {_WSQ})) AS raw FROM p),
-lab2 AS (SELECT page_id, regexp_replace({S.strip('raw')}, {_WSQ} || '\\.\\.\\.$', '') AS mention FROM lab),
+p AS (SELECT *, 'Personen: ' || array_to_string(labels, ', ') || ', Universiteit Utrecht ' || coalesce(labels[1], '')
+                || ', Anton Pijpers' AS listed,
+             'Faculteit Geo / ' || coalesce(labels[1], '') || chr(10) || 'Faculteit Beta / ' || coalesce(labels[2], '')
+                || ' ...' AS block FROM p0),
+lab AS (SELECT page_id, unnest(string_split_regex(regexp_replace(listed, 'Personen:' || {_WSQ}, '', 'g'), ',' || {_WSQ})) AS raw FROM p),
+fac AS (SELECT page_id, unnest(regexp_extract_all(block, {S.q(C.FACULTY_NAME_PATTERN)}, 1)) AS raw FROM p),
+lab2 AS (SELECT page_id, regexp_replace({S.strip('raw')}, {_WSQ} || '\\.\\.\\.$', '') AS mention FROM lab
+         UNION ALL SELECT page_id, regexp_replace(regexp_replace({S.strip('raw')}, '\\nFaculteit [^/]+', '', 'g'), {_WSQ} || '\\.\\.\\.$', '') FROM fac),
 hl AS (SELECT page_id, array_to_string(toks, ' ') AS mention FROM p WHERE len(toks) BETWEEN 1 AND 6
        UNION ALL SELECT page_id, toks[i] || ' ' || toks[i + 1] FROM
          (SELECT page_id, toks, unnest(range(1, len(toks))) AS i FROM p)
@@ -164,15 +213,14 @@ m AS (SELECT DISTINCT page_id, mention FROM (SELECT * FROM lab2 UNION ALL SELECT
 @register("mention_extract", sql=f"WITH {_MENTION_SQL} SELECT page_id, mention FROM m")
 def q_mention_extract(spark, data_dir):
     p = _page_parts(Tables(spark, data_dir).spread("pages", "page_id", "html"))
-    names = F.array_distinct(F.concat(labelled_names("labelled"), highlight_names("toks")))
-    return p.select("page_id", F.explode(names).alias("mention"))
+    return p.select("page_id", F.explode(raw_mentions("labelled", "block", "toks")).alias("mention"))
 
 
 def _subsume_sql(src: str, out: str, blacklist: list | None) -> str:
     sp = S.split_ws("mention")
     bl = ""
     if blacklist:
-        bl = "AND lower(mention) NOT IN (" + ", ".join(S.q(b) for b in blacklist) + ")"
+        bl = "AND lower(mention) NOT IN (" + ", ".join(S.q(b.lower()) for b in blacklist) + ")"
     return f"""
 {out}_w AS (SELECT DISTINCT page_id, lower(w) AS w FROM
               (SELECT page_id, unnest({sp}) AS w FROM {src} WHERE len({sp}) > 1)),
@@ -197,8 +245,8 @@ cleaned2 AS (SELECT * FROM cleaned WHERE mention <> '')
 @register("mention_cleanup", sql=_CLEANUP_SQL + " SELECT page_id, mention FROM pass2")
 def q_mention_cleanup(spark, data_dir):
     p = _page_parts(Tables(spark, data_dir).spread("pages", "page_id", "html"))
-    raw = p.select("page_id", raw_mentions(labelled_texts=F.col("labelled"), highlighted=F.col("toks")).alias("names"))
-    return clean_mentions(raw, "page_id", "names", blacklist=BLACKLIST_STANDIN, patterns=PATTERNS_STANDIN)
+    raw = p.select("page_id", raw_mentions("labelled", "block", "toks").alias("names"))
+    return clean_mentions(raw, "page_id", "names", blacklist=BLACKLIST_STANDIN, patterns=PATTERNS_STANDIN).select("page_id", "mention")
 
 
 @register("subsume_partials", sql=f"""

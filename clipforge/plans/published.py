@@ -1,9 +1,10 @@
 """Already-published check, article status and run counts over the events table.
 
 Stand-in: an incoming article is an event of type click, view or error; its
-title is `` item <k> `` with ``k`` from the ``props`` JSON, its persons the
-event's ``user_id``. A published item is a purchase event with title
-``ITEM <k>``. The person directory is the signup events: a user counts as
+title is made of ``k`` from the ``props`` JSON, its persons the event's
+``user_id``. A published item is a purchase event, its title made of its own ``k`` in
+another spelling with the same comparison key: plain ASCII in another case,
+``straße`` against ``STRASSE``, full-width letters, an entity against its character. The person directory is the signup events: a user counts as
 resolved for an article when a signup precedes it. Articles whose props lack
 ``k`` are malformed (``error``).
 
@@ -17,20 +18,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clipforge.operators.duplicates import already_published, keep_first, not_yet_published, \
-    published_article_ids
+    published_article_ids, published_table
 from clipforge.operators.status import article_status, outcome_counts, status_counts
 from clipforge.plans.registry import register
 from clipforge.sources.tables import Tables
 
+#: (article spelling, published spelling) by k modulo 4.
+SPELLINGS = [(" item ", "ITEM "), ("Straße ", " STRASSE "), ("\uff29\uff34\uff25\uff2d ", "item "), ("R&amp;D Caf&eacute; ", "r&d CAFÉ ")]
+
 _EV_SQL = r"""
 ev AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events),
-art AS (SELECT event_id, ' item ' || k || ' ' AS title, ts, user_id, k FROM ev
+art AS (SELECT event_id, CASE CAST(k AS INTEGER) % 4 WHEN 1 THEN 'Straße ' WHEN 2 THEN 'ＩＴＥＭ ' WHEN 3 THEN 'R&amp;D Caf&eacute; '
+                         ELSE ' item ' END || k || ' ' AS title, ts, user_id, k FROM ev
         WHERE event_type NOT IN ('purchase', 'signup')),
-pub AS (SELECT 'ITEM ' || k AS title, ts, user_id FROM ev WHERE event_type = 'purchase')
+pub AS (SELECT k, ts, user_id FROM ev WHERE event_type = 'purchase')
 """
-_MATCH = """EXISTS (SELECT 1 FROM pub p WHERE lower(trim(p.title)) = lower(trim(a.title))
+# Two titles have one key exactly when they are made of the same k.
+_MATCH = """EXISTS (SELECT 1 FROM pub p WHERE p.k = a.k
                   AND CAST(p.ts AS DATE) = CAST(a.ts AS DATE) AND p.user_id = a.user_id)"""
-_MATCH_R = """EXISTS (SELECT 1 FROM pub p WHERE lower(trim(p.title)) = lower(trim(r.title))
+_MATCH_R = """EXISTS (SELECT 1 FROM pub p WHERE p.k = r.k
                     AND CAST(p.ts AS DATE) = CAST(r.ts AS DATE) AND p.user_id = r.user_id)"""
 
 
@@ -38,15 +44,22 @@ def _events(spark, data_dir):
     return Tables(spark, data_dir).events.withColumn("k", F.get_json_object("props", "$.k"))
 
 
+def _spelled(which):
+    x = F.lit(SPELLINGS[0][which])
+    for i in (1, 2, 3):
+        x = F.when(F.col("k").cast("int") % 4 == i, F.lit(SPELLINGS[i][which])).otherwise(x)
+    return F.concat(x, "k")
+
+
 def _articles(ev):
     return (ev.where(~F.col("event_type").isin("purchase", "signup"))
-            .select("event_id", F.concat(F.lit(" item "), "k", F.lit(" ")).alias("title"), "ts",
+            .select("event_id", F.concat(_spelled(0), F.lit(" ")).alias("title"), "ts",
                     "user_id", "k", F.array("user_id").alias("persons")))
 
 
 def _published(ev):
     return (ev.where(F.col("event_type") == "purchase")
-            .select(F.concat(F.lit("ITEM "), "k").alias("pub_title"), F.col("ts").alias("pub_start"),
+            .select(_spelled(1).alias("pub_title"), F.col("ts").alias("pub_start"),
                     F.array("user_id").alias("pub_persons")))
 
 
@@ -138,3 +151,29 @@ def q_dedup_title_ids(spark, data_dir):
     kept = keep_first(a, key_cols=["_lt", "ids"], order_col="o_orderkey")
     return kept.select("o_orderkey", "title",
                        F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("person_ids"))
+
+
+# --- published items in their nested form --------------------------------------------
+
+@register("published_items", sql=r"""
+WITH ev AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'purchase')
+SELECT event_id, CASE WHEN event_id % 7 > 0 THEN 'Item ' || k END AS pub_title,
+       CASE WHEN event_id % 5 > 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS pub_start,
+       CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'E' || user_id ELSE 'E' || user_id || '|u' || user_id END AS persons
+FROM ev""")
+def q_published_items(spark, data_dir):
+    """Purchases as nested items, some without a title, a start date, a person or an external id."""
+    ev = _events(spark, data_dir).where(F.col("event_type") == "purchase")
+    n = F.col("event_id")
+    user = F.col("user_id").cast("string")
+    person = lambda ext, own: F.struct(F.struct(ext.cast("string").alias("externalId"), own.cast("string").alias("internalId")).alias("person"))
+    none = F.lit(None)
+    nobody = F.struct(F.lit(None).cast("struct<externalId:string,internalId:string>").alias("person"))
+    text = F.array(F.struct(F.concat(F.lit("Item "), "k").alias("value")))
+    items = ev.select(
+        "event_id", F.struct(F.when(n % 7 > 0, text).otherwise(F.slice(text, 1, 0)).alias("text")).alias("title"),
+        F.struct(F.when(n % 5 > 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("startDate")).alias("period"),
+        F.when(n % 3 == 0, F.array(nobody)).when(n % 3 == 1, F.array(nobody, person(F.concat(F.lit("E"), user), none)))
+        .otherwise(F.array(person(F.concat(F.lit("E"), user), F.concat(F.lit("u"), user)))).alias("personAssociations"))
+    return published_table(items, "event_id").select("event_id", "pub_title", F.col("pub_start").cast("string").alias("pub_start"),
+                                                     F.array_join("pub_persons", "|").alias("persons"))

@@ -7,13 +7,16 @@ suppliers on their orders, active when the order falls in 1996. The persons
 report is for ``R1`` and units below, with ascendants of type .../003; the
 roster covers ``R0``, ``R1``, ``R2``.
 
-Proximity stand-in: ``("the" OR "on the") NEAR/50 ("and" OR "it is")``.
+Proximity stand-in: a phrase table of many queries. Query ``q<i>`` for each benchmark
+item i: side a ``the`` and ``on the``; side b the item's first two words as a phrase, and
+its last word.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clipforge.functions.text import words_of
 from clipforge.operators.hierarchy import active_memberships, unit_closure, unit_report, unit_roster
 from clipforge.operators.proximity import proximity_hits
 from clipforge.plans.registry import register
@@ -24,7 +27,6 @@ REPORT_ROOTS = ["R1"]
 ROSTER_ROOTS = ["R0", "R1", "R2"]
 PERIOD = ("1996-01-01 00:00:00", "1996-12-31 00:00:00")
 NEAR_A = ["the", "on the"]
-NEAR_B = ["and", "it is"]
 
 
 def _units(spark, t):
@@ -115,18 +117,28 @@ def q_unit_roster(spark, data_dir):
     return unit_roster(_persons(t), _memberships(t), _units(spark, t), closure, ROSTER_ROOTS)
 
 
+def _query_table(spark, data_dir):
+    b = Tables(spark, data_dir).benchmark
+    ws = words_of(F.lower("text"))
+    q = b.select(F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("query"), ws.alias("ws")).where(F.size("ws") >= 2)
+    a = q.select("query", F.lit("a").alias("side"), F.explode(F.array(*[F.lit(x) for x in NEAR_A])).alias("phrase"))
+    near = F.array(F.concat_ws(" ", F.col("ws")[0], F.col("ws")[1]), F.element_at("ws", -1))
+    return a.unionByName(q.select("query", F.lit("b").alias("side"), F.explode(near).alias("phrase")))
+
+
 @register("proximity_search", sql=r"""
 WITH t AS (SELECT doc_id, unnest(toks) AS tok, unnest(range(0, len(toks))) AS pos
            FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS toks FROM documents)),
-f AS (SELECT * FROM t WHERE tok IN ('and', 'is', 'it', 'on', 'the')),
-l AS (SELECT *, lead(tok, 1) OVER w AS t1, lead(pos, 1) OVER w AS p1 FROM f
-      WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-ev AS (SELECT doc_id, pos, (tok = 'the' OR (tok = 'on' AND t1 = 'the' AND p1 = pos + 1)) AS is_a,
-              (tok = 'and' OR (tok = 'it' AND t1 = 'is' AND p1 = pos + 1)) AS is_b FROM l),
-ev2 AS (SELECT * FROM ev WHERE is_a OR is_b),
-n AS (SELECT *, sum(CAST(is_b AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos
-                                               RANGE BETWEEN 50 PRECEDING AND 50 FOLLOWING) AS bn FROM ev2)
-SELECT doc_id, count(*) AS hits FROM n WHERE is_a AND bn - (CASE WHEN is_b THEN 1 ELSE 0 END) > 0 GROUP BY 1
+l AS (SELECT *, lead(tok, 1) OVER (PARTITION BY doc_id ORDER BY pos) AS t1 FROM t),
+a AS (SELECT DISTINCT doc_id, pos FROM l WHERE tok = 'the' OR (tok = 'on' AND t1 = 'the')),
+q AS (SELECT 'q' || item_id AS query, ws FROM
+      (SELECT item_id, regexp_extract_all(lower(text), '\p{L}+') AS ws FROM benchmark) WHERE len(ws) >= 2),
+b AS (SELECT query, doc_id, pos FROM q JOIN l ON l.tok = ws[1] AND l.t1 = ws[2]
+      UNION SELECT query, doc_id, pos FROM q JOIN l ON l.tok = ws[len(ws)])
+SELECT query, doc_id, count(*) AS hits FROM
+  (SELECT DISTINCT b.query, a.doc_id, a.pos FROM a JOIN b ON a.doc_id = b.doc_id AND a.pos <> b.pos
+   AND b.pos BETWEEN a.pos - 50 AND a.pos + 50) GROUP BY 1, 2
 """)
 def q_proximity_search(spark, data_dir):
-    return proximity_hits(Tables(spark, data_dir).spread("documents", "doc_id", "text"), "doc_id", "text", NEAR_A, NEAR_B, 50)
+    docs = Tables(spark, data_dir).spread("documents", "doc_id", "text")
+    return proximity_hits(docs, "doc_id", "text", _query_table(spark, data_dir), 50)

@@ -27,7 +27,8 @@ def clean_title(x: str) -> str:
 
 def unescape(x: str) -> str:
     for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
+                    ("&#x27;", "'"), ("&nbsp;", " "), ("&copy;", "\u00a9"),
+                    ("&middot;", "\u00b7"), ("&amp;", "&")]:
         x = f"replace({x}, {q(ent)}, {q(ch)})"
     return x
 

@@ -9,10 +9,14 @@ row order = c_custkey. Names per query: 20 here (the default is 1300).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from clipforge.operators.units import unit_members, unit_queries
+from clipforge.operators.entities import directory_spellings
+from clipforge.operators.units import unit_members, unit_queries, write_query_file
 from clipforge.plans.registry import register
+from clipforge.session import scratch_path
 from clipforge.sources.tables import Tables
 
 STANDIN_LIMIT = 20
@@ -58,7 +62,7 @@ def q_unit_members(spark, data_dir):
     return unit_members(_export(spark, data_dir))
 
 
-@register("unit_queries", sql=f"""
+_QUERIES_SQL = f"""
 WITH {_EXPORT_SQL},
 firsts AS (SELECT faculty, name_variant, min(row_pos) AS first_pos FROM members GROUP BY 1, 2),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY faculty ORDER BY first_pos, name_variant) AS pos
@@ -67,6 +71,33 @@ SELECT faculty, CAST((pos - 1) // {STANDIN_LIMIT} AS BIGINT) AS chunk, CAST(coun
        '("Utrecht University" OR "Universiteit Utrecht") NEAR/50 ('
          || string_agg('"' || name_variant || '"', ' OR ' ORDER BY pos) || ')' AS query
 FROM numbered GROUP BY 1, 2
-""")
+"""
+
+
+@register("unit_queries", sql=_QUERIES_SQL)
 def q_unit_queries(spark, data_dir):
     return unit_queries(unit_members(_export(spark, data_dir)), limit=STANDIN_LIMIT)
+
+
+@register("query_file", sql=f"""WITH q AS ({_QUERIES_SQL})
+SELECT unnest(['faculty: ' || faculty, query, '']) AS value FROM q""")
+def q_query_file(spark, data_dir):
+    path = scratch_path(spark, f"query_file/{uuid.uuid4().hex}")
+    write_query_file(unit_queries(unit_members(_export(spark, data_dir)), limit=STANDIN_LIMIT), path)
+    return spark.read.text(path)
+
+
+@register("name_spellings", sql="""
+SELECT DISTINCT 's' || s_suppkey AS uuid, s_suppkey AS pos, unnest(['Dr ' || s_name, s_name, n_name || ' ' || s_name]) AS spelling
+FROM supplier JOIN nation ON n_nationkey = s_nationkey""")
+def q_name_spellings(spark, data_dir):
+    """Suppliers as a directory: main name ``Dr <name>``; alternatives without a first name, the
+    main one again, one of blanks, one with the nation as first name."""
+    t = Tables(spark, data_dir)
+    s = t.supplier.join(t.nation, t.supplier.s_nationkey == t.nation.n_nationkey)
+    name = lambda first, last: F.struct(F.struct(first.cast("string").alias("firstName"), last.cast("string").alias("lastName")).alias("name"))
+    none = F.lit(None)
+    d = s.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("uuid"), F.col("s_suppkey").alias("pos"),
+                 name(F.lit("Dr"), F.col("s_name"))["name"].alias("name"),
+                 F.array(name(none, F.col("s_name")), name(F.lit(" Dr"), F.col("s_name")), name(F.lit("  "), none), name(F.col("n_name"), F.col("s_name"))).alias("names"))
+    return directory_spellings(d)

@@ -23,7 +23,7 @@ class Node:
         self.children = []
         self.parent = parent
 
-    # text of all descendants, like ``.text`` / ``get_text()``
+    # text of all descendants but style and script, like ``.text`` / ``get_text()``
     def text(self, strip: bool = False, sep: str = "") -> str:
         parts = []
         for s in self.strings():
@@ -38,7 +38,7 @@ class Node:
         for c in self.children:
             if isinstance(c, str):
                 yield c
-            elif isinstance(c, Node) and c.tag != "#comment":
+            elif isinstance(c, Node) and c.tag != "#comment" and c.tag not in HIDDEN:
                 yield from c.strings()
 
     def iter(self):
@@ -123,15 +123,6 @@ def visible_text(html: str) -> str:
     return "\n".join(out)
 
 
-def blocks(html: str, tags=("h1", "p")) -> list[tuple[int, str, str]]:
-    """(block_no, tag, stripped text) for each element of the given tags, in document order."""
-    root = parse(html)
-    res = []
-    for i, n in enumerate(root.find_all(pred=lambda x: x.tag in tags)):
-        res.append((i, n.tag, n.text(strip=True, sep=" ")))
-    return res
-
-
 def article_blocks(html: str, *, block_class: str, headline_class: str, date_class: str,
                    source_class: str, persons_label: str, highlight_pattern: str) -> list[dict]:
     """One dict per article block that has a headline link."""

@@ -18,8 +18,7 @@ from clipforge.functions import constants as C
 from clipforge.sources import html_doc
 
 BLOCK_SCHEMA = ("path string, block_no int, title string, url string, date_text string, source string, "
-                "block_text string, labelled_text array<string>, highlighted array<string>")
-PAGE_BLOCK_SCHEMA = "page_id long, block_no int, tag string, text string"
+                "block_text string, labelled_text array<string>, highlighted array<string>, error string")
 PAGE_TEXT_SCHEMA = "page_id long, text string"
 
 
@@ -45,21 +44,30 @@ def _blocks_of(html: str) -> list[dict]:
         persons_label=C.PERSONS_LABEL, highlight_pattern=C.HIGHLIGHT_STYLE_PATTERN)
 
 
-def _mail_blocks(batches):
+def _frame(rows: list[dict]) -> pd.DataFrame:
     cols = [f.split()[0] for f in BLOCK_SCHEMA.split(", ")]
+    return pd.DataFrame([{c: r.get(c) for c in cols} for r in rows], columns=cols, dtype=object)
+
+
+def _mail_blocks(batches):
     for pdf in batches:
         rows = []
         for path, raw in zip(pdf["path"], pdf["content"]):
-            html = html_of_mail(bytes(raw))
+            try:
+                html = html_of_mail(bytes(raw))
+            except (LookupError, ValueError, AttributeError) as e:  # unknown charset, broken part
+                rows.append({"path": path, "block_no": -1, "error": f"{type(e).__name__}: {e}"})
+                continue
             if html is None:  # no HTML part: no rows
                 continue
             for b in _blocks_of(html):
                 rows.append({"path": path, **b})
-        yield pd.DataFrame(rows, columns=cols)
+        yield _frame(rows)
 
 
 def extract_blocks(mails: DataFrame) -> DataFrame:
-    """Mail files -> one row per article block that has a headline."""
+    """Mail files -> one row per article block that has a headline. A mail that cannot be
+    read gives one row with ``error`` and no title; the others are not affected."""
     return mails.select("path", "content").mapInPandas(_mail_blocks, BLOCK_SCHEMA)
 
 
@@ -69,7 +77,7 @@ def _html_blocks(batches):
         for path, html in zip(pdf["path"], pdf["html"]):
             for b in _blocks_of(html or ""):
                 rows.append({"path": path, **b})
-        yield pd.DataFrame(rows, columns=[f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
+        yield _frame(rows)
 
 
 def extract_blocks_from_html(df: DataFrame, path_col: str, html_col: str) -> DataFrame:
@@ -78,21 +86,6 @@ def extract_blocks_from_html(df: DataFrame, path_col: str, html_col: str) -> Dat
         _html_blocks, BLOCK_SCHEMA)
 
 
-def _page_blocks(batches):
-    for pdf in batches:
-        rows = []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
-            for no, tag, text in html_doc.blocks(html or ""):
-                rows.append((int(pid), no, tag, text))
-        yield pd.DataFrame(rows, columns=["page_id", "block_no", "tag", "text"])
-
-
-def page_blocks(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per ``<h1>`` / ``<p>`` element of each page, in document order."""
-    return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html")) \
-        .mapInPandas(_page_blocks, PAGE_BLOCK_SCHEMA)
-
-
 def _page_texts(batches):
     for pdf in batches:
         yield pd.DataFrame({"page_id": pdf["page_id"].astype("int64"),

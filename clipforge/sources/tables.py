@@ -8,32 +8,13 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-# Tables whose rows carry long texts: CPU-heavy per row; plans call
-# ``Tables.spread(name, *cols)`` before text work on them.
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
-# Only inputs up to this many rows are ever copied by ``spread``.
-SPREAD_MAX_ROWS = 2_000_000
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has task slots
-    (a small input held in one row group); a no-op on large inputs, which
-    already arrive in many splits.
-
-    The spread copy is checkpointed (it is small by the test above): otherwise
-    filters that Catalyst infers later -- e.g. ``size(arr) > 0`` under every
-    ``explode`` -- are pushed below the repartition and the costly text work
-    runs once in the single scan task before it runs again spread out.
+    """Spread a scan that has fewer partitions than the cluster has task slots (a table
+    held in one row group) before CPU-heavy text work; a table of many splits arrives
+    spread already and is left alone. Lazy: nothing runs while a query is built.
     """
-    from clipforge.session import ensure_checkpoint_dir
-    sc = df.sparkSession.sparkContext
-    slots = sc.defaultParallelism
-    # Both tests are cheap: the split count comes from planning, the row count
-    # from parquet footers. Large inputs are never copied.
-    if df.rdd.getNumPartitions() < slots and df.count() <= SPREAD_MAX_ROWS:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.repartition(slots).checkpoint(eager=True)
-    return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Incremental mail intake with Structured Streaming.
 
 New ``*.eml`` files under a folder become article rows: file source ->
-block extraction (``mapInPandas``, same code as the batch path) -> cleaning ->
-block lists (stream-static anti joins) -> repeats within the watermark dropped
-on (title, URL) -> one parquet folder per micro-batch, written idempotently by
-batch id so a retried batch overwrites its own output.
+block extraction (``mapInPandas``, same code as the batch path) -> cleaning -> per
+micro-batch: block lists, then repeats on (title, URL) dropped -- inside the batch
+and against what earlier batches wrote, however old an article is -> one parquet
+folder per micro-batch, written idempotently by batch id so a retried batch
+overwrites its own output.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
 from clipforge.functions.text import clean_text, clean_title, parse_dutch_datetime
-from clipforge.operators.blocklists import TITLE_WORDS_BROADCAST_MAX, drop_blocked_sources
+from clipforge.operators.blocklists import drop_blocked_sources, drop_blocked_titles
 from clipforge.operators.lookups import faculty_code
 from clipforge.sources.mail import extract_blocks
 
@@ -43,30 +44,30 @@ def articles_from_blocks(blocks: DataFrame) -> DataFrame:
             .where(F.col("title").isNotNull() & F.col("ts").isNotNull()))
 
 
-def _drop_titles_stream(arts: DataFrame, words: DataFrame) -> DataFrame:
-    """Stream-static anti join on title substrings; the static word list is
-    measured first and only broadcast below the batch path's limit."""
-    w = words.select(F.col("word").alias("_w")).where(F.length("_w") > 0).distinct()
-    if w.count() > TITLE_WORDS_BROADCAST_MAX:
-        raise ValueError("title block list too large to broadcast into a stream; filter in the batch step")
-    return arts.join(F.broadcast(w), F.instr(arts["title"], F.col("_w")) > 0, "left_anti")
+def _new_articles(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    """One row per (title, URL) of the batch that no earlier batch has."""
+    fresh = batch if earlier is None else batch.join(earlier.select("title", "url").distinct(), ["title", "url"], "left_anti")
+    return fresh.dropDuplicates(["title", "url"])
 
 
 def start_intake(spark: SparkSession, folder: str, out_path: str, checkpoint_path: str,
                  blocked_sources: DataFrame | None = None, blocked_words: DataFrame | None = None,
-                 watermark: str = "30 days", available_now: bool = True):
+                 available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery``."""
     arts = articles_from_blocks(extract_blocks(mail_stream(spark, folder)))
     if blocked_sources is not None:
         arts = drop_blocked_sources(arts, blocked_sources)
-    if blocked_words is not None:
-        arts = _drop_titles_stream(arts, blocked_words)
-    arts = (arts.withColumn("event_ts", F.col("ts").cast("timestamp"))
-            .withWatermark("event_ts", watermark)
-            .dropDuplicatesWithinWatermark(["title", "url"]))
+    out = out_path.rstrip("/")
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df.drop("event_ts").write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        earlier = None
+        if batch_id > 0:
+            # batch ids ascend: a retried batch reads only what came before it
+            earlier = df.sparkSession.read.option("basePath", out).parquet(out).where(F.col("batch") < batch_id)
+        if blocked_words is not None:
+            keyed = df.withColumn("_row", F.concat_ws("#", "path", F.col("block_no").cast("string")))
+            df = drop_blocked_titles(keyed, blocked_words, title_col="title", key_col="_row").drop("_row")
+        _new_articles(df, earlier).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     w = arts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

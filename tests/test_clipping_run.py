@@ -38,3 +38,31 @@ def test_whole_run(spark, tmp_path):
     assert p["title"]["en_GB"] == "Title &amp; text"
     assert out["clippings"].count() == 1
     assert (tmp_path / "xml").exists()
+
+
+def test_block_order_prompts_and_malformed_end(spark, tmp_path):
+    """Twelve blocks with one title and no URL: the first block is kept (2 before 10); an
+    association whose end is no date makes its article an error; prompts come out."""
+    from tests.test_entities import DIR_SCHEMA, assoc, emp
+    src = tmp_path / "in"
+    src.mkdir()
+    block = HTML[HTML.index("<tr"):HTML.index("</tr>") + 5].replace('href="https://news.example/1"', 'href=""')
+    first = block.replace("Dina Siegel, Siegel", "Nobody Known")
+    for drop in ("Jan</span>", "Vries</span>", "Jan de Vries"):
+        first = first.replace(drop, drop.replace("Jan", "X").replace("Vries", "Y"))
+    bad = block.replace("Dina Siegel, Siegel", "Kees Bakker").replace("Title &amp; text", "Bad period today")
+    later = "".join(block.replace("Example Daily", f"Paper {i}") for i in range(2, 12))
+    write_mail(src / "Alert faculteit GEO - 1.eml", "<table>" + first + bad + later + "</table>")
+    d = directory(spark).where("uuid <> 'u-bad'").unionByName(spark.createDataFrame(
+        [(9, "u-end", {"firstName": "Kees", "lastName": "Bakker"}, [], emp("E9"), [assoc("2020-01-01", "no date", "o1")])], DIR_SCHEMA))
+    pub = spark.createDataFrame([], PUB)
+    out = process_mails(spark, str(src), d, orgs(spark), pub, profile(spark), run_stamp="x", allowed_languages=["en", "nl"],
+                        pages=spark.createDataFrame([("", "unused")], "url string, text string"))
+    st = {r.status: r.n for r in out["status_counts"].collect()}
+    assert st == {"ok": 10, "duplicate": 0, "no_persons": 1, "error": 1}
+    ok = out["ok"].collect()
+    assert len(ok) == 1 and ok[0].source == "Paper 2" and ok[0].article_id.endswith("#2")
+    assert [p.name for p in ok[0].persons][0].lower() == "dina siegel"
+    prompt = out["prompts"].first().prompt
+    assert "Title & text" in prompt and "Paper 2" in prompt
+    assert "the" not in (ok[0].keywords or [])

@@ -53,3 +53,13 @@ def test_resolution(spark):
     assert [a.organization_uuid for a in k[(2, 0)].affiliations] == ["o2"]
     assert {(r.article_id, r.mention_pos) for r in unresolved.collect()} == {(1, 2), (2, 1), (2, 2)}
     assert [r.article_id for r in errors.collect()] == [2]    # Kees Bakker: association without start
+
+
+def test_malformed_end_is_an_error(spark):
+    ts = dt.datetime(2025, 3, 12, 8, 30)
+    rows = [(0, "u", {"firstName": "Kees", "lastName": "Bakker"}, [], emp("E4"), [assoc("2020-01-01", "31-12-2025", "o1")]),
+            (1, "v", {"firstName": None, "lastName": None}, [{"name": {"firstName": "Anna", "lastName": "Smit"}}], emp("E5"), [assoc("2020-01-01", "2030-01-01", "o1")])]
+    m = spark.createDataFrame([(1, 0, "Kees Bakker", ts), (2, 0, "Anna Smit", ts)], "article_id long, mention_pos int, mention string, ts timestamp_ntz")
+    kept, _, errors = resolve_mentions(m, spark.createDataFrame(rows, DIR_SCHEMA), orgs(spark))
+    assert [r.article_id for r in errors.collect()] == [1]
+    assert [r.uuid for r in kept.collect()] == ["v"]

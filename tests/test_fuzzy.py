@@ -1,6 +1,6 @@
 import random
 
-from clipforge.operators.fuzzy import fuzzy_pairs, max_distance_for_length
+from clipforge.operators.fuzzy import deletion_variants, fuzzy_pairs, max_distance_for_length
 
 
 def lcs(a, b):
@@ -70,3 +70,27 @@ def test_bound():
     assert max_distance_for_length(9) == 0
     assert max_distance_for_length(19) == 2
     assert max_distance_for_length(29) == 3
+
+
+def test_long_names_against_brute_force(spark):
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    base = [word(n) for n in (28, 29, 30, 31, 40, 57, 58, 90, 130, 400, 400)]
+    base += ["van der " * 50, "van der " * 49 + "van den "]
+
+    def mut(s, n):
+        s = list(s)
+        for _ in range(n):
+            i = rnd.randrange(len(s))
+            s[i:i + 1] = rnd.choice([[], [s[i], "z"], ["y"]])
+        return "".join(s)
+    L = list(enumerate(base))
+    R = [(i, mut(b, rnd.randint(0, max(2, len(b) // 18)))) for i, b in enumerate(base * 3)]
+    assert run(spark, L, R) == brute(L, R)
+
+
+def test_variants_of_long_strings_are_not_made(spark):
+    rows = [(1, "x" * 5000), (2, "y" * 5000)]
+    assert run(spark, rows, rows) == {(1, 1, 0), (2, 2, 0)}
+    n = deletion_variants(spark.createDataFrame([(1, "abcdefghijklmnopqrstuvwxyzabcd")], "i int, s string"), "i", "s").count()
+    assert n == 1 + 30 + 30 * 29 // 2

@@ -66,3 +66,18 @@ def test_mentions_of_block(spark, tmp_path):
     assert "Siegel" not in got and "Anton Pijpers" not in got
     assert {"Dina Siegel", "Jan de Vries", "Piet Jansen Jan Vries", "Jan Vries"} <= got
     assert "Utrecht" not in got and "Vries" not in got
+
+
+def test_unknown_charset_is_an_error_row(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    write_mail(d / "good.eml", HTML)
+    (d / "bad.eml").write_bytes(b"MIME-Version: 1.0\nContent-Type: text/html; charset=no-such-set\n\n<p>x</p>")
+    rows = extract_blocks(read_mails(spark, str(d))).collect()
+    assert [r.title is None and "no-such-set" in r.error for r in rows if r.path.endswith("bad.eml")] == [True]
+    assert all(r.error is None for r in rows if r.path.endswith("good.eml")) and len(rows) == 3
+
+
+def test_style_and_script_are_no_text():
+    from clipforge.sources import html_doc
+    assert html_doc.parse("<div>a<style>b</style><script>c</script>d</div>").text() == "ad"

@@ -14,3 +14,18 @@ def test_intake_stream(spark, tmp_path):
     # block 0 has a valid date; block 2 has an invalid one and is dropped
     assert len(rows) == 1
     assert rows[0].title == "Title & text" and rows[0].faculty == "GEO"
+
+
+def test_old_articles_and_later_batches(spark, tmp_path):
+    """A much older article still comes through; a repeat of an earlier batch does not."""
+    src = tmp_path / "in"
+    src.mkdir()
+    run = lambda: start_intake(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination(120)
+    write_mail(src / "Alert faculteit GEO - 1.eml", HTML)
+    run()
+    old = HTML.replace("Title", "Older").replace("2025", "2019").replace("2024", "2019")
+    write_mail(src / "Alert faculteit GEO - 2.eml", old)
+    write_mail(src / "Alert faculteit GEO - 3.eml", HTML)
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.title for r in rows) == ["Older & text", "Title & text"]

@@ -2,7 +2,7 @@ import random
 import re
 
 from clipforge.operators.language import identify_language, language_profile
-from clipforge.operators.proximity import proximity_hits
+from clipforge.operators.proximity import proximity_hits, query_phrases
 
 
 def brute_near(text, A, B, k):
@@ -24,11 +24,23 @@ def test_proximity_against_brute_force(spark):
     rnd = random.Random(11)
     vocab = ["the", "on", "and", "it", "is", "cat", "dog", "sat"]
     docs = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 300)))) for i in range(40)]
-    A, B, k = ["the", "on the"], ["and", "it is"], 7
-    got = {r.id: r.hits for r in proximity_hits(spark.createDataFrame(docs, "id long, t string"),
-                                                 "id", "t", A, B, k).collect()}
-    want = {i: brute_near(t, A, B, k) for i, t in docs}
-    assert got == {i: n for i, n in want.items() if n > 0}
+    queries = {"q1": (["the", "on the"], ["and", "it is"]), "q2": (["cat", "cat cat"], ["dog sat", "the"]),
+               "q3": (["it is it"], ["nowhere"]), "q4": (["the"], ["the"])}
+    k = 7
+    rows = [(q, side, p) for q, (A, B) in queries.items() for side, ps in (("a", A), ("b", B)) for p in ps]
+    got = {(r.query, r.id): r.hits for r in proximity_hits(
+        spark.createDataFrame(docs, "id long, t string"), "id", "t",
+        spark.createDataFrame(rows + [("q1", "a", " "), ("q1", "a", None)], "query string, side string, phrase string"), k).collect()}
+    want = {(q, i): brute_near(t, A, B, k) for q, (A, B) in queries.items() for i, t in docs}
+    assert got == {x: n for x, n in want.items() if n > 0}
+
+
+def test_written_queries_can_be_evaluated(spark):
+    members = spark.createDataFrame([("Faculteit A", f"Jan Name{chr(97 + i)}", i) for i in range(5)], "faculty string, name_variant string, row_pos long")
+    docs = spark.createDataFrame([(1, "At Utrecht University professor Jan Namec spoke"), (2, "Jan Namec spoke elsewhere"),
+                                  (3, "Universiteit Utrecht: Jan Namea")], "id long, t string")
+    hits = proximity_hits(docs, "id", "t", query_phrases(members, limit=2), 50).collect()
+    assert {(r.query, r.id) for r in hits} == {("Faculteit A#1", 1), ("Faculteit A#0", 3)}
 
 
 def test_language_identification(spark):
