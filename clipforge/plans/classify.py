@@ -20,6 +20,7 @@ from clipforge.operators.duplicates import keep_first
 from clipforge.operators.entities import nest_resolved, resolve_mentions
 from clipforge.operators.labels import names_and_orgs, normalise_labels, page_text, parse_response, prompt_text, \
     rename_mediatype, _template_parts
+from clipforge.operators.ordering import positions
 from clipforge.operators.lookups import dictionary_tags, faculty_code, fill_source_urls, workflow
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.entities import _RESOLVE_SQL, directory, mentions, organisations
@@ -77,13 +78,18 @@ def q_prompt_table(spark, data_dir):
     t = Tables(spark, data_dir)
     kept, _, _ = resolve_mentions(mentions(t), directory(t), organisations(t))
     nested = nest_resolved(kept)
-    conv = t.conversations.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("_t"))
+    # An excerpt of n characters holds parts of at most n turns (each adds its newline): only the
+    # first n turns of a conversation are gathered, each cut to n characters.
+    n = C.EXCERPT_MAX_CHARS
+    turns = t.conversations.select("conv_id", "turn", "role", F.substring("text", 1, n).alias("text"),
+                                   F.substring_index("text", "\n", 1).alias("line"))
+    first = positions(t.conversations.select("conv_id", "turn"), ["turn"], ["conv_id"]).where(F.col("pos") <= n)
+    turns = turns.join(first, ["conv_id", "turn"])
+    conv = turns.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "text", "role", F.when(F.col("pos") == 1, F.col("line")).alias("line")))).alias("_t"))
     conv = conv.select(F.col("conv_id").alias("article_id"),
-                       F.substring(F.array_join(F.transform("_t", lambda x: x["text"]), "\n"), 1,
-                                   C.EXCERPT_MAX_CHARS).alias("excerpt"),
-                       F.substring_index(F.col("_t")[0]["text"], "\n", 1).alias("title"),
-                       F.col("_t")[0]["role"].alias("source"))
+                       F.substring(F.array_join(F.transform("_t", lambda x: x["text"]), "\n"), 1, n).alias("excerpt"),
+                       F.col("_t")[0]["line"].alias("title"), F.col("_t")[0]["role"].alias("source"))
     names, orgs = names_and_orgs("persons")
     j = nested.join(conv, "article_id")
     return j.select("article_id", prompt_text("title", "source", names, orgs, "excerpt").alias("prompt"))

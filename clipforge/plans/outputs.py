@@ -27,6 +27,7 @@ from clipforge.session import scratch_path
 from clipforge.sources.tables import Tables
 
 RUN_STAMP = "20250101-000000"
+_LABELS = C.NO_CLASSIFIER_LABELS
 
 
 def order_articles(t):
@@ -80,11 +81,14 @@ pl2 AS (SELECT *, CASE WHEN s_type = 'Organization' THEN s_org WHEN c_type = 'Or
 per_order AS (SELECT l_orderkey,
    string_agg('S' || l_suppkey, ',' ORDER BY l_linenumber, l_suppkey) AS person_ids,
    coalesce(arg_max(porg, pn) FILTER (WHERE porg IS NOT NULL), 'UNKNOWN') AS managed_last,
+   string_agg('Dr|' || substr(name, 4) || '|supp-' || l_suppkey || '|' || CASE WHEN s_org = c_org THEN s_org ELSE s_org || ',' || c_org END,
+              ';' ORDER BY l_linenumber, l_suppkey) AS persons,
+   string_agg('S' || l_suppkey || ':interviewee:' || s_org || ',' || c_org, ';' ORDER BY l_linenumber, l_suppkey) AS xml_persons,
    count(*) AS n_persons FROM pl2 GROUP BY 1),
 first_unit AS (SELECT l_orderkey, CASE WHEN s_type = 'Organization' THEN s_org WHEN c_type = 'Organization' THEN c_org
                  WHEN s_type = 'dep/fac' THEN s_org WHEN c_type = 'dep/fac' THEN c_org ELSE s_org END AS managing_unit,
                  name FROM pl WHERE pn = 1),
-n_orgs AS (SELECT l_orderkey, count(DISTINCT org) AS n_orgs FROM
+n_orgs AS (SELECT l_orderkey, count(DISTINCT org) AS n_orgs, string_agg(DISTINCT org, ',' ORDER BY org) AS organizations FROM
            (SELECT l_orderkey, s_org AS org FROM pl UNION ALL SELECT l_orderkey, c_org FROM pl) GROUP BY 1)
 """
 
@@ -114,7 +118,11 @@ SELECT o.o_orderkey,
   CASE WHEN starts_with(o.o_orderpriority, '1') THEN '/dk/atira/pure/core/countries/nl' END AS country,
   CASE WHEN o.o_orderstatus = 'P' THEN '' ELSE 'https://orders.example/' || o.o_orderkey END AS url,
   '/dk/atira/pure/clipping/roles/clipping/interviewee' AS role_uri,
-  '/dk/atira/pure/clipping/clippingtypes/clipping/exportcomment' AS type_uri
+  '/dk/atira/pure/clipping/clippingtypes/clipping/exportcomment' AS type_uri,
+  p.persons, n.organizations, strftime(o.o_orderdate, '%Y-%m-%d') AS date, c.c_mktsegment AS medium,
+  '{C.URI_MEDIA_TYPE}{_LABELS["Medium_type"].lower()}|{_LABELS["Medium_type"]}' AS media_type,
+  '{C.URI_DEGREE}{_LABELS["article_degree"].lower()}|{_LABELS["article_degree"].capitalize()}' AS degree,
+  CASE WHEN o.o_orderstatus = 'P' THEN '' ELSE o.o_orderpriority || '|' || o.o_orderstatus END AS keywords
 FROM orders o JOIN per_order p ON p.l_orderkey = o.o_orderkey JOIN first_unit f ON f.l_orderkey = o.o_orderkey
 JOIN n_orgs n ON n.l_orderkey = o.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation ON c.c_nationkey = n_nationkey JOIN region r ON n_regionkey = r.r_regionkey
@@ -127,22 +135,34 @@ def q_payload_json(spark, data_dir):
     p = j.select("o_orderkey", F.from_json("j", schema).alias("p"))   # the written text, parsed once
     cov = F.col("p.mediaCoverages")[0]
     first = cov["persons"][0]
+    ids = lambda orgs: F.array_join(F.transform(orgs, lambda o: o["uuid"]), ",")
+    person = lambda x: F.concat_ws("|", x["name"]["firstName"], x["name"]["lastName"], x["person"]["uuid"], ids(x["organizations"]))
+    named = lambda c: F.concat_ws("|", c["uri"], c["term"]["en_GB"])
+    words = F.coalesce(F.array_join(F.get(F.get(F.col("p.keywordGroups"), F.lit(1))["keywords"], F.lit(0))["freeKeywords"], "|"), F.lit(""))
     return p.select(
         "o_orderkey", F.col("p.title.en_GB").alias("title"), F.col("p.managingOrganization.uuid").alias("managing"),
         cov["coverageType"].alias("coverage_type"), first["name"]["firstName"].alias("first_name"),
         first["name"]["lastName"].alias("last_name"), F.size(cov["persons"]).cast("long").alias("n_persons"),
         F.size(cov["organizations"]).cast("long").alias("n_orgs"), F.col("p.workflow.step").alias("workflow"),
         F.size("p.keywordGroups").alias("n_groups"), cov["country"]["uri"].alias("country"), cov["url"].alias("url"),
-        first["role"]["uri"].alias("role_uri"), F.col("p.type.uri").alias("type_uri"))
+        first["role"]["uri"].alias("role_uri"), F.col("p.type.uri").alias("type_uri"),
+        F.array_join(F.transform(cov["persons"], person), ";").alias("persons"), ids(cov["organizations"]).alias("organizations"),
+        cov["date"].alias("date"), cov["medium"].alias("medium"), named(cov["mediaType"]).alias("media_type"),
+        named(cov["degreeOfRecognition"]).alias("degree"), words.alias("keywords"))
 
 
 @register("xml_records", sql=f"""WITH {_PERSONS_SQL},
 arts AS (SELECT o_orderkey, o_orderpriority || ' & <' || o_orderstatus || '>' AS title,
                 strftime(o_orderdate, '%Y-%m-%d') AS start_date, p.person_ids, p.managed_last AS managed_by,
+                p.xml_persons AS persons, c_mktsegment AS medium,
+                CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'https://orders.example/' || o_orderkey END AS url,
                 row_number() OVER (ORDER BY o_orderkey) - 1 AS i
-         FROM orders JOIN per_order p ON p.l_orderkey = o_orderkey),
+         FROM orders JOIN per_order p ON p.l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey),
 d AS (SELECT *, row_number() OVER (PARTITION BY lower(title), person_ids ORDER BY i) AS rn FROM arts)
-SELECT '{C.RECORD_ID_PREFIX}-' || i || '-{RUN_STAMP}' AS record_id, title, start_date, managed_by, person_ids FROM d WHERE rn = 1
+SELECT '{C.RECORD_ID_PREFIX}-' || i || '-{RUN_STAMP}' AS record_id, title, start_date, managed_by, person_ids, persons, medium, url,
+  '{_LABELS['typerole']}|{C.XML_VISIBILITY}|{C.XML_WORKFLOW}|{_LABELS['media_type']}|{_LABELS['Medium_type']}|{_LABELS['article_degree']}' AS fixed,
+  title AS ref_title, start_date AS ref_date
+FROM d WHERE rn = 1
 """)
 def q_xml_records(spark, data_dir):
     import uuid
@@ -155,10 +175,16 @@ def q_xml_records(spark, data_dir):
     write_xml(clip, path)
     schema = clip.select("clipping.*").schema
     back = spark.read.format("xml").option("rowTag", "clipping").schema(schema).load(path)
-    persons = F.col("mediaReferences.mediaReference.persons.person")
+    ref = F.col("mediaReferences.mediaReference")
+    persons = ref["persons"]["person"]
     return back.select(F.col("_id").alias("record_id"), "title", F.col("startDate").alias("start_date"),
                        F.col("managedBy._lookupId").alias("managed_by"),
-                       F.array_join(F.transform(persons, lambda x: x["_id"]), ",").alias("person_ids"))
+                       F.array_join(F.transform(persons, lambda x: x["_id"]), ",").alias("person_ids"),
+                       F.array_join(F.transform(persons, lambda x: F.concat_ws(":", x["person"]["_lookupId"], x["role"], F.array_join(
+                           F.transform(x["organisations"]["organisation"], lambda o: o["_lookupId"]), ","))), ";").alias("persons"),
+                       ref["medium"].alias("medium"), F.coalesce(ref["url"], F.lit("")).alias("url"),
+                       F.concat_ws("|", "_type", "visibility", "workflow", ref["_type"], ref["mediaType"], ref["degreeOfRecognition"]).alias("fixed"),
+                       ref["title"].alias("ref_title"), ref["date"].alias("ref_date"))
 
 
 __all__ = ["order_articles", "read_xml"]
