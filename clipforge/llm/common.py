@@ -55,6 +55,17 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data, offsets
 
 
+def slices(rows: pa.RecordBatch, text: int, max_bytes: int = 4 << 20):
+    """Row ranges of a batch whose texts hold about ``max_bytes`` (at least one row each), so
+    that what a task computes at once does not follow the size of Arrow's batches."""
+    _, offsets = text_bytes(rows.column(text))
+    at = 0
+    while at < rows.num_rows:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1)
+        yield rows.slice(at, end - at)
+        at = end
+
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(20240501).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.llm.common import broadcast_if_small, mix, stored, text_bytes
+from clipforge.llm.common import broadcast_if_small, mix, slices, stored, text_bytes
 from clipforge.llm.shingles import words
 from clipforge.operators.ordering import positions
 
@@ -41,7 +41,7 @@ def _features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for rows in batches:
+    for rows in (part for batch in batches for part in slices(batch, 0)):
         wanted = rows.column(1).to_numpy(zero_copy_only=False).astype(bool)
         buckets, doc = _features(rows.column(0))
         raw += np.bincount(buckets, minlength=BUCKETS)
@@ -51,7 +51,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (part for batch in batches for part in slices(batch, 1)):
             buckets, doc = _features(rows.column(1))
             total = np.bincount(doc, weights.value[buckets], minlength=rows.num_rows)
             n = np.bincount(doc, minlength=rows.num_rows)
