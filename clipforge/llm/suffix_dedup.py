@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from clipforge.llm.common import mix, partitions, prefix_hash, span_hash, text_bytes
 
 LENGTH = 200
-KMER = 40
+KMER = 32
 #: Bytes of text in a batch.
-BATCH = 3 << 20
-SHARDS_PER_PARTITION = 4
+BATCH = 2 << 20
+SHARDS_PER_PARTITION = 2
 HOT_SHARE = 8
 HOT_LEAST = 500
 
@@ -161,7 +161,7 @@ def hot_anchors(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def _pack(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(arrays, protocol=5))
 
 
 def _unpack(block: bytes):
