@@ -3,8 +3,9 @@
 Numbers, names and units become typed placeholders, case and punctuation go, and
 runs of ``WINDOW`` tokens of the resulting templates are hash-joined with those of
 the benchmark. So a question asked again with other numbers or names still matches.
-A match counts when its slots are consistent: over the matched windows, each filled-in
-value of the benchmark item stands for one value of the document and the other way round.
+A match counts when its slots are consistent: over the matched windows of one place of the
+item in the document, each filled-in value of the benchmark item stands for one value of
+the document and the other way round. Other variants in the same document change nothing.
 
 Only (document, position, hash) triples meet the benchmark; its windows are broadcast
 when their counted rows fit a fixed size and shuffled otherwise. The texts of matched
@@ -13,7 +14,7 @@ documents alone are read again for their slots.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipforge.llm.common import broadcast_if_small, stored
@@ -24,6 +25,9 @@ MIN_ITEM = 5
 #: A document leaks an item when it holds this share of the item's windows, or this many of them.
 MIN_SHARE = 0.3
 MIN_WINDOWS = 6
+#: Hits of one place of an item may differ by this many tokens in their shift, for words put in
+#: or left out; less than MIN_ITEM, so that copies end to end are places of their own.
+MAX_STEP = 4
 
 #: Fixed list of units that count as such after a number.
 UNITS = ["%", "mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "t", "oz", "lb", "lbs", "ml", "cl", "l",
@@ -102,18 +106,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
         found = found.unionByName(_windows(tokens.where(F.size("tokens") >= n), F.lit(n)).join(side, "h"))
     found = stored(found.select("doc_id", "doc_key", "pos", "item", "ipos"), "window_hits")
 
+    enough = (F.col("n_windows") >= MIN_WINDOWS) | (F.col("n_windows") >= MIN_SHARE * F.col("n_item_windows"))
+    shift = F.col("pos") - F.col("ipos")
     near = (found.groupBy("doc_key", "item").agg(F.count_distinct("ipos").alias("n_windows"), F.max("doc_id").alias("doc_id"),
-                                                 F.min("pos").alias("first"), F.max("pos").alias("last"))
-            .join(counts, "item")
-            .where((F.col("n_windows") >= MIN_WINDOWS) | (F.col("n_windows") >= MIN_SHARE * F.col("n_item_windows"))))
+                                                 F.min(shift).alias("lo"), F.max(shift).alias("hi"))
+            .join(counts, "item").where(enough))
     near = stored(near, "near_items")
-    return _consistent(d, items, found, near)
-
-
-def _consistent(d: DataFrame, items: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
+    spots = (found.join(near.select("doc_key", "item", "lo", "hi"), ["doc_key", "item"])
+             .select("doc_key", "item", "pos", "ipos", shift.alias("shift"), "lo", "hi").distinct())
+    spots = stored(_places(spots), "places")
+    placed = (spots.groupBy("doc_key", "item", "lo", "hi")
+              .agg(F.count_distinct("ipos").alias("n_windows"), F.count(F.lit(1)).alias("n_hits"), F.max("parts").alias("parts"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+              .join(near.select("doc_key", "item", "doc_id", "n_item_windows"), ["doc_key", "item"])
+              .where(enough & (~F.col("parts") | (F.col("n_hits") == F.col("n_windows")))))
+    return _consistent(d, items, spots, stored(placed, "near_places"))
+
+
+def _places(spots: DataFrame) -> DataFrame:
+    """``spots`` once for each place of the item that they belong to, a range ``lo`` to ``hi`` of
+    shifts between document and item: its own shift, the run of shifts around it with steps
+    of up to ``MAX_STEP``, and all of the document (``parts``), for an item whose parts stand far
+    apart: that counts only when each window stands there once, so it never pools variants."""
+    several = spots.where("lo < hi").select("doc_key", "item", "shift").distinct()
+    by = Window.partitionBy("doc_key", "item").orderBy("shift")
+    starts = (F.col("shift") - F.lag("shift").over(by) > MAX_STEP).cast("int")
+    runs = several.withColumn("run", F.sum(F.coalesce(starts, F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("doc_key", "item", "run")
+    runs = runs.select("doc_key", "item", "shift", F.min("shift").over(whole).alias("run_lo"), F.max("shift").over(whole).alias("run_hi"))
+    run_lo, run_hi = F.coalesce("run_lo", "shift"), F.coalesce("run_hi", "shift")
+    place = lambda lo, hi, parts=F.lit(False): F.struct(lo.alias("lo"), hi.alias("hi"), parts.alias("parts"))
+    ranges = F.array_distinct(F.array(place(F.col("lo"), F.col("hi"), (F.col("lo") < run_lo) | (run_hi < F.col("hi"))),
+                                      place(run_lo, run_hi), place(F.col("shift"), F.col("shift"))))
+    return (spots.join(runs, ["doc_key", "item", "shift"], "left").select("doc_key", "item", "pos", "ipos", F.explode(ranges).alias("r"))
+            .select("doc_key", "item", "pos", "ipos", "r.*"))
+
+
+def _consistent(d: DataFrame, items: DataFrame, spots: DataFrame, near: DataFrame) -> DataFrame:
+    place = ["doc_key", "item", "lo", "hi"]
     holds = lambda a: F.exists(a, lambda x: x.startswith("ʘ"))
     with_slots = items.where(holds("tokens")).select("item", F.col("tokens").alias("item_tokens"), "values")
-    spots = found.join(near.select("doc_key", "item"), ["doc_key", "item"], "left_semi").select("doc_key", "item", "pos", "ipos").distinct()
+    spots = spots.join(near.select(*place), place, "left_semi")
     spots = spots.join(broadcast_if_small(with_slots.select("item"), 16), "item")
     keys = spots.select("doc_key").distinct()
     texts = (d.join(broadcast_if_small(keys, 16), "doc_key", "left_semi").groupBy("doc_key").agg(F.first("text").alias("text"))
@@ -127,18 +159,21 @@ def _consistent(d: DataFrame, items: DataFrame, found: DataFrame, near: DataFram
         F.col("item_tokens")[F.col("ipos") + k].alias("kind"),
         F.col("values")[F.col("item_at")[F.col("ipos") + k]].alias("theirs"),
         F.col("doc_values")[F.col("at")[F.col("pos") + k]].alias("ours")))
-    filled = (aligned.select("doc_key", "item", F.explode(pairs).alias("p")).select("doc_key", "item", "p.*")
+    filled = (aligned.select(*place, F.explode(pairs).alias("p")).select(*place, "p.*")
               .where(F.col("theirs").isNotNull() & F.col("ours").isNotNull()).distinct())
-    ours = filled.groupBy("doc_key", "item", "kind", "theirs").agg(F.count(F.lit(1)).alias("n"))
-    theirs = filled.groupBy("doc_key", "item", "kind", "ours").agg(F.count(F.lit(1)).alias("n"))
-    bad = (ours.where("n > 1").select("doc_key", "item").unionByName(theirs.where("n > 1").select("doc_key", "item"))
-           .groupBy("doc_key", "item").agg(F.count(F.lit(1)).alias("n_bad")))
-    filled_n = filled.groupBy("doc_key", "item").agg(F.count(F.lit(1)).alias("n_slots"))
-    # Windows of one item may be repeated in a document with other values each time, so a
-    # few clashes are allowed as long as most filled values agree.
-    return (near.join(filled_n, ["doc_key", "item"], "left").join(bad, ["doc_key", "item"], "left")
-            .where(2 * F.coalesce("n_bad", F.lit(0)) <= F.coalesce("n_slots", F.lit(0)))
-            .join(items.select("item", "item_id"), "item")
+    ours = filled.groupBy(*place, "kind", "theirs").agg(F.count(F.lit(1)).alias("n"))
+    theirs = filled.groupBy(*place, "kind", "ours").agg(F.count(F.lit(1)).alias("n"))
+    bad = (ours.where("n > 1").select(*place).unionByName(theirs.where("n > 1").select(*place))
+           .groupBy(*place).agg(F.count(F.lit(1)).alias("n_bad")))
+    filled_n = filled.groupBy(*place).agg(F.count(F.lit(1)).alias("n_slots"))
+    # A few clashes are allowed as long as most filled values of a place agree. One such place
+    # is enough; of several, the one with most windows is reported, then the widest, then the first.
+    good = (near.join(filled_n, place, "left").join(bad, place, "left")
+            .where(2 * F.coalesce("n_bad", F.lit(0)) <= F.coalesce("n_slots", F.lit(0))))
+    order = F.struct("n_windows", F.col("hi") - F.col("lo"), -F.col("lo"))
+    best = (good.groupBy("doc_key", "item").agg(F.max_by(F.struct("doc_id", "n_windows", "n_item_windows", "first", "last", "n_slots"), order).alias("b"))
+            .select("item", "doc_key", "b.*"))
+    return (best.join(items.select("item", "item_id"), "item")
             .select("doc_id", "doc_key", "item_id", "n_windows", "n_item_windows", F.col("first").cast("long").alias("first_token"),
                     (F.col("last") + F.lit(WINDOW - 1)).cast("long").alias("last_token"), F.coalesce("n_slots", F.lit(0).cast("long")).alias("n_slots")))
 

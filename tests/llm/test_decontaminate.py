@@ -56,3 +56,23 @@ def test_shuffled_join_and_empty_tables(spark, monkeypatch):
     assert d.leaks(docs, bench(spark, [])).count() == 0
     monkeypatch.setattr(d, "broadcast_if_small", lambda df, n: df)
     assert [x["doc_id"] for x in d.leaks(docs.withColumn("item", d.F.lit("x")).withColumn("pos", d.F.lit(1)), bench(spark)).collect()] == [1]
+
+
+def test_a_verbatim_copy_among_variants_is_caught(spark):
+    r = random.Random(4)
+    item = ITEMS[5][1]
+    swapped = "If Ben has 5 apples and gives 12 to Anna, then buys 5 more, how many apples does Ben have now?"
+    # No variant agrees with the item on its own: one value of the item (12, or Anna) stands for several.
+    broken = lambda: f"If Karl has {r.randint(20, 40)} apples and gives 9 to Karl, then buys 9 more, how many apples does {r.choice(['Otto', 'Emma'])} have now?"
+    texts = {
+        1: f"{item} {broken()}", 2: " ".join([*(broken() for _ in range(20)), item, *(broken() for _ in range(30))]),
+        3: f"{filler(r, 40)} {swapped} {filler(r, 9)} {item}", 4: broken(), 5: " ".join(broken() for _ in range(20)),
+        # Words put in inside the copy move the rest of it.
+        6: f"{broken()} {item.replace('then buys', 'then he later buys')} {broken()}",
+        # Parts of one copy, far apart.
+        7: f"{filler(r, 9)} {' '.join(ITEMS[0][1].split()[:10])} {filler(r, 90)} {' '.join(ITEMS[0][1].split()[10:21])} {filler(r, 9)}",
+    }
+    rows = [(k, v, "en", "s", 0) for k, v in texts.items()]
+    got = {x["doc_id"]: x for x in d.leaks(spark.createDataFrame(rows, DOCS).repartition(3), bench(spark)).collect()}
+    assert set(got) == {1, 2, 3, 6, 7} and all(x["item_id"] == (1 if k == 7 else 6) for k, x in got.items())
+    assert got[2]["n_windows"] == got[2]["n_item_windows"] == 14 and got[2]["last_token"] - got[2]["first_token"] == 20
