@@ -39,25 +39,29 @@ UNITS = ["%", "mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "t
 NAME = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+"
 NUMBER = r"\d+(?:[.,:/]\d+)*"
 UNIT = r"(?<=\d ?)(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
-SLOT = f"{NAME}|{NUMBER}|{UNIT}"
+SLOT = f"({NAME})|({NUMBER})|({UNIT})"
 #: Placeholders, in letters that texts hardly use, so that they pass case folding and the split.
 NAME_TOKEN, NUMBER_TOKEN, UNIT_TOKEN = "ʘn", "ʘd", "ʘu"
 
 
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "ʘ", " ")
+
+
 def template(text: Column) -> Column:
-    """The canonical tokens of a text: array of strings, empty for null."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "ʘ", " ")
-    t = F.regexp_replace(t, UNIT, f" {UNIT_TOKEN} ")
-    t = F.regexp_replace(t, NAME, NAME_TOKEN)
-    t = F.regexp_replace(t, NUMBER, f" {NUMBER_TOKEN} ")
+    """The canonical tokens of a text: array of strings, empty for null. Slots are marked in one
+    pass over the text as it is, the pass of ``slots``; a marked slot then becomes its placeholder."""
+    t = F.regexp_replace(_plain(text), SLOT, "ʘ<$1ʘ<$2ʘ<$3ʘ>")
+    t = F.regexp_replace(t, "ʘ<[^ʘ]+ʘ<ʘ<ʘ>", NAME_TOKEN)
+    t = F.regexp_replace(t, "ʘ<ʘ<[^ʘ]+ʘ<ʘ>", f" {NUMBER_TOKEN} ")
+    t = F.regexp_replace(t, "ʘ<ʘ<ʘ<[^ʘ]+ʘ>", f" {UNIT_TOKEN} ")
     t = F.regexp_replace(F.lower(t), r"[!-/:-@\[-`{-~]+", " ")
     return F.array_remove(F.split(t, r"[\x20\x09-\x0D]+", -1), "")
 
 
 def slots(text: Column) -> Column:
     """The values under a text's placeholders, in order, lower-cased."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "ʘ", " ")
-    return F.transform(F.regexp_extract_all(t, F.lit(SLOT), F.lit(0)), lambda x: F.lower(x))
+    return F.transform(F.regexp_extract_all(_plain(text), F.lit(SLOT), F.lit(0)), lambda x: F.lower(x))
 
 
 def _windows(df: DataFrame, size: Column) -> DataFrame:

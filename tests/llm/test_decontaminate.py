@@ -76,3 +76,15 @@ def test_a_verbatim_copy_among_variants_is_caught(spark):
     got = {x["doc_id"]: x for x in d.leaks(spark.createDataFrame(rows, DOCS).repartition(3), bench(spark)).collect()}
     assert set(got) == {1, 2, 3, 6, 7} and all(x["item_id"] == (1 if k == 7 else 6) for k, x in got.items())
     assert got[2]["n_windows"] == got[2]["n_item_windows"] == 14 and got[2]["last_token"] - got[2]["first_token"] == 20
+
+
+def test_placeholders_and_slots_come_from_one_pass(spark):
+    texts = ["After 2 hours Tom has 5 km to go", "He ran 3 km Anna 4km, Ben 10% Carl and 12:30 h Dora", "7 Tom5 in 5 m Paul's 3m2 McDonald", "a ʘ 3 kg Eve ʘn 2 min Otto\n6 s Ida", "<$1> ʘ<9 km Max \\ $2", "", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", d.template(d.F.col("x")).alias("t"), d.slots(d.F.col("x")).alias("s")).collect()
+    assert all(sum(w.startswith("ʘ") for w in x["t"]) == len(x["s"]) for x in rows)
+    assert rows[0]["t"] == "after ʘd ʘu ʘn has ʘd ʘu to go".split() and rows[0]["s"] == ["2", "hours", "tom", "5", "km"]
+    item = "After 2 hours Tom has run 5 km. How far is the way that Tom runs in 3 hours Tom style?"
+    asked = item.replace("Tom", "Paula").replace("2", "4").replace("5 km", "9 km").replace("3", "8")
+    docs = spark.createDataFrame([(1, filler(random.Random(2), 20) + " for 6 days Zoe. " + asked, "en", "s", 0)], DOCS)
+    got = d.leaks(docs, bench(spark, [(1, item)])).collect()
+    assert [x["n_windows"] for x in got] == [got[0]["n_item_windows"]] and got[0]["n_slots"] == 6
