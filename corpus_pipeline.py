@@ -27,8 +27,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: one document of each group stays."""
-    return jaccard_join.keep_one(docs)
+    """N-gram Jaccard join on five-word shingles at 80 %: one document of each group stays."""
+    return jaccard_join.keep_one(docs, percent=80, shingle=5)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

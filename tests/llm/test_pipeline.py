@@ -72,3 +72,30 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_equal_brute_force_on_five_words_at_80_percent(spark):
+    r = random.Random(11)
+    base = [f"w{r.randrange(5000)}" for _ in range(200)]
+    texts = [" ".join(base)]
+    for edits in (2, 4, 6, 20):  # at 4 edits: 5-word Jaccard 0.81, 3-word 0.89
+        w = [f"{edits}x{r.randrange(5000)}" for _ in range(200)]
+        texts += [" ".join(w), " ".join(f"e{i}" if i % (200 // edits) == 10 else x for i, x in enumerate(w))]
+    # A run of new words breaks fewer shingles than as many single ones.
+    texts += [" ".join(base[:150]), " ".join([*base[:150], *("new%d" % i for i in range(30))]), "a b c d e", "a b c d", "A b  c d e"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets, group = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, DOCS).repartition(3), "").collect()
+    assert sorted(x["doc_id"] for x in got) == sorted(set(group))
+    three = [x[2] for x in components(rows, 90)]
+    assert len(set(group)) < len(set(three))
