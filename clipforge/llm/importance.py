@@ -31,7 +31,7 @@ SEED = 20240607
 
 def _features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all unigrams and bigrams of a column's texts and the text of each."""
-    w, at = words(*text_bytes(col))
+    (w, _), at = words(*text_bytes(col))
     doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
     pair = np.flatnonzero(doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, np.int64)
     both = mix(w[pair] * np.uint64(0x9E3779B97F4A7C15) + w[pair + 1]) if len(pair) else np.zeros(0, np.uint64)

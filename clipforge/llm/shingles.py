@@ -1,10 +1,23 @@
-"""Word shingle sets of whole texts as 64-bit hashes, whole columns at a time."""
+"""Word shingle sets of whole texts as hashes, whole columns at a time, and exact counts on them.
+
+A word has two hashes of 64 bits, independent of each other. Up to 32 bytes they are
+mixed from eight bytes after eight bytes, whole columns at once; longer words go through
+BLAKE2b. No step is linear over the bytes, so no family of texts shares its hashes.
+Shingles are sorted by the first hash; sets and pairs compare both.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from clipforge.llm.common import mix, prefix_hash, span_hash
+from clipforge.llm.common import mix
 
 SHINGLE = 3
 
@@ -16,10 +29,34 @@ _LOWER[65:91] += 32
 CHUNK = 2 << 20
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs without white space, A-Z lower-cased) of every text, and
-    the n + 1 offsets of each text's words."""
-    hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
+_SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_LANES = 4
+_LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of every word data[start:end]."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8 * _LANES, np.uint8)])
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    out = [mix(size.astype(np.uint64) ^ seed) for seed in _SEEDS]
+    for lane in range(_LANES):
+        live = np.flatnonzero(size > 8 * lane) if lane else slice(None)
+        part = eight[start[live] + 8 * lane] & _LOW[np.minimum(size[live] - 8 * lane, 8)]
+        for h in out:
+            h[live] = mix((h[live] ^ part) * _ODD)
+    for i in np.flatnonzero(size > 8 * _LANES):
+        digest = np.frombuffer(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=16).digest(), np.uint64)
+        out[0][i], out[1][i] = digest
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Both hashes of the words (runs without white space, A-Z lower-cased) of every text,
+    and the n + 1 offsets of each text's words."""
+    hashes: tuple[list, list] = ([], [])
+    counts = np.zeros(len(offsets) - 1, np.int64)
     d = 0
     while d < len(offsets) - 1:
         e = max(d + 1, int(np.searchsorted(offsets, offsets[d] + CHUNK, "right")) - 1)
@@ -35,29 +72,98 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
             starts[edge] = inside[edge]
             stops[edge - 1] = inside[edge - 1]
             s, z = np.flatnonzero(starts), np.flatnonzero(stops) + 1
-            hashes.append(span_hash(prefix_hash(part), s, z))
+            for found, h in zip(hashes, word_hashes(part, s, z), strict=True):
+                found.append(h)
             counts[d:e] = np.diff(np.concatenate([np.searchsorted(s, cuts), [len(s)]]))
         d = e
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
+    return [np.concatenate(h) if h else np.zeros(0, np.uint64) for h in hashes], np.concatenate([[0], np.cumsum(counts)])
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``k`` words of each text, repeats included, and their offsets.
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[list[np.ndarray], np.ndarray]:
+    """Both hashes of all runs of ``k`` words of each text, repeats included, and their offsets.
     A text of fewer words is one shingle, a text without words has none."""
-    w, at = words(data, offsets)
+    both, at = words(data, offsets)
     n = np.diff(at)
     size = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     out_at = np.concatenate([[0], np.cumsum(size)])
     first = np.repeat(at[:-1] - out_at[:-1], size) + np.arange(out_at[-1])
     length = np.repeat(np.minimum(n, k), size)
-    h = np.repeat(np.minimum(n, k), size).astype(np.uint64)
-    padded = np.concatenate([w, np.zeros(k, np.uint64)])
-    for j in range(k):
-        h = np.where(length > j, mix(h * np.uint64(0x9E3779B97F4A7C15) + padded[first + j]), h)
-    return h, out_at
+    out = []
+    for w in both:
+        padded = np.concatenate([w, np.zeros(k, np.uint64)])
+        h = length.astype(np.uint64)
+        for j in range(k):
+            h = np.where(length > j, mix(h * _ODD + padded[first + j]), h)
+        out.append(h)
+    return out, out_at
+
+
+Set = tuple[np.ndarray, np.ndarray]
+
+
+def sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[Set]:
+    """The distinct shingles of each text: first hashes, sorted, and second hashes beside them."""
+    (h, g), at = shingles(data, offsets, k)
+    out = []
+    for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        own, first = np.unique(h[a:z], return_index=True)
+        out.append((own, g[a:z][first]))
+    return out
+
+
+def set_key(own: Set) -> bytes:
+    """128 bits that equal sets share."""
+    return hashlib.blake2b(own[0].tobytes() + own[1].tobytes(), digest_size=16).digest()
+
+
+def common(s: Set, t: Set) -> int:
+    """The exact size of the intersection."""
+    if len(s[0]) > len(t[0]):
+        s, t = t, s
+    at = np.searchsorted(t[0], s[0])
+    at[at == len(t[0])] = 0
+    return int(np.count_nonzero((t[0][at] == s[0]) & (t[1][at] == s[1])))
+
+
+def smallest_linked(percent: int) -> int:
+    """The smallest set that can be linked with a set that differs from it."""
+    n = 1
+    while 100 * n < percent * (n + 1):
+        n += 1
+    return n
+
+
+def _overlaps(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip = zstandard.ZstdDecompressor().decompress
+        known: dict[int, Set] = {}
+
+        def own(uid, body) -> Set:
+            if uid not in known:
+                if len(known) >= 256:
+                    known.clear()
+                data = np.frombuffer(unzip(body.as_py()), np.uint8)
+                known[uid] = sets(data, np.array([0, len(data)]), shingle)[0]
+            return known[uid]
+
+        for rows in batches:
+            a, b = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+            out = [common(own(x, p), own(y, q)) for x, y, p, q in zip(a, b, rows.column(2), rows.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(out, pa.int64())], ["a", "b", "overlap"])
+    return run
+
+
+def reaches(overlap: Column, n: Column, m: Column, percent: int) -> Column:
+    return 100 * overlap >= percent * (n + m - overlap)
 
 
-def sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    h, at = shingles(data, offsets, k)
-    return [np.unique(h[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+def links(pairs: DataFrame, bodies: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The pairs (a, b) of uids whose whole sets reach the threshold, counted exactly.
+    ``bodies`` has uid, n (size of the set) and body (the text, compressed) of every row."""
+    side = lambda c: bodies.select(F.col("uid").alias(c), F.col("body").alias(f"body_{c}"))
+    whole = pairs.join(side("a"), "a").join(side("b"), "b")
+    sizes = bodies.select("uid", "n")
+    counted = whole.select("a", "b", "body_a", "body_b").mapInArrow(_overlaps(shingle), "a long, b long, overlap long")
+    counted = (counted.join(sizes.select(F.col("uid").alias("a"), F.col("n").alias("n_a")), "a")
+               .join(sizes.select(F.col("uid").alias("b"), F.col("n").alias("n_b")), "b"))
+    return counted.where(reaches(F.col("overlap"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
