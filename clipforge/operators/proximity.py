@@ -1,21 +1,23 @@
 """``(A1 OR A2 ...) NEAR/k (B1 OR B2 ...)`` over a documents table, many queries at once.
 
-Queries are rows of a phrase table: (query, side, phrase) with side ``a`` or ``b``.
-Phrases are lower-case word sequences; a document's words are its runs of
-letters, lower-cased, numbered from 0. A phrase occurs at ``p`` when words
-``p .. p+len-1`` equal it. An A occurrence is a hit when some B occurrence
-starts at most ``k`` words before or after it.
-
-Phrases meet documents by equi-join: every word of every phrase is a row (phrase,
-place, word), a document's word at position p that is a phrase's i-th word votes for
-the phrase at p - i, and a phrase occurs where it has all its votes. So the cost
-follows the occurrences of phrase words, not the number of queries, and no
-expression grows with the phrase list.
+Queries are rows of a phrase table: (query, side, phrase) with side ``a`` or ``b``, written
+by hand or read back from query texts (:func:`parsed_queries`). Phrases are lower-case word
+sequences; a document's words are its runs of letters, lower-cased, numbered from 0. A
+phrase occurs at ``p`` when words ``p .. p+len-1`` equal it. An A occurrence is a hit when
+some B occurrence starts at most ``k`` words before or after it.
+
+* Postings: the documents' words that stand in some phrase, with their positions, are
+  written once; everything after reads them.
+* A phrase is looked up by its rarest word (counted on the postings); its other words must
+  then stand at their places, which is an equi-join on (document, position, word).
+* Side B comes first. Queries with the same A side share it, and an A occurrence is met by
+  the B occurrences of its stretch of ``k + 1`` words and the two beside it only, so the
+  work follows the B occurrences, not documents times queries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
@@ -23,28 +25,75 @@ from clipforge.functions.text import WORD, words_of
 from clipforge.session import written
 
 
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame) -> DataFrame:
+    """(_id, ph, at) of every phrase (ph, ws: its words) in the documents."""
+    places = phrases.select("ph", F.size("ws").alias("len"), F.posexplode("ws").alias("i", "tok"))
+    words = docs.select(F.col(id_col).alias("_id"),
+                        F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), 0)).alias("pos", "tok"))
+    postings = written(words.join(places.select("tok").distinct(), "tok", "left_semi"), "postings")
+    common = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (places.join(common, "tok").groupBy("ph", "len").agg(F.min(F.struct("n", "i", "tok")).alias("w"))
+              .select("ph", "len", F.col("w.i").alias("i"), F.col("w.tok").alias("tok")))
+    found = (postings.join(rarest, "tok").where(F.col("pos") >= F.col("i"))
+             .select("_id", "ph", "len", (F.col("pos") - F.col("i")).alias("at"), "i"))
+    rest = (found.where("len > 1").join(places.select("ph", F.col("i").alias("j"), "tok"), "ph").where("i <> j")
+            .select("_id", "ph", "len", "at", (F.col("at") + F.col("j")).alias("pos"), "tok"))
+    whole = (rest.join(postings, ["_id", "pos", "tok"]).groupBy("_id", "ph", "len", "at").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") == F.col("len") - 1).select("_id", "ph", "at"))
+    return found.where("len = 1").select("_id", "ph", "at").unionByName(whole)
+
+
 def proximity_hits(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame,
                    distance: int = C.NEAR_DISTANCE) -> DataFrame:
     """(query, id, hits): documents with at least one A occurrence near a B occurrence of
     a query; ``hits`` counts such A occurrences (positions).
 
-    ``phrases``: (query, side, phrase). Phrases without a word are ignored."""
-    p = (phrases.select("query", "side", words_of(F.lower("phrase")).alias("ws")).where(F.size("ws") > 0))
-    distinct = p.select(F.xxhash64("ws").alias("ph"), "ws").distinct()
-    uses = p.select("query", "side", F.xxhash64("ws").alias("ph")).distinct()
-    # A phrase is looked up by its first word; the other words must then follow.
-    firsts = distinct.select("ph", F.size("ws").alias("len"), F.posexplode("ws").alias("i", "tok"))
-    toks = docs.select(F.col(id_col).alias("_id"),
-                       F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), 0)).alias("pos", "tok"))
-    votes = toks.join(firsts, "tok").select("_id", "ph", "len", (F.col("pos") - F.col("i")).alias("at"))
-    occurs = (votes.groupBy("_id", "ph", "len", "at").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") == F.col("len")).select("_id", "ph", "at"))
-    ev = (written(occurs, "phrase_places").join(uses, "ph").groupBy("query", "_id", "at")
-          .agg(F.max((F.col("side") == "a").cast("int")).alias("is_a"), F.max((F.col("side") == "b").cast("int")).alias("is_b")))
-    near = Window.partitionBy("query", "_id").orderBy("at").rangeBetween(-distance, distance)
-    ev = ev.withColumn("_b_near", F.sum("is_b").over(near))
-    hit = ev.where((F.col("is_a") == 1) & (F.col("_b_near") - F.col("is_b") > 0))
-    return hit.groupBy("query", "_id").agg(F.count(F.lit(1)).alias("hits")).withColumnRenamed("_id", id_col)
+    ``phrases``: (query, side, phrase), and the query's own distance where it has a column
+    ``near``. Phrases without a word are ignored; a document id names one document."""
+    near = F.col("near") if "near" in phrases.columns else F.lit(distance)
+    p = phrases.select("query", "side", near.cast("int").alias("near"), words_of(F.lower("phrase")).alias("ws")).where(F.size("ws") > 0)
+    p = written(p.withColumn("ph", F.xxhash64("ws")).distinct(), "phrases")
+    occurs = written(_occurrences(docs, id_col, text_col, p.select("ph", "ws").distinct()), "occurrences")
+
+    # Queries of one A side and distance share the stretches of that side.
+    sides = p.where("side = 'a'").groupBy("query", "near").agg(F.sort_array(F.collect_set("ph")).alias("phs"))
+    sides = sides.select("query", "near", F.xxhash64("near", "phs").alias("side_id"), "phs")
+    stretch = lambda at: F.floor(F.col(at) / (F.col("near") + 1))
+    a = (sides.select("side_id", "near", F.explode("phs").alias("ph")).distinct().join(occurs, "ph")
+         .select("side_id", "_id", F.col("at").alias("a"), stretch("at").alias("stretch")).distinct())
+    # Of the B occurrences of a stretch the first and the last decide for every A.
+    b = (p.where("side = 'b'").select("query", "ph").join(sides.select("query", "side_id", "near"), "query").join(occurs, "ph")
+         .groupBy("_id", "query", "side_id", "near", stretch("at").alias("in_stretch")).agg(F.min("at").alias("first"), F.max("at").alias("last")))
+    b = b.withColumn("d", F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)]))).withColumn("stretch", F.col("in_stretch") + F.col("d")).drop("in_stretch")
+    reach = (F.when(F.col("d") == 0, (F.col("first") != F.col("a")) | (F.col("last") != F.col("a")))
+             .when(F.col("d") == 1, F.col("a") - F.col("last") <= F.col("near")).otherwise(F.col("first") - F.col("a") <= F.col("near")))
+    met = b.join(a, ["side_id", "_id", "stretch"]).where(reach).groupBy("side_id", "_id", "stretch", "query", "a").agg(F.lit(1).alias("one"))
+    return met.groupBy("query", "_id").agg(F.count(F.lit(1)).alias("hits")).withColumnRenamed("_id", id_col)
+
+
+#: What :func:`operators.units.unit_queries` writes: two lists of quoted phrases around NEAR/k.
+QUERY_TEXT = r'^\s*\("(.*?)"\)\s+NEAR/([0-9]+)\s+\("(.*)"\)\s*$'
+LIST_OR = r'"\s+OR\s+"'
+
+
+def parsed_queries(queries: DataFrame, query_col: str = "query_id", text_col: str = "query") -> DataFrame:
+    """(query, side, phrase, near) of written query texts, the input of :func:`proximity_hits`.
+
+    Phrases end where a quote is followed by ``OR`` and the next quote, so a name may hold
+    quotes itself. A text of another form gives one row with null side, phrase and near."""
+    part = lambda g: F.regexp_extract(F.col(text_col), f"(?s){QUERY_TEXT}", g)
+    fits = F.coalesce(F.col(text_col).rlike(f"(?s){QUERY_TEXT}"), F.lit(False))
+    side = lambda name, g: F.transform(F.split(part(g), LIST_OR), lambda x: F.struct(F.lit(name).alias("side"), x.alias("phrase")))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("side"), F.lit(None).cast("string").alias("phrase")))
+    return (queries.select(F.col(query_col).alias("query"), F.when(fits, part(2)).cast("int").alias("near"),
+                           F.explode(F.when(fits, F.concat(side("a", 1), side("b", 3))).otherwise(none)).alias("p"))
+            .select("query", "p.side", "p.phrase", "near"))
+
+
+def search_texts(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, query_col: str = "query_id", query_text_col: str = "query") -> DataFrame:
+    """(query, id, hits) of written query texts over documents; texts of another form find nothing."""
+    parsed = parsed_queries(queries, query_col, query_text_col)
+    return proximity_hits(docs, id_col, text_col, parsed.where(F.col("phrase").isNotNull()))
 
 
 def query_phrases(members: DataFrame, limit: int = C.NAMES_PER_QUERY, name_en: str = C.INSTITUTION_NAME_ENGLISH,

@@ -9,7 +9,9 @@ roster covers ``R0``, ``R1``, ``R2``.
 
 Proximity stand-in: a phrase table of many queries. Query ``q<i>`` for each benchmark
 item i: side a ``the`` and ``on the``; side b the item's first two words as a phrase, and
-its last word.
+its last word. ``query_search`` writes the texts of unit queries first (faculty: the item's
+number modulo 7; names: the same phrases of its items, 20 a text; institution ``the`` and
+``on the``), reads them back and runs them.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 
 from clipforge.functions.text import words_of
 from clipforge.operators.hierarchy import active_memberships, unit_closure, unit_report, unit_roster
-from clipforge.operators.proximity import proximity_hits
+from clipforge.operators.proximity import proximity_hits, search_texts
+from clipforge.operators.units import unit_queries
 from clipforge.plans.registry import register
 from clipforge.sources.tables import Tables
 
@@ -142,3 +145,34 @@ SELECT query, doc_id, count(*) AS hits FROM
 def q_proximity_search(spark, data_dir):
     docs = Tables(spark, data_dir).spread("documents", "doc_id", "text")
     return proximity_hits(docs, "doc_id", "text", _query_table(spark, data_dir), 50)
+
+
+_ITEM_NAMES_SQL = r"""
+item AS (SELECT item_id, regexp_extract_all(lower(text), '\p{L}+') AS ws FROM benchmark),
+names AS (SELECT 'Faculteit ' || item_id % 7 AS faculty, ws[1] || ' ' || ws[2] AS name, 2 * item_id AS row_pos FROM item WHERE len(ws) >= 2
+          UNION ALL SELECT 'Faculteit ' || item_id % 7, ws[len(ws)], 2 * item_id + 1 FROM item WHERE len(ws) >= 2),
+firsts AS (SELECT faculty, name, min(row_pos) AS first_pos FROM names GROUP BY ALL),
+chunked AS (SELECT faculty || '#' || (row_number() OVER (PARTITION BY faculty ORDER BY first_pos, name) - 1) // 20 AS query,
+                   string_split(name, ' ') AS ws FROM firsts)
+"""
+
+
+@register("query_search", sql=rf"""
+WITH t AS (SELECT doc_id, unnest(toks) AS tok, unnest(range(0, len(toks))) AS pos
+           FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+') AS toks FROM documents)),
+l AS (SELECT *, lead(tok, 1) OVER (PARTITION BY doc_id ORDER BY pos) AS t1 FROM t),
+a AS (SELECT DISTINCT doc_id, pos FROM l WHERE tok = 'the' OR (tok = 'on' AND t1 = 'the')), {_ITEM_NAMES_SQL},
+b AS (SELECT query, doc_id, pos FROM chunked JOIN l ON l.tok = ws[1] AND (len(ws) = 1 OR l.t1 = ws[2]))
+SELECT query, doc_id, count(*) AS hits FROM
+  (SELECT DISTINCT b.query, a.doc_id, a.pos FROM a JOIN b ON a.doc_id = b.doc_id AND a.pos <> b.pos
+   AND b.pos BETWEEN a.pos - 50 AND a.pos + 50) GROUP BY 1, 2
+""")
+def q_query_search(spark, data_dir):
+    t = Tables(spark, data_dir)
+    item = t.benchmark.select("item_id", words_of(F.lower("text")).alias("ws")).where(F.size("ws") >= 2)
+    name = lambda c, n: item.select(F.concat(F.lit("Faculteit "), (F.col("item_id") % 7).cast("string")).alias("faculty"),
+                                    c.alias("name_variant"), (2 * F.col("item_id") + n).alias("row_pos"))
+    members = name(F.concat_ws(" ", F.col("ws")[0], F.col("ws")[1]), 0).unionByName(name(F.element_at("ws", -1), 1))
+    texts = unit_queries(members, limit=20, name_en="the", name_nl="on the", near=50)
+    texts = texts.select(F.concat_ws("#", "faculty", F.col("chunk").cast("string")).alias("query_id"), "query")
+    return search_texts(t.spread("documents", "doc_id", "text"), "doc_id", "text", texts)

@@ -2,7 +2,8 @@ import random
 import re
 
 from clipforge.operators.language import identify_language, language_profile
-from clipforge.operators.proximity import proximity_hits, query_phrases
+from clipforge.operators.proximity import parsed_queries, proximity_hits, query_phrases, search_texts
+from clipforge.operators.units import unit_queries
 
 
 def brute_near(text, A, B, k):
@@ -43,6 +44,25 @@ def test_written_queries_can_be_evaluated(spark):
     assert {(r.query, r.id) for r in hits} == {("Faculteit A#1", 1), ("Faculteit A#0", 3)}
 
 
+def test_query_texts_are_read_back(spark):
+    names = ['Jan "Jim" Smit', "D. (Dina) OR Or", "Ex NEAR/5 (x", "plain"]
+    members = spark.createDataFrame([("Faculteit A", n, i) for i, n in enumerate(names)], "faculty string, name_variant string, row_pos long")
+    texts = unit_queries(members, limit=3).select("chunk", "query")
+    bad = spark.createDataFrame([(7, "no query"), (8, None), (9, '("a") NEAR/x ("b")')], "chunk long, query string")
+    got = {(r["query"], r["side"], r["phrase"], r["near"]) for r in parsed_queries(texts.unionByName(bad), "chunk").collect()}
+    orgs = ("Utrecht University", "Universiteit Utrecht")
+    assert got == ({(c, "a", o, 50) for c in (0, 1) for o in orgs} | {(i // 3, "b", n, 50) for i, n in enumerate(names)}
+                   | {(c, None, None, None) for c in (7, 8, 9)})
+
+
+def test_search_with_a_distance_per_query(spark):
+    docs = spark.createDataFrame([(1, "alpha one two three beta"), (2, "beta alpha beta"), (3, None), (4, "Alpha-BETA " * 3000)], "id long, t string")
+    texts = spark.createDataFrame([("wide", '("alpha") NEAR/4 ("beta")'), ("tight", '("alpha") NEAR/3 ("beta" OR "none such")'), ("odd", "alpha beta")],
+                                  "query_id string, query string")
+    got = {(r["query"], r["id"]): r["hits"] for r in search_texts(docs, "id", "t", texts).collect()}
+    assert got == {("wide", 1): 1, ("wide", 2): 1, ("tight", 2): 1, ("wide", 4): 3000, ("tight", 4): 3000}
+
+
 def test_language_identification(spark):
     train = spark.createDataFrame([("en", "the weather is nice and the sun shines over the hills"),
                                    ("en", "this is the house where they live with their children"),
