@@ -1,11 +1,16 @@
 """Incremental mail intake with Structured Streaming.
 
 New ``*.eml`` files under a folder become article rows: file source ->
-block extraction (``mapInPandas``, same code as the batch path) -> cleaning -> per
-micro-batch: block lists, then repeats on (title, URL) dropped -- inside the batch
-and against what earlier batches wrote, however old an article is -> one parquet
-folder per micro-batch, written idempotently by batch id so a retried batch
+block extraction (``mapInPandas``, same code as the batch path) -> cleaning -> repeats on
+(title, URL) dropped by the stream's own state -> per micro-batch: title block list ->
+one parquet folder per micro-batch, written idempotently by batch id so a retried batch
 overwrites its own output.
+
+The state holds a 128-bit key per article ever seen and nothing else. A batch looks its
+own keys up, so its cost follows the batch, not the history; what earlier batches wrote is
+never read. The state is versioned with the stream's checkpoint, so a retried batch meets
+the state that its first attempt met. It is kept in RocksDB unless the session names
+another provider: on the executors' disks, with changes in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -44,30 +49,33 @@ def articles_from_blocks(blocks: DataFrame) -> DataFrame:
             .where(F.col("title").isNotNull() & F.col("ts").isNotNull()))
 
 
-def _new_articles(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
-    """One row per (title, URL) of the batch that no earlier batch has."""
-    fresh = batch if earlier is None else batch.join(earlier.select("title", "url").distinct(), ["title", "url"], "left_anti")
-    return fresh.dropDuplicates(["title", "url"])
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_seen(articles: DataFrame) -> DataFrame:
+    """The first row of each (title, URL) that the stream ever brings; a null is a value."""
+    mark = F.concat_ws("\n", *[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in ("title", "url")])
+    return articles.withColumn("_key", F.unhex(F.md5(mark))).dropDuplicates(["_key"]).drop("_key")
 
 
 def start_intake(spark: SparkSession, folder: str, out_path: str, checkpoint_path: str,
                  blocked_sources: DataFrame | None = None, blocked_words: DataFrame | None = None,
                  available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery``."""
+    if spark.conf.get(STATE_PROVIDER, None) in (None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
     arts = articles_from_blocks(extract_blocks(mail_stream(spark, folder)))
     if blocked_sources is not None:
         arts = drop_blocked_sources(arts, blocked_sources)
+    arts = first_seen(arts)
     out = out_path.rstrip("/")
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        earlier = None
-        if batch_id > 0:
-            # batch ids ascend: a retried batch reads only what came before it
-            earlier = df.sparkSession.read.option("basePath", out).parquet(out).where(F.col("batch") < batch_id)
-        if blocked_words is not None:
+        if blocked_words is not None:  # by title alone, so repeats may be dropped before
             keyed = df.withColumn("_row", F.concat_ws("#", "path", F.col("block_no").cast("string")))
             df = drop_blocked_titles(keyed, blocked_words, title_col="title", key_col="_row").drop("_row")
-        _new_articles(df, earlier).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     w = arts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
