@@ -1,6 +1,7 @@
 """Block extraction, titles, dates, language and mentions over pages, orders and documents.
 
-Stand-ins: a mail is a document written as mail HTML. Elsewhere an article block is a web page of ``pages``; its headline is the
+Stand-ins: a mail is a document written as mail HTML, its whole text in the block and its first line in
+the headline; ``mail_scan`` writes these as MIME files of several charsets and structures and scans them. Elsewhere an article block is a web page of ``pages``; its headline is the
 ``<h1>``; its labelled person list is the navigation labels (``<li><a>``) read
 as ``Personen: a, b, ...`` and two more names (the first with an institution before it,
 and a black-listed one); its highlighted tokens are the words of all ``<b>`` runs; its
@@ -14,6 +15,8 @@ adds the page junk markers to the unwanted terms and ``the``/``and`` to the blac
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
@@ -22,7 +25,8 @@ from clipforge.operators.language import filter_languages, identify_language, la
 from clipforge.operators.mentions import clean_mentions, faculty_names, raw_mentions, subsume_partials
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.registry import register
-from clipforge.sources.mail import extract_blocks_from_html
+from clipforge.session import scratch_path, written
+from clipforge.sources.mail import extract_blocks, extract_blocks_from_html, read_mails
 from clipforge.sources.tables import Tables
 from clipforge.streaming.intake import articles_from_blocks
 
@@ -46,27 +50,28 @@ def _mails(docs):
     month = F.element_at(F.array(*[F.lit(m) for m in [*DUTCH_MONTHS, "foo"]]), (n % 13 + 1).cast("int"))
     date = F.concat(F.lit("| "), (n % 31 + 1).cast("string"), F.lit(" "), month, F.lit(" 2024 "), F.lpad((n % 24).cast("string"), 2, "0"), F.lit(":30"))
     url = F.concat(F.lit("https://news.example/"), n.cast("string"), F.lit("?q="), F.repeat(F.lit("x"), (n % 2000).cast("int")))
-    title = html_escape(F.concat(F.lit("-- "), F.substring("text", 1, 60), F.lit(" | R&D")))
+    title = html_escape(F.concat(F.lit("-- "), F.split("text", "\n")[0], F.lit(" | R&D")))
     head = lambda t: F.concat(F.lit(f'<a class="{C.HEADLINE_CLASS}" href="'), html_escape(url), F.lit('">'), t, F.lit("</a>"))
     tag = lambda name, cls, t: F.concat(F.lit(f'<{name} class="{cls}">'), t, F.lit(f"</{name}>"))
     row = f'<tr class="{C.ARTICLE_BLOCK_CLASS}"><td>'
     html = F.concat(
         F.lit("<html><body><style>p{}</style><table>" + row + '<a href="x">no headline</a></td></tr>' + row), head(title),
         tag("span", C.HARVEST_DATE_CLASS, date), F.when(n % 5 > 0, tag("a", C.SOURCE_NAME_CLASS, html_escape(F.concat(F.lit(" "), "source", F.lit("\n| & Co"))))).otherwise(""),
-        F.lit("<div>Faculteit Geo / "), html_escape(F.translate(F.substring("text", 1, 80), "/", " ")), F.lit(" ... / end</div></td></tr>" + row), head(F.lit("undated")), F.lit("</td></tr></table></body></html>"))
+        F.lit("<div>Faculteit Geo / "), html_escape(F.translate("text", "/", " ")), F.lit(" ... / end</div></td></tr>" + row), head(F.lit("undated")), F.lit("</td></tr></table></body></html>"))
     code = F.when(n % 4 == 0, "GEO").when(n % 4 == 1, "Beta 2").when(n % 4 == 2, "Rechten")
     path = F.concat(F.lit("/mail/Alert "), F.when(code.isNotNull(), F.concat(F.lit("faculteit "), code, F.lit(" - "))).otherwise(""), n.cast("string"), F.lit(".eml"))
     return docs.select(path.alias("path"), html.alias("html"))
 
 
-_NAME_SQL = f"regexp_replace({S.strip("replace(substr(text, 1, 80), '/', ' ') || ' ... '")}, {S.q(WS + '*')} || '\\.\\.\\.$', '')"
+_TITLE_SQL = S.clean_title("'-- ' || string_split(text, chr(10))[1] || ' | R&D'")
+_NAME_SQL = f"regexp_replace({S.strip("replace(text, '/', ' ') || ' ... '")}, {S.q(WS + '*')} || '\\.\\.\\.$', '')"
 
 
 @register("mail_articles", sql=f"""
 WITH d AS (SELECT *, {DUTCH_MONTHS_SQL}[doc_id % 13 + 1] AS mon, doc_id % 13 + 1 AS mno, doc_id % 31 + 1 AS dno FROM documents)
 SELECT '/mail/Alert ' || CASE doc_id % 4 WHEN 0 THEN 'faculteit GEO - ' WHEN 1 THEN 'faculteit Beta 2 - '
          WHEN 2 THEN 'faculteit Rechten - ' ELSE '' END || doc_id || '.eml' AS path, 1 AS block_no,
-       {S.clean_title("'-- ' || substr(text, 1, 60) || ' | R&D'")} AS title,
+       {_TITLE_SQL} AS title,
        substr('https://news.example/' || doc_id || '?q=' || repeat('x', CAST(doc_id % 2000 AS INTEGER)), 1, 1024) AS url,
        strftime(make_timestamp(2024, mno, dno, doc_id % 24, 30, 0), '%Y-%m-%d %H:%M') AS ts,
        CASE WHEN doc_id % 5 > 0 THEN source || ' & Co' ELSE 'Unknown' END AS source,
@@ -81,6 +86,47 @@ def q_mail_articles(spark, data_dir):
                        F.array_join(faculty_names("block_text"), "|").alias("names"))
 
 
+def _mime(mails):
+    """(mail, content): each mail's HTML in a MIME file. By number: ISO-8859-1 where the text
+    allows it, UTF-8 or UTF-16; the HTML beside a plain part, or nested one level deeper before
+    a second HTML part; every seventh has a plain part only, every eleventh an unknown charset."""
+    n, line = F.col("mail"), "\n"
+    fits = F.col("html").rlike(r"(?s)^[\x00-\xFF]*$")
+    charset = F.when(n % 3 == 2, "UTF-16").when((n % 3 == 0) & fits, "ISO-8859-1").otherwise("UTF-8")
+    body = F.base64(F.when(charset == "UTF-16", F.encode("html", "UTF-16")).when(charset == "ISO-8859-1", F.encode("html", "ISO-8859-1")).otherwise(F.encode("html", "UTF-8")))
+    named = F.when(n % 11 == 5, "no-such-charset").otherwise(charset)
+    html = F.concat(F.lit("Content-Type: text/html; charset="), named, F.lit(f"{line}Content-Transfer-Encoding: base64{line}{line}"), body, F.lit(line))
+    plain = f"Content-Type: text/plain; charset=utf-8{line}{line}<tr>plain part</tr>{line}"
+    top = f"Subject: alert{line}MIME-Version: 1.0{line}Content-Type: "
+    flat = F.concat(F.lit(f"{top}multipart/alternative; boundary=A{line}{line}--A{line}{plain}--A{line}"), html, F.lit(f"--A--{line}"))
+    deep = F.concat(F.lit(f"{top}multipart/mixed; boundary=M{line}{line}--M{line}Content-Type: multipart/alternative; boundary=A{line}{line}--A{line}{plain}--A{line}"),
+                    html, F.lit(f"--A--{line}--M{line}Content-Type: text/html; charset=utf-8{line}{line}<p>an attachment</p>{line}--M--{line}"))
+    alone = F.lit(f"{top}text/plain; charset=utf-8{line}{line}no page here{line}")
+    return mails.select("mail", F.when(n % 7 == 3, alone).when(n % 2 == 0, flat).otherwise(deep).alias("content"))
+
+
+@register("mail_scan", sql=f"""
+WITH d AS (SELECT *, {DUTCH_MONTHS_SQL}[doc_id % 13 + 1] AS mon, doc_id % 13 + 1 AS mno, doc_id % 31 + 1 AS dno FROM documents WHERE doc_id % 7 <> 3)
+SELECT doc_id AS mail, 1 AS block_no, {_TITLE_SQL} AS title, strftime(make_timestamp(2024, mno, dno, doc_id % 24, 30, 0), '%Y-%m-%d %H:%M') AS ts,
+       CASE WHEN doc_id % 5 > 0 THEN source || ' & Co' ELSE 'Unknown' END AS source, {_NAME_SQL} AS names, NULL AS error
+FROM d WHERE mon IS NOT NULL AND dno <= day(last_day(make_date(2024, mno, 1))) AND doc_id % 11 <> 5
+UNION ALL SELECT doc_id, -1, NULL, NULL, NULL, NULL, 'LookupError' FROM d WHERE doc_id % 11 = 5
+""")
+def q_mail_scan(spark, data_dir):
+    """Documents as MIME files in the shared folder, scanned recursively by Spark's own file source."""
+    docs = Tables(spark, data_dir).spread("documents", "doc_id", "source", "text")
+    mails = _mails(docs).select(F.regexp_extract("path", r"(\d+)\.eml$", 1).cast("long").alias("mail"), "html")
+    folder = scratch_path(spark, f"mails-{uuid.uuid4().hex}")
+    _mime(mails).write.partitionBy("mail").text(folder)
+    blocks = written(extract_blocks(read_mails(spark, folder, "*.txt")), "mail_blocks")
+    mail = F.regexp_extract("path", r"/mail=(\d+)/", 1).cast("long").alias("mail")
+    arts = articles_from_blocks(blocks).select(
+        mail, "block_no", "title", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("ts"), "source",
+        F.array_join(faculty_names("block_text"), "|").alias("names"), F.lit(None).cast("string").alias("error"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("title", "ts", "source", "names")]
+    return arts.unionByName(blocks.where("error IS NOT NULL").select(mail, "block_no", *none, F.split("error", ":")[0].alias("error")))
+
+
 @register("article_titles", sql=f"SELECT page_id, {S.h1_title()} AS title FROM pages WHERE regexp_matches(html, '<h1>')")
 def q_article_titles(spark, data_dir):
     return page_titles(Tables(spark, data_dir).spread("pages", "page_id", "html"))
