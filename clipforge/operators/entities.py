@@ -84,17 +84,65 @@ def org_lookup(df: DataFrame, orgs: DataFrame, org_col: str = "org_uuid") -> Dat
             .drop("_org", "_type", "_name"))
 
 
+#: Persons with more periods than this are met through the period index.
+MANY_PERIODS = 32
+#: Levels of the period index: spans of 1, 2, 4 ... days, up to the whole calendar.
+PERIOD_LEVELS = 22
+_FIRST_DAY = "0001-01-01"
+
+
+def _day_no(c) -> Column:
+    return F.date_diff(F.col(c).cast("date"), F.lit(_FIRST_DAY).cast("date"))
+
+
+def _spans(first: Column, last: Column) -> Column:
+    """The aligned spans (level, number) that make up the days first .. last, two per level at most.
+
+    Going up a level, an odd first span and an even last span are taken as they are and the
+    rest is halved, until nothing is left."""
+    step = lambda a, level: F.struct(
+        F.shiftright(a["lo"] + 1, 1).alias("lo"), F.shiftright(a["hi"] - 1, 1).alias("hi"),
+        F.when(a["lo"] > a["hi"], a["out"]).otherwise(F.concat(
+            a["out"],
+            F.when((a["lo"] % 2 == 1), F.array(F.struct(level.alias("level"), a["lo"].alias("span")))).otherwise(F.array().cast("array<struct<level:int,span:int>>")),
+            F.when((a["hi"] % 2 == 0) & ((a["hi"] > a["lo"]) | (a["lo"] % 2 == 0)), F.array(F.struct(level.alias("level"), a["hi"].alias("span"))))
+            .otherwise(F.array().cast("array<struct<level:int,span:int>>")))).alias("out"))
+    start = F.struct(first.cast("int").alias("lo"), last.cast("int").alias("hi"), F.array().cast("array<struct<level:int,span:int>>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(PERIOD_LEVELS)), start, step, lambda a: a["out"])
+
+
+def indexed_periods(probes: DataFrame, periods: DataFrame, person_col: str, ts_col: str) -> DataFrame:
+    """Probes joined with the periods (``_person``, start_ts, end_ts) of their person that hold
+    their day. A period is cut into aligned spans of days, a probe stands in one span per
+    level; both meet in exactly one span, so only pairs that belong together are made, however
+    many periods and probes a person has."""
+    p = (periods.where("start_ts <= end_ts").withColumn("_s", F.explode(_spans(_day_no("start_ts"), _day_no("end_ts"))))
+         .withColumn("_level", F.col("_s.level")).withColumn("_span", F.col("_s.span")).drop("_s"))
+    at = probes.where(F.col(ts_col).isNotNull()).withColumn("_level_p", F.explode(F.sequence(F.lit(0), F.lit(PERIOD_LEVELS))))
+    at = at.withColumn("_span_p", F.expr(f"shiftright(date_diff(cast(`{ts_col}` as date), date'{_FIRST_DAY}'), _level_p)"))
+    return (at.join(p, (F.col(person_col) == F.col("_person")) & (F.col("_level_p") == F.col("_level")) & (F.col("_span_p") == F.col("_span")))
+            .drop("_level", "_span", "_level_p", "_span_p"))
+
+
 def active_affiliations(probes: DataFrame, assocs: DataFrame, person_col: str, ts_col: str) -> DataFrame:
     """Associations of the probe's person whose period holds the probe time:
     ``start <= ts <= end`` (end at midnight, so a time on the last day misses).
 
-    An equi-join on the person with the period as a residual filter; malformed
+    An equi-join on the person with the period as a residual filter; the periods of persons
+    with more than ``MANY_PERIODS`` go through :func:`indexed_periods` instead. Malformed
     associations are kept and flagged so the caller can mark the article.
     """
     a = assocs.withColumnRenamed("uuid", "_person")
-    j = probes.join(a, probes[person_col] == a["_person"])
+    many = written(a.where(~F.col("malformed")).groupBy("_person").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MANY_PERIODS).select("_person"), "many_periods")
     ts = F.col(ts_col)
-    return j.where(F.col("malformed") | ((F.col("start_ts") <= ts) & (ts <= F.col("end_ts")))).drop("_person")
+    holds = (F.col("start_ts") <= ts) & (ts <= F.col("end_ts"))
+    few = a.where(F.col("malformed")).unionByName(a.where(~F.col("malformed")).join(many, "_person", "left_anti").select(*a.columns))
+    plain = probes.join(few, probes[person_col] == few["_person"]).where(F.col("malformed") | holds).drop("_person")
+    if many.isEmpty():
+        return plain
+    hot = a.where(~F.col("malformed")).join(many, "_person", "left_semi")
+    of_hot = probes.join(many, probes[person_col] == many["_person"], "left_semi")
+    return plain.unionByName(indexed_periods(of_hot, hot, person_col, ts_col).where(holds).drop("_person").select(*plain.columns))
 
 
 def resolve_mentions(article_mentions: DataFrame, directory: DataFrame, orgs: DataFrame,

@@ -1,7 +1,8 @@
 """Configuration lookups and dictionary tagging.
 
 Configuration maps are small by construction, so they are map literals in the
-expression (no join at all); data-sized maps go through an ordinary join.
+expression (no join at all); data-sized maps go through an ordinary join, and a
+dictionary held in a table through :func:`table_tags`.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
 from clipforge.functions.text import col_, faculty_label_from_path
+from clipforge.session import written
 
 
 def map_literal(mapping: dict) -> Column:
@@ -58,3 +60,49 @@ def dictionary_tags(text, names: list, none_value: str = "not found") -> Column:
     hits = F.array_sort(F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.instr(col_(text), n) > 0)) \
         if names else F.array().cast("array<string>")
     return F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(none_value)))
+
+
+#: Longest start of a name's anchor that is looked up inside the texts' words.
+ANCHOR_CHARS = 8
+
+
+def _tokens(c) -> Column:
+    """Runs without a space, tab or line end."""
+    return F.filter(F.split(col_(c), "[ \\t\\r\\n]+"), lambda t: t != "")
+
+
+def table_tags(docs: DataFrame, names: DataFrame, id_col: str, text_col: str, name_col: str = "name") -> DataFrame:
+    """(id, name): every name of a table of any size that is a case-sensitive substring of a text.
+
+    A name's anchor is its rarest token by the texts' own word counts. A text that holds the
+    name has a word that holds the anchor, so anchors are looked up in the distinct words of
+    all texts, not in the texts: words are cut into the pieces of the lengths that anchors
+    start with (``ANCHOR_CHARS`` at most) and joined on the piece. Documents then meet names
+    by their words, an equi-join. A name of several tokens is verified in the whole text, each
+    text once with its own candidates. Null and blank names, and rows with a null id, have no
+    tags; a repeated id is one document per distinct text."""
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_id").isNotNull() & F.col("_text").isNotNull())
+    keyed = texts.withColumn("_key", F.xxhash64("_id", "_text"))
+    name = names.select(F.col(name_col).alias("name")).where(F.col("name").rlike("[^ \\t\\r\\n]")).distinct()
+    held = keyed.select("_key", "_id", F.explode(F.array_distinct(_tokens("_text"))).alias("word")).distinct()
+    words = written(held.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "tag_words")
+
+    parts = name.select("name", F.explode(_tokens("name")).alias("anchor"))
+    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("anchor")).alias("l"), F.col("anchor"))
+    anchors = (parts.join(words.withColumnRenamed("word", "anchor"), "anchor", "left").groupBy("name").agg(F.min(rank).alias("r"))
+               .select("name", F.col("r.anchor").alias("anchor"), F.substring("r.anchor", 1, ANCHOR_CHARS).alias("piece")))
+    anchors = written(anchors.withColumn("size", F.length("piece")), "tag_anchors")
+    sizes = sorted(r[0] for r in anchors.select("size").distinct().collect())  # at most ANCHOR_CHARS values
+    starts = F.sequence(F.lit(1), F.length("word"))
+    cut = lambda k: F.transform(starts, lambda at: F.substr(F.col("word"), at, F.lit(k)))
+    cuts = [cut(k) for k in sizes]
+    pieces = F.flatten(F.array(*cuts)) if cuts else F.array().cast("array<string>")
+    found = words.select("word", F.explode(F.array_distinct(pieces)).alias("piece")).join(anchors, "piece").where(F.contains(F.col("word"), F.col("anchor")))
+    found = written(found.select("word", "name", (F.col("name") == F.col("anchor")).alias("whole")).distinct(), "tag_found")
+
+    near = written(held.join(found, "word").groupBy("_key", "_id", "name").agg(F.max("whole").alias("whole")), "tag_candidates")
+    sure = near.where("whole").select("_id", "name")
+    check = near.where(~F.col("whole")).groupBy("_key").agg(F.collect_set("name").alias("names"))
+    verified = (check.join(keyed.dropDuplicates(["_key"]), "_key")
+                .select("_id", F.explode(F.filter("names", lambda n: F.contains(F.col("_text"), n))).alias("name")))
+    return sure.unionByName(verified).distinct().withColumnRenamed("_id", id_col)

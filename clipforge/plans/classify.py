@@ -21,7 +21,7 @@ from clipforge.operators.entities import nest_resolved, resolve_mentions
 from clipforge.operators.labels import names_and_orgs, normalise_labels, page_text, parse_response, prompt_text, \
     rename_mediatype, _template_parts
 from clipforge.operators.ordering import positions
-from clipforge.operators.lookups import dictionary_tags, faculty_code, fill_source_urls, workflow
+from clipforge.operators.lookups import dictionary_tags, faculty_code, fill_source_urls, table_tags, workflow
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.entities import _RESOLVE_SQL, directory, mentions, organisations
 from clipforge.plans.parsing import page_titles
@@ -209,3 +209,21 @@ SELECT doc_id, array_to_string(CASE WHEN len(h) > 0 THEN h ELSE ['not found'] EN
 def q_dictionary_tags(spark, data_dir):
     d = Tables(spark, data_dir).spread("documents", "doc_id", "text")
     return d.select("doc_id", F.array_join(dictionary_tags("text", TAG_NAMES_STANDIN), "|").alias("tags"))
+
+
+@register("table_tags", sql=r"""
+WITH tok AS (SELECT item_id, list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda t: t <> '') AS ws FROM benchmark),
+names AS (SELECT unnest(ws) AS name FROM tok
+          UNION SELECT ws[i] || ' ' || ws[i + 1] FROM (SELECT ws, unnest(range(1, len(ws))) AS i FROM tok)
+          UNION SELECT p_type FROM part)
+SELECT doc_id, name FROM documents JOIN names ON contains(text, name)
+""")
+def q_table_tags(spark, data_dir):
+    """Dictionary table: every word and pair of neighbouring words of the benchmark, and part types."""
+    t = Tables(spark, data_dir)
+    ws = F.filter(F.split("text", "[ \\t\\r\\n]+"), lambda x: x != "")
+    tok = t.benchmark.select(ws.alias("ws"))
+    pairs = F.zip_with(F.slice("ws", 1, F.size("ws") - 1), F.slice("ws", 2, F.size("ws")), lambda a, b: F.concat(a, F.lit(" "), b))
+    names = (tok.select(F.explode("ws").alias("name")).unionByName(tok.where(F.size("ws") > 1).select(F.explode(pairs).alias("name")))
+             .unionByName(t.part.select(F.col("p_type").alias("name"))))
+    return table_tags(t.spread("documents", "doc_id", "text"), names, "doc_id", "text")
