@@ -30,6 +30,16 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as keep it apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

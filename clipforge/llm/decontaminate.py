@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from clipforge.llm.common import broadcast_if_small, stored
 
 WINDOW = 8
-#: An item of fewer tokens is never matched.
+#: An item of fewer tokens is matched with whole documents only: a few words stand in many texts.
 MIN_ITEM = 5
 #: A document leaks an item when it holds this share of the item's windows, or this many of them.
 MIN_SHARE = 0.3
@@ -48,14 +48,18 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "ʘ", " ")
 
 
-def template(text: Column) -> Column:
+def template(text: Column, values: bool = False) -> Column:
     """The canonical tokens of a text: array of strings, empty for null. Slots are marked in one
-    pass over the text as it is, the pass of ``slots``; a marked slot then becomes its placeholder."""
+    pass over the text as it is; a marked slot then becomes its placeholder. With ``values``
+    the placeholder is followed by what it stands for: the same tokens at the same places, as
+    the points inside numbers stay and a ``%`` leaves nothing."""
+    own = "$1" if values else ""
     t = F.regexp_replace(_plain(text), SLOT, "ʘ<$1ʘ<$2ʘ<$3ʘ>")
-    t = F.regexp_replace(t, "ʘ<[^ʘ]+ʘ<ʘ<ʘ>", NAME_TOKEN)
-    t = F.regexp_replace(t, "ʘ<ʘ<[^ʘ]+ʘ<ʘ>", f" {NUMBER_TOKEN} ")
-    t = F.regexp_replace(t, "ʘ<ʘ<ʘ<[^ʘ]+ʘ>", f" {UNIT_TOKEN} ")
-    t = F.regexp_replace(F.lower(t), r"[!-/:-@\[-`{-~]+", " ")
+    t = F.regexp_replace(t, "ʘ<([^ʘ]+)ʘ<ʘ<ʘ>", NAME_TOKEN + own)
+    t = F.regexp_replace(t, "ʘ<ʘ<([^ʘ]+)ʘ<ʘ>", f" {NUMBER_TOKEN}{own} ")
+    t = F.regexp_replace(t, "ʘ<ʘ<ʘ<([^ʘ]+)ʘ>", f" {UNIT_TOKEN}{own} ")
+    inside = r"(?!(?<=\d)[.,:/](?=\d))" if values else ""
+    t = F.regexp_replace(F.lower(t), rf"(?:{inside}[!-/:-@\[-`{{-~])+", " ")
     return F.array_remove(F.split(t, r"[\x20\x09-\x0D]+", -1), "")
 
 
@@ -91,12 +95,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
 
     ``doc_key`` (hash of id and text) tells documents of one id, or of a null id, apart;
     rows that repeat exactly share it and their row here. Null or empty texts match
-    nothing, nor do items of fewer than ``MIN_ITEM`` tokens; items of fewer than
-    ``WINDOW`` tokens match as a whole. Equal items are matched each on their own."""
+    nothing. Items of fewer than ``WINDOW`` tokens match as a whole, those of fewer than
+    ``MIN_ITEM`` where they are all that a document holds. Equal items are matched each on
+    their own."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(text).alias("text"))
     items = stored(benchmark.select(F.col(item_id).alias("item_id"), F.monotonically_increasing_id().alias("item"),
-                                    template(F.col(item_text)).alias("tokens"), slots(F.col(item_text)).alias("values"))
-                   .where(F.size("tokens") >= MIN_ITEM), "benchmark_templates")
+                                    template(F.col(item_text)).alias("tokens"), template(F.col(item_text), True).alias("values"))
+                   .where(F.size("tokens") > 0), "benchmark_templates")
     size = F.least(F.size("tokens"), F.lit(WINDOW))
     sized = items.select("item", size.alias("size"), "tokens")
     wins = stored(_windows(sized, F.col("size")).select("item", "size", F.col("pos").alias("ipos"), "h"), "benchmark_windows")
@@ -107,7 +112,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     tokens = d.select("doc_id", "doc_key", template(F.col("text")).alias("tokens"))
     found = _doc_windows(tokens).join(side, "h")
     for n in (n for n in lengths if n < WINDOW):
-        found = found.unionByName(_windows(tokens.where(F.size("tokens") >= n), F.lit(n)).join(side, "h"))
+        long_enough = F.size("tokens") >= n if n >= MIN_ITEM else F.size("tokens") == n
+        found = found.unionByName(_windows(tokens.where(long_enough), F.lit(n)).join(side, "h"))
     found = stored(found.select("doc_id", "doc_key", "pos", "item", "ipos"), "window_hits")
 
     enough = (F.col("n_windows") >= MIN_WINDOWS) | (F.col("n_windows") >= MIN_SHARE * F.col("n_item_windows"))
@@ -153,18 +159,15 @@ def _consistent(d: DataFrame, items: DataFrame, spots: DataFrame, near: DataFram
     spots = spots.join(broadcast_if_small(with_slots.select("item"), 16), "item")
     keys = spots.select("doc_key").distinct()
     texts = (d.join(broadcast_if_small(keys, 16), "doc_key", "left_semi").groupBy("doc_key").agg(F.first("text").alias("text"))
-             .select("doc_key", template(F.col("text")).alias("tokens"), slots(F.col("text")).alias("doc_values")))
-    rank = lambda a: F.transform(F.col(a), lambda x, i: F.when(x.startswith("ʘ"), F.size(F.filter(F.slice(F.col(a), 1, i + 1), lambda y: y.startswith("ʘ"))) - 1))
-    texts = texts.where(holds("tokens")).withColumn("at", rank("tokens"))
-    ranked = with_slots.withColumn("item_at", rank("item_tokens"))
-    aligned = spots.join(texts, "doc_key").join(ranked, "item")
+             .select("doc_key", template(F.col("text"), True).alias("doc_values")))
+    aligned = spots.join(texts.where(holds("doc_values")), "doc_key").join(with_slots, "item")
     size = F.least(F.size("item_tokens"), F.lit(WINDOW))
     pairs = F.transform(F.sequence(F.lit(0), size - 1), lambda k: F.struct(
         F.col("item_tokens")[F.col("ipos") + k].alias("kind"),
-        F.col("values")[F.col("item_at")[F.col("ipos") + k]].alias("theirs"),
-        F.col("doc_values")[F.col("at")[F.col("pos") + k]].alias("ours")))
+        F.col("values")[F.col("ipos") + k].alias("theirs"),
+        F.get("doc_values", F.col("pos") + k).alias("ours")))
     filled = (aligned.select(*place, F.explode(pairs).alias("p")).select(*place, "p.*")
-              .where(F.col("theirs").isNotNull() & F.col("ours").isNotNull()).distinct())
+              .where(F.col("kind").startswith("ʘ") & F.col("ours").isNotNull()).distinct())
     ours = filled.groupBy(*place, "kind", "theirs").agg(F.count(F.lit(1)).alias("n"))
     theirs = filled.groupBy(*place, "kind", "ours").agg(F.count(F.lit(1)).alias("n"))
     bad = (ours.where("n > 1").select(*place).unionByName(theirs.where("n > 1").select(*place))

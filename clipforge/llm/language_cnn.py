@@ -2,7 +2,7 @@
 
 Windows of ``WINDOW`` bytes are embedded, convolved with filters of several widths,
 max-pooled over places and classified by softmax. The network learns from a
-bounded, documented sample of labelled windows (``SAMPLE_PER_LANGUAGE`` documents per
+bounded, documented sample of labelled windows (``SAMPLE_PER_LANGUAGE`` distinct texts per
 language at most, chosen by hash over all labelled documents) that one task holds;
 its weights are a few hundred kilobytes, whatever the input. Every window of every
 whole text is predicted: a document's scores are the mean of its windows' log
@@ -16,20 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipforge.llm.common import stored, text_bytes
+from clipforge.llm.common import broadcast_if_small, stored, text_bytes
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 24
 EMBEDDING = 8
-#: Bound of the training sample: documents per language, and windows of each (evenly spread over its text).
+#: Bounds of the training sample: distinct texts per language, distinct texts in all (with more
+#: languages each has fewer, one at least), and windows of each text, evenly spread over it.
 SAMPLE_PER_LANGUAGE = 600
+SAMPLE = 38_400
 WINDOWS_PER_DOCUMENT = 3
-#: Bound of the languages learned: the most frequent ones.
-MAX_LANGUAGES = 64
 EPOCHS = 6
 RATE = 0.004
 BATCH = 64
@@ -145,30 +145,40 @@ def _train(labels: list[str]):
         x, doc = windows(data, offsets)
         use = np.concatenate([[True], doc[1:] != doc[:-1]])  # a piece of WINDOW characters has at least one window
         y = np.array([number[v] for v in rows.column("lang").to_pylist()], np.int64)
+        x, y = x[use], y[doc[use]]
         net = ByteCnn(labels)
-        net.train(x[use], y[doc[use]])
+        even = _evened(y)
+        net.train(x[even], y[even])
         return pa.table({"model": pa.array([pickle.dumps(net)], pa.binary())})
     return run
 
 
+def _evened(y: np.ndarray) -> np.ndarray:
+    """Rows of the sample with those of each class repeated to the size of the largest, so a
+    language of few distinct texts is learned beside one of many."""
+    count = np.bincount(y)
+    return np.concatenate([np.resize(np.flatnonzero(y == c), count.max()) for c in np.flatnonzero(count)])
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", pick: Column | None = None) -> bytes | None:
     """A trained network, pickled; None if no document has a language and a letter.
 
-    The sample: per language, the documents whose hash falls under the share that is
-    expected to give ``SAMPLE_PER_LANGUAGE`` of them."""
+    Every language is learned. The sample: per language, the distinct texts with the smallest
+    hashes, as many as the bounds allow, so a text that repeats counts once and no language
+    goes without."""
     d = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = [(r["lang"], r["n"]) for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not counts:
+    names = sorted(r["lang"] for r in d.select("lang").distinct().collect())  # the classes of the network
+    if not names:
         return None
-    d = d.withColumn("pick", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
-    share = F.lit(0)
-    for name, n in counts:
-        share = F.when(F.col("lang") == name, F.lit(int((1 << 40) * min(1.0, SAMPLE_PER_LANGUAGE / n)))).otherwise(share)
+    d = d.withColumn("pick", F.xxhash64("text"))
+    each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE // len(names)))
+    # Cut per task before the shuffle: a language of a third of all rows sends a few rows a task.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    picked = d.select("lang", "pick").distinct().withColumn("_n", first).where(F.col("_n") <= each)
     room = F.greatest(F.length("text") - WINDOW, F.lit(0))
     pieces = F.array(*[F.substr("text", (room * (2 * k + 1) / (2 * WINDOWS_PER_DOCUMENT)).cast("int") + 1, F.lit(WINDOW)) for k in range(WINDOWS_PER_DOCUMENT)])
-    sample = (d.where(F.col("pick") < share).dropDuplicates(["lang", "pick"])
-              .select("lang", "pick", F.explode(F.array_distinct(pieces)).alias("text")))
-    names = sorted(name for name, _ in counts)
+    sample = (d.join(broadcast_if_small(stored(picked.select("lang", "pick"), "language_sample"), 64), ["lang", "pick"], "left_semi")
+              .dropDuplicates(["lang", "pick"]).select("lang", "pick", F.explode(F.array_distinct(pieces)).alias("text")))
     model = stored(sample.groupBy(F.lit(0).alias("one")).applyInArrow(_train(names), "model binary"), "language_model").first()
     return model["model"] if model else None
 

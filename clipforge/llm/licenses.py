@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.llm.common import prefix_hash, span_hash, text_bytes
+from clipforge.llm.common import text_bytes
+from clipforge.llm.shingles import word_hashes
 
 #: Contract phrases: label by phrase.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -61,11 +62,6 @@ def _split(phrase: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", phrase)
 
 
-def _hash(word: str) -> np.uint64:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return span_hash(prefix_hash(data), np.array([0]), np.array([len(data)]))[0]
-
-
 class Vocabulary:
     """The words of all phrases and templates, numbered in the order of their hashes."""
 
@@ -73,7 +69,8 @@ class Vocabulary:
         self.templates = TEMPLATES if templates is None else templates
         self.base = BASE if base is None else base
         words = sorted({w for p in [*self.base, *(t[1] for t in self.templates), *(t[2] for t in self.templates)] for w in _split(p)})
-        hashes = np.array([_hash(w) for w in words], np.uint64)
+        data, offsets = text_bytes(pa.array(words))
+        hashes = word_hashes(data, offsets[:-1], offsets[1:])[0]
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.number = {words[k]: i for i, k in enumerate(order.tolist())}
@@ -97,7 +94,7 @@ class Vocabulary:
             stops[edge - 1] = inside[edge - 1]
             s, z = np.flatnonzero(starts), np.flatnonzero(stops) + 1
             at = np.concatenate([np.searchsorted(s, cuts), [len(s)]])
-            h = span_hash(prefix_hash(part), s, z)
+            h = word_hashes(part, s, z)[0]
             place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             hits = np.flatnonzero(self.hashes[place] == h)
             hit_at = np.searchsorted(hits, at)
@@ -134,6 +131,16 @@ def _align(pos: np.ndarray, ids: np.ndarray, words: list[int], rare: list[int])
     return at[n >= min(AGREE, len(rare))]
 
 
+def _held(pos: np.ndarray, ids: np.ndarray, starts: np.ndarray, words: list[int]) -> np.ndarray:
+    """How many of the words stand at their places, for every start at once: ``pos`` ascends,
+    so a place is looked up by binary search."""
+    n = np.zeros(len(starts), np.int64)
+    for k, w in enumerate(words):
+        at = np.minimum(np.searchsorted(pos, starts + k), len(pos) - 1)
+        n += (pos[at] == starts + k) & (ids[at] == w)
+    return n
+
+
 def _scan(vocabulary: Vocabulary, rarity: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = []
@@ -158,11 +165,10 @@ def _scan(vocabulary: Vocabulary, rarity: np.ndarray):
                     for label, words, key, key_at, rare in index:
                         if not present[key].all():
                             continue
-                        for a in _align(pos, ids, words, rare).tolist():
-                            there = {p: w for p, w in zip(pos.tolist(), ids.tolist(), strict=True) if a <= p < a + len(words)}
-                            if any(there.get(a + key_at + k) != w for k, w in enumerate(key)):
-                                continue
-                            share = sum(there.get(a + k) == w for k, w in enumerate(words)) / len(words)
+                        starts = _align(pos, ids, words, rare)
+                        starts = starts[_held(pos, ids, starts + key_at, key) == len(key)]
+                        if len(starts):
+                            share = float(_held(pos, ids, starts, words).max()) / len(words)
                             if share >= MIN_SCORE:
                                 labels.add(label)
                                 score = max(score, share)

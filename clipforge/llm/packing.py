@@ -45,20 +45,21 @@ _ENCODERS: dict[str, object] = {}
 def encoder(path: str):
     """The tokenizer of a byte-level BPE vocabulary file, once per worker process.
     Ranks are read from the ``tokenizers`` JSON file and run by tiktoken, which gives
-    the same ids several times faster; strings of special tokens are ordinary text."""
+    the same ids several times faster; strings of its added tokens are one id each."""
     if path not in _ENCODERS:
         import json
 
         import tiktoken
         from public_tokenizers import PATTERN
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            whole = json.load(f)
+        vocab, added = whole["model"]["vocab"], {t["content"]: t["id"] for t in whole["added_tokens"]}
         # The byte-level alphabet: printable bytes stand for themselves, the others
         # for the code points from 256 on, in order.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         chars = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(own))}
-        ranks = {bytes(chars[c] for c in token): i for token, i in vocab.items() if all(c in chars for c in token) and token != "<|endoftext|>"}
-        _ENCODERS[path] = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(chars[c] for c in token): i for token, i in vocab.items() if token not in added and all(c in chars for c in token)}
+        _ENCODERS[path] = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODERS[path]
 
 
@@ -96,24 +97,27 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return at, off, capacity - np.array(room_of, np.int64)
 
 
-def carry_mask(fill: np.ndarray, capacity: int) -> np.ndarray:
-    """The emptiest ``CARRY`` bins among those with more than ``SLACK`` free places."""
+def carry_mask(fill: np.ndarray, capacity: int, carry: int = CARRY) -> np.ndarray:
+    """The emptiest ``carry`` bins among those with more than ``SLACK`` free places.
+
+    More would save no sequence. Best fit leaves at most one bin of a task at or under half
+    full (the items of a second one would have gone into the first), and two bins over half
+    full never share a sequence. So a merge of FAN_IN tasks joins at most FAN_IN bins to
+    others, and for each of them the emptiest bins are room enough; what stays behind is
+    over half full and could only have taken one of those few."""
     mask = np.zeros(len(fill), bool)
-    order = np.argsort(fill, kind="stable")[:CARRY]
+    order = np.argsort(fill, kind="stable")[:carry]
     mask[order[fill[order] < capacity - SLACK]] = True
     return mask
 
 
 def _pieces(tokenizer: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
-        ids_of = getattr(encoder(tokenizer), "encode_to_numpy", None)
+        encode = encoder(tokenizer).encode_to_numpy
         docs, piece, start, length, crc = [], [], [], [], []
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                ids = (ids_of(text, disallowed_special=()) if ids_of else np.array(encode(text), np.uint32)).astype("<u4")
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                ids = np.append(encode(text.as_py() or "", allowed_special="all"), np.uint32(END_ID)).astype("<u4")
                 n = len(ids)
                 first = n % capacity or capacity
                 for k, s in enumerate([0, *range(first, n, capacity)]):

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.llm.common import broadcast_if_small, stored
+from clipforge.llm.common import broadcast_if_small, stored, unused
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -150,7 +150,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
 
     words = at(docs.select(F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(lang).alias("lang"), F.col(text).alias("t")))
     words = words.select("doc_key", "ref", F.explode_outer(_words(F.col("t"))).alias("word"))
-    hits = (words.join(broadcast_if_small(common, 96), ["ref", "word"])
+    longest = common.agg(F.coalesce(F.max(F.octet_length("word") + F.octet_length("ref")), F.lit(0))).first()[0]
+    hits = (words.join(broadcast_if_small(common, longest + 64), ["ref", "word"])
             .groupBy("doc_key", "word").agg(F.count(F.lit(1)).alias("c"), F.max("q").alias("q")))
     # Repeats of a row count as often in ``hits`` as in ``copies``.
     f = (feats.where(F.col("n_words") >= MIN_WORDS_JUDGED).groupBy("doc_key")
@@ -175,5 +176,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without the documents that ``judge`` rejects; all columns stay."""
     keys = stored(judge(docs, id_col, text, lang).where("kept").select("doc_key").distinct(), "good")
-    side = broadcast_if_small(keys.withColumnRenamed("doc_key", "_good"), 16)
-    return docs.join(side, F.xxhash64(docs[id_col], docs[text]) == F.col("_good"), "left_semi")
+    good = unused(docs, "_good")[0]
+    side = broadcast_if_small(keys.withColumnRenamed("doc_key", good), 16)
+    return docs.join(side, F.xxhash64(docs[id_col], docs[text]) == F.col(good), "left_semi")

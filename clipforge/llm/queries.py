@@ -97,7 +97,8 @@ WITH l AS (
 n AS (SELECT source, line, count(*) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
 t AS (SELECT source, count(*) AS total FROM documents WHERE source IS NOT NULL GROUP BY ALL),
 b AS (SELECT n.source, list(line) AS bad FROM n JOIN t USING (source)
-      WHERE n.n >= {line_dedup.MIN_PAGES} AND n.n > {line_dedup.RATIO} * total GROUP BY ALL),
+      WHERE n.n > 1 AND n.n - {line_dedup.RATIO} * total > 0
+        AND (n.n - {line_dedup.RATIO} * total) ** 2 > {line_dedup.SIGNIFICANCE ** 2 * line_dedup.RATIO * (1 - line_dedup.RATIO)} * total GROUP BY ALL),
 k AS (
   SELECT doc_id, documents.source, string_split(text, chr(10)) AS lines,
          list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept

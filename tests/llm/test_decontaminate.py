@@ -88,3 +88,27 @@ def test_placeholders_and_slots_come_from_one_pass(spark):
     docs = spark.createDataFrame([(1, filler(random.Random(2), 20) + " for 6 days Zoe. " + asked, "en", "s", 0)], DOCS)
     got = d.leaks(docs, bench(spark, [(1, item)])).collect()
     assert [x["n_windows"] for x in got] == [got[0]["n_item_windows"]] and got[0]["n_slots"] == 6
+
+
+def test_short_items_are_matched_with_whole_documents(spark):
+    items = [(1, "Name two primes"), (2, "Maria buys 3 pens"), (3, "Yes")]
+    rows = [(10, "name two primes!", "en", "s", 0), (11, "Maria buys 7 pens.", "en", "s", 0), (12, "yes", "en", "s", 0),
+            (13, "please name two primes", "en", "s", 0), (14, "yes or no", "en", "s", 0)]
+    got = {(x["doc_id"], x["item_id"]) for x in d.leaks(spark.createDataFrame(rows, DOCS), bench(spark, items)).collect()}
+    assert got == {(10, 1), (11, 2), (12, 3)}
+
+
+def test_values_stand_at_their_placeholders(spark):
+    r = random.Random(6)
+    parts = ["In", " 3.5km", " 10%", " New", " York", ", Bob's", " 1,000.25", " a.b", " 12:30.", "5 %", " McDonald", " the", "\n", " 7/8", " ʘ", " x1 2y", " 3 days"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(25))) for _ in range(300)]
+    for row in spark.createDataFrame([(t,) for t in texts], "t string").select(d.template(d.F.col("t")).alias("a"), d.template(d.F.col("t"), True).alias("b")).collect():
+        assert len(row["a"]) == len(row["b"])
+        assert all(x == y if not x.startswith("ʘ") else y.startswith(x[:2]) for x, y in zip(row["a"], row["b"], strict=True))
+
+
+def test_a_long_text_with_an_item_takes_linear_time(spark):
+    r = random.Random(2)
+    text = " ".join(f"In {i} Tom has {i % 7} km" for i in range(40_000)) + " " + ITEMS[0][1]
+    rows = [(1, text, "en", "s", 0), (2, filler(r, 100), "en", "s", 0)]
+    assert [x["doc_id"] for x in d.leaks(spark.createDataFrame(rows, DOCS), bench(spark)).collect()] == [1]

@@ -74,3 +74,22 @@ def test_empty_table_clashing_columns_and_no_labels(spark):
     d = spark.createDataFrame([(1, "the and of", None, "p", 2)], "doc_id long, text string, lang string, pick string, known int")
     assert cnn.fit(d) is None
     assert [tuple(r) for r in cnn.predict(d, None).collect()] == [(1, "und", 0.0)]
+
+
+def test_a_language_of_copies_is_learned(spark):
+    rows = [r for r in labelled(900) if r[2] != "fr"]
+    text = "eau les que tre ment ai oi é " * 6
+    rows += [(5000 + i, text, "fr", "s", 0) for i in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    model = cnn.fit(docs)
+    got = cnn.predict(spark.createDataFrame([(1, text, None, "s", 0), *[(10 + r[0], r[1], r[2], "s", 0) for r in rows[:60]]], DOCS), model).collect()
+    assert [r["lang_pred"] for r in got if r["doc_id"] == 1] == ["fr"]
+    want = {10 + r[0]: r[2] for r in rows[:60]}
+    assert sum(want[r["doc_id"]] == r["lang_pred"] for r in got if r["doc_id"] != 1) >= 54
+
+
+def test_more_languages_than_the_sample_s_share(spark, monkeypatch):
+    monkeypatch.setattr(cnn, "SAMPLE", 60)
+    rows = [(i, f"text {chr(97 + i % 80 // 8)}{i}", f"l{i % 80}", "s", 0) for i in range(320)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {r["lang_pred"] for r in cnn.predict(docs, cnn.fit(docs)).collect()} <= {f"l{k}" for k in range(80)}

@@ -1,4 +1,5 @@
 import re
+import time
 
 from clipforge.llm import licenses
 from tests.llm.data import DOCS, corpus, frame
@@ -41,3 +42,11 @@ def test_empty_table_and_clashing_columns(spark):
     assert licenses.scan(spark.createDataFrame([], DOCS)).count() == 0
     d = spark.createDataFrame([(1, "cc by", 7, "b")], "doc_id long, text string, n_words int, word string")
     assert [r["n_base"] for r in licenses.scan(d).collect()] == [1]
+
+
+def test_a_text_of_repeated_notices_takes_linear_time(spark):
+    label, notice, _ = licenses.TEMPLATES[0]
+    docs = spark.createDataFrame([(1, (notice + " . ") * 20_000, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    start = time.time()
+    got = licenses.scan(docs).first()
+    assert label in got["labels"].split(",") and got["score"] == 1.0 and time.time() - start < 60

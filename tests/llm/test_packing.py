@@ -11,12 +11,10 @@ from tests.llm.data import DOCS, corpus, frame
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-ODD = ["<|endoftext|> a", "  two  spaces \n\n lines\t\ttabs ", "naïve ½ Ⅷ 東京 🙂🙂  x y　z", "'s 'S can't", "a\x1cb\x85c", "1234567890" * 5]
+ODD = ["<|endoftext|> a", "hello <|endoftext|> world", "x<|endoftext|><|endoftext|>y <|endoftext",  "  two  spaces \n\n lines\t\ttabs ", "naïve ½ Ⅷ 東京 🙂🙂  x y　z", "'s 'S can't", "a\x1cb\x85c", "1234567890" * 5]
 
 
 def test_pieces_are_the_tokenizer_s_ids(spark, tokenizer):
@@ -62,6 +60,19 @@ def test_rounds_merge_underfull_bins_of_many_tasks(spark):
     assert len({g["sequence_id"] for g in got}) <= -(-total // 1024) * 1.03 + 1
 
 
+def test_the_bound_of_carried_bins_saves_their_number():
+    r = np.random.default_rng(5)
+    for low, high in ((1, 101), (40, 101), (51, 70), (1, 52), (10, 60)):
+        tasks = [packing.best_fit(r.integers(low, high, 300), 100)[2] for _ in range(packing.FAN_IN)]
+        assert all((f <= 50).sum() <= 1 for f in tasks)
+
+        def sequences(carry, tasks=tasks):
+            masks = [packing.carry_mask(f, 100, carry) for f in tasks]
+            merged = packing.best_fit(np.concatenate([f[m] for f, m in zip(tasks, masks, strict=True)]), 100)[2]
+            return sum(int((~m).sum()) for m in masks) + len(merged)
+        assert sequences(packing.FAN_IN) == sequences(10 ** 9)
+
+
 def test_best_fit_is_tight():
     r = np.random.default_rng(2)
     sizes = r.integers(1, 101, 500)

@@ -47,7 +47,7 @@ def test_stages_equal_brute_force_and_compose(spark, tmp_path):
     assert not {4, 19, 34, 49, 100, 101, 102} & {x[0] for x in after} and len(after) == 62 - 4
 
     before, after = at["line_dedup"]
-    want = list(without_boilerplate(before, line_dedup.RATIO, line_dedup.MIN_PAGES))
+    want = list(without_boilerplate(before, line_dedup.RATIO, line_dedup.SIGNIFICANCE))
     assert key((d, t) for d, t, *_ in want) == key((x[0], x[1]) for x in after)
     assert all(x[4] == len(x[1]) and "top menu" not in x[1] for x in after if x[0] is not None)
 
