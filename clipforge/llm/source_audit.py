@@ -27,6 +27,8 @@ MIN_DOCUMENTS = 10
 TOP = 10
 #: Parts per SCALE; SCALE is STEP ** STEPS.
 SCALE, STEP, STEPS = 1_000_000_000, 1_000, 3
+#: Counted terms that a task holds before it passes them on.
+HELD = 500_000
 #: Term ids per run of a source's vector.
 BLOCK = 1 << 15
 
@@ -35,18 +37,27 @@ _FOLD = bytes(32 if b < 65 or 90 < b < 97 or 122 < b < 128 else b + 32 if 65 <=
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each term, summed over a few megabytes of text."""
+    """Occurrences and documents of each term of each group, summed in the task until it holds
+    ``HELD`` of them."""
+    groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in groups.items():
+            if n:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(n.keys(), pa.binary()).cast(pa.string()),
+                    pa.array(n.values(), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
+        groups.clear()
+
     for rows in (part for batch in batches for part in slices(batch, 2)):
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         for lang, source, text in zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True):
             terms = Counter(text.encode().translate(_FOLD).split())
             n, docs = groups.setdefault((lang, source), (Counter(), Counter()))
             n.update(terms)
             docs.update(terms.keys())
-        for (lang, source), (n, docs) in groups.items():
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(n.keys(), pa.binary()).cast(pa.string()),
-                pa.array(n.values(), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
+        if sum(len(n) for n, _ in groups.values()) >= HELD:
+            yield from flush()
+    yield from flush()
 
 
 def _div(a: Column, b: Column) -> Column:
