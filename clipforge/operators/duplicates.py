@@ -67,8 +67,8 @@ def item_by_id(items: DataFrame, ids: DataFrame, id_col: str, ids_col: str | Non
 
 
 def keep_first(df: DataFrame, key_cols: list, order_col: str) -> DataFrame:
-    """One row per key: the row with the smallest ``order_col``, a number (or time) that is
-    not null and differs within a key.
+    """One row per key: the row with the smallest ``order_col``, a number or time. A null
+    comes after every number; of rows that tie, and of a key with nulls only, any one stays.
 
     The smallest number per key is a hash aggregate with partial sums, so a key that
     holds a third of the rows is reduced before the shuffle, and no row is sorted or
@@ -77,7 +77,7 @@ def keep_first(df: DataFrame, key_cols: list, order_col: str) -> DataFrame:
     """
     first = df.groupBy(*key_cols).agg(F.min(order_col).alias("_first"))
     first = first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key_cols)], "_first")
-    same = F.col(order_col) == F.col("_first")
+    same = F.col(order_col).eqNullSafe(F.col("_first"))
     for i, c in enumerate(key_cols):
         same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    return df.join(first, same, "left_semi")
+    return df.join(first, same, "left_semi").dropDuplicates(key_cols)

@@ -207,13 +207,13 @@ def best_match(pairs: DataFrame, left_id: str, right_id: str, rank_cols: list) -
     ``rank_cols`` (e.g. the person's position in the directory).
 
     The smallest loss per left id is a hash aggregate; only the pairs that reach it (ties)
-    are then compared on the rank columns.
+    are then compared on the rank columns, one at a time: nothing of a left id is gathered.
     """
     loss = F.col("d") / F.col("L")
     least = pairs.groupBy(left_id).agg(F.min(loss).alias("_loss")).withColumnRenamed(left_id, "_left")
     tied = pairs.join(least, (F.col(left_id) == F.col("_left")) & (loss == F.col("_loss")), "left_semi")
     key = F.struct(*[F.col(c) for c in rank_cols], F.col(right_id), F.col("d"), F.col("L"))
-    best = tied.groupBy(left_id).agg(F.array_min(F.collect_set(key)).alias("_b"))
+    best = tied.groupBy(left_id).agg(F.min(key).alias("_b"))
     return best.select(left_id, *[F.col(f"_b.{c}").alias(c) for c in rank_cols],
                        F.col(f"_b.{right_id}").alias(right_id), F.col("_b.d").alias("d"),
                        F.col("_b.L").alias("L"))

@@ -30,17 +30,17 @@ from clipforge.operators.mentions import clean_mentions, raw_mentions
 from clipforge.operators.ordering import positions
 from clipforge.operators.records import dedup_clippings, payload_json, record_ids, write_xml, xml_clipping
 from clipforge.operators.status import article_status, status_counts
-from clipforge.session import written
+from clipforge.session import RunMetrics
 from clipforge.sources.mail import extract_blocks, read_mails
 from clipforge.streaming.intake import articles_from_blocks
 
 
-def _numbered(blocks: DataFrame) -> DataFrame:
+def _numbered(blocks: DataFrame, run: RunMetrics) -> DataFrame:
     """Articles with ``article_id`` (text) and ``article_no``, the place of the block in the
     order of files and of blocks within a file (numbers, not text: block 10 follows 9)."""
     arts = articles_from_blocks(blocks).withColumn(
         "article_id", F.concat_ws("#", F.col("path"), F.col("block_no").cast("string")))
-    arts = written(arts, "articles")
+    arts = run.written(arts, "extracted")
     numbers = positions(arts.select("article_id", "path", "block_no"), ["path", "block_no"], out_col="article_no")
     return arts.join(numbers.select("article_id", "article_no"), "article_id")
 
@@ -51,11 +51,13 @@ def process_mails(spark: SparkSession, mail_folder: str, directory: DataFrame, o
                   blocked_words: DataFrame | None = None, stopwords: DataFrame | None = None,
                   responses: DataFrame | None = None, pages: DataFrame | None = None, blacklist=C.BLACKLIST_NAMES,
                   patterns=C.UNWANTED_TERM_PATTERNS, xml_path: str | None = None) -> dict[str, DataFrame]:
-    """Run the article flow; returns the intermediate and final tables.
+    """Run the article flow; returns the intermediate and final tables, and ``metrics``: rows
+    and seconds of the phases extracted, filtered, resolved and ok.
 
     ``pages`` (url, text): fetched pages, one row per URL; the prompts of a classifier
     take their excerpt from there, or from the title. Stop words default to English."""
-    arts = _numbered(extract_blocks(read_mails(spark, mail_folder)))
+    run = RunMetrics(spark)
+    arts = _numbered(extract_blocks(read_mails(spark, mail_folder)), run)
     lang = identify_language(arts, "article_id", "title", language_profile)
     arts = arts.join(filter_languages(lang, "lang", allowed_languages).select("article_id", F.col("lang").alias("language")),
                      "article_id")
@@ -64,14 +66,14 @@ def process_mails(spark: SparkSession, mail_folder: str, directory: DataFrame, o
     if blocked_words is not None:
         arts = drop_blocked_titles(arts, blocked_words, title_col="title", key_col="article_id")
     # every later stage reads the articles
-    arts = written(fill_source_urls(arts), "articles")
+    arts = run.written(fill_source_urls(arts), "filtered")
 
     raw = arts.select("article_id", raw_mentions("labelled_text", "block_text", "highlighted").alias("names"))
     mentions = clean_mentions(raw, "article_id", "names", blacklist=blacklist, patterns=patterns)
     mentions = mentions.join(arts.select("article_id", "ts"), "article_id") \
         .withColumn("mention_pos", F.dense_rank().over(Window.partitionBy("article_id").orderBy("first_pos", "mention")))
     kept, unresolved, errors = resolve_mentions(mentions, directory, organisations)
-    kept = written(kept, "resolved")
+    kept = run.written(kept, "resolved")
     nested = nest_resolved(kept)
 
     with_persons = arts.join(nested.drop("malformed"), "article_id", "left") \
@@ -87,7 +89,7 @@ def process_mails(spark: SparkSession, mail_folder: str, directory: DataFrame, o
     status = article_status(marked, "persons", "dup", "malformed")
     ok = keep_first(status.where(F.col("status") == "ok").drop("labelled_text", "block_text", "highlighted"),
                     ["title", "url"], "article_no")
-    ok = written(ok, "ok_articles")
+    ok = run.written(ok, "ok")
     fetched = pages if pages is not None else spark.createDataFrame([], "url string, text string")
     names, orgs = names_and_orgs("persons")
     prompts = page_text(ok, fetched).select("article_id", prompt_text("title", "source", names, orgs, "excerpt").alias("prompt"))
@@ -110,4 +112,4 @@ def process_mails(spark: SparkSession, mail_folder: str, directory: DataFrame, o
     if xml_path:
         write_xml(clips, xml_path)
     return {"articles": arts, "resolved": kept, "unresolved": unresolved, "status": status,
-            "status_counts": status_counts(status), "ok": labelled, "prompts": prompts, "payloads": payloads, "clippings": clips}
+            "status_counts": status_counts(status), "ok": labelled, "prompts": prompts, "payloads": payloads, "clippings": clips, "metrics": run.table()}

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -72,3 +74,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class RunMetrics:
+    """Rows and seconds of the phases of a run. The rows are counted while a phase is written
+    (``DataFrame.observe``), so they cost no job of their own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.phases: list[tuple[int, str, int, float]] = []
+
+    def written(self, df: DataFrame, phase: str) -> DataFrame:
+        """:func:`written`, with an entry for the phase."""
+        seen, start = Observation(phase), time.monotonic()
+        out = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), phase)
+        self.phases.append((len(self.phases) + 1, phase, seen.get["rows"], time.monotonic() - start))
+        return out
+
+    def table(self) -> DataFrame:
+        """(step, phase, rows, seconds) of the phases so far."""
+        return self.spark.createDataFrame(self.phases, "step int, phase string, rows long, seconds double")

@@ -38,6 +38,9 @@ def test_whole_run(spark, tmp_path):
     assert p["title"]["en_GB"] == "Title &amp; text"
     assert out["clippings"].count() == 1
     assert (tmp_path / "xml").exists()
+    metrics = [(m.step, m.phase, m.rows) for m in out["metrics"].orderBy("step").collect()]
+    assert [m[1] for m in metrics] == ["extracted", "filtered", "resolved", "ok"]
+    assert [m[2] for m in metrics] == [t.count() for t in (out["articles"], out["articles"], out["resolved"], out["ok"])]
 
 
 def test_block_order_prompts_and_malformed_end(spark, tmp_path):

@@ -33,3 +33,9 @@ def test_resolved_and_unresolved_partition_mentions(spark):
     dropped = set(range(len(names))) - k - u
     # only repeats of an already kept (employee id, affiliation set) may be dropped
     assert dropped == {1, 6}    # "dina siegel " repeats E1; "Johannes Vries" repeats E2 (same unit set)
+
+
+def test_keep_first_with_nulls_and_ties(spark):
+    rows = [("a", None, 1), ("a", 3, 2), ("a", 2, 3), ("b", None, 4), ("b", None, 5), (None, 1, 6), (None, 1, 7), ("c", 1, 8)]
+    got = {r.k: (r.n, r.x) for r in keep_first(spark.createDataFrame(rows, "k string, n int, x int"), ["k"], "n").collect()}
+    assert got["a"] == (2, 3) and got["b"][0] is None and got["b"][1] in (4, 5) and got[None][1] in (6, 7) and got["c"] == (1, 8) and len(got) == 4
