@@ -1,13 +1,21 @@
 """Quality classifier by importance resampling of hashed n-grams.
 
-Two generative models over hashed word unigrams and bigrams -- one of target text,
-one of raw text -- give each document the log ratio of its probabilities. Adding
+Two generative models over hashed word unigrams and bigrams -- one of target text, one
+of the other, raw text -- give each document the log ratio of its probabilities. Adding
 Gumbel noise to the log ratios and taking the largest k samples k documents without
 replacement in proportion to their importance weights.
 
-Both models are ``BUCKETS`` counts, summed over all documents, so what is gathered
-has a fixed size. The top k is exact and sorts nothing in one task: rows are dealt
-by range and numbered with per-task offsets.
+Counts are of documents: an n-gram counts once in each that holds it, in the models and in
+a score. They are kept in a table by the n-gram's 64-bit hash, which grows with the corpus.
+An n-gram has an entry of its own where the target's share of its documents is off the
+target's share of all documents by more than ``DEVIATIONS`` standard deviations; the others
+have the same probability in both models, so that the many rare n-grams of a document do
+not give away whether it was a target.
+
+Bigrams are counted where both of their words stand in ``LEAST_DOCS`` documents, as
+else they can't either. The ``HEAD`` most frequent entries are broadcast and scored in the
+scan; all further ones, rarer each, are joined by hash. The top k is exact and sorts
+nothing in one task: rows are dealt by range and numbered with per-task offsets.
 """
 
 from __future__ import annotations
@@ -23,74 +31,208 @@ from clipforge.llm.common import broadcast_if_small, mix, slices, stored, text_b
 from clipforge.llm.shingles import words
 from clipforge.operators.ordering import positions
 
-BUCKETS = 10_000
+#: An n-gram in fewer documents has no entry of its own.
+LEAST_DOCS = 10
+#: How far an n-gram's target documents must be off their expected number.
+DEVIATIONS = 4.0
+#: Entries that are broadcast (16 bytes each).
+HEAD = 1 << 20
+#: Bits of the largest filter of frequent words (16 MB); more words only let more bigrams through.
+FILTER_BITS = 1 << 27
 #: Share of the documents that is sampled.
 SHARE = 0.85
 SEED = 20240607
+#: Entries that a task holds before it hands them on.
+HELD = 1 << 21
 
 
-def _features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all unigrams and bigrams of a column's texts and the text of each."""
+class Filter:
+    """A set of hashes as bits: holds every member, and some others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & self.mask
+        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    @staticmethod
+    def of(keys: DataFrame) -> Filter:
+        """Filter of the column ``key``, eight bits a member up to ``FILTER_BITS``: the driver
+        gets a row per 64 bits."""
+        n = min(FILTER_BITS, 1 << max(10, (8 * keys.count()).bit_length()))
+        at = F.col("key").bitwiseAND(F.lit(n - 1))
+        rows = (keys.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast((key & {n - 1}L) & 63 as int))").alias("bit"))
+                .groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow())
+        bits = np.zeros(n // 64, np.uint64)
+        bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+        return Filter(bits)
+
+
+def _unigrams(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every word of a column."""
     (w, _), at = words(*text_bytes(col))
-    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    pair = np.flatnonzero(doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, np.int64)
-    both = mix(w[pair] * np.uint64(0x9E3779B97F4A7C15) + w[pair + 1]) if len(pair) else np.zeros(0, np.uint64)
-    buckets = (np.concatenate([mix(w + np.uint64(1)), both]) % np.uint64(BUCKETS)).astype(np.int64)
-    return buckets, np.concatenate([doc, doc[pair]])
+    return w, np.repeat(np.arange(len(at) - 1), np.diff(at))
+
 
+def _bigrams(w: np.ndarray, doc: np.ndarray, frequent: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every two neighbouring words that the filter lets through."""
+    if not len(w):
+        return w, doc
+    good = frequent(w)
+    pair = np.flatnonzero((doc[1:] == doc[:-1]) & good[1:] & good[:-1])
+    return mix(mix(w[pair]) * np.uint64(0x9E3779B97F4A7C15) + w[pair + 1]), doc[pair]
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for rows in (part for batch in batches for part in slices(batch, 0)):
-        wanted = rows.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        buckets, doc = _features(rows.column(0))
-        raw += np.bincount(buckets, minlength=BUCKETS)
-        target += np.bincount(buckets[wanted[doc]], minlength=BUCKETS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS, dtype=np.int32)), pa.array(raw), pa.array(target)], ["bucket", "raw", "target"])
 
+def _once(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every key once per text, sorted by key."""
+    order = np.argsort(keys, kind="stable")  # texts ascend, so they do under equal keys
+    keys, doc = keys[order], doc[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    return keys[new], doc[new]
+
+
+def _summed(keys: np.ndarray, docs: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(docs[order], first) if len(first) else docs, np.add.reduceat(target[order], first) if len(first) else target
+
+
+def _count(frequent=None):
+    """Documents and target documents of every word, or of every bigram of frequent words."""
+    def rows(parts: list) -> pa.RecordBatch:
+        keys, docs, target = parts
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs), pa.array(target)], ["key", "docs", "target"])
 
-def _score(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in (part for batch in batches for part in slices(batch, 1)):
-            buckets, doc = _features(rows.column(1))
-            total = np.bincount(doc, weights.value[buckets], minlength=rows.num_rows)
-            n = np.bincount(doc, minlength=rows.num_rows)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int64)), pa.array(total), rows.column(2)],
-                                             ["doc_id", "n_features", "log_ratio", "uniform"])
+        held, n = [], 0
+        for part in (part for batch in batches for part in slices(batch, 0)):
+            wanted = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            keys, doc = _unigrams(part.column(0))
+            if frequent is not None:
+                keys, doc = _bigrams(keys, doc, frequent.value)
+            keys, doc = _once(keys, doc)
+            held.append(_summed(keys, np.ones(len(keys), np.int64), wanted[doc]))
+            n += len(held[-1][0])
+            if n > HELD:
+                held = [_summed(*[np.concatenate(x) for x in zip(*held, strict=True)])]
+                n = len(held[0][0])
+                if n > HELD // 2:
+                    yield rows(held[0])
+                    held, n = [], 0
+        if held:
+            yield rows(_summed(*[np.concatenate(x) for x in zip(*held, strict=True)]))
     return run
 
 
-def log_weights(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text") -> np.ndarray:
-    """Log of target over raw probability of every bucket (add-one smoothing). Without target
-    text all weights are zero."""
+def counts(flagged: DataFrame) -> tuple[DataFrame, Filter]:
+    """(key, docs, target) of the words and bigrams in ``LEAST_DOCS`` documents, from rows
+    (text, target boolean), and the filter of those words."""
+    spark = flagged.sparkSession
+
+    def table(fn, name):
+        found = flagged.mapInArrow(fn, "key long, docs long, target long").groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("target").alias("target"))
+        return stored(found.where(F.col("docs") >= LEAST_DOCS), name)
+
+    unigrams = table(_count(), "importance_words")
+    frequent = Filter.of(unigrams)
+    return unigrams.unionByName(table(_count(spark.sparkContext.broadcast(frequent)), "importance_bigrams")), frequent
+
+
+def log_weights(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, Filter]:
+    """(key, docs, weight): log of target over raw probability of every n-gram with an entry of its
+    own (add-one smoothing), and the filter of frequent words. Without target text, or without
+    any other, there are no entries."""
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("_id")).where("_id is not null").distinct()
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    flagged = src.join(broadcast_if_small(ids, 16).withColumn("_t", F.lit(True)), F.col("doc_id") == F.col("_id"), "left")
-    counts = (flagged.select("text", F.coalesce("_t", F.lit(False)).alias("target")).mapInArrow(_count, "bucket int, raw long, target long")
-              .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts:  # BUCKETS rows
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    if not target.any():
-        return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    src = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text).cast("string").alias("text"))
+    flagged = src.join(broadcast_if_small(ids, 16).withColumn("_t", F.lit(True)), F.col("_doc") == F.col("_id"), "left")
+    flagged = flagged.select("text", F.coalesce("_t", F.lit(False)).alias("target"))
+    all_docs, targets = flagged.agg(F.count(F.lit(1)), F.coalesce(F.count_if("target"), F.lit(0))).first()
+    table, frequent = counts(flagged)
+    share = targets / all_docs if all_docs else 0.0
+    n, in_target, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("docs"), F.lit(0))).first()
+    expected = F.col("docs") * F.lit(share)
+    telling = (F.col("target") - expected) ** 2 > F.lit(DEVIATIONS ** 2 * (1 - share)) * expected
+    weight = F.log((F.col("target") + 1) / F.lit(float(in_target + n))) - F.log((F.col("docs") - F.col("target") + 1) / F.lit(float(total - in_target + n)))
+    return stored(table.where(telling & F.lit(0 < share < 1)).select("key", "docs", weight.alias("weight")), "importance_weights"), frequent
+
+
+def _divided(weights: DataFrame, head: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent entries, at most ``head``, and the others. Entries are divided at a power
+    of two of their documents, counted by power."""
+    power = F.floor(F.log2("docs")).cast("int")
+    left, least = head, 64
+    for p, n in sorted(weights.groupBy(power).count().collect(), reverse=True):  # at most 64 rows
+        if n > left:
+            break
+        left, least = left - n, p
+    return weights.where(power >= least), weights.where(power < least)
+
+
+def _ngrams(w: np.ndarray, doc: np.ndarray, frequent: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Every word and bigram once per text."""
+    pairs, of = _bigrams(w, doc, frequent)
+    return _once(np.concatenate([w, pairs]), np.concatenate([doc, of]))
+
+
+def _score(keys, weights, frequent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, v = keys.value, weights.value
+        for rows in (part for batch in batches for part in slices(batch, 1)):
+            w, of = _unigrams(rows.column(1))
+            found, doc = _ngrams(w, of, frequent.value)
+            total = np.zeros(rows.num_rows)
+            if len(k):
+                place = np.minimum(np.searchsorted(k, found), len(k) - 1)
+                total = np.bincount(doc, np.where(k[place] == found, v[place], 0.0), minlength=rows.num_rows)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.bincount(of, minlength=rows.num_rows)), pa.array(total), rows.column(2), rows.column(3)],
+                                             ["doc_id", "n_words", "log_ratio", "uniform", "doc_key"])
+    return run
+
+
+def _met(frequent, wanted):
+    """The n-grams of every text that the filter ``wanted`` lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in (part for batch in batches for part in slices(batch, 1)):
+            found, doc = _ngrams(*_unigrams(rows.column(1)), frequent.value)
+            good = wanted.value(found)
+            of = pa.array(doc[good])
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(of), rows.column(3).take(of), pa.array(found[good].view(np.int64))],
+                                             ["_doc", "_doc_key", "key"])
+    return run
 
 
 def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
-             share: float = SHARE, seed: int = SEED) -> DataFrame:
-    """doc_id, n_features, log_ratio, gumbel_key, rank (1 is first), kept per document.
+             share: float = SHARE, seed: int = SEED, head: int = HEAD) -> DataFrame:
+    """doc_id, n_words, log_ratio, gumbel_key, rank (1 is first), kept per document.
 
     The ceil(share x n) documents with the largest key are kept; equal keys go by id, nulls
     first. The noise of a document is a hash of its id and text. Null or wordless text has
-    log ratio 0. Rows that repeat have equal keys and ranks next to each other."""
+    log ratio 0. Rows that repeat have equal keys and ranks next to each other. At most
+    ``head`` entries of the models are broadcast; the result is the same with any number."""
     spark = docs.sparkSession
-    weights = spark.sparkContext.broadcast(log_weights(docs, target_ids, id_col, text))
-    noise = (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), noise.alias("uniform"))
-    scored = src.mapInArrow(_score(weights), "doc_id long, n_features long, log_ratio double, uniform double")
-    scored = scored.withColumn("gumbel_key", F.col("log_ratio") - F.log(-F.log("uniform"))).drop("uniform")
-    scored = stored(scored.withColumn("_down", -F.col("gumbel_key")), "importance")
+    sc = spark.sparkContext
+    weights, frequent = log_weights(docs, target_ids, id_col, text)
+    top, rest = _divided(weights, head)
+    entries = top.select("key", "weight").toArrow()  # at most ``head`` rows
+    keys = entries["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = sc.broadcast(frequent)
+    uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), uniform.alias("uniform"),
+                      F.xxhash64(F.lit(seed + 1), F.col(id_col), F.col(text)).alias("doc_key"))
+    scored = src.mapInArrow(_score(sc.broadcast(keys[order]), sc.broadcast(entries["weight"].to_numpy()[order]), shared),
+                            "doc_id long, n_words long, log_ratio double, uniform double, doc_key long")
+    if not rest.isEmpty():
+        met = src.mapInArrow(_met(shared, sc.broadcast(Filter.of(rest))), "_doc long, _doc_key long, key long").distinct()  # rows may repeat
+        more = met.join(rest, "key").groupBy("_doc", "_doc_key").agg(F.sum("weight").alias("_more"))
+        scored = scored.join(more, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("doc_key") == F.col("_doc_key")), "left")
+        scored = scored.withColumn("log_ratio", F.col("log_ratio") + F.coalesce("_more", F.lit(0.0)))
+    scored = scored.withColumn("gumbel_key", F.col("log_ratio") - F.log(-F.log("uniform")))
+    scored = stored(scored.select("doc_id", "n_words", "log_ratio", "gumbel_key", (-F.col("gumbel_key")).alias("_down")), "importance")
     n = scored.count()
     ranked = positions(scored, ["_down", "doc_id"], out_col="rank")
-    return ranked.select("doc_id", "n_features", "log_ratio", "gumbel_key", F.col("rank").cast("long").alias("rank"),
+    return ranked.select("doc_id", "n_words", "log_ratio", "gumbel_key", F.col("rank").cast("long").alias("rank"),
                          (F.col("rank") <= F.ceil(F.lit(share * n))).alias("kept"))

@@ -74,8 +74,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_importance_resampling")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
-    return importance.resample(table(spark, sf_dir, "documents"), labels)
+    labels = table(spark, sf_dir, "labels").where("quality is not null and toxic is not null")
+    good = F.expr("quality = 1 and toxic = 0")
+    share = labels.agg(F.avg(good.cast("double"))).first()[0]  # as many documents as are good where it is known
+    return importance.resample(table(spark, sf_dir, "documents"), labels.where(good).select("doc_id"), share=1.0 if share is None else share)
 
 
 @register("op8_warc")

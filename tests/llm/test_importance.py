@@ -1,5 +1,9 @@
 import math
 import random
+import re
+from collections import Counter
+
+import numpy as np
 
 from clipforge.llm import importance as m
 from tests.llm.data import DOCS, corpus, frame
@@ -38,3 +42,75 @@ def test_odd_rows_repeats_and_empty_table(spark):
     assert m.resample(spark.createDataFrame([], DOCS), target).count() == 0
     d = spark.createDataFrame([(1, "x", 7, "b")], "doc_id long, text string, rank int, bucket string")
     assert [x["rank"] for x in m.resample(d, target).collect()] == [1]
+
+
+def brute(rows, target, least, deviations):
+    """Log ratio of every text, on strings."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t, *_ in rows]
+    df = Counter(w for ws in split for w in set(ws))
+    grams = [{(w,) for w in ws} | {(a, b) for a, b in zip(ws, ws[1:], strict=False) if df[a] >= least and df[b] >= least} for ws in split]
+    docs, good = Counter(g for gs in grams for g in gs), Counter(g for r, gs in zip(rows, grams, strict=True) if r[0] in target for g in gs)
+    docs = {g: n for g, n in docs.items() if n >= least}
+    p = sum(r[0] in target for r in rows) / len(rows)
+    n, total, in_target = len(docs), sum(docs.values()), sum(good[g] for g in docs)
+    weight = {g: math.log((good[g] + 1) / (in_target + n)) - math.log((d - good[g] + 1) / (total - in_target + n))
+              for g, d in docs.items() if (good[g] - d * p) ** 2 > deviations ** 2 * d * p * (1 - p)}
+    return [sum(weight.get(g, 0) for g in gs) for gs in grams], len(weight)
+
+
+def test_scores_equal_brute_force_whatever_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(m, "LEAST_DOCS", 3)
+    monkeypatch.setattr(m, "DEVIATIONS", 0.5)
+    rows = corpus(n=150)
+    rows.append(rows[40])  # a row that repeats
+    target = set(range(0, 150, 4))
+    want, entries = brute(rows, target, 3, 0.5)
+    assert entries > 100
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    for head in (1 << 20, 40, 0):
+        got = m.resample(frame(spark, rows), ids, head=head).collect()
+        key = lambda x: (x[0], round(x[1], 9))
+        assert sorted((x["doc_id"], round(x["log_ratio"], 6) + 0.0) for x in got) == sorted(
+            ((r[0], round(x, 6) + 0.0) for r, x in zip(rows, want, strict=True)), key=key)
+
+
+def test_counts_handed_on_in_parts_are_whole(spark, monkeypatch):
+    rows = corpus(n=100)
+    flagged = frame(spark, rows).selectExpr("text", "doc_id % 3 = 0 as target")
+    whole = {tuple(r) for r in m.counts(flagged)[0].collect()}
+    parts = []
+    monkeypatch.setattr(m, "HELD", 50)
+    for i in range(0, 100, 10):
+        batch = flagged.limit(100).toArrow().slice(i, 10).combine_chunks().to_batches()
+        parts += [row for out in m._count()(iter(batch)) for row in out.to_pylist()]
+    docs = Counter()
+    for row in parts:
+        docs[row["key"]] += row["docs"]
+    unigrams = {k: n for k, n in docs.items() if n >= m.LEAST_DOCS}
+    assert unigrams.items() <= {k: n for k, n, _ in whole}.items()
+
+
+def test_filter_holds_every_member(spark):
+    keys = [r.getrandbits(64) - (1 << 63) for r in [random.Random(5)] for _ in range(3000)]
+    f = m.Filter.of(spark.createDataFrame([(k,) for k in keys], "key long"))
+    assert f(np.array(keys, np.int64).view(np.uint64)).all()
+    other = np.random.default_rng(1).integers(0, 1 << 63, 10_000, dtype=np.uint64)
+    assert f(other).mean() < 0.2
+
+
+def test_documents_with_rare_bad_words_rank_below_clean_ones(spark):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("aeiourstnl") for _ in range(r.randint(2, 6)))
+    bad = ["scum", "moron", "trash"]
+    rows = []
+    for i in range(900):
+        ws = [r.choice(["the", "and", "of"]) if r.random() < 0.3 else word() for _ in range(80)]
+        for at in r.sample(range(80), 4) if i % 6 == 0 else []:
+            ws[at] = r.choice(bad)
+        rows.append((i, " ".join(ws), "en", "s", 0))
+    target = spark.createDataFrame([(i,) for i in range(0, 900) if i % 6 and i % 5 < 2], "doc_id long")
+    got = {x["doc_id"]: x["kept"] for x in m.resample(frame(spark, rows), target, share=5 / 6).collect()}
+    assert sum(got[i] for i in got if i % 6 == 0) <= 8
+    assert sum(not got[i] for i in got if i % 6) <= 8
+    unknown = [i for i in got if i % 6 and i % 5 >= 2]
+    assert sum(got[i] for i in unknown) >= 0.98 * len(unknown)  # clean, though not in the target
