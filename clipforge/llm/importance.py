@@ -6,7 +6,8 @@ Gumbel noise to the log ratios and taking the largest k samples k documents with
 replacement in proportion to their importance weights.
 
 Counts are of documents: an n-gram counts once in each that holds it, in the models and in
-a score. They are kept in a table by the n-gram's 64-bit hash, which grows with the corpus.
+a score. They are kept in a table by the n-gram's hash (``HASH_BITS``), which grows with the
+corpus.
 An n-gram has an entry of its own where the target's share of its documents is off the
 target's share of all documents by more than ``DEVIATIONS`` standard deviations; the others
 have the same probability in both models, so that the many rare n-grams of a document do
@@ -43,7 +44,13 @@ FILTER_BITS = 1 << 27
 SHARE = 0.85
 SEED = 20240607
 #: Entries that a task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
+#: Bits of an n-gram's hash: 10 ** 12 buckets, which are not held but shuffled.
+HASH_BITS = 40
+#: Bytes of text that a task takes at once.
+SLICE = 2 << 20
+
+_SHIFT = np.uint64(64 - HASH_BITS)
 
 
 class Filter:
@@ -72,7 +79,7 @@ class Filter:
 def _unigrams(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text of every word of a column."""
     (w, _), at = words(*text_bytes(col))
-    return w, np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return w >> _SHIFT, np.repeat(np.arange(len(at) - 1), np.diff(at))
 
 
 def _bigrams(w: np.ndarray, doc: np.ndarray, frequent: Filter) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +88,7 @@ def _bigrams(w: np.ndarray, doc: np.ndarray, frequent: Filter) -> tuple[np.ndarr
         return w, doc
     good = frequent(w)
     pair = np.flatnonzero((doc[1:] == doc[:-1]) & good[1:] & good[:-1])
-    return mix(mix(w[pair]) * np.uint64(0x9E3779B97F4A7C15) + w[pair + 1]), doc[pair]
+    return mix(mix(w[pair]) * np.uint64(0x9E3779B97F4A7C15) + w[pair + 1]) >> _SHIFT, doc[pair]
 
 
 def _once(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +115,7 @@ def _count(frequent=None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for part in (part for batch in batches for part in slices(batch, 0)):
+        for part in (part for batch in batches for part in slices(batch, 0, SLICE)):
             wanted = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             keys, doc = _unigrams(part.column(0))
             if frequent is not None:
@@ -133,7 +140,8 @@ def counts(flagged: DataFrame) -> tuple[DataFrame, Filter]:
     spark = flagged.sparkSession
 
     def table(fn, name):
-        found = flagged.mapInArrow(fn, "key long, docs long, target long").groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("target").alias("target"))
+        # Tasks hand on sorted sums, so rows are dealt as they come, without a second sum before the shuffle.
+        found = flagged.mapInArrow(fn, "key long, docs long, target long").repartition("key").groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("target").alias("target"))
         return stored(found.where(F.col("docs") >= LEAST_DOCS), name)
 
     unigrams = table(_count(), "importance_words")
@@ -180,7 +188,7 @@ def _ngrams(w: np.ndarray, doc: np.ndarray, frequent: Filter) -> tuple[np.ndarra
 def _score(keys, weights, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, v = keys.value, weights.value
-        for rows in (part for batch in batches for part in slices(batch, 1)):
+        for rows in (part for batch in batches for part in slices(batch, 1, SLICE)):
             w, of = _unigrams(rows.column(1))
             found, doc = _ngrams(w, of, frequent.value)
             total = np.zeros(rows.num_rows)
@@ -195,7 +203,7 @@ def _score(keys, weights, frequent):
 def _met(frequent, wanted):
     """The n-grams of every text that the filter ``wanted`` lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in (part for batch in batches for part in slices(batch, 1)):
+        for rows in (part for batch in batches for part in slices(batch, 1, SLICE)):
             found, doc = _ngrams(*_unigrams(rows.column(1)), frequent.value)
             good = wanted.value(found)
             of = pa.array(doc[good])
