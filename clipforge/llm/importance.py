@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ SHARE = 0.85
 SEED = 20240607
 #: Entries that a task holds before it hands them on.
 HELD = 1 << 20
+#: Bytes of text per range of hashes: the ranges, each summed in one task, grow in number with the input.
+RANGE_BYTES = 16 << 20
 #: Bits of an n-gram's hash: 10 ** 12 buckets, which are not held but shuffled.
 HASH_BITS = 40
 #: Bytes of text that a task takes at once.
@@ -107,12 +110,26 @@ def _summed(keys: np.ndarray, docs: np.ndarray, target: np.ndarray) -> tuple[np.
     return keys[first], np.add.reduceat(docs[order], first) if len(first) else docs, np.add.reduceat(target[order], first) if len(first) else target
 
 
-def _count(frequent=None):
-    """Documents and target documents of every word, or of every bigram of frequent words."""
-    def rows(parts: list) -> pa.RecordBatch:
-        keys, docs, target = parts
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs), pa.array(target)], ["key", "docs", "target"])
+def _packed(keys: np.ndarray, docs: np.ndarray, target: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted sums as one compressed block per range of hashes: differences of keys, documents and
+    target documents, each laid out byte after byte."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    part = (keys >> np.uint64(HASH_BITS - bits)).astype(np.int64)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+    blocks = []
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        entry = np.stack([np.diff(keys[s:e].astype(np.int64), prepend=0), docs[s:e], target[s:e]], axis=1)
+        blocks.append(pack(entry.view(np.uint8).T.tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]]), pa.array(blocks, pa.binary())], ["part", "block"])
+
+
+def _unpacked(block: bytes) -> list[np.ndarray]:
+    entry = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(24, -1).T.copy().view(np.int64)
+    return [np.cumsum(entry[:, 0]), entry[:, 1], entry[:, 2]]
+
 
+def _count(bits: int, frequent=None):
+    """Documents and target documents of every word, or of every bigram of frequent words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for part in (part for batch in batches for part in slices(batch, 0, SLICE)):
@@ -127,26 +144,35 @@ def _count(frequent=None):
                 held = [_summed(*[np.concatenate(x) for x in zip(*held, strict=True)])]
                 n = len(held[0][0])
                 if n > HELD // 2:
-                    yield rows(held[0])
+                    yield _packed(*held[0], bits)
                     held, n = [], 0
         if held:
-            yield rows(_summed(*[np.concatenate(x) for x in zip(*held, strict=True)]))
+            yield _packed(*_summed(*[np.concatenate(x) for x in zip(*held, strict=True)]), bits)
+    return run
+
+
+def _sum_range(least: int):
+    """The sums of one range of hashes that reach ``least`` documents."""
+    def run(blocks: pa.Table) -> pa.Table:
+        entries = [np.concatenate(x) for x in zip(*[_unpacked(b.as_py()) for b in blocks.column("block")], strict=True)]
+        keys, docs, target = _summed(*entries)
+        enough = docs >= least
+        return pa.table({"key": keys[enough], "docs": docs[enough], "target": target[enough]})
     return run
 
 
-def counts(flagged: DataFrame) -> tuple[DataFrame, Filter]:
+def counts(flagged: DataFrame, size: int) -> tuple[DataFrame, Filter]:
     """(key, docs, target) of the words and bigrams in ``LEAST_DOCS`` documents, from rows
-    (text, target boolean), and the filter of those words."""
-    spark = flagged.sparkSession
+    (text, target boolean) of ``size`` bytes, and the filter of those words."""
+    bits = min(HASH_BITS - 1, max(3, (size // RANGE_BYTES).bit_length()))
 
-    def table(fn, name):
-        # Tasks hand on sorted sums, so rows are dealt as they come, without a second sum before the shuffle.
-        found = flagged.mapInArrow(fn, "key long, docs long, target long").repartition("key").groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("target").alias("target"))
-        return stored(found.where(F.col("docs") >= LEAST_DOCS), name)
+    def table(frequent, name):
+        blocks = flagged.mapInArrow(_count(bits, frequent), "part long, block binary")
+        return stored(blocks.groupBy("part").applyInArrow(_sum_range(LEAST_DOCS), "key long, docs long, target long"), name)
 
-    unigrams = table(_count(), "importance_words")
+    unigrams = table(None, "importance_words")
     frequent = Filter.of(unigrams)
-    return unigrams.unionByName(table(_count(spark.sparkContext.broadcast(frequent)), "importance_bigrams")), frequent
+    return unigrams.unionByName(table(flagged.sparkSession.sparkContext.broadcast(frequent), "importance_bigrams")), frequent
 
 
 def log_weights(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, Filter]:
@@ -157,8 +183,9 @@ def log_weights(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
     src = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text).cast("string").alias("text"))
     flagged = src.join(broadcast_if_small(ids, 16).withColumn("_t", F.lit(True)), F.col("_doc") == F.col("_id"), "left")
     flagged = flagged.select("text", F.coalesce("_t", F.lit(False)).alias("target"))
-    all_docs, targets = flagged.agg(F.count(F.lit(1)), F.coalesce(F.count_if("target"), F.lit(0))).first()
-    table, frequent = counts(flagged)
+    all_docs, targets, size = flagged.agg(F.count(F.lit(1)), F.coalesce(F.count_if("target"), F.lit(0)),
+                                          F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    table, frequent = counts(flagged, size)
     share = targets / all_docs if all_docs else 0.0
     n, in_target, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("docs"), F.lit(0))).first()
     expected = F.col("docs") * F.lit(share)

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from clipforge.llm import importance as m
 from tests.llm.data import DOCS, corpus, frame
@@ -74,20 +75,21 @@ def test_scores_equal_brute_force_whatever_is_broadcast(spark, monkeypatch):
             ((r[0], round(x, 6) + 0.0) for r, x in zip(rows, want, strict=True)), key=key)
 
 
-def test_counts_handed_on_in_parts_are_whole(spark, monkeypatch):
-    rows = corpus(n=100)
-    flagged = frame(spark, rows).selectExpr("text", "doc_id % 3 = 0 as target")
-    whole = {tuple(r) for r in m.counts(flagged)[0].collect()}
-    parts = []
-    monkeypatch.setattr(m, "HELD", 50)
-    for i in range(0, 100, 10):
-        batch = flagged.limit(100).toArrow().slice(i, 10).combine_chunks().to_batches()
-        parts += [row for out in m._count()(iter(batch)) for row in out.to_pylist()]
-    docs = Counter()
-    for row in parts:
-        docs[row["key"]] += row["docs"]
-    unigrams = {k: n for k, n in docs.items() if n >= m.LEAST_DOCS}
-    assert unigrams.items() <= {k: n for k, n, _ in whole}.items()
+def test_counts_handed_on_in_parts_are_whole(monkeypatch):
+    texts = pa.array([t for _, t, *_ in corpus(n=100)])
+    rows = pa.RecordBatch.from_arrays([texts, pa.array([i % 3 == 0 for i in range(100)])], ["text", "target"])
+
+    def summed(held, step, bits):
+        monkeypatch.setattr(m, "HELD", held)
+        parts = {}
+        for out in m._count(bits)(iter([rows.slice(i, step) for i in range(0, 100, step)])):
+            for x in out.to_pylist():
+                parts.setdefault(x["part"], []).append(x["block"])
+        return sorted(tuple(r.values()) for blocks in parts.values() for r in m._sum_range(1)(pa.table({"block": blocks})).to_pylist()), len(parts)
+
+    whole, ranges = summed(1 << 20, 100, 3)
+    assert ranges == 8 and len(whole) > 300 and max(n for _, n, _ in whole) > 5
+    assert summed(50, 10, 3)[0] == whole and summed(50, 7, 12)[0] == whole
 
 
 def test_filter_holds_every_member(spark):
