@@ -147,59 +147,81 @@ def _passes(d: Column, L: Column, threshold: int) -> Column:
     return (F.lit(100) * (L - d)) >= F.lit(threshold) * L
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
-                right_id: str, right_str: str, threshold: int = C.MATCH_THRESHOLD,
-                max_deletions: int = MAX_DELETIONS) -> DataFrame:
-    """All (left_id, right_id) whose strings reach the ratio threshold, with the
-    exact indel distance ``d`` and total length ``L``.
+def _bound(n: Column, threshold: int) -> Column:
+    """Largest indel distance a passing partner of a string of length ``n`` can have."""
+    r = _rate(threshold)
+    return F.floor(F.lit(2 * r / (1 - r)) * n + F.lit(1e-9)).cast("int")
 
-    Strings are compared as given; callers lower-case them first when the
-    comparison is case-insensitive. Ids must be unique per string on each side.
-    """
-    ls = left.select(F.col(left_id).alias("_lid"), F.col(left_str).alias("_ls")).where(F.length("_ls") > 0)
-    rs = right.select(F.col(right_id).alias("_rid"), F.col(right_str).alias("_rs")).where(F.length("_rs") > 0)
 
-    # A pair with a short side (bound within the cap) has lengths within the cap of each
-    # other, so only strings up to this length need variants.
+def variant_entries(strings: DataFrame, id_col: str, str_col: str, threshold: int = C.MATCH_THRESHOLD,
+                    max_deletions: int = MAX_DELETIONS) -> DataFrame:
+    """(id, variant, k, n) of the strings that can have a partner with a bound within the cap: such
+    a pair's lengths are within the cap of each other, so longer ones need no variants."""
     n_long = first_long(threshold, max_deletions)
-    short = (lambda df, c: df) if n_long is None else (lambda df, c: df.where(F.length(c) < n_long + max_deletions))
+    short = strings if n_long is None else strings.where(F.length(str_col) < n_long + max_deletions)
+    return deletion_variants(short, id_col, str_col, threshold, max_deletions, with_length=True)
+
+
+def gram_entries(strings: DataFrame, id_col: str, str_col: str, threshold: int = C.MATCH_THRESHOLD,
+                 max_deletions: int = MAX_DELETIONS) -> DataFrame:
+    """(id, m, j, g, s): every q-gram of a long string with its place, and the string."""
+    q = piece_length(threshold, max_deletions)
+    n_long = first_long(threshold, max_deletions)
+    m = F.length(str_col)
+    long = strings.where(F.lit(False) if n_long is None else m >= n_long)
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(m - q + 1, F.lit(1))), lambda j: F.struct(j.alias("j"), F.substring(str_col, j, F.lit(q)).alias("g")))
+    return long.select(id_col, m.alias("m"), F.col(str_col).alias("s"), F.explode(grams).alias("x")).select(id_col, "m", F.col("x.j").alias("j"), F.col("x.g").alias("g"), "s")
+
+
+def pairs_with(ls: DataFrame, variants: DataFrame, grams: DataFrame, threshold: int = C.MATCH_THRESHOLD,
+               max_deletions: int = MAX_DELETIONS) -> DataFrame:
+    """(_lid, _rid, d, L) of the strings ``ls`` (_lid, _ls) that pass with strings of which the
+    entries are given: :func:`variant_entries` and :func:`gram_entries` with id ``_rid``."""
     # lengths ride along with the variants, so no join back to the strings is needed
-    lv = deletion_variants(short(ls, "_ls"), "_lid", "_ls", threshold, max_deletions, with_length=True) \
-        .withColumnRenamed("k", "_i").withColumnRenamed("n", "_nl")
-    rv = deletion_variants(short(rs, "_rs"), "_rid", "_rs", threshold, max_deletions, with_length=True) \
-        .withColumnRenamed("k", "_j").withColumnRenamed("n", "_nr")
+    lv = variant_entries(ls, "_lid", "_ls", threshold, max_deletions).withColumnsRenamed({"k": "_i", "n": "_nl"})
+    rv = variants.select("_rid", "variant", F.col("k").alias("_j"), F.col("n").alias("_nr"))
     pairs = (lv.join(rv, "variant")
              .groupBy("_lid", "_rid").agg(F.min(F.col("_i") + F.col("_j")).alias("d"),
                                           F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr")))
 
+    n_long = first_long(threshold, max_deletions)
     if n_long is not None:
         q = piece_length(threshold, max_deletions)
-        r = _rate(threshold)
-        bound = lambda n: F.floor(F.lit(2 * r / (1 - r)) * n + F.lit(1e-9)).cast("int")
-        long_l = ls.where(F.length("_ls") >= n_long).withColumn("_n", F.length("_ls")).withColumn("_D", bound(F.col("_n")))
-        long_r = rs.where(F.length("_rs") >= n_long).withColumn("_m", F.length("_rs"))
+        long_l = ls.where(F.length("_ls") >= n_long).withColumn("_n", F.length("_ls")).withColumn("_D", _bound(F.col("_n"), threshold))
         # piece i of D + 1 starts at floor(i n / (D + 1)) and has at least q characters
         starts = F.transform(F.sequence(F.lit(0), F.col("_D")), lambda i: F.floor(i * F.col("_n") / (F.col("_D") + 1)).cast("int") + 1)
-        lg = long_l.select("_lid", "_n", "_D", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring("_ls", i, F.lit(q)).alias("g")))).alias("x")) \
-            .select("_lid", "_n", "_D", F.col("x.i").alias("_i"), F.col("x.g").alias("_g"))
-        rg = long_r.select("_rid", "_m", F.explode(F.transform(F.sequence(F.lit(1), F.col("_m") - q + 1), lambda i: F.struct(i.alias("i"), F.substring("_rs", i, F.lit(q)).alias("g")))).alias("x")) \
-            .select("_rid", "_m", F.col("x.i").alias("_j"), F.col("x.g").alias("_g"))
-        cand = (lg.join(rg, "_g").where((F.abs(F.col("_i") - F.col("_j")) <= F.col("_D")) & (F.abs(F.col("_n") - F.col("_m")) <= F.col("_D")))
-                .select("_lid", "_rid").distinct())
-        cand = cand.join(ls, "_lid").join(rs, "_rid")
+        lg = long_l.select("_lid", "_ls", "_n", "_D", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring("_ls", i, F.lit(q)).alias("g")))).alias("x")) \
+            .select("_lid", "_ls", "_n", "_D", F.col("x.i").alias("_i"), F.col("x.g").alias("g"))
+        rg = grams.select("_rid", "g", F.col("m").alias("_m"), F.col("j").alias("_j"), F.col("s").alias("_rs"))
+        near = (F.abs(F.col("_i") - F.col("_j")) <= F.col("_D")) & (F.abs(F.col("_n") - F.col("_m")) <= F.col("_D"))
+        dmax = F.floor((F.col("_n") + F.col("_m")) * F.lit(100 - threshold) / F.lit(100)).cast("int")
+        # screened before pairs are made distinct, so a q-gram that many strings share writes few
+        screened = near & (F.abs(F.col("_n") - F.col("_m")) <= dmax) & (F.levenshtein("_ls", "_rs") <= dmax)
+        cand = lg.join(rg, "g").where(screened).select("_lid", "_rid", "_ls", "_rs").distinct()
         L = F.length("_ls") + F.length("_rs")
-        dmax = F.floor(L * F.lit(100 - threshold) / F.lit(100)).cast("int")
-        cand = cand.where((F.abs(F.length("_ls") - F.length("_rs")) <= dmax) & (F.levenshtein("_ls", "_rs") <= dmax))
-        measured = cand.select("_lid", "_rid", indel_distance(F.col("_ls"), F.col("_rs"), dmax).alias("d"),
+        measured = cand.select("_lid", "_rid", indel_distance(F.col("_ls"), F.col("_rs"), F.floor(L * F.lit(100 - threshold) / F.lit(100)).cast("int")).alias("d"),
                                F.length("_ls").alias("_nl"), F.length("_rs").alias("_nr"))
         pairs = pairs.unionByName(measured).groupBy("_lid", "_rid").agg(
             F.min("d").alias("d"), F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr"))
 
-    out = pairs
     L = F.col("_nl") + F.col("_nr")
-    return (out.where(_passes(F.col("d"), L, threshold))
-            .select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id),
-                    F.col("d").cast("int").alias("d"), L.cast("int").alias("L")))
+    return pairs.where(_passes(F.col("d"), L, threshold)).select("_lid", "_rid", F.col("d").cast("int").alias("d"), L.cast("int").alias("L"))
+
+
+def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
+                right_id: str, right_str: str, threshold: int = C.MATCH_THRESHOLD,
+                max_deletions: int = MAX_DELETIONS) -> DataFrame:
+    """All (left_id, right_id) whose strings reach the ratio threshold, with the
+    exact indel distance ``d`` and total length ``L``.
+
+    Strings are compared as given; callers lower-case them first when the
+    comparison is case-insensitive. Ids must be unique per string on each side.
+    """
+    ls = left.select(F.col(left_id).alias("_lid"), F.col(left_str).alias("_ls")).where(F.length("_ls") > 0)
+    rs = right.select(F.col(right_id).alias("_rid"), F.col(right_str).alias("_rs")).where(F.length("_rs") > 0)
+    pairs = pairs_with(ls, variant_entries(rs, "_rid", "_rs", threshold, max_deletions),
+                       gram_entries(rs, "_rid", "_rs", threshold, max_deletions), threshold, max_deletions)
+    return pairs.select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id), "d", "L")
 
 
 def best_match(pairs: DataFrame, left_id: str, right_id: str, rank_cols: list) -> DataFrame:

@@ -20,6 +20,7 @@ from clipforge.functions import constants as C
 from clipforge.functions.text import WORD
 from clipforge.operators.entities import active_affiliations, match_mentions, org_lookup, resolve_mentions
 from clipforge.operators.fuzzy import deletion_variants
+from clipforge.operators.variant_index import build_index, changed, match_indexed
 from clipforge.plans.registry import register
 from clipforge.session import written
 from clipforge.sources.tables import Tables
@@ -184,6 +185,18 @@ def q_fuzzy_match(spark, data_dir):
     return match_mentions(mentions(t), directory(t), "mention").select("mention_key", "uuid", "d", "L")
 
 
+@register("indexed_match", sql=f"WITH {_MATCH_SQL} SELECT mention_key, uuid, CAST(d AS INTEGER) AS d, "
+          "CAST(L AS INTEGER) AS L FROM best")
+def q_indexed_match(spark, data_dir):
+    """``fuzzy_match`` against a stored index: built from the persons with an Employee ID, then
+    changed by those without one."""
+    t = Tables(spark, data_dir)
+    people = directory(t)
+    has_id = F.exists(F.coalesce("identifiers", F.array()), lambda x: x["id"].isNotNull())
+    index = changed(build_index(people.where(has_id)), people.where(~has_id))
+    return match_indexed(mentions(t), index, "mention").select("mention_key", "uuid", "d", "L")
+
+
 @register("resolve_entities", sql=f"""WITH {_RESOLVE_SQL}
 SELECT article_id, mention_pos, mention, employee_id, uuid, affiliations FROM kept""")
 def q_resolve_entities(spark, data_dir):
