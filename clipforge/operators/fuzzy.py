@@ -164,19 +164,20 @@ def variant_entries(strings: DataFrame, id_col: str, str_col: str, threshold: in
 
 def gram_entries(strings: DataFrame, id_col: str, str_col: str, threshold: int = C.MATCH_THRESHOLD,
                  max_deletions: int = MAX_DELETIONS) -> DataFrame:
-    """(id, m, j, g, s): every q-gram of a long string with its place, and the string."""
+    """(id, m, j, g): every q-gram of a long string with its place."""
     q = piece_length(threshold, max_deletions)
     n_long = first_long(threshold, max_deletions)
     m = F.length(str_col)
     long = strings.where(F.lit(False) if n_long is None else m >= n_long)
     grams = F.transform(F.sequence(F.lit(1), F.greatest(m - q + 1, F.lit(1))), lambda j: F.struct(j.alias("j"), F.substring(str_col, j, F.lit(q)).alias("g")))
-    return long.select(id_col, m.alias("m"), F.col(str_col).alias("s"), F.explode(grams).alias("x")).select(id_col, "m", F.col("x.j").alias("j"), F.col("x.g").alias("g"), "s")
+    return long.select(id_col, m.alias("m"), F.explode(grams).alias("x")).select(id_col, "m", F.col("x.j").alias("j"), F.col("x.g").alias("g"))
 
 
 def pairs_with(ls: DataFrame, variants: DataFrame, grams: DataFrame, threshold: int = C.MATCH_THRESHOLD,
-               max_deletions: int = MAX_DELETIONS) -> DataFrame:
+               max_deletions: int = MAX_DELETIONS, rs: DataFrame | None = None) -> DataFrame:
     """(_lid, _rid, d, L) of the strings ``ls`` (_lid, _ls) that pass with strings of which the
-    entries are given: :func:`variant_entries` and :func:`gram_entries` with id ``_rid``."""
+    entries are given: :func:`variant_entries` and :func:`gram_entries` with id ``_rid``.
+    ``rs`` (_rid, _rs) are the strings themselves; without it the ids are the strings."""
     # lengths ride along with the variants, so no join back to the strings is needed
     lv = variant_entries(ls, "_lid", "_ls", threshold, max_deletions).withColumnsRenamed({"k": "_i", "n": "_nl"})
     rv = variants.select("_rid", "variant", F.col("k").alias("_j"), F.col("n").alias("_nr"))
@@ -190,16 +191,16 @@ def pairs_with(ls: DataFrame, variants: DataFrame, grams: DataFrame, threshold:
         long_l = ls.where(F.length("_ls") >= n_long).withColumn("_n", F.length("_ls")).withColumn("_D", _bound(F.col("_n"), threshold))
         # piece i of D + 1 starts at floor(i n / (D + 1)) and has at least q characters
         starts = F.transform(F.sequence(F.lit(0), F.col("_D")), lambda i: F.floor(i * F.col("_n") / (F.col("_D") + 1)).cast("int") + 1)
-        lg = long_l.select("_lid", "_ls", "_n", "_D", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring("_ls", i, F.lit(q)).alias("g")))).alias("x")) \
-            .select("_lid", "_ls", "_n", "_D", F.col("x.i").alias("_i"), F.col("x.g").alias("g"))
-        rg = grams.select("_rid", "g", F.col("m").alias("_m"), F.col("j").alias("_j"), F.col("s").alias("_rs"))
+        lg = long_l.select("_lid", "_n", "_D", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring("_ls", i, F.lit(q)).alias("g")))).alias("x")) \
+            .select("_lid", "_n", "_D", F.col("x.i").alias("_i"), F.col("x.g").alias("g"))
+        rg = grams.select("_rid", "g", F.col("m").alias("_m"), F.col("j").alias("_j"))
         near = (F.abs(F.col("_i") - F.col("_j")) <= F.col("_D")) & (F.abs(F.col("_n") - F.col("_m")) <= F.col("_D"))
-        dmax = F.floor((F.col("_n") + F.col("_m")) * F.lit(100 - threshold) / F.lit(100)).cast("int")
-        # screened before pairs are made distinct, so a q-gram that many strings share writes few
-        screened = near & (F.abs(F.col("_n") - F.col("_m")) <= dmax) & (F.levenshtein("_ls", "_rs") <= dmax)
-        cand = lg.join(rg, "g").where(screened).select("_lid", "_rid", "_ls", "_rs").distinct()
+        cand = lg.join(rg, "g").where(near).select("_lid", "_rid").distinct().join(ls, "_lid")
+        cand = cand.withColumn("_rs", F.col("_rid")) if rs is None else cand.join(rs, "_rid")
         L = F.length("_ls") + F.length("_rs")
-        measured = cand.select("_lid", "_rid", indel_distance(F.col("_ls"), F.col("_rs"), F.floor(L * F.lit(100 - threshold) / F.lit(100)).cast("int")).alias("d"),
+        dmax = F.floor(L * F.lit(100 - threshold) / F.lit(100)).cast("int")
+        cand = cand.where((F.abs(F.length("_ls") - F.length("_rs")) <= dmax) & (F.levenshtein("_ls", "_rs") <= dmax))
+        measured = cand.select("_lid", "_rid", indel_distance(F.col("_ls"), F.col("_rs"), dmax).alias("d"),
                                F.length("_ls").alias("_nl"), F.length("_rs").alias("_nr"))
         pairs = pairs.unionByName(measured).groupBy("_lid", "_rid").agg(
             F.min("d").alias("d"), F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr"))
@@ -220,7 +221,7 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_id: str, left_str: str,
     ls = left.select(F.col(left_id).alias("_lid"), F.col(left_str).alias("_ls")).where(F.length("_ls") > 0)
     rs = right.select(F.col(right_id).alias("_rid"), F.col(right_str).alias("_rs")).where(F.length("_rs") > 0)
     pairs = pairs_with(ls, variant_entries(rs, "_rid", "_rs", threshold, max_deletions),
-                       gram_entries(rs, "_rid", "_rs", threshold, max_deletions), threshold, max_deletions)
+                       gram_entries(rs, "_rid", "_rs", threshold, max_deletions), threshold, max_deletions, rs)
     return pairs.select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id), "d", "L")
 
 
