@@ -1,16 +1,14 @@
 """Column expressions for text cleaning and parsing.
 
-All of these are built-in Spark expressions (JVM side, whole-stage codegen),
-except ``title_key`` which needs Unicode NFKC + case folding that Spark SQL lacks
-and is therefore an Arrow-batched pandas UDF.
+All of these are built-in Spark expressions on the JVM side. ``title_key`` calls the
+Unicode library among Spark's own jars through ``java_method`` for NFKC and case folding.
 """
 
 from __future__ import annotations
 
-import html as _html
-import unicodedata
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -139,32 +137,60 @@ def unit_faculties(c, prefix: str = C.FACULTY_PREFIX, sep: str = C.UNIT_PATH_SEP
 
 # --- comparison key of titles ------------------------------------------------------
 
-def _title_key_py(s: str | None) -> str | None:
-    if s is None:
-        return None
-    t = _html.unescape(s.strip())
-    return unicodedata.normalize("NFKC", t).casefold()
+# A character reference as HTML reads it: decimal, hexadecimal or named.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_REPLACEMENT = "\ufffd"
 
 
-def _title_key_batch(s: pd.Series) -> pd.Series:
-    return s.map(_title_key_py)
+def _char(code: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
 
 
-_UDFS: dict = {}
+def _numeric_reference(ref: Column) -> Column:
+    """``&#n;``: control codes 128-159 are read as Windows-1252, what is no character becomes
+    U+FFFD, and control codes and noncharacters are left out."""
+    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
+    base = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+    code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(F.coalesce(base.try_cast("int"), F.lit(0)))
+    windows = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
+    left_out = (((code < 0x20) & ~code.isin(9, 10, 12, 13)) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
+                | (code % 0x10000 >= 0xFFFE))
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit(_REPLACEMENT))
+            .when(code.between(0x80, 0x9F), F.get(F.array(*[F.lit(w) for w in windows]), code - 0x80))
+            .when(left_out, F.lit("")).otherwise(_char(code)))
 
 
-def _title_key_udf(c: Column) -> Column:
-    # Created on first use on the driver; importing this module on an executor
-    # must not build UDF objects.
-    if "title_key" not in _UDFS:
-        _UDFS["title_key"] = F.pandas_udf(_title_key_batch, "string")
-    return _UDFS["title_key"](c)
+def html_unescape(c) -> Column:
+    """Every HTML character reference decoded, on the JVM: named ones (the longest known name
+    where no ``;`` ends it) and numeric ones."""
+    text = col_(c)
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    open_names = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+
+    def decoded(part: Column) -> Column:
+        prefix = F.regexp_extract(part, f"^&({open_names})", 1)
+        named = F.coalesce(F.try_element_at(names, F.substr(part, F.lit(2))),
+                           F.when(prefix != "", F.concat(F.try_element_at(names, prefix), F.substr(part, F.length(prefix) + 2))), part)
+        return F.when(part.startswith("&#"), _numeric_reference(part)).when(part.startswith("&"), named).otherwise(part)
+
+    parts = F.regexp_extract_all(text, F.lit(rf"{_REFERENCE}|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, decoded), "")).otherwise(text)
+
+
+def nfkc_folded(c) -> Column:
+    """Unicode NFKC and full case folding by the ICU library that Spark itself ships."""
+    text = col_(c)
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    folded = F.java_method(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), composed, F.lit(True))
+    return F.when(text.isNotNull(), folded)
 
 
 def title_key(c) -> Column:
-    """Comparison key of a title: HTML-unescape, strip, NFKC, casefold.
+    """Comparison key of a title: strip, HTML-unescape, NFKC, casefold. JVM only.
 
     (Escaping the folded text again, as the reference does, is injective and does
     not change which titles compare equal, so it is left out of the key.)
     """
-    return _title_key_udf(col_(c))
+    # one-element transform: the unescaped title is built once per row
+    return F.transform(F.array(html_unescape(strip_ws(c))), nfkc_folded)[0]

@@ -5,16 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.functions.text import strip_ws, title_key
-
-
-def _keyed(df: DataFrame, title_col: str, key_col: str) -> DataFrame:
-    """Adds the title comparison key. Plain ASCII titles without ``&`` stay on the JVM;
-    only the others pass through Python (Unicode NFKC and case folding)."""
-    title = F.col(title_col)
-    simple = title.rlike(r"^[\x00-\x7F]*$") & ~title.contains("&")
-    native = df.where(simple).withColumn(key_col, F.lower(strip_ws(title)))
-    return native.unionByName(df.where(~simple).withColumn(key_col, title_key(title_col)))
+from clipforge.functions.text import title_key
 
 
 def published_article_ids(articles: DataFrame, published: DataFrame, id_col: str, title_col: str,
@@ -36,8 +27,8 @@ def published_article_ids(articles: DataFrame, published: DataFrame, id_col: str
     there = ["_day", "_pid"]
     a_near = a.join(p.select(*there).distinct(), there, "left_semi")
     p_near = p.join(a.select(*there).distinct(), there, "left_semi")
-    pk = _keyed(p_near, "_title", "_key").select("_key", *there).distinct()
-    return _keyed(a_near, "_title", "_key").join(pk, ["_key", *there], "left_semi").select(F.col("_id").alias(id_col)).distinct()
+    pk = p_near.select(title_key("_title").alias("_key"), *there).distinct()
+    return a_near.withColumn("_key", title_key("_title")).join(pk, ["_key", *there], "left_semi").select(F.col("_id").alias(id_col)).distinct()
 
 
 def published_table(items: DataFrame, *keep: str) -> DataFrame:

@@ -1,5 +1,9 @@
 import datetime as dt
+import html
+import random
+import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clipforge.functions import text as T
@@ -54,3 +58,26 @@ def test_title_key(spark):
     k = T.title_key
     assert one(spark, k, " Straße &amp; Co ") == one(spark, k, "STRASSE & co")
     assert one(spark, k, "ＡＢＣ") == "abc"   # full-width letters
+
+
+def test_title_key_equals_the_standard_library(spark):
+    r = random.Random(3)
+    bits = ["&amp;", "&amp", "&lt", "&notit;", "&#65;", "&#x41", "&#X1F600;", "&#128;", "&#129;", "&#0;", "&#xD800;",
+            "&#99999999999;", "&#7;", "&#11;", "&#13;", "&#xFFFE;", "&#x7f;", "&", "&;", "&zzz;", "&#;", "&#x;", "ß", "ﬁ",
+            "İ", "A\u030a", " ", "\x85", "Ab", "&copy", "&AMPx", "\n", "#", "&acE;"]
+    titles = ["".join(r.choice(bits) for _ in range(r.randrange(9))) for _ in range(2000)]
+    titles += ["&" + name for name in html.entities.html5] + [f"x&#{n};y" for n in range(0x200)] + [None, ""]
+    rows = spark.createDataFrame([(t,) for t in titles], "t string").select("t", T.html_unescape("t").alias("u"), T.title_key("t").alias("k"))
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+    for t, u, k in rows.collect():
+        assert u == (None if t is None else html.unescape(t)), ascii(t)
+        assert k == (None if t is None else unicodedata.normalize("NFKC", html.unescape(t.strip())).casefold()), ascii(t)
+
+
+def test_title_key_of_every_character(spark):
+    """All characters of the Unicode version that Python knows, alone and before a combining mark."""
+    chars = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")]
+    table = pa.table({"t": chars + [f"a{c}\u0301b" for c in chars]})
+    t = spark.createDataFrame(table).select("t", T.title_key("t").alias("k")).toArrow()
+    key = lambda x: unicodedata.normalize("NFKC", html.unescape(x.strip())).casefold()
+    assert [x for x, k in zip(t["t"].to_pylist(), t["k"].to_pylist(), strict=True) if k != key(x)] == []
