@@ -53,8 +53,10 @@ def active_memberships(memberships: DataFrame, start, end) -> DataFrame:
     return m.where((F.col("start_ts") <= e) & (F.coalesce(F.col("end_ts"), F.lit(C.OPEN_END_DATE).cast("timestamp_ntz")) >= s))
 
 
-def _capped_join(col, cap: int, delim: str):
-    return F.array_join(F.slice(F.array_sort(F.collect_set(col)), 1, cap), delim)
+def capped_join(col, cap: int | None, delim: str):
+    """Distinct values of a group, sorted, the first ``cap`` of them (all if None), joined."""
+    values = F.array_sort(F.collect_set(col))
+    return F.array_join(values if cap is None else F.slice(values, 1, cap), delim)
 
 
 def unit_report(persons: DataFrame, memberships: DataFrame, units: DataFrame, closure: DataFrame,
@@ -80,8 +82,8 @@ def unit_report(persons: DataFrame, memberships: DataFrame, units: DataFrame, cl
         anc_units = anc_units.where(F.col("anc_type").isin(ascendant_types))
     anc = m.select("person_id", "unit_id").join(closure, F.col("unit_id") == closure.unit) \
         .join(anc_units, "ancestor").select("person_id", "anc_name")
-    cur = m.groupBy("person_id").agg(_capped_join(F.col("unit_name"), cap, delim).alias("units"))
-    asc = anc.groupBy("person_id").agg(_capped_join(F.col("anc_name"), cap, delim).alias("ascendants"))
+    cur = m.groupBy("person_id").agg(capped_join(F.col("unit_name"), cap, delim).alias("units"))
+    asc = anc.groupBy("person_id").agg(capped_join(F.col("anc_name"), cap, delim).alias("ascendants"))
     return persons.join(cur, "person_id").join(asc, "person_id")
 
 

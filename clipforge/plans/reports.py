@@ -5,7 +5,8 @@ Stand-in hierarchy: nations ``N<k>`` (type .../004) below regions ``R<k>``
 (.../001). A person is a customer; their memberships are the nations of the
 suppliers on their orders, active when the order falls in 1996. The persons
 report is for ``R1`` and units below, with ascendants of type .../003; the
-roster covers ``R0``, ``R1``, ``R2``.
+roster covers ``R0``, ``R1``, ``R2``. ``report_defined`` and ``roster_defined`` are the same
+reports from definitions in the two exported formats.
 
 Proximity stand-in: a phrase table of many queries. Query ``q<i>`` for each benchmark
 item i: side a ``the`` and ``on the``; side b the item's first two words as a phrase, and
@@ -16,13 +17,16 @@ number modulo 7; names: the same phrases of its items, 20 a text; institution ``
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from clipforge.functions.text import words_of
 from clipforge.operators.hierarchy import active_memberships, unit_closure, unit_report, unit_roster
 from clipforge.operators.proximity import proximity_hits, search_texts
+from clipforge.operators.report_definition import grouped_persons, parse_definition, related_units
 from clipforge.operators.units import unit_queries
-from clipforge.plans.registry import register
+from clipforge.plans.registry import ORACLES, register
 from clipforge.sources.tables import Tables
 
 TYPE = "/dk/atira/pure/organisation/organisationtypes/organisation/"
@@ -51,14 +55,17 @@ def _edges(t):
     return n.unionByName(r)
 
 
-def _memberships(t):
+def _member_periods(t):
     li = t.lineitem.select("l_orderkey", "l_suppkey")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(t.supplier, li.l_suppkey == t.supplier.s_suppkey)
-    m = j.select(F.col("o_custkey").alias("person_id"),
-                 F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("unit_id"),
-                 F.col("o_orderdate").alias("start_ts"), F.col("o_orderdate").alias("end_ts"))
-    return active_memberships(m, *PERIOD).select("person_id", "unit_id").distinct()
+    return j.select(F.col("o_custkey").alias("person_id"),
+                    F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("unit_id"),
+                    F.col("o_orderdate").alias("start_ts"), F.col("o_orderdate").alias("end_ts"))
+
+
+def _memberships(t):
+    return active_memberships(_member_periods(t), *PERIOD).select("person_id", "unit_id").distinct()
 
 
 def _persons(t):
@@ -120,6 +127,51 @@ def q_unit_roster(spark, data_dir):
     return unit_roster(_persons(t), _memberships(t), _units(spark, t), closure, ROSTER_ROOTS)
 
 
+def _unit_series(number, parent, relation, label, types):
+    return {"id": f"s{number}", "systemName": "Organisation",
+            "driverRelation": {"driverSeriesId": parent, "semanticRelationshipId": relation},
+            "functions": [{"functionId": "Organisation.project(name)", "customLabel": label,
+                           "emission": {"sampleSize": 2, "delimiter": " // "}}],
+            "filters": [{"filterId": "Organisation.filter(type)",
+                         "selectMany": {"limitationType": "MATCH", "mode": "ELIMINATE_ROWS", "values": types}}]}
+
+
+#: Persons at R1 and below; the names of their nations (two at most) and of the regions above.
+REPORT_JSON = json.dumps({"title": "Persons at R1", "serializedReport": {"dataSets": [{"series": [
+    {"id": "s0", "systemName": "Person", "functions": [{"functionId": "Person.project(name)"}],
+     "filters": [{"filterId": "Person.filter(activeAcademicStaffAtOrganisation)",
+                  "hierarchicalContent": {"ids": REPORT_ROOTS, "limitationType": "MATCH", "includeUnitsBelow": True}}]},
+    _unit_series(1, "s0", "Person.currentlyAffiliatedWith(Organisation)", "units", []),
+    _unit_series(2, "s1", "Organisation.ascendants(Organisation)", "ascendants", [TYPE + "003"])]}]}})
+
+#: Persons by nation below R0, R1 and R2, active, by last name from the end of the alphabet.
+ROSTER_XML = f"""<exportedReportDefinition><basicTitle>Persons by unit</basicTitle>
+<groupings><group recPropertyRoot="Person" recPropertyPath="organisationAssociations.organisation">
+<joinBehavior>INNER</joinBehavior></group></groupings>
+<applyOrderbyConfigurationAsDescending>true</applyOrderbyConfigurationAsDescending>
+<orderByConfiguration id="personOrderByLastName"/>
+<reportFilters><reportFilter type="reportFilter" id="organisationalUnitReportFilter">
+<property name="organisationIds"><collection>{"".join(f"<value>{r}</value>" for r in ROSTER_ROOTS)}</collection></property>
+<property name="organisationValueAggregator"><value>RecursiveContentValueAggregator</value></property></reportFilter>
+<reportFilter type="contentPropertyReportFilter" id="period"><property name="limit"><value>active</value></property></reportFilter>
+</reportFilters></exportedReportDefinition>"""
+
+
+def _defined(build, text, spark, data_dir):
+    t = Tables(spark, data_dir)
+    return build(parse_definition(text), _persons(t), _member_periods(t), _units(spark, t), unit_closure(spark, _edges(t)), PERIOD)
+
+
+@register("report_defined", sql=ORACLES["unit_report"].replace("1, 100)", "1, 2)"))
+def q_report_defined(spark, data_dir):
+    return _defined(related_units, REPORT_JSON, spark, data_dir)
+
+
+@register("roster_defined", sql=ORACLES["unit_roster"])
+def q_roster_defined(spark, data_dir):
+    return _defined(grouped_persons, ROSTER_XML, spark, data_dir)
+
+
 def _query_table(spark, data_dir):
     b = Tables(spark, data_dir).benchmark
     ws = words_of(F.lower("text"))
