@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from clipforge.functions.text import strip_ws
 
-#: Words are found in titles by their first characters, up to this many.
-ANCHOR = 8
+#: Words are found in titles by their first characters: as many as the longest of these
+#: lengths that the word has.
+ANCHORS = (1, 2, 4, 8)
 
 
 def read_list(spark: SparkSession, path: str, column: str, out_col: str = "word") -> DataFrame:
@@ -41,19 +42,26 @@ def drop_blocked_titles(df: DataFrame, words: DataFrame, title_col: str, key_col
                         word_col: str = "word") -> DataFrame:
     """Drop rows whose title contains any listed word (case-sensitive substring).
 
-    A word's anchor is its first ``ANCHOR`` characters (all of a shorter word). A
-    title's substrings of up to that length are equi-joined with the anchors and the
-    few candidates verified with ``instr``, so the cost is linear in the titles
-    whatever the size of the list, and no side is broadcast by hand.
+    A word's anchor is its first 1, 2, 4 or 8 characters, the most it has. Of a title the
+    substrings of the lengths that occur in the list (four numbers at most) are
+    equi-joined with the anchors and the few candidates verified with ``instr``, so the cost
+    is linear in the titles whatever the size of the list, and no side is broadcast by hand.
     """
-    w = words.select(F.col(word_col).alias("_w")).where(F.length("_w") > 0).distinct() \
-        .withColumn("_a", F.substring("_w", 1, ANCHOR))
+    w = words.select(F.col(word_col).alias("_w")).where(F.length("_w") > 0).distinct()
+    w = w.withColumn("_n", F.lit(ANCHORS[0]))
+    for n in ANCHORS[1:]:
+        w = w.withColumn("_n", F.when(F.length("_w") >= n, n).otherwise(F.col("_n")))
+    w = w.withColumn("_a", F.substr("_w", F.lit(1), "_n"))
+    lengths = [r["_n"] for r in w.select("_n").distinct().collect()]
+    if not lengths:
+        return df
+
+    def of_length(ch, n):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(ch) - n, F.lit(0)) + 1)
+        return F.transform(starts, lambda i: F.array_join(F.slice(ch, i, n), ""))
 
     def grams(ch):
-        return F.array_distinct(F.flatten(F.transform(
-            F.sequence(F.lit(1), F.size(ch)), lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(ANCHOR), F.size(ch) - i + 1)),
-                lambda n: F.array_join(F.slice(ch, i, n), "")))))
+        return F.array_distinct(F.flatten(F.array(*[of_length(ch, n) for n in lengths])))
 
     # one-element transforms: the character array is built once per row
     chars = F.filter(F.split(F.col(title_col), ""), lambda c: c != "")
