@@ -1,15 +1,15 @@
 """Keywords of document titles (the first line of each document).
 
 Stop words: the 50 words found in the most documents (a rule over the corpus).
-``keyword_scores`` gives every candidate phrase with its score and has an SQL
-statement. ``keywords_topk`` has none: the greedy near-duplicate filter is sequential
-per title; a brute-force test in pytest checks it.
+``keyword_scores`` gives every candidate phrase with its score. The greedy near-duplicate
+filter of ``keywords_topk`` is sequential per title: a recursive statement in SQL.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clipforge.functions import constants as C
 from clipforge.operators.keywords import keyword_candidates, top_document_words, top_keywords
 from clipforge.plans.registry import register
 from clipforge.sources.tables import Tables
@@ -17,20 +17,11 @@ from clipforge.sources.tables import Tables
 N_STOPWORDS = 50
 
 
-@register("keywords_topk")
-def q_keywords_topk(spark, data_dir):
-    d = Tables(spark, data_dir).spread("documents", "doc_id", "text")
-    titles = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    stop = top_document_words(d, "text", N_STOPWORDS)
-    kw = top_keywords(keyword_candidates(titles, "doc_id", "title", stop), "doc_id")
-    return kw.select("doc_id", F.array_join("keywords", "|").alias("keywords"))
-
-
 _END = "('.', '!', '?')"
 
 
-@register("keyword_scores", sql=rf"""
-WITH t AS (SELECT doc_id, regexp_extract_all(split_part(text, chr(10), 1), '\p{{L}}+|[.!?]') AS toks FROM documents),
+_CANDIDATES_SQL = rf"""
+t AS (SELECT doc_id, regexp_extract_all(split_part(text, chr(10), 1), '\p{{L}}+|[.!?]') AS toks FROM documents),
 tok AS (SELECT doc_id, unnest(toks) AS raw, unnest(range(0, len(toks))) AS pos FROM t),
 x AS (SELECT *, lag(raw) OVER w AS p, lead(raw) OVER w AS nx,
              coalesce(sum(CASE WHEN raw IN {_END} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos
@@ -60,6 +51,11 @@ k AS (SELECT words.doc_id, pos, sent, words.w, st, s,
 c AS (SELECT doc_id, w AS phrase, s AS prod, s AS total FROM k WHERE NOT st
       UNION ALL SELECT doc_id, w || ' ' || w1, s * s1, s + s1 FROM k WHERE NOT st AND NOT t1 AND n1 = sent
       UNION ALL SELECT doc_id, w || ' ' || w1 || ' ' || w2, s * s1 * s2, s + s1 + s2 FROM k WHERE NOT st AND NOT t2 AND n1 = sent AND n2 = sent)
+"""
+
+
+@register("keyword_scores", sql=f"""
+WITH {_CANDIDATES_SQL}
 SELECT doc_id, phrase, round(max(prod) / (count(*) * (1 + max(total))), 6) AS score FROM c GROUP BY 1, 2
 """)
 def q_keyword_scores(spark, data_dir):
@@ -67,3 +63,32 @@ def q_keyword_scores(spark, data_dir):
     titles = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
     c = keyword_candidates(titles, "doc_id", "title", top_document_words(d, "text", N_STOPWORDS))
     return c.select("doc_id", "phrase", F.round("score", 6).alias("score"))
+
+
+# The SQL engine's edit distance counts bytes: Latin-1 letters are first read as single ASCII
+# characters that no lower-cased phrase holds.
+_LATIN = "".join(chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha())
+_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[:len(_LATIN)]
+
+
+# Candidates are numbered best first; each step of the recursion judges the next one of every title.
+@register("keywords_topk", sql=f"""
+WITH RECURSIVE {_CANDIDATES_SQL},
+best AS MATERIALIZED (
+  SELECT doc_id, phrase, translate(phrase, '{_LATIN}', '{_ASCII}') AS letters, row_number() OVER (PARTITION BY doc_id ORDER BY score, phrase) AS n
+  FROM (SELECT doc_id, phrase, round(max(prod) / (count(*) * (1 + max(total))), 12) AS score FROM c GROUP BY 1, 2)),
+pick(doc_id, n, kept) AS (
+  SELECT doc_id, 1, [{{'phrase': phrase, 'letters': letters}}] FROM best WHERE n = 1
+  UNION ALL
+  SELECT p.doc_id, p.n + 1,
+         CASE WHEN len(list_filter(p.kept, lambda x: 1 - levenshtein(x.letters, b.letters) / greatest(length(x.letters), length(b.letters)) > {C.KEYWORD_DEDUP_LIMIT})) = 0
+              THEN list_append(p.kept, {{'phrase': b.phrase, 'letters': b.letters}}) ELSE p.kept END
+  FROM pick p JOIN best b ON b.doc_id = p.doc_id AND b.n = p.n + 1 WHERE len(p.kept) < {C.KEYWORDS_TOP})
+SELECT doc_id, array_to_string(list_transform(arg_max(kept, n), lambda x: x.phrase), '|') AS keywords FROM pick GROUP BY 1
+""")
+def q_keywords_topk(spark, data_dir):
+    d = Tables(spark, data_dir).spread("documents", "doc_id", "text")
+    titles = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
+    stop = top_document_words(d, "text", N_STOPWORDS)
+    kw = top_keywords(keyword_candidates(titles, "doc_id", "title", stop), "doc_id")
+    return kw.select("doc_id", F.array_join("keywords", "|").alias("keywords"))
