@@ -7,22 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipforge.functions.text import strip_ws
+from clipforge.sources.sheets import read_sheet
 
 #: Words are found in titles by their first characters: as many as the longest of these
 #: lengths that the word has.
 ANCHORS = (1, 2, 4, 8)
 
 
-def read_list(spark: SparkSession, path: str, column: str, out_col: str = "word") -> DataFrame:
-    """A one-column block list from a CSV (with header) or Parquet file: trimmed, nulls and
-    blanks dropped, distinct. A missing file is an empty list."""
+def read_list(spark: SparkSession, path: str, column: str | None = None, out_col: str = "word",
+              sheet: str | None = None) -> DataFrame:
+    """A one-column block list from a CSV (with header), Parquet or ``.xlsx`` file: trimmed,
+    nulls and blanks dropped, distinct. Without ``column`` it is the first one; ``sheet`` names
+    the sheet of a workbook (else its first). A missing file is an empty list."""
     try:
-        raw = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
+        if path.endswith(".xlsx"):
+            raw = read_sheet(spark, path, sheet)
+        else:
+            raw = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], f"{out_col} string")
-    return raw.select(strip_ws(F.col(column).cast("string")).alias(out_col)).where(F.length(out_col) > 0).distinct()
+    value = F.col(f"`{column if column is not None else raw.columns[0]}`").cast("string")
+    return raw.select(strip_ws(value).alias(out_col)).where(F.length(out_col) > 0).distinct()
 
 
 def comma_list(value: str | None) -> list[str]:

@@ -1,4 +1,4 @@
-"""Persons export (CSV with a header row) -> (org_unit, name_variant, row_pos)."""
+"""Persons export (CSV with a header row, or the first sheet of an .xlsx workbook) -> (org_unit, name_variant, row_pos)."""
 
 from __future__ import annotations
 
@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
 from clipforge.functions.text import strip_ws
+from clipforge.sources.sheets import read_sheet
 
 
 def read_persons_export(spark: SparkSession, path: str) -> DataFrame:
-    """Read a CSV export; every column as string, file order kept in ``row_pos``."""
+    """Read an export; every column as string, file order kept in ``row_pos``."""
+    if path.endswith(".xlsx"):
+        return read_sheet(spark, path)
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return df.withColumn("row_pos", F.monotonically_increasing_id())
 
