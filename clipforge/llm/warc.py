@@ -22,6 +22,8 @@ from clipforge.llm.common import broadcast_if_small, stored
 
 MAGIC = "WARC/1.0\r\n"
 RECORDS_PER_FILE = 4096
+#: Bytes of a file whose candidates one task orders.
+STRETCH = 1 << 26
 DATE = "2024-01-01T00:00:00Z"
 
 _HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -106,10 +108,9 @@ def _header(head: Column, name: str) -> Column:
     return F.when(found != "", found)
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
+def candidates(s: DataFrame) -> DataFrame:
     """One row per split at the magic, without payloads: its order in the file, header fields,
     and for records that one split holds whole, size and digest of their payload."""
-    s = _segments(spark, path)
     cut = F.instr("value", "\r\n\r\n")
     head = F.substring_index("value", "\r\n\r\n", 1)
     s = s.withColumn("size", F.octet_length("value").cast("long")).withColumn("head", F.when(cut > 0, head))
@@ -152,7 +153,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     archives under ``path``. Records that are not on the chain from their file's start
     (text inside payloads) are no records. A revisit's size is that of the payload it refers to,
     from its stored HTTP header."""
-    c = _with_offsets(stored(candidates(spark, path), "warc_candidates")).where("off >= 0")
+    segments = _segments(spark, path)  # read twice, but listed and so numbered once
+    c = _with_offsets(stored(candidates(segments), "warc_candidates")).where("off >= 0")
     c = c.withColumn("next", F.col("off") + len(MAGIC) + F.col("head_size") + F.col("length") + 4).drop("block", "seq")
     c = stored(c, "warc_chain")
     real = reachable(c.select("file", "off", "next"))
@@ -160,7 +162,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     whole = chain.where("html_size is not null").select("head", "html_size", "html_digest", "http_length")
     split = chain.where("html_size is null and length is not null")
     if not split.isEmpty():
-        whole = whole.unionByName(_joined(spark, path, c, split))
+        whole = whole.unionByName(_joined(segments, c, split))
     head = F.col("head")
     revisit = _header(head, "WARC-Type") == "revisit"
     return whole.select(
@@ -191,12 +193,28 @@ def reachable(edges: DataFrame) -> DataFrame:
         jump = stored(jump.join(ahead, ["file", "next"]).select("file", "off", F.col("far").alias("next")), "jumps")
 
 
-def _joined(spark: SparkSession, path: str, c: DataFrame, split: DataFrame) -> DataFrame:
+def owners(places: DataFrame, split: DataFrame) -> DataFrame:
+    """(file, off, owner) of the places that lie in a split record (file, off, next).
+
+    Real records don't overlap, so it is the last split record that begins at or before a
+    place, if it reaches that far. Places meet it by a running maximum in their stretch of the
+    file and, where the record begins in an earlier stretch, by one row per stretch."""
+    mark = F.when(F.col("next").isNotNull(), F.struct(F.col("off").alias("owner"), F.col("next").alias("until")))
+    begun = split.select("file", "off", "next")
+    at = (places.select("file", "off").join(begun, ["file", "off"], "left")
+          .select("file", "off", F.expr(f"off div {STRETCH}").alias("stretch"), mark.alias("mark")))
+    so_far = Window.partitionBy("file", "stretch").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    last = at.groupBy("file", "stretch").agg(F.max("mark").alias("last"))
+    last = last.select("file", "stretch", F.max("last").over(earlier).alias("before"))
+    of = at.withColumn("own", F.max("mark").over(so_far)).join(last, ["file", "stretch"])
+    of = of.select("file", "off", F.coalesce("own", "before").alias("of"))
+    return of.where(F.col("off") < F.col("of.until")).select("file", "off", F.col("of.owner").alias("owner"))
+
+
+def _joined(s: DataFrame, c: DataFrame, split: DataFrame) -> DataFrame:
     """The records that a magic inside their payload had split, put together again."""
-    owners = split.select("file", F.col("off").alias("owner"), F.col("next").alias("until"))
-    parts = (c.select("file", "off").join(owners, "file")
-             .where((F.col("off") >= F.col("owner")) & (F.col("off") < F.col("until"))))
-    s = _segments(spark, path)
+    parts = owners(c, split)
     places = _with_offsets(s.select("file", "block", "seq", F.octet_length("value").cast("long").alias("size")))
     wanted = places.join(parts, ["file", "off"]).select("file", "block", "seq", "off", "owner")
     text = (s.join(wanted, ["file", "block", "seq"]).groupBy("file", "owner")

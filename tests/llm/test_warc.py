@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import os
+import random
 import tempfile
 
 from clipforge.llm import warc
@@ -76,3 +77,23 @@ def test_empty_table_and_clashing_columns(spark):
     path = tempfile.mkdtemp() + "/w"
     warc.write(spark.createDataFrame([(1, "u", "x", 5, "k")], PAGES + ", digest int, value string"), path)
     assert [r["page_id"] for r in warc.read(spark, path).collect()] == [1]
+
+
+def test_places_meet_the_record_that_holds_them(spark, monkeypatch):
+    """Against brute force: many split records in a file, some over several stretches."""
+    monkeypatch.setattr(warc, "STRETCH", 50)
+    rng = random.Random(5)
+    places, split = [], []
+    for file in "abc":
+        at = 0
+        while at < 2000:
+            size = rng.choice([3, 10, 40, 400])
+            inside = sorted(rng.sample(range(at + 1, at + size), rng.randrange(min(size - 1, 12)))) if size > 3 else []
+            places += [(file, x) for x in [at, *inside]]
+            if inside:
+                split.append((file, at, at + size))
+            at += size
+    want = {(f, x, a) for f, x in places for g, a, z in split if f == g and a <= x < z}
+    got = warc.owners(spark.createDataFrame(places, "file string, off long"), spark.createDataFrame(split, "file string, off long, next long"))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
