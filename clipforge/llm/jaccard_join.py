@@ -14,8 +14,9 @@ the sketch steers cost only, any order gives the same links.
   the others are counted exactly on their whole sets.
 * The links found give components. Only columns whose documents still fall into
   several components are multiplied in full, across components, under the same
-  bounds. So a group of near copies costs a star, not all its pairs, and no link
-  between components is missed.
+  bounds. So no link between components is missed.
+* The links inside a component are counted in tiles of its sets, all pairs, so that
+  every class has the number of all its links.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from clipforge.llm.common import broadcast_if_small, slices, stored, text_bytes, unused
 from clipforge.llm.components import components
-from clipforge.llm.shingles import SHINGLE, set_key, sets, shingles, smallest_linked
+from clipforge.llm.shingles import SHINGLE, degrees, set_key, sets, shingles, smallest_linked
 from clipforge.llm.shingles import links as confirmed
 
 PERCENT = 90
@@ -115,9 +116,10 @@ def _possible(n: Column, i: Column, m: Column, j: Column, percent: int) -> Colum
     return ((100 + percent) * (1 + F.least(n - i, m - j)) >= percent * (n + m)) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE,
+            count_links: bool = True) -> DataFrame:
     """doc_id, doc_key (hash of id and text), n, cid (class of equal sets), label (component; null
-    for an empty set), component_id and n_links of every row."""
+    for an empty set), component_id and n_links (null unless counted) of every row."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(shingle_ranks(docs, text, shingle))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text)).alias("doc_key"), F.col(text).cast("string").alias("text"))
@@ -148,22 +150,23 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent
         links = links.unionByName(more)
         labels = components(links)
 
-    degree = (links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links")))
-    named = (classes.join(labels.withColumnRenamed("node", "uid"), "uid", "left").join(degree, "uid", "left")
-             .withColumn("label", F.coalesce("label", "uid")))
+    named = classes.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "label").select("cid", "label", "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    if count_links:
+        named = named.join(degrees(links, labels, bodies, percent, shingle), "uid", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    else:
+        named = named.withColumn("n_links", F.lit(None).cast("long"))
+    of = named.join(least, "label").select("cid", "label", "component_id", "n_links")
     found = rows.select("doc_id", "doc_key", "n", "cid").join(of, "cid", "left")
-    return (found.withColumn("component_id", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
-            .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))))
+    found = found.withColumn("component_id", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
+    return found.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))) if count_links else found
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id, n_links per document.
 
     ``class_id`` is the fingerprint of the document's set: documents of one class have
-    equal sets. ``n_links`` counts the verified links of the class to other classes (those
-    that the join needed, which carry every component). Null or wordless text has an empty
+    equal sets. ``n_links`` counts the links of the class to other classes, all of them. Null or wordless text has an empty
     set, no links, and its own id as component. Null ids are never smallest; a component of
     null ids only has a null component_id. Repeated rows are members of one class."""
     return grouped(docs, id_col, text, percent).select(
@@ -174,7 +177,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percen
     """One document of each component (the smallest id, null last); all columns stay.
 
     Documents without words are components of their own. Of exact repeats of a row one stays."""
-    g = stored(grouped(docs, id_col, text, percent, shingle), "grouped")
+    g = stored(grouped(docs, id_col, text, percent, shingle, count_links=False), "grouped")
     key = unused(docs, "_key")[0]
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key")
     winners = (g.where("label is not null").groupBy("label").agg(F.min(order).alias("w")).select(F.col("w.doc_key").alias(key))

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipforge.llm.common import mix
+from clipforge.llm.common import mix, stored
 
 SHINGLE = 3
 
@@ -167,3 +167,60 @@ def links(pairs: DataFrame, bodies: DataFrame, percent: int, shingle: int) -> Da
     counted = (counted.join(sizes.select(F.col("uid").alias("a"), F.col("n").alias("n_a")), "a")
                .join(sizes.select(F.col("uid").alias("b"), F.col("n").alias("n_b")), "b"))
     return counted.where(reaches(F.col("overlap"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+#: Sets on one side of a tile of :func:`degrees`, their shingles together, and columns multiplied at once.
+TILE_SETS = 256
+TILE_SHINGLES = 1 << 20
+TILE_COLUMNS = 1 << 13
+
+
+def _tile(percent: int, shingle: int):
+    def run(rows: pa.Table) -> pa.Table:
+        unzip = zstandard.ZstdDecompressor().decompress
+        texts = [unzip(x.as_py()) for x in rows.column("body")]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        own = sets(np.frombuffer(b"".join(texts), np.uint8), offsets, shingle)
+        n = np.array([len(h) for h, _ in own])
+        h, g = (np.concatenate([s[k] for s in own]) for k in (0, 1))
+        order = np.lexsort((g, h))
+        row, h, g = np.repeat(np.arange(len(own)), n)[order], h[order], g[order]
+        col = np.concatenate([[0], np.cumsum((h[1:] != h[:-1]) | (g[1:] != g[:-1]))])
+        left = ~rows.column("right").to_numpy()
+        a, b = (np.flatnonzero(x) for x in (left, ~left))
+        if not len(b):  # a tile on the diagonal
+            b = a
+        overlap = np.zeros((len(a), len(b)), np.int64)
+        for lo in range(0, int(col[-1]) + 1, TILE_COLUMNS):
+            part = slice(*np.searchsorted(col, [lo, lo + TILE_COLUMNS]))
+            m = np.zeros((len(own), TILE_COLUMNS), np.float32)
+            m[row[part], col[part] - lo] = 1
+            overlap += (m[a] @ m[b].T).astype(np.int64)
+        linked = (100 * overlap >= percent * (n[a][:, None] + n[b][None, :] - overlap)) & (a[:, None] != b[None, :])
+        count = np.zeros(len(own), np.int64)
+        count[b] = linked.sum(0)
+        count[a] = linked.sum(1)
+        return pa.table({"uid": rows.column("uid"), "n_links": pa.array(count)})
+    return run
+
+
+def degrees(links: DataFrame, labels: DataFrame, bodies: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """(uid, n_links): with how many other sets each set of a component is linked, all pairs
+    counted exactly on their whole sets. ``links`` are verified links that carry the components
+    ``labels`` (node, label). Where they are all pairs of a component, they are the count; the
+    other components are cut into tiles of ``TILE_SETS`` by ``TILE_SETS`` sets, each counted in
+    a task's memory, whatever the size of the component."""
+    of = labels.select(F.col("node").alias("uid"), "label")
+    known = links.join(of, F.col("a") == F.col("uid")).groupBy("label").agg(F.count(F.lit(1)).alias("known"))
+    size = of.join(bodies.select("uid", "n"), "uid").groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    blocks = F.ceil(F.greatest(F.col("m") / TILE_SETS, F.col("total") / TILE_SHINGLES))
+    partial = stored(size.join(known, "label").where(2 * F.col("known") < F.col("m") * (F.col("m") - 1)).select("label", blocks.alias("blocks")), "partial")
+    members = (of.join(partial, "label").join(bodies.select("uid", "body"), "uid")
+               .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    tiles = members.select("uid", "body", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                           (F.col("block") > F.col("other")).alias("right"))
+    counted = (tiles.groupBy("label", "lo", "hi").applyInArrow(_tile(percent, shingle), "uid long, n_links long")
+               .groupBy("uid").agg(F.sum("n_links").alias("n_links")))
+    whole = of.join(partial, "label", "left_anti").select("uid")
+    ends = links.select(F.explode(F.array("a", "b")).alias("uid")).join(whole, "uid").groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
+    return ends.unionByName(counted)

@@ -47,6 +47,20 @@ def test_equals_brute_force(spark, percent):
     assert sorted(map(repr, (tuple(g)[:3] for g in got))) == sorted(map(repr, brute(rows, percent)))
 
 
+@pytest.mark.parametrize("tile", [7, 256])
+def test_every_link_is_counted(spark, monkeypatch, tile):
+    from clipforge.llm import shingles
+    monkeypatch.setattr(shingles, "TILE_SETS", tile)
+    w = [f"w{i}" for i in range(200)]
+    rows = near_copies() + [(i, " ".join([f"x{k}" if k < 3 * i else v for k, v in enumerate(w)]), "en", "s", 0) for i in range(12)]
+    rows += [(900 + i, " ".join(f"{'y' if k == i else 'z'}{k}" for k in range(90)), "en", "s", 0) for i in range(2)]
+    sets = {r[0]: frozenset(shingle_set(r[1])) for r in rows}
+    linked = {s: sum(s != t and 100 * len(s & t) >= 90 * len(s | t) for t in set(sets.values())) for s in sets.values()}
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_classes(frame(spark, rows)).collect()}
+    assert got == {i: linked[s] for i, s in sets.items()}
+    assert max(linked.values()) > tile or tile > 7
+
+
 def test_chain_of_links_is_one_component(spark):
     w = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([f"x{k}" if k < 3 * i else v for k, v in enumerate(w)]), "en", "s", 0) for i in range(12)]
