@@ -170,15 +170,21 @@ def xml_clipping(record_id, title, date, persons, media_name, url, labels,
 
 
 def dedup_clippings(df: DataFrame, title_col: str, persons_col: str, order_col: str) -> DataFrame:
-    """Keep the first clipping per (lower title, ordered person ids)."""
-    k = df.withColumn("_t", F.lower(title_col)) \
-        .withColumn("_ids", F.transform(F.col(persons_col), lambda x: x["employee_id"]))
-    return keep_first(k, ["_t", "_ids"], order_col).drop("_t", "_ids")
-
-
-def write_xml(clippings: DataFrame, path: str, clipping_col: str = "clipping") -> None:
+    """Keep the first clipping per (lower title, ordered person ids); a null order is last and of
+    rows that tie any one stays. Rows are compared by a digest of title and ids, so that the
+    records go through one shuffle, dealt by digest and number: a common key is spread."""
+    ids = F.transform(F.col(persons_col), lambda x: x["employee_id"])
+    key = F.unhex(F.md5(F.to_json(F.struct(F.lower(title_col).alias("t"), ids.alias("i")))))
+    k = df.withColumn("_key", key).withColumn("_at", F.struct(F.col(order_col).isNull().alias("none"), F.col(order_col).alias("no")))
+    first = k.groupBy("_key").agg(F.min("_at").alias("_at")).select("_key", F.col("_at.none").alias("_none"), F.coalesce("_at.no", F.lit(0)).alias("_no"))
+    k = k.withColumn("_none", F.col("_at.none")).withColumn("_no", F.coalesce("_at.no", F.lit(0))).drop("_at")
+    there = ["_key", "_none", "_no"]
+    return k.join(first, there, "left_semi").dropDuplicates(there).drop(*there)
+
+
+def write_xml(clippings: DataFrame, path: str, clipping_col: str = "clipping", compression: str = "none") -> None:
     """Sink: ``<clippings xmlns=...><clipping ...>...</clipping>...</clippings>``."""
-    (clippings.select(f"{clipping_col}.*").write.mode("overwrite").format("xml")
+    (clippings.select(f"{clipping_col}.*").write.mode("overwrite").format("xml").option("compression", compression)
      .option("rowTag", C.XML_ROW_TAG).option("rootTag", f'{C.XML_ROOT_TAG} xmlns="{C.XML_NAMESPACE}"')
      .save(path))
 

@@ -23,7 +23,7 @@ from clipforge.operators.records import dedup_clippings, managing_unit_first, ma
     read_xml, record_ids, write_xml, xml_clipping
 from clipforge.plans.entities import _NATION_ORGS_SQL, nation_orgs
 from clipforge.plans.registry import register
-from clipforge.session import scratch_path
+from clipforge.session import scratch_path, written
 from clipforge.sources.tables import Tables
 
 RUN_STAMP = "20250101-000000"
@@ -39,21 +39,26 @@ def order_articles(t):
                 F.col("c_nationkey").cast("string").alias("c_org"), "r_name")
     li = t.lineitem.join(t.supplier, t.lineitem.l_suppkey == t.supplier.s_suppkey) \
         .select("l_orderkey", "l_linenumber", "l_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("s_org"))
-    p = li.join(o.select("o_orderkey", "c_org"), li.l_orderkey == o.o_orderkey)
-    p = org_lookup(p, orgs, "s_org").withColumnRenamed("orgtype", "s_type").withColumnRenamed("orgname", "s_name_org")
-    p = org_lookup(p, orgs, "c_org").withColumnRenamed("orgtype", "c_type").withColumnRenamed("orgname", "c_name_org")
-    person = F.struct(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("employee_id"),
-        F.concat(F.lit("supp-"), F.col("l_suppkey").cast("string")).alias("uuid"),
-        F.concat(F.lit("Dr "), F.col("s_name")).alias("name"),
-        F.array(F.struct(F.col("s_org").alias("organization_uuid"), F.col("s_type").alias("orgtype"),
-                         F.col("s_name_org").alias("orgname")),
-                F.struct(F.col("c_org").alias("organization_uuid"), F.col("c_type").alias("orgtype"),
-                         F.col("c_name_org").alias("orgname"))).alias("affiliations"))
-    persons = p.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", person.alias("p")))).alias("_p"))
-    persons = persons.select("l_orderkey", F.transform("_p", lambda x: x["p"]).alias("persons"))
-    a = o.join(persons, o.o_orderkey == persons.l_orderkey)
+    # A line item goes through the shuffle with its supplier's unit only; an order's own units (one
+    # per row of its key, and per row of the unit in the unit table) are laid beside each afterwards.
+    li = org_lookup(li, orgs, "s_org")
+    line = F.struct("l_linenumber", "l_suppkey", "s_name", "s_org", F.col("orgtype").alias("s_type"), F.col("orgname").alias("s_unit"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(line).alias("_lines"))
+    of = org_lookup(o.select("o_orderkey", "c_org"), orgs, "c_org")
+    units = of.groupBy(F.col("o_orderkey").alias("_key")).agg(F.collect_list(F.struct("c_org", "orgtype", "orgname")).alias("_units"))
+    unit = lambda org, kind, name: F.struct(org.alias("organization_uuid"), kind.alias("orgtype"), name.alias("orgname"))
+
+    def person(x, c):
+        return F.struct(
+            F.concat(F.lit("S"), x["l_suppkey"].cast("string")).alias("employee_id"),
+            F.concat(F.lit("supp-"), x["l_suppkey"].cast("string")).alias("uuid"),
+            F.concat(F.lit("Dr "), x["s_name"]).alias("name"),
+            F.array(unit(x["s_org"], x["s_type"], x["s_unit"]), unit(c["c_org"], c["orgtype"], c["orgname"])).alias("affiliations"))
+
+    placed = F.flatten(F.transform("_lines", lambda x: F.transform("_units", lambda c: F.struct(
+        x["l_linenumber"].alias("l_linenumber"), x["l_suppkey"].alias("l_suppkey"), person(x, c).alias("p")))))
+    a = (o.join(lines, o.o_orderkey == lines.l_orderkey).join(units, o.o_orderkey == units["_key"])
+         .withColumn("persons", F.transform(F.array_sort(placed), lambda x: x["p"])))
     faculty = (F.when(F.col("r_name") == "AFRICA", "GEO").when(F.col("r_name") == "AMERICA", "REBO")
                .when(F.col("r_name") == "ASIA", "DGK").when(F.col("r_name") == "EUROPE", "BETA").otherwise("XYZ"))
     kw = F.when(F.col("o_orderstatus") == "P", F.array(F.lit(" "))) \
@@ -166,13 +171,13 @@ FROM d WHERE rn = 1
 """)
 def q_xml_records(spark, data_dir):
     import uuid
-    a = order_articles(Tables(spark, data_dir))
+    a = written(order_articles(Tables(spark, data_dir)), "articles")  # read by the numbers, the first ones and the records
     ids = record_ids(a, ["o_orderkey"], RUN_STAMP)
     kept = dedup_clippings(ids, "title", "persons", "record_no")
     clip = kept.select(xml_clipping("record_id", "title", "ts", "persons", "media_name", "url", "labels")
                        .alias("clipping"))
     path = scratch_path(spark, f"xml_records/{uuid.uuid4().hex}")
-    write_xml(clip, path)
+    write_xml(clip, path, compression="gzip")
     schema = clip.select("clipping.*").schema
     back = spark.read.format("xml").option("rowTag", "clipping").schema(schema).load(path)
     ref = F.col("mediaReferences.mediaReference")

@@ -63,3 +63,12 @@ def test_xml_round_trip(spark, tmp_path):
     assert 'xmlns="v1.unified.clipping.pure.atira.dk"' in text and "<url>" not in text
     back = read_xml(spark, str(tmp_path / "x")).first()
     assert back["_id"] == "K-0-x" and back["managedBy"]["_lookupId"] == "o2"
+
+
+def test_xml_files_can_be_gzipped(spark, tmp_path):
+    df = spark.createDataFrame([("K-0-x", "Title", dt.datetime(2025, 3, 12), persons(), "Daily", "")],
+                               f"id string, t string, ts timestamp_ntz, p {P}, m string, u string")
+    clip = df.select(xml_clipping("id", "t", "ts", "p", "m", "u", fixed_labels(F.array(F.lit("kw")))).alias("clipping"))
+    write_xml(clip, str(tmp_path / "x"), compression="gzip")
+    assert [p.suffix for p in (tmp_path / "x").glob("part-*")] == [".gz"]
+    assert read_xml(spark, str(tmp_path / "x")).first()["_id"] == "K-0-x"
