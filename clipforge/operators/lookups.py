@@ -77,32 +77,42 @@ def table_tags(docs: DataFrame, names: DataFrame, id_col: str, text_col: str, na
     A name's anchor is its rarest token by the texts' own word counts. A text that holds the
     name has a word that holds the anchor, so anchors are looked up in the distinct words of
     all texts, not in the texts: words are cut into the pieces of the lengths that anchors
-    start with (``ANCHOR_CHARS`` at most) and joined on the piece. Documents then meet names
+    start with (``ANCHOR_CHARS`` at most) and joined on the piece. The first token of a longer
+    name must end its word, the last one start its word, any other be the word. Documents then meet names
     by their words, an equi-join. A name of several tokens is verified in the whole text, each
     text once with its own candidates. Null and blank names, and rows with a null id, have no
     tags; a repeated id is one document per distinct text."""
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_id").isNotNull() & F.col("_text").isNotNull())
     keyed = texts.withColumn("_key", F.xxhash64("_id", "_text"))
+    # names go through the shuffles as numbers
     name = names.select(F.col(name_col).alias("name")).where(F.col("name").rlike("[^ \\t\\r\\n]")).distinct()
-    held = keyed.select("_key", "_id", F.explode(F.array_distinct(_tokens("_text"))).alias("word")).distinct()
+    name = written(name.withColumn("no", F.monotonically_increasing_id()), "tag_names")
+    held = keyed.select("_key", "_id", F.explode(F.array_distinct(_tokens("_text"))).alias("word"))
     words = written(held.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "tag_words")
 
-    parts = name.select("name", F.explode(_tokens("name")).alias("anchor"))
-    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("anchor")).alias("l"), F.col("anchor"))
-    anchors = (parts.join(words.withColumnRenamed("word", "anchor"), "anchor", "left").groupBy("name").agg(F.min(rank).alias("r"))
-               .select("name", F.col("r.anchor").alias("anchor"), F.substring("r.anchor", 1, ANCHOR_CHARS).alias("piece")))
+    parts = name.select("no", "name", F.size(_tokens("name")).alias("of"), F.posexplode(_tokens("name")).alias("i", "anchor"))
+    place = F.when(F.col("of") == 1, "only").when(F.col("i") == 0, "first").when(F.col("i") == F.col("of") - 1, "last").otherwise("inner")
+    parts = parts.select("no", "name", "anchor", place.alias("place"))
+    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("anchor")).alias("l"), F.col("anchor"), F.col("place"))
+    anchors = (parts.join(words.withColumnRenamed("word", "anchor"), "anchor", "left").groupBy("no", "name").agg(F.min(rank).alias("r"))
+               .select("no", "name", F.col("r.anchor").alias("anchor"), F.col("r.place").alias("place"), F.substring("r.anchor", 1, ANCHOR_CHARS).alias("piece")))
     anchors = written(anchors.withColumn("size", F.length("piece")), "tag_anchors")
     sizes = sorted(r[0] for r in anchors.select("size").distinct().collect())  # at most ANCHOR_CHARS values
     starts = F.sequence(F.lit(1), F.length("word"))
     cut = lambda k: F.transform(starts, lambda at: F.substr(F.col("word"), at, F.lit(k)))
     cuts = [cut(k) for k in sizes]
     pieces = F.flatten(F.array(*cuts)) if cuts else F.array().cast("array<string>")
-    found = words.select("word", F.explode(F.array_distinct(pieces)).alias("piece")).join(anchors, "piece").where(F.contains(F.col("word"), F.col("anchor")))
-    found = written(found.select("word", "name", (F.col("name") == F.col("anchor")).alias("whole")).distinct(), "tag_found")
-
-    near = written(held.join(found, "word").groupBy("_key", "_id", "name").agg(F.max("whole").alias("whole")), "tag_candidates")
-    sure = near.where("whole").select("_id", "name")
-    check = near.where(~F.col("whole")).groupBy("_key").agg(F.collect_set("name").alias("names"))
+    word, anchor = F.col("word"), F.col("anchor")
+    stands = (F.when(F.col("place") == "only", F.contains(word, anchor)).when(F.col("place") == "first", F.endswith(word, anchor))
+              .when(F.col("place") == "last", F.startswith(word, anchor)).otherwise(word == anchor))
+    found = words.select("word", F.explode(F.array_distinct(pieces)).alias("piece")).join(anchors, "piece").where(stands)
+    hit = F.struct("no", (F.col("name") == F.col("anchor")).alias("whole"))
+    found = written(found.groupBy("word").agg(F.collect_set(hit).alias("hits")), "tag_found")
+
+    near = held.join(found, "word").select("_key", "_id", F.explode("hits").alias("hit"))
+    near = written(near.groupBy("_key", "_id", "hit.no").agg(F.max("hit.whole").alias("whole")), "tag_candidates")
+    sure = near.where("whole").select("_id", "no")
+    check = near.where(~F.col("whole")).join(name, "no").groupBy("_key").agg(F.collect_set(F.struct("no", "name")).alias("names"))
     verified = (check.join(keyed.dropDuplicates(["_key"]), "_key")
-                .select("_id", F.explode(F.filter("names", lambda n: F.contains(F.col("_text"), n))).alias("name")))
-    return sure.unionByName(verified).distinct().withColumnRenamed("_id", id_col)
+                .select("_id", F.explode(F.filter("names", lambda n: F.contains(F.col("_text"), n["name"]))).alias("n")).select("_id", "n.no"))
+    return sure.unionByName(verified).distinct().join(name, "no").select(F.col("_id").alias(id_col), "name")

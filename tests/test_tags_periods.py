@@ -16,6 +16,18 @@ def test_table_tags_against_brute_force(spark):
     assert got == want
 
 
+def test_tokens_of_longer_names_meet_words_by_their_place(spark, monkeypatch):
+    from clipforge.operators import lookups
+    kept = {}
+    real = lookups.written
+    monkeypatch.setattr(lookups, "written", lambda df, name: kept.setdefault(name, real(df, name)))
+    words = [f"x{k}a{k}x" for k in range(50)] + ["bx", "c", "xa"]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "xa bx"), (3, "xa c bx"), (4, "a c  b")], "id long, t string")
+    names = spark.createDataFrame([("a b",), ("a c b",)], "name string")
+    assert {tuple(r) for r in table_tags(docs, names, "id", "t").collect()} == {(2, "a b"), (3, "a c b")}
+    assert {r["word"] for r in kept["tag_found"].collect()} <= {"a", "xa", "b", "bx", "c"}
+
+
 def test_no_names_no_tags(spark):
     docs = spark.createDataFrame([(1, "a b")], "id long, t string")
     assert table_tags(docs, spark.createDataFrame([], "name string"), "id", "t").count() == 0
