@@ -1,7 +1,7 @@
 """Block extraction, titles, dates, language and mentions over pages, orders and documents.
 
 Stand-ins: a mail is a document written as mail HTML, its whole text in the block and its first line in
-the headline; ``mail_scan`` writes these as MIME files of several charsets and structures and scans them. Elsewhere an article block is a web page of ``pages``; its headline is the
+the headline; ``mail_scan`` writes these as MIME mails of several charsets and structures into mailbox files and scans them. Elsewhere an article block is a web page of ``pages``; its headline is the
 ``<h1>``; its labelled person list is the navigation labels (``<li><a>``) read
 as ``Personen: a, b, ...`` and two more names (the first with an institution before it,
 and a black-listed one); its highlighted tokens are the words of all ``<b>`` runs; its
@@ -26,7 +26,7 @@ from clipforge.operators.mentions import clean_mentions, faculty_names, raw_ment
 from clipforge.plans import sqlfrag as S
 from clipforge.plans.registry import register
 from clipforge.session import scratch_path, written
-from clipforge.sources.mail import extract_blocks, extract_blocks_from_html, read_mails
+from clipforge.sources.mail import extract_blocks, extract_blocks_from_html, read_mails, split_mailboxes, write_mailboxes
 from clipforge.sources.tables import Tables
 from clipforge.streaming.intake import articles_from_blocks
 
@@ -113,13 +113,13 @@ FROM d WHERE mon IS NOT NULL AND dno <= day(last_day(make_date(2024, mno, 1))) A
 UNION ALL SELECT doc_id, -1, NULL, NULL, NULL, NULL, 'LookupError' FROM d WHERE doc_id % 11 = 5
 """)
 def q_mail_scan(spark, data_dir):
-    """Documents as MIME files in the shared folder, scanned recursively by Spark's own file source."""
+    """Documents as MIME mails in mailbox files of the shared folder, scanned recursively by Spark's own file source."""
     docs = Tables(spark, data_dir).spread("documents", "doc_id", "source", "text")
     mails = _mails(docs).select(F.regexp_extract("path", r"(\d+)\.eml$", 1).cast("long").alias("mail"), "html")
     folder = scratch_path(spark, f"mails-{uuid.uuid4().hex}")
-    _mime(mails).write.partitionBy("mail").text(folder)
-    blocks = written(extract_blocks(read_mails(spark, folder, "*.txt")), "mail_blocks")
-    mail = F.regexp_extract("path", r"/mail=(\d+)/", 1).cast("long").alias("mail")
+    write_mailboxes(_mime(mails), folder, F.concat(F.lit("mail="), F.col("mail").cast("string")))
+    blocks = written(extract_blocks(split_mailboxes(read_mails(spark, folder, "*.txt"))), "mail_blocks")
+    mail = F.regexp_extract("path", r"#mail=(\d+)$", 1).cast("long").alias("mail")
     arts = articles_from_blocks(blocks).select(
         mail, "block_no", "title", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("ts"), "source",
         F.array_join(faculty_names("block_text"), "|").alias("names"), F.lit(None).cast("string").alias("error"))
