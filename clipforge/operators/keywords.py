@@ -46,11 +46,14 @@ def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: D
                        max_words: int = C.KEYWORD_MAX_WORDS) -> DataFrame:
     """(id, phrase, score) for every candidate phrase of every text.
 
-    Two per-text windows (bounded by the text) and one join of word scores back
-    onto the tokens; phrases come from ``lead`` over the scored tokens.
+    The texts are dealt by id once, before they are split: windows and sums per text then need
+    no shuffle of words. A word's places ride along with its sums and take its score back to
+    the tokens; phrases come from ``lead`` over the scored tokens.
     """
-    t = docs.select(F.col(id_col).alias("_id"),
-                    F.posexplode(F.regexp_extract_all(text_col, F.lit(TOKEN), 0)).alias("pos", "raw"))
+    spark = docs.sparkSession  # many parts: a part's words are sorted in its task's memory
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism)
+    dealt = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).repartition(parts, "_id")
+    t = dealt.select("_id", F.posexplode(F.regexp_extract_all("_text", F.lit(TOKEN), 0)).alias("pos", "raw"))
     wd = Window.partitionBy("_id").orderBy("pos")
     t = (t.withColumn("_end", F.col("raw").rlike(r"^[.!?]$"))
          .withColumn("sent", F.coalesce(F.sum(F.col("_end").cast("int"))
@@ -64,16 +67,15 @@ def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: D
         F.when(is_word(F.col("_next")), F.lower("_next")).alias("right"),
         (~is_word(F.col("_prev"))).alias("_sent_start"))
     sw = stopwords.select(F.col("word").alias("w")).distinct().withColumn("stop", F.lit(True))
-    # a plain join: AQE broadcasts the stop list when its measured size is small
-    words = words.join(sw, "w", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
     cap = (~F.col("_sent_start")) & F.col("raw").rlike(r"^\p{Lu}") & ~F.col("raw").rlike(r"^\p{Lu}+$")
     acr = F.col("raw").rlike(r"^\p{Lu}{2,}$")
     per = words.groupBy("_id", "w").agg(
         F.count(F.lit(1)).alias("tf"), F.sum(cap.cast("int")).alias("tf_cap"), F.sum(acr.cast("int")).alias("tf_acr"),
-        F.median("sent").alias("med_sent"), F.countDistinct("sent").alias("n_sent_w"),
-        F.count("left").alias("n_left"), F.countDistinct("left").alias("d_left"),
-        F.count("right").alias("n_right"), F.countDistinct("right").alias("d_right"),
-        F.max("stop").alias("stop"))
+        F.median("sent").alias("med_sent"), F.size(F.collect_set("sent")).alias("n_sent_w"),
+        F.count("left").alias("n_left"), F.size(F.collect_set("left")).alias("d_left"),
+        F.count("right").alias("n_right"), F.size(F.collect_set("right")).alias("d_right"),
+        F.collect_list(F.struct("pos", "sent")).alias("_at"))
+    per = per.join(F.broadcast(sw), "w", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
     doc = words.groupBy("_id").agg((F.max("sent") + 1).alias("n_sent"))
     ns = per.where(~F.col("stop")).groupBy("_id").agg(
         F.avg("tf").alias("mean_tf"), F.stddev_pop("tf").alias("std_tf"), F.max("tf").alias("max_tf"))
@@ -86,9 +88,8 @@ def keyword_candidates(docs: DataFrame, id_col: str, text_col: str, stopwords: D
     rel = 1 + (dl + dr) * F.col("tf") / F.col("max_tf")
     spread = F.col("n_sent_w") / F.col("n_sent")
     s = rel * position / (casing + freq / rel + spread / rel)
-    scores = f.select("_id", "w", s.alias("S"))
     # phrases: 1..max_words consecutive words of one sentence, from leads over the scored tokens
-    tok = words.select("_id", "pos", "sent", "w", "stop").join(scores, ["_id", "w"])
+    tok = f.select("_id", "w", "stop", s.alias("S"), F.explode("_at").alias("_p")).select("_id", "_p.pos", "_p.sent", "w", "stop", "S")
     ww = Window.partitionBy("_id").orderBy("pos")
     for j in range(1, max_words):
         # (column names are case-insensitive: keep sentence and score leads apart)
