@@ -8,6 +8,8 @@ is gathered and the cost stays linear in the number of mentions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +68,13 @@ def raw_mentions(labelled_texts=None, block_text=None, highlighted=None) -> Colu
 def clean_name(c, patterns=C.UNWANTED_TERM_PATTERNS) -> Column:
     """One name: remove each pattern in order (stripping after each), collapse whitespace."""
     x = col_(c)
+    whole = strip_ws(x)
     for p in patterns:
         x = strip_ws(F.regexp_replace(x, "(?U)" + p, ""))
+    if patterns and not any(re.search(r"\\\d|\(\?|\(", p) for p in patterns):
+        # most names hold none of the terms, stripped or not, and need no pass per term
+        some = "(?U)" + "|".join(patterns)
+        x = F.when(col_(c).rlike(some) | whole.rlike(some), x).otherwise(whole)
     return F.array_join(split_ws(x), " ")
 
 
@@ -76,10 +83,10 @@ def _subsume_rows(df: DataFrame, id_col: str, name_col: str, against: DataFrame
     src = df if against is None else against
     words = (src.select(id_col, split_ws(name_col).alias("_p")).where(F.size("_p") > 1)
              .select(id_col, F.explode(F.transform("_p", lambda w: F.lower(w))).alias("_w")).distinct())
-    parts = df.withColumn("_p", split_ws(name_col))
-    single = parts.where(F.size("_p") == 1).withColumn("_w", F.lower(F.col("_p")[0]))
-    kept_single = single.join(words, [id_col, "_w"], "left_anti").drop("_w")
-    return parts.where(F.size("_p") > 1).unionByName(kept_single).drop("_p")
+    # the names are read once: a name of more words is looked up by what no word is
+    parts = df.withColumn("_p", split_ws(name_col)).where(F.size("_p") > 0)
+    parts = parts.withColumn("_w", F.when(F.size("_p") == 1, F.lower(F.col("_p")[0])).otherwise(F.concat(F.lit(" "), name_col))).drop("_p")
+    return parts.join(words, [id_col, "_w"], "left_anti").drop("_w")
 
 
 def clean_mentions(df: DataFrame, id_col: str, names_col: str, blacklist=C.BLACKLIST_NAMES,
@@ -102,6 +109,8 @@ def clean_mentions(df: DataFrame, id_col: str, names_col: str, blacklist=C.BLACK
     first = _subsume_rows(kept, id_col, "mention", against=names)
     cleaned = first.select(id_col, clean_name("mention", patterns).alias("mention"), "first_pos").where(F.col("mention") != "") \
         .groupBy(id_col, "mention").agg(F.min("first_pos").alias("first_pos"))
+    if materialise:  # read for its names and for their words
+        cleaned = written(cleaned, "cleaned")
     return _subsume_rows(cleaned, id_col, "mention")
 
 
