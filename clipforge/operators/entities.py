@@ -136,10 +136,10 @@ def active_affiliations(probes: DataFrame, assocs: DataFrame, person_col: str, t
     many = written(a.where(~F.col("malformed")).groupBy("_person").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MANY_PERIODS).select("_person"), "many_periods")
     ts = F.col(ts_col)
     holds = (F.col("start_ts") <= ts) & (ts <= F.col("end_ts"))
+    if many.isEmpty():
+        return probes.join(a, probes[person_col] == a["_person"]).where(F.col("malformed") | holds).drop("_person")
     few = a.where(F.col("malformed")).unionByName(a.where(~F.col("malformed")).join(many, "_person", "left_anti").select(*a.columns))
     plain = probes.join(few, probes[person_col] == few["_person"]).where(F.col("malformed") | holds).drop("_person")
-    if many.isEmpty():
-        return plain
     hot = a.where(~F.col("malformed")).join(many, "_person", "left_semi")
     of_hot = probes.join(many, probes[person_col] == many["_person"], "left_semi")
     return plain.unionByName(indexed_periods(of_hot, hot, person_col, ts_col).where(holds).drop("_person").select(*plain.columns))
@@ -167,11 +167,13 @@ def resolve_mentions(article_mentions: DataFrame, directory: DataFrame, orgs: Da
                                 F.lower(strip_ws(mention_col)).alias("mention_key"))
     # read by the resolved, unresolved and error outputs: matched once, stored
     best = written(match_mentions(m.select("mention"), directory, "mention", threshold), "match")
-    people = best.join(directory.select("uuid", employee_id("identifiers").alias("employee_id")), "uuid")
-    matched = m.join(people.select("mention_key", "uuid", "employee_id"), "mention_key")
-    with_id = matched.where(F.col("employee_id").isNotNull())
+    people = best.select("mention_key", "uuid").join(directory.select("uuid", employee_id("identifiers").alias("employee_id")), "uuid")
+    people = written(people.where(F.col("employee_id").isNotNull()), "people")
+    with_id = written(m.join(people, "mention_key"), "matched")
+    # the periods of matched persons only; their dates are parsed once
+    periods = associations(directory.join(people.select("uuid"), "uuid", "left_semi"))
     affs = active_affiliations(with_id.select("article_id", "mention_pos", "uuid", "ts"),
-                               associations(directory), "uuid", "ts")
+                               written(periods, "periods"), "uuid", "ts")
     affs = org_lookup(affs, orgs)
     good = F.when(~F.col("malformed"), F.struct("assoc_no", "org_uuid", "orgtype", "orgname"))
     per_mention = affs.groupBy("article_id", "mention_pos").agg(
@@ -182,10 +184,12 @@ def resolve_mentions(article_mentions: DataFrame, directory: DataFrame, orgs: Da
     per_mention = per_mention.select("article_id", "mention_pos", aff_arr.alias("affiliations"), "malformed")
     cand = with_id.join(per_mention, ["article_id", "mention_pos"], "left")
     ok = cand.where(F.size(F.coalesce("affiliations", F.array())) > 0)
-    ok = ok.withColumn("_aff_key", F.array_sort("affiliations"))
-    kept = keep_first(ok.select("article_id", "employee_id", "_aff_key", "mention_pos", "mention", "uuid",
-                                "affiliations", "malformed"),
-                      key_cols=["article_id", "employee_id", "_aff_key"], order_col="mention_pos").drop("_aff_key")
+    # affiliation sets are compared by a digest, so the lists are no keys of shuffles
+    ok = ok.withColumn("_aff_key", F.unhex(F.md5(F.to_json(F.array_sort("affiliations")))))
+    # read by the first mentions, the kept ones and the unresolved
+    ok = written(ok.select("article_id", "employee_id", "_aff_key", "mention_pos", "mention", "uuid",
+                           "affiliations", "malformed"), "resolved")
+    kept = keep_first(ok, key_cols=["article_id", "employee_id", "_aff_key"], order_col="mention_pos").drop("_aff_key")
     unresolved = m.join(ok.select("article_id", "mention_pos"), ["article_id", "mention_pos"], "left_anti") \
         .select("article_id", "mention_pos", "mention")
     errors = per_mention.where(F.col("malformed")).select("article_id").distinct()

@@ -50,20 +50,21 @@ def directory(t):
 
 def _directory(t):
     dw = _doc_words(t)
-    per_src = dw.groupBy("w", "source").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    # the texts are read once: a person's own facts are those of its sources
+    per_src = dw.groupBy("w", "source").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                            F.min(F.when(F.col("lang") != "es", F.col("doc_id"))).alias("emp"))
     assoc = F.struct(F.struct(F.col("source").alias("uuid")).alias("organization"),
                      F.struct(_day(F.floor(F.col("lo") / 10)).alias("startDate"),
                               F.when(F.col("source") != "src0", _day(F.col("hi"))).alias("endDate")).alias("period"))
-    assocs = per_src.groupBy("w").agg(F.array_sort(F.collect_list(assoc)).alias("staffOrganizationAssociations"))
-    people = dw.groupBy("w").agg(F.min("doc_id").alias("pos"),
-                                 F.min(F.when(F.col("lang") != "es", F.col("doc_id"))).alias("emp_doc"))
+    people = per_src.groupBy("w").agg(F.min("lo").alias("pos"), F.min("emp").alias("emp_doc"),
+                                      F.array_sort(F.collect_list(assoc)).alias("staffOrganizationAssociations"))
     ident = F.when(F.col("emp_doc").isNotNull(), F.array(F.struct(
         F.concat(F.lit("E"), F.col("emp_doc").cast("string")).alias("id"),
         F.struct(F.struct(F.lit(C.EMPLOYEE_ID_TERM).alias("en_GB")).alias("term")).alias("type")))) \
         .otherwise(F.array(F.struct(F.lit("x").alias("id"),
                                     F.struct(F.struct(F.lit("Other").alias("en_GB")).alias("term")).alias("type"))))
     name_t = "struct<name:struct<firstName:string,lastName:string>>"
-    return (people.join(assocs, "w")
+    return (people
             .select("pos", F.col("w").alias("uuid"),
                     F.struct(F.col("w").alias("firstName"), F.lit(None).cast("string").alias("lastName")).alias("name"),
                     F.array().cast(f"array<{name_t}>").alias("names"),
