@@ -10,14 +10,15 @@ some B occurrence starts at most ``k`` words before or after it.
   written once; everything after reads them.
 * A phrase is looked up by its rarest word (counted on the postings); its other words must
   then stand at their places, which is an equi-join on (document, position, word).
-* Side B comes first. Queries with the same A side share it, and an A occurrence is met by
-  the B occurrences of its stretch of ``k + 1`` words and the two beside it only, so the
-  work follows the B occurrences, not documents times queries.
+* Side B comes first. Queries with the same A side share it: its places are marked in a bit
+  array per document with running counts, and a B occurrence reads from it how many it
+  reaches that the B occurrence before it does not. The work follows the B occurrences; A
+  occurrences are never laid beside queries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipforge.functions import constants as C
@@ -30,7 +31,7 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame
     places = phrases.select("ph", F.size("ws").alias("len"), F.posexplode("ws").alias("i", "tok"))
     words = docs.select(F.col(id_col).alias("_id"),
                         F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), 0)).alias("pos", "tok"))
-    postings = written(words.join(places.select("tok").distinct(), "tok", "left_semi"), "postings")
+    postings = written(words.where(F.col("_id").isNotNull()).join(places.select("tok").distinct(), "tok", "left_semi"), "postings")
     common = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
     rarest = (places.join(common, "tok").groupBy("ph", "len").agg(F.min(F.struct("n", "i", "tok")).alias("w"))
               .select("ph", "len", F.col("w.i").alias("i"), F.col("w.tok").alias("tok")))
@@ -43,6 +44,27 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame
     return found.where("len = 1").select("_id", "ph", "at").unionByName(whole)
 
 
+def _marks(a: DataFrame) -> DataFrame:
+    """(_id, side_id, marks) of the places ``a``: for every 64 places from 0 a long with a bit for
+    each that is marked, and the number of marks before it."""
+    block = a.groupBy("_id", "side_id", F.floor(F.col("a") / 64).alias("block")).agg(
+        F.bit_or(F.expr("shiftleft(1L, a % 64)")).alias("bits"))
+    last = block.groupBy("_id", "side_id").agg(F.max("block").alias("last"))
+    empty = last.select("_id", "side_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") + 1)).alias("block"), F.lit(0).cast("long").alias("bits"))
+    every = block.unionByName(empty).groupBy("_id", "side_id", "block").agg(F.bit_or("bits").alias("bits"))
+    w = Window.partitionBy("_id", "side_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    every = every.withColumn("before", F.coalesce(F.sum(F.bit_count("bits")).over(w), F.lit(0)))
+    return (every.groupBy("_id", "side_id").agg(F.sort_array(F.collect_list(F.struct("block", "bits", "before"))).alias("m"))
+            .select("_id", "side_id", F.col("m.bits").alias("bits"), F.col("m.before").alias("marks")))
+
+
+def _marks_to(at: Column) -> Column:
+    """The number of marks at places up to ``at`` (long) of a row of :func:`_marks`; its last long is empty."""
+    block = F.least(F.shiftright(at, 6), F.size("bits") - 1).cast("int")
+    upto = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (63 - at.bitwiseAND(F.lit(63))).cast("int"))
+    return F.when(at < 0, 0).otherwise(F.get("marks", block) + F.bit_count(F.get("bits", block).bitwiseAND(upto)))
+
+
 def proximity_hits(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame,
                    distance: int = C.NEAR_DISTANCE) -> DataFrame:
     """(query, id, hits): documents with at least one A occurrence near a B occurrence of
@@ -55,20 +77,24 @@ def proximity_hits(docs: DataFrame, id_col: str, text_col: str, phrases: DataFra
     p = written(p.withColumn("ph", F.xxhash64("ws")).distinct(), "phrases")
     occurs = written(_occurrences(docs, id_col, text_col, p.select("ph", "ws").distinct()), "occurrences")
 
-    # Queries of one A side and distance share the stretches of that side.
+    # Queries of one A side and distance share the marks of that side.
     sides = p.where("side = 'a'").groupBy("query", "near").agg(F.sort_array(F.collect_set("ph")).alias("phs"))
-    sides = sides.select("query", "near", F.xxhash64("near", "phs").alias("side_id"), "phs")
-    stretch = lambda at: F.floor(F.col(at) / (F.col("near") + 1))
-    a = (sides.select("side_id", "near", F.explode("phs").alias("ph")).distinct().join(occurs, "ph")
-         .select("side_id", "_id", F.col("at").alias("a"), stretch("at").alias("stretch")).distinct())
-    # Of the B occurrences of a stretch the first and the last decide for every A.
-    b = (p.where("side = 'b'").select("query", "ph").join(sides.select("query", "side_id", "near"), "query").join(occurs, "ph")
-         .groupBy("_id", "query", "side_id", "near", stretch("at").alias("in_stretch")).agg(F.min("at").alias("first"), F.max("at").alias("last")))
-    b = b.withColumn("d", F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)]))).withColumn("stretch", F.col("in_stretch") + F.col("d")).drop("in_stretch")
-    reach = (F.when(F.col("d") == 0, (F.col("first") != F.col("a")) | (F.col("last") != F.col("a")))
-             .when(F.col("d") == 1, F.col("a") - F.col("last") <= F.col("near")).otherwise(F.col("first") - F.col("a") <= F.col("near")))
-    met = b.join(a, ["side_id", "_id", "stretch"]).where(reach).groupBy("side_id", "_id", "stretch", "query", "a").agg(F.lit(1).alias("one"))
-    return met.groupBy("query", "_id").agg(F.count(F.lit(1)).alias("hits")).withColumnRenamed("_id", id_col)
+    # A query goes through the shuffle as a number.
+    sides = sides.select("query", "near", F.xxhash64("near", "phs").alias("side_id"), "phs", F.monotonically_increasing_id().alias("no"))
+    sides = written(sides, "sides")
+    a = sides.select("side_id", F.explode("phs").alias("ph")).distinct().join(occurs, "ph").select("_id", "side_id", F.col("at").alias("a"))
+    # A B occurrence counts the A occurrences that it reaches and the one before it does not.
+    b = (p.where("side = 'b'").select("query", "ph").distinct().join(sides.select("query", "side_id", "near", "no"), "query").join(occurs, "ph")
+         .select("_id", "side_id", "no", F.col("near").cast("long").alias("near"), F.col("at").cast("long").alias("at")).repartition("_id", "side_id").distinct())
+    w = Window.partitionBy("_id", "side_id", "no").orderBy("at")
+    b = b.withColumn("before", F.lag("at").over(w)).withColumn("after", F.lead("at").over(w))
+    low, high = F.col("at") - F.col("near"), F.col("at") + F.col("near")
+    b = b.select("_id", "side_id", "no", "at", high.alias("high"), F.greatest(low - 1, F.col("before") + F.col("near")).alias("low"),
+                 (F.coalesce(F.col("before") < low, F.lit(True)) & F.coalesce(F.col("after") > high, F.lit(True))).alias("alone"))
+    itself = F.when(F.col("alone"), _marks_to(F.col("at")) - _marks_to(F.col("at") - 1)).otherwise(0)
+    met = b.join(_marks(a), ["_id", "side_id"]).select("_id", "side_id", "no", (_marks_to(F.col("high")) - _marks_to(F.col("low")) - itself).alias("n"))
+    met = met.groupBy("_id", "side_id", "no").agg(F.sum("n").alias("n")).where("n > 0").join(sides.select("no", "query"), "no")
+    return met.groupBy("query", "_id").agg(F.sum("n").alias("hits")).withColumnRenamed("_id", id_col)
 
 
 #: What :func:`operators.units.unit_queries` writes: two lists of quoted phrases around NEAR/k.

@@ -1,8 +1,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from clipforge.operators.language import identify_language, language_profile
-from clipforge.operators.proximity import parsed_queries, proximity_hits, query_phrases, search_texts
+from clipforge.operators.proximity import _marks, _marks_to, parsed_queries, proximity_hits, query_phrases, search_texts
 from clipforge.operators.units import unit_queries
 
 
@@ -36,6 +38,20 @@ def test_proximity_against_brute_force(spark):
     assert got == {x: n for x, n in want.items() if n > 0}
 
 
+def test_places_of_side_a_are_marked_not_laid_beside_queries(spark):
+    places = {1: [0, 5, 63, 64, 300], 2: [127]}
+    rows = [(i, 9, a) for i, found in places.items() for a in found]
+    marks = _marks(spark.createDataFrame(rows, "_id long, side_id long, a int"))
+    at = marks.select("_id", F.explode(F.sequence(F.lit(-3).cast("long"), F.lit(500).cast("long"))).alias("at"), "bits", "marks")
+    got = {(r["_id"], r["at"]): r["n"] for r in at.select("_id", "at", _marks_to(F.col("at")).alias("n")).collect()}
+    assert got == {(i, x): sum(a <= x for a in found) for i, found in places.items() for x in range(-3, 501)}
+    phrases = spark.createDataFrame([("q", "a", "the"), ("q", "b", "cat")], "query string, side string, phrase string")
+    hits = proximity_hits(spark.createDataFrame([(1, "the cat"), (None, "the cat")], "id long, t string"), "id", "t", phrases, 5)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[[^\]]*\bquery#\d+, a#\d+", plan)
+    assert [(r.query, r.id, r.hits) for r in hits.collect()] == [("q", 1, 1)]
+
+
 def test_written_queries_can_be_evaluated(spark):
     members = spark.createDataFrame([("Faculteit A", f"Jan Name{chr(97 + i)}", i) for i in range(5)], "faculty string, name_variant string, row_pos long")
     docs = spark.createDataFrame([(1, "At Utrecht University professor Jan Namec spoke"), (2, "Jan Namec spoke elsewhere"),
