@@ -52,6 +52,10 @@ def _keyword_groups(keywords: Column) -> Column:
     return F.when(F.size(keywords) > 0, F.array(cls, free)).otherwise(F.array(cls))
 
 
+def _org_refs(uuids: Column) -> Column:
+    return F.transform(uuids, lambda u: F.struct(u.alias("uuid"), F.lit(C.SYSTEM_ORGANIZATION).alias("systemName")))
+
+
 def payload(title, url, date, persons, media_name, faculty, language, labels) -> Column:
     """The JSON record of an article as a struct (``to_json`` omits null fields,
     which drops ``country`` outside Dutch). ``labels`` is the struct of
@@ -69,24 +73,18 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
     role_s = F.struct(F.concat(F.lit(C.URI_ROLE), F.lower(role)).alias("uri"),
                       F.struct(capitalize(role).alias("en_GB")).alias("term"))
 
-    def person(x):
-        orgs = F.array_distinct(F.transform(x["affiliations"], lambda a: F.struct(
-            a["organization_uuid"].alias("uuid"), F.lit(C.SYSTEM_ORGANIZATION).alias("systemName"))))
-
-        def named(parts):
-            return F.struct(F.lit(C.PERSON_ASSOCIATION_TYPE).alias("typeDiscriminator"),
-                            F.struct(F.try_element_at(parts, F.lit(1)).alias("firstName"),
-                                     F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
-                                     .alias("lastName")).alias("name"),
-                            role_s.alias("role"),
-                            F.struct(F.lit(C.SYSTEM_PERSON).alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
-                            orgs.alias("organizations"))
-        # one-element transform binds the split name once per person
-        return F.transform(F.array(split_ws(x["name"])), named)[0]
-
-    all_orgs = F.array_sort(F.array_distinct(F.flatten(F.transform(p, lambda x: F.transform(
-        x["affiliations"], lambda a: F.struct(a["organization_uuid"].alias("uuid"),
-                                              F.lit(C.SYSTEM_ORGANIZATION).alias("systemName")))))))
+    def person(x, parts):
+        return F.struct(F.lit(C.PERSON_ASSOCIATION_TYPE).alias("typeDiscriminator"),
+                        F.struct(F.try_element_at(parts, F.lit(1)).alias("firstName"),
+                                 F.array_join(F.slice(parts, 2, 1 << 30), " ").alias("lastName")).alias("name"),
+                        role_s.alias("role"),
+                        F.struct(F.lit(C.SYSTEM_PERSON).alias("systemName"), x["uuid"].alias("uuid")).alias("person"),
+                        # told apart and ordered as text: a struct is compared field by field
+                        _org_refs(F.array_distinct(x["affiliations"]["organization_uuid"])).alias("organizations"))
+
+    # the names are split beside the persons, so that a person's struct is built and copied once
+    persons_s = F.zip_with(p, F.transform(p["name"], split_ws), person)
+    all_orgs = _org_refs(F.sort_array(F.array_distinct(F.flatten(p["affiliations"])["organization_uuid"])))
     country = lookup(col_(language), C.LANGUAGE_TO_COUNTRY)
     coverage = F.struct(
         F.upper(lb["media_type"]).alias("coverageType"),
@@ -101,7 +99,7 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
         F.lit("").alias("authorProducer"),
         F.lit("").alias("durationLengthSize"),
         F.date_format(col_(date), "yyyy-MM-dd").alias("date"),
-        F.transform(p, person).alias("persons"),
+        persons_s.alias("persons"),
         all_orgs.alias("organizations"),
         F.when(country.isNotNull(), F.struct(F.concat(F.lit(C.URI_COUNTRY), country).alias("uri"))).alias("country"))
     return F.struct(
@@ -118,7 +116,8 @@ def payload(title, url, date, persons, media_name, faculty, language, labels) ->
         .alias("managingOrganization"),
         F.array(coverage).alias("mediaCoverages"),
         workflow_struct(col_(faculty)).alias("workflow"),
-        _keyword_groups(kw).alias("keywordGroups"))
+        # one-element transform: the keywords are stripped once per record
+        F.transform(F.array(kw), _keyword_groups)[0].alias("keywordGroups"))
 
 
 def payload_json(*args, **kw) -> Column:
