@@ -28,6 +28,36 @@ def test_tokens_of_longer_names_meet_words_by_their_place(spark, monkeypatch):
     assert {r["word"] for r in kept["tag_found"].collect()} <= {"a", "xa", "b", "bx", "c"}
 
 
+def test_table_tags_shuffles_no_words_of_texts_with_names_that_a_task_can_hold(spark, monkeypatch):
+    from clipforge.operators import lookups
+    r = random.Random(5)
+    voc = ["de", "universiteit", "universiteiten", "niet-universitair", "hoogleraar", "x", "é", "één", "aan", "Utrecht", "van\u00a0de", "\u2003"]
+    texts = [r.choice([" ", "\n", "\t", "  "]).join(r.choice(voc) for _ in range(r.randrange(40))) for _ in range(50)] + ["niet-universitaire", "\tde  x\n", " de", "x", ""]
+    names = [*voc, "de universiteit", "universiteit de", "aan de", "aan  de", "aan\nde", "e u", "de ", " x", "x ", "één é x", "t universitair hoog", "universitair", "iversiteiten", "de\tde"]
+    docs = spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, "de")], "id int, t string")
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    want = sorted({(i % 50, n) for i, t in enumerate(texts) for n in names if n.strip(" \t\r\n") and n in t})
+    for most, routes in [(1 << 20, {"tag_names", "tag_found", "tag_hits"}), (0, {"tag_names", "tag_words", "tag_anchors", "tag_found", "tag_candidates"})]:
+        kept = []
+        real = lookups.written
+        with monkeypatch.context() as m:
+            m.setattr(lookups, "DICTIONARY_BYTES", most)
+            m.setattr(lookups, "written", lambda df, name, kept=kept, real=real: (kept.append(name), real(df, name))[1])
+            got = lookups.table_tags(docs, frame, "id", "t")
+            assert sorted(tuple(x) for x in got.collect()) == want
+        assert set(kept) == routes and got.dtypes == [("id", "int"), ("name", "string")]
+
+
+def test_name_index_against_brute_force():
+    from clipforge.operators.lookups import NameIndex
+    r = random.Random(11)
+    piece = lambda n: bytes(r.choice(b"aab\xc3 \n") for _ in range(r.randrange(n)))
+    texts = [piece(60) for _ in range(300)]
+    names = [(7 * i, x) for i, x in enumerate(sorted({piece(14) for _ in range(3000)})) if x.strip(b" \t\r\n")]
+    at, nos = NameIndex(names).of_texts(texts)
+    assert list(zip(at.tolist(), nos.tolist(), strict=True)) == [(i, no) for i, t in enumerate(texts) for no, x in names if x in t]
+
+
 def test_no_names_no_tags(spark):
     docs = spark.createDataFrame([(1, "a b")], "id long, t string")
     assert table_tags(docs, spark.createDataFrame([], "name string"), "id", "t").count() == 0
