@@ -11,10 +11,11 @@ How it scales
   is all that is needed to judge its strings. Documents of any length are cut at any
   place without changing the result.
 * *Batches and shards.* A task cuts its documents into batches. Contexts are dealt
-  to shards by anchor, in one compressed block per batch and shard, so equal strings
-  always meet. Contexts that repeat inside a batch are settled there (pre-aggregation):
+  to shards by anchor, in one compressed block per ``GROUP`` of batches and shard (shards grow with
+  the corpus, so blocks of single batches would become tiny and their number quadratic), so
+  equal strings always meet. Contexts that repeat inside a batch are settled there (pre-aggregation):
   their copies are reported at once and only one goes on.
-* *The index family.* A shard takes its batches in turn. The strings of a batch whose
+* *The index family.* A shard takes its blocks in turn, small ones together. The strings of a batch whose
   anchor occurs elsewhere get a suffix array; it is merge-scanned against every
   existing level for matches of full length, and what was not found becomes a new
   level. Levels of like size merge, so each string is merged O(log batches) times.
@@ -45,6 +46,10 @@ LENGTH = 200
 KMER = 32
 #: Bytes of text in a batch.
 BATCH = 2 << 20
+#: Bytes of text whose contexts share a block per shard.
+GROUP = 16 << 20
+#: Strings that a shard takes in together, when blocks hold fewer.
+STRINGS = 1 << 19
 SHARDS_PER_PARTITION = 2
 HOT_SHARE = 8
 HOT_LEAST = 500
@@ -168,10 +173,42 @@ def _unpack(block: bytes):
     return pickle.loads(zstandard.ZstdDecompressor().decompress(block))
 
 
+class _Blocks:
+    """Contexts (kind 0) and hot strings (kind 1) of some batches by shard, until they are packed."""
+
+    def __init__(self, shards: int):
+        self.shards, self.bytes = shards, 0
+        self.parts: dict[tuple[int, int], list] = {}
+        self.spans: list[tuple] = []
+
+    def add(self, kind: int, shard: np.ndarray, *fields, text=None) -> None:
+        """Fields in the order of ``shard``, which ascends, and the texts, laid end to end, of given sizes."""
+        cuts = np.searchsorted(shard, np.arange(self.shards + 1))
+        ends = np.concatenate([[0], np.cumsum(text[1])]) if text else None
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, z = int(cuts[k]), int(cuts[k + 1])
+            own = [x[a:z] for x in fields] + ([text[0][ends[a]:ends[z]]] if text else [])
+            self.parts.setdefault((kind, k), []).append(own)
+
+    def packed(self, task: int, serial: int) -> pa.RecordBatch:
+        out = []
+        for (kind, k), own in sorted(self.parts.items()):
+            key, did, *rest = [np.concatenate(x) for x in zip(*own, strict=True)]
+            # anchors only screen, so half of one will do
+            head = (key >> np.uint64(32)).astype(np.uint32) if kind == 0 else key
+            out.append((kind * self.shards + k, kind, head.tobytes(), _pack(np.diff(did, prepend=0), *rest)))
+        if self.spans:
+            did, *rest = [np.concatenate(x) for x in zip(*self.spans, strict=True)]
+            out.append((2 * self.shards + (task + serial) % self.shards, 2, b"", _pack(np.diff(did, prepend=0), *rest)))
+        shard, kind, keys, block = zip(*out, strict=True) if out else ([], [], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(kind, pa.int32()), pa.array([(task << 32) + serial] * len(out), pa.int64()),
+                                           pa.array(keys, pa.binary()), pa.array(block, pa.binary())], ["shard", "kind", "batch", "keys", "block"])
+
+
 def _deal(hot: np.ndarray, shards: int):
     """Batches to blocks: contexts by anchor, hot strings by fingerprint, settled spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, serial = TaskContext.get().partitionId(), 0
+        task, serial, blocks = TaskContext.get().partitionId(), 0, _Blocks(shards)
         for rows in batches:
             did = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             tag = rows.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
@@ -179,7 +216,6 @@ def _deal(hot: np.ndarray, shards: int):
                 if not len(b.akey):
                     continue
                 base = b.offsets[b.doc] - b.lo  # where a run's document begins in the batch
-                out = []
                 is_hot = np.isin(b.akey, hot)
                 runs = np.flatnonzero(~is_hot)
                 ends = b.start + b.count + LENGTH - 1
@@ -189,11 +225,9 @@ def _deal(hot: np.ndarray, shards: int):
                 runs = np.sort(runs[first])
                 shard = (mix(b.akey[runs]) % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                for k in np.flatnonzero(np.diff(cuts)).tolist():
-                    r = runs[order[cuts[k]:cuts[k + 1]]]
-                    out.append((k, 0, _pack(b.akey[r], b.count[r].astype(np.int32), np.diff(did[b.doc[r]], prepend=0), tag[b.doc[r]],
-                                            (b.start - base)[r], b.data[_ranges(b.start[r], b.count[r] + LENGTH - 1)])))
+                r, sizes = runs[order], b.count[runs[order]] + LENGTH - 1
+                blocks.add(0, shard[order], b.akey[r], did[b.doc[r]], b.count[r].astype(np.int32), tag[b.doc[r]], (b.start - base)[r],
+                           text=(b.data[_ranges(b.start[r], sizes)], sizes))
                 hot_runs = np.flatnonzero(is_hot)
                 if len(hot_runs):
                     fp, w = b.fingerprints(hot_runs)
@@ -204,19 +238,18 @@ def _deal(hot: np.ndarray, shards: int):
                     first = np.sort(first)
                     shard = (mix(fp[first] + np.uint64(1)) % np.uint64(shards)).astype(np.int64)
                     order = np.argsort(shard, kind="stable")
-                    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                    for k in np.flatnonzero(np.diff(cuts)).tolist():
-                        i = first[order[cuts[k]:cuts[k + 1]]]
-                        d = b.doc[owner[i]]
-                        out.append((shards + k, 1, _pack(fp[i], np.diff(did[d], prepend=0), tag[d], at[i])))
+                    i = first[order]
+                    d = b.doc[owner[i]]
+                    blocks.add(1, shard[order], fp[i], did[d], tag[d], at[i])
                 doc, s, e = _merged(*[np.concatenate(x) for x in zip(*settled, strict=True)])
                 if len(s):
-                    out.append((2 * shards + (task + serial) % shards, 2, _pack(np.diff(did[doc], prepend=0), tag[doc], s, e)))
-                serial += 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
-                    pa.array([(task << 32) + serial] * len(out), pa.int64()), pa.array([x[2] for x in out], pa.binary())],
-                    ["shard", "kind", "batch", "block"])
+                    blocks.spans.append((did[doc], tag[doc], s, e))
+                blocks.bytes += len(b.data)
+                if blocks.bytes >= GROUP:
+                    serial += 1
+                    yield blocks.packed(task, serial)
+                    blocks = _Blocks(shards)
+        yield blocks.packed(task, serial + 1)
     return run
 
 
@@ -263,29 +296,33 @@ def _scan_shard(rows: pa.Table) -> pa.Table:
             did.append(np.cumsum(d)), tag.append(t), s.append(a), e.append(z)
     elif kinds:
         screen = None
+        heads = [np.frombuffer(x.as_py(), np.uint32 if kinds[0] == 0 else np.uint64) for x in rows.column("keys")]
         if kinds[0] == 0:  # anchors that stand in two contexts or more
-            keys, n = np.unique(np.concatenate([_unpack(x.as_py())[0] for x in blocks]), return_counts=True)
+            keys, n = np.unique(np.concatenate(heads), return_counts=True)
             screen = keys[n > 1]
-        family, seen = SuffixFamily(), 0
+        family, seen, waiting, strings = SuffixFamily(), 0, [], 0
         who, tags, places, found = [], [], [], []
-        for block in blocks:
+        for last, head, block in zip([False] * (len(heads) - 1) + [True], heads, blocks, strict=True):
+            pick = None
             if screen is None:
-                fp, d, t, at = _unpack(block.as_py())
+                fp = head
+                d, t, at = _unpack(block.as_py())
                 d = np.cumsum(d)
-            else:
-                akey, count, d, t, start, text = _unpack(block.as_py())
+            elif len(pick := np.flatnonzero(np.isin(head, screen))):
+                d, count, t, start, text = _unpack(block.as_py())
                 d = np.cumsum(d)
-                pick = np.flatnonzero(np.isin(akey, screen))
-                if not len(pick):
-                    continue
                 begin = np.concatenate([[0], np.cumsum(count.astype(np.int64) + LENGTH - 1)])[:-1]
                 n = count[pick].astype(np.int64)
                 w = _ranges(begin[pick], n)
                 fp = span_hash(prefix_hash(text), w, w + LENGTH)
                 d, t, at = np.repeat(d[pick], n), np.repeat(t[pick], n), _ranges(start[pick], n)
-            found.append(family.add(fp, np.arange(seen, seen + len(fp))))
-            seen += len(fp)
-            who.append(d), tags.append(t), places.append(at)
+            if pick is None or len(pick):
+                waiting.append(fp), who.append(d), tags.append(t), places.append(at)
+                strings += len(fp)
+            if strings >= STRINGS or (last and strings):
+                fp = np.concatenate(waiting)
+                found.append(family.add(fp, np.arange(seen, seen + len(fp))))
+                seen, waiting, strings = seen + len(fp), [], 0
         if seen:
             hit = np.unique(np.concatenate(found))
             d, t, at = np.concatenate(who)[hit], np.concatenate(tags)[hit], np.concatenate(places)[hit]
@@ -310,7 +347,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     hot = hot_anchors(docs, text)
     shards = SHARDS_PER_PARTITION * partitions(docs.sparkSession)
     blocks = _keyed(docs, id_col, text).select("did", "tag", "text").mapInArrow(
-        _deal(hot, shards), "shard int, kind int, batch long, block binary")
+        _deal(hot, shards), "shard int, kind int, batch long, keys binary, block binary")
     return blocks.groupBy("shard").applyInArrow(_scan_shard, SPANS)
 
 

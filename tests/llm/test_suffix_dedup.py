@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from clipforge.llm import suffix_dedup
@@ -69,3 +70,23 @@ def test_empty_table_and_clashing_columns(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
     d = spark.createDataFrame([(1, "x" * 300, "k", 5)], "doc_id long, text string, did string, s int")
     assert [tuple(r)[:4] for r in suffix_dedup.remove_repeats(d).collect()] == [(1, 300, 300, 1)]
+
+
+def test_a_shard_gets_a_block_per_group_of_batches(monkeypatch):
+    """Not one per batch; groups, hot strings and small blocks taken in together change no span."""
+    texts = [r[1] for r in corpus(5, 80)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(80), pa.int64()), pa.array([0] * 80, pa.int32()), pa.array(texts, pa.string())], ["did", "tag", "text"])
+    monkeypatch.setattr(suffix_dedup, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": lambda self: 3})())}))
+    monkeypatch.setattr(suffix_dedup, "BATCH", 1000)
+    anchors = np.unique(np.concatenate([b.akey for b in suffix_dedup._batches(*_bytes(texts))]))
+    want = [(x[1], x[2]) for x in brute(texts)]
+    for group, strings, hot in [(1 << 24, 1 << 19, anchors[:0]), (4000, 300, anchors[::2]), (1, 1, anchors[::3])]:
+        monkeypatch.setattr(suffix_dedup, "GROUP", group)
+        monkeypatch.setattr(suffix_dedup, "STRINGS", strings)
+        blocks = pa.Table.from_batches(suffix_dedup._deal(hot, 5)(iter([rows.slice(0, 30), rows.slice(30)])))
+        if group == 1 << 24:
+            assert sorted(blocks.column("shard").to_pylist()) == sorted(set(blocks.column("shard").to_pylist()))
+        spans = [suffix_dedup._scan_shard(blocks.filter(pa.compute.equal(blocks.column("shard"), k))) for k in sorted(set(blocks.column("shard").to_pylist()))]
+        spans = pa.concat_tables(spans)
+        did, s, e = suffix_dedup._merged(*[spans.column(c).to_numpy() for c in ("did", "s", "e")])
+        assert [(int((e - s)[did == i].sum()), int((did == i).sum())) for i in range(80)] == want
