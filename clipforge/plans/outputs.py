@@ -23,7 +23,7 @@ from clipforge.operators.records import dedup_clippings, managing_unit_first, ma
     read_xml, record_ids, write_xml, xml_clipping
 from clipforge.plans.entities import _NATION_ORGS_SQL, nation_orgs
 from clipforge.plans.registry import register
-from clipforge.session import scratch_path, written
+from clipforge.session import scratch_path, shuffles_dropped, written
 from clipforge.sources.tables import Tables
 
 RUN_STAMP = "20250101-000000"
@@ -37,7 +37,9 @@ mediaCoverages array<struct<coverageType:string, url:string, medium:string, date
     organizations:array<struct<uuid:string>>>>, organizations:array<struct<uuid:string>>>>"""
 
 
-def order_articles(t):
+def order_articles(t, whole: bool = True):
+    """Articles with their persons; unless ``whole``, persons have only what XML records hold: their
+    employee ids and the ids and classes of their units."""
     orgs = nation_orgs(t)
     o = t.orders.join(t.customer, t.orders.o_custkey == t.customer.c_custkey) \
         .join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey) \
@@ -61,6 +63,10 @@ def order_articles(t):
             F.concat(F.lit("Dr "), x["s_name"]).alias("name"),
             F.array(x["unit"], c).alias("affiliations"))
 
+    def part(p):
+        unit_part = lambda u: F.struct(u["organization_uuid"].alias("organization_uuid"), u["orgtype"].alias("orgtype"))
+        return F.struct(p["employee_id"].alias("employee_id"), F.transform(p["affiliations"], unit_part).alias("affiliations"))
+
     # Persons in the order of line, supplier, name and units. Beside one unit, as nearly always, that is the
     # order of the lines themselves; beside several, lines that tie in all are mixed by unit.
     placed = F.flatten(F.transform("_lines", lambda x: F.transform("_units", lambda c: F.struct(
@@ -68,6 +74,8 @@ def order_articles(t):
     a = (o.join(lines, o.o_orderkey == lines.l_orderkey).join(units, o.o_orderkey == units["_key"])
          .withColumn("persons", F.when(F.size("_units") == 1, F.transform(F.sort_array("_lines"), lambda x: person(x, F.get("_units", F.lit(0)))))
                      .otherwise(F.sort_array(placed)["p"])))
+    if not whole:  # when they are ordered
+        a = a.withColumn("persons", F.transform("persons", part))
     faculty = (F.when(F.col("r_name") == "AFRICA", "GEO").when(F.col("r_name") == "AMERICA", "REBO")
                .when(F.col("r_name") == "ASIA", "DGK").when(F.col("r_name") == "EUROPE", "BETA").otherwise("XYZ"))
     kw = F.when(F.col("o_orderstatus") == "P", F.array(F.lit(" "))) \
@@ -181,13 +189,17 @@ FROM d WHERE rn = 1
 """)
 def q_xml_records(spark, data_dir):
     import uuid
-    a = written(order_articles(Tables(spark, data_dir)), "articles")  # read by the numbers, the first ones and the records
+    # the articles are read by the numbers, the first ones and the records; labels, fixed, are laid beside the records
+    cols = ["o_orderkey", "title", "ts", "persons", "media_name", "url", "keywords"]
+    with shuffles_dropped(spark):
+        a = written(order_articles(Tables(spark, data_dir), whole=False).select(cols), "articles")
     ids = record_ids(a, ["o_orderkey"], RUN_STAMP)
-    kept = dedup_clippings(ids, "title", "persons", "record_no")
+    kept = dedup_clippings(ids, "title", "persons", "record_no").withColumn("labels", fixed_labels("keywords"))
     clip = kept.select(xml_clipping("record_id", "title", "ts", "persons", "media_name", "url", "labels")
                        .alias("clipping"))
     path = scratch_path(spark, f"xml_records/{uuid.uuid4().hex}")
-    write_xml(clip, path, compression="gzip")
+    with shuffles_dropped(spark):
+        write_xml(clip, path, compression="gzip")
     schema = clip.select("clipping.*").schema
     back = spark.read.format("xml").option("rowTag", "clipping").schema(schema).load(path)
     ref = F.col("mediaReferences.mediaReference")

@@ -11,6 +11,8 @@ import os
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the tables written meanwhile go when each is written, not when the driver's
+    garbage collector finds them: what follows reads the tables."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back: cuts
     the lineage, is computed once however often it is read, and survives lost executors."""

@@ -72,3 +72,34 @@ def test_xml_files_can_be_gzipped(spark, tmp_path):
     write_xml(clip, str(tmp_path / "x"), compression="gzip")
     assert {p.suffix for p in (tmp_path / "x").glob("part-*")} == {".gz"}
     assert read_xml(spark, str(tmp_path / "x")).first()["_id"] == "K-0-x"
+
+
+def test_articles_of_xml_records_hold_what_is_written_only(spark, tmp_path):
+    """Narrow persons give the same clippings; shuffle files go with the write they were for."""
+    import pathlib
+
+    from clipforge.plans.outputs import order_articles
+    from clipforge.session import shuffles_dropped
+    from clipforge.sources.tables import TABLES
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    held = {"region": make([(0, "AFRICA"), (1, "ASIA")], "r_regionkey int, r_name string"),
+            "nation": make([(0, "KENYA", 0), (1, "CHINA", 1), (1, "CINA", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+            "customer": make([(1, 0, "BUILDING"), (2, 1, "AUTO")], "c_custkey int, c_nationkey int, c_mktsegment string"),
+            "supplier": make([(1, "Supplier#1", 1), (2, "Supplier#2", 0), (2, "Another", 1), (3, "Supplier#3", None)], "s_suppkey int, s_name string, s_nationkey int"),
+            "orders": make([(10, 1, "1-URGENT", "O", "2024-01-02"), (11, 2, "5-LOW", "P", None), (11, 1, "5-LOW", "P", None), (12, 2, "5-LOW", "F", "2024-01-03")],
+                           "o_orderkey int, o_custkey int, o_orderpriority string, o_orderstatus string, o_orderdate string").withColumn("o_orderdate", F.to_date("o_orderdate")),
+            "lineitem": make([(10, 1, 1), (10, 2, 2), (11, 1, 2), (11, 1, 3), (12, 2, 1), (12, 1, 2), (12, 1, 2)], "l_orderkey int, l_linenumber int, l_suppkey int")}
+    t = type("Given", (), {x: held.get(x) for x in TABLES})()
+    less, full = order_articles(t, whole=False), order_articles(t)
+    assert less.select("persons").schema["persons"].dataType.elementType.names == ["employee_id", "affiliations"]
+    clip = lambda a: sorted(str(r) for r in a.select(xml_clipping(F.col("o_orderkey").cast("string"), "title", "ts", "persons", "media_name", "url", "labels")).collect())
+    assert clip(less) == clip(full) and len(clip(full)) >= 4
+    key, places = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {str(x) for d in places for x in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+    before = spark.conf.get(key, None)
+    seen = files()
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(7).write.parquet(str(tmp_path / "a"))
+    assert not files() - seen and spark.conf.get(key, None) == before
+    spark.range(1000).repartition(7).write.parquet(str(tmp_path / "b"))
+    assert files() - seen and spark.read.parquet(str(tmp_path / "a")).count() == 1000
